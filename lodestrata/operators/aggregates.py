@@ -63,11 +63,13 @@ def exact_percentile(df: DataFrame, keys: Sequence[str], value: str, p: float, n
     the values below it.
     """
     data = df.select(*keys, F.col(value).cast("double").alias("_v")).filter("_v IS NOT NULL")
-    slack = 2.0 / accuracy
+    # a sketch errs by at most n / accuracy ranks; groups of up to ``accuracy`` rows stay whole
+    slack = 4.0 / accuracy
+    small = F.count("*") <= accuracy
     bracket = data.groupBy(*keys).agg(
         F.count("*").alias("_n"),
-        F.percentile_approx("_v", max(p - slack, 0.0), accuracy).alias("_lo"),
-        F.percentile_approx("_v", min(p + slack, 1.0), accuracy).alias("_hi"),
+        F.when(small, F.min("_v")).otherwise(F.percentile_approx("_v", max(p - slack, 0.0), accuracy)).alias("_lo"),
+        F.when(small, F.max("_v")).otherwise(F.percentile_approx("_v", min(p + slack, 1.0), accuracy)).alias("_hi"),
     )
     counts = data.groupBy(*keys, "_v").agg(F.count("*").alias("_c"))
     marked = counts.join(bracket, list(keys)).filter(F.col("_v") <= F.col("_hi"))

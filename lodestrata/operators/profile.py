@@ -53,7 +53,7 @@ def column_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(F.inline(cells)).groupBy("column_name", "value").agg(F.count("*").alias("n"))
 
 
-def profile_columns(df: DataFrame, approximate: bool = False, rsd: float = 0.01) -> DataFrame:
+def profile_columns(df: DataFrame, approximate: bool = False, rsd: float = 0.03) -> DataFrame:
     """One row per column: nulls, distinct values, cardinality class, numeric statistics.
 
     Two aggregations for all columns together: one over the cells (distinct values, nulls)

@@ -188,17 +188,17 @@ CONTROL_TABLES = {
 
 # Domains and their freshness targets in minutes.
 DOMAIN_SLA_MINUTES = {
-    "policy": 60,
+    "policy": 30,
     "claims": 15,
     "customer": 60,
     "billing": 30,
-    "agents": 120,
-    "underwriting": 60,
-    "reinsurance": 1440,
-    "finance": 240,
-    "hr": 1440,
-    "marketing": 240,
-    "compliance": 1440,
+    "disbursement": 60,
+    "actuarial": 1440,
+    "finance": 60,
+    "regulatory": 1440,
+    "reinsurance": 60,
+    "marketing": 120,
+    "integration": 30,
 }
 
 # Alert rules (id, name, condition, severity, cooldown minutes).
