@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodestrata.operators.aggregates import mean
 from lodestrata.operators.windows import micros
 
 
@@ -31,7 +32,7 @@ def claim_counts(df: DataFrame, ts: str = "event_timestamp") -> DataFrame:
         _windowed(df, ts, ["loss_type", "priority", "channel"], "5 minutes").agg(
             F.count("*").alias("claim_count"),
             F.sum("loss_amount_estimate").alias("total_estimated_loss"),
-            F.avg("loss_amount_estimate").alias("avg_estimated_loss"),
+            mean(F.col("loss_amount_estimate")).alias("avg_estimated_loss"),
         )
     )
 
@@ -78,9 +79,9 @@ def contact_centre(df: DataFrame, ts: str = "event_timestamp") -> DataFrame:
     return flat(
         _windowed(df, ts, ["queue_name", "intent_detected"], "15 minutes").agg(
             F.count("*").alias("call_count"),
-            F.avg("wait_time_sec").alias("avg_wait_sec"),
-            F.avg("talk_time_sec").alias("avg_talk_sec"),
-            F.avg("sentiment_score").alias("avg_sentiment"),
+            mean(F.col("wait_time_sec")).alias("avg_wait_sec"),
+            mean(F.col("talk_time_sec")).alias("avg_talk_sec"),
+            mean(F.col("sentiment_score")).alias("avg_sentiment"),
             F.sum(F.when(F.col("call_disposition") == "abandoned", 1).otherwise(0)).alias("abandoned_count"),
         )
     )
@@ -92,7 +93,7 @@ def payment_minutes(df: DataFrame, ts: str = "payment_timestamp") -> DataFrame:
         _windowed(df, ts, ["payment_type", "status"], "1 minute").agg(
             F.count("*").alias("payment_count"),
             F.sum("amount").alias("total_amount"),
-            F.avg("amount").alias("avg_amount"),
+            mean(F.col("amount")).alias("avg_amount"),
         )
     )
 
@@ -127,7 +128,7 @@ def event_sequences(df: DataFrame, keys: Sequence[str], ts: str, event_id: str,
 def high_value_by_type(df: DataFrame, kind: str, score: str, amount: str, min_score: float = 0.7) -> DataFrame:
     """Claims above a fraud score by type."""
     return df.filter(F.col(score) > min_score).groupBy(kind).agg(
-        F.count("*").alias("claim_count"), F.avg(amount).alias("avg_loss_amount")
+        F.count("*").alias("claim_count"), mean(F.col(amount)).alias("avg_loss_amount")
     )
 
 
