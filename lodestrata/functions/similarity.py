@@ -16,24 +16,19 @@ def ratio(a: Column, b: Column) -> Column:
 def join_tokens(text: Column, min_ratio: int) -> Column:
     """Prefix-filter tokens: two texts with ``ratio >= min_ratio`` share at least one.
 
-    Texts are padded and cut into bigrams, repeats numbered so that the bag becomes a set.
-    One edit touches at most two bigrams, so texts of lengths up to m within k edits share
-    at least ``m + 1 - 2k`` of them. With the tokens in one global order, both texts must
-    then share a token among their first ``n + 1 - overlap + 1`` ones.
+    A padded text of length n has n + 1 bigrams and one edit touches at most two of them, so
+    two texts within k edits share ``m + 1 - 2k`` bigrams, m being the longer length; with
+    k at most ``(1 - min_ratio/100) * m`` that is never less than the same formula for the
+    shorter text. Repeats are dropped, which can cost a text no more shared bigrams than it
+    had repeats. With all bigrams in one global order (their hash), both texts must then
+    share one among their first ``distinct - shared + 1``.
     """
     n = F.length(text)
     padded = F.concat(F.lit("^"), text, F.lit("$"))
-    grams = F.transform(F.sequence(F.lit(1), n + 1), lambda i: F.substr(padded, i, F.lit(2)))
-    numbered = F.transform(
-        grams,
-        lambda g, i: F.concat(
-            g, F.size(F.filter(F.slice(grams, F.lit(1), i + 1), lambda other: other == g)).cast("string")
-        ),
-    )
-    ordered = F.transform(
-        F.array_sort(F.transform(numbered, lambda t: F.struct(F.xxhash64(t).alias("h"), t.alias("t")))),
-        lambda s: s["t"],
-    )
+    hashes = F.transform(F.sequence(F.lit(1), n + 1), lambda i: F.xxhash64(F.substr(padded, i, F.lit(2))))
+    tokens = F.sort_array(F.array_distinct(hashes))
     edits_share = 2 * (100 - min_ratio) / 100.0
-    overlap = F.greatest(F.ceil(n + 1 - n * F.lit(edits_share) - F.lit(1e-9)), F.lit(1))
-    return F.when(n > 0, F.slice(ordered, F.lit(1), (n + 2 - overlap).cast("int")))
+    bag_shared = F.ceil(n + 1 - n * F.lit(edits_share) - F.lit(1e-9))
+    repeats = n + 1 - F.size(tokens)
+    shared = F.greatest(bag_shared - repeats, F.lit(1))
+    return F.when(n > 0, F.slice(tokens, F.lit(1), (F.size(tokens) - shared + 1).cast("int")))

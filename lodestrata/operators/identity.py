@@ -123,7 +123,7 @@ def _similar(heads: DataFrame, block: Sequence[str], text: str, min_ratio: int,
     cond = test
     for c in on:
         cond = cond & c
-    return a.join(b, cond).select(F.col("a.head").alias("src"), F.col("b.head").alias("dst")).distinct()
+    return a.join(b, cond).select(F.col("a.head").alias("src"), F.col("b.head").alias("dst"))
 
 
 def match_links(nodes: DataFrame) -> DataFrame:

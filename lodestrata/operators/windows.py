@@ -134,21 +134,47 @@ def interval_join(
     return left.join(spread, cond, how).drop("_pb", "_b", *[f"_i_{n}" for n in on])
 
 
-def dense_key(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
-    """Gap-free key 1..n in the given order, in two passes and without a global window.
+def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
+    """Position 1..n of each row within its key, for keys of any size.
 
-    Rows are range-partitioned and sorted, then fixed by a checkpoint; each partition adds
-    the row counts of the partitions before it (one small row per partition).
+    Rows are range-partitioned and sorted by key and order, so a busy key spans many tasks,
+    and then fixed by a checkpoint. A second pass adds what a key has in the partitions
+    before: one small row per key and partition, never the rows of a key.
     """
+    columns = [*keys, *order]
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = cut_lineage(
-        df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_mid", F.monotonically_increasing_id())
+    ordered = df.repartitionByRange(parts, *columns).sortWithinPartitions(*columns)
+    placed = cut_lineage(ordered.withColumn("_mid", F.monotonically_increasing_id())).withColumns(
+        {"_part": F.shiftright("_mid", 33), "_pos": F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))}
+    )
+    pieces = placed.groupBy(*keys, "_part").agg(F.count("*").alias("_size"), F.min("_pos").alias("_first"))
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = pieces.withColumn("_offset", F.coalesce(F.sum("_size").over(before), F.lit(0)) - F.col("_first"))
+    same = F.col("p._part") == F.col("o._part")
+    for k in keys:
+        same = same & F.col(f"p.{k}").eqNullSafe(F.col(f"o.{k}"))
+    joined = placed.alias("p").join(offsets.alias("o"), same)
+    return joined.select("p.*", (F.col("p._pos") + F.col("o._offset") + 1).alias(name)).drop("_mid", "_part", "_pos")
+
+
+def dense_key(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+    """Gap-free key 1..n in the given order."""
+    return number_rows(df, [], order, name)
+
+
+def ordered_lists(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str, size: int = 1000) -> DataFrame:
+    """Values of each key in order, as lists of at most ``size`` with a ``part_no``.
+
+    The parts of a key in order are its whole sequence; short keys have one part.
+    """
+    numbered = number_rows(df.select(*keys, *order, F.col(value).alias("_value")), keys, order, "_n")
+    part = F.floor((F.col("_n") - 1) / size)
+    items = F.sort_array(F.collect_list(F.struct("_n", "_value")))
+    return (
+        numbered.groupBy(*keys, part.alias("part_no"))
+        .agg(items.alias("_items"))
+        .select(*keys, "part_no", F.transform("_items", lambda i: i["_value"]).alias(name))
     )
-    placed = ordered.withColumns({"_part": F.shiftright("_mid", 33), "_pos": F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))})
-    sizes = placed.groupBy("_part").agg(F.count("*").alias("_size"))
-    w = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(w), F.lit(0)).alias("_offset"))
-    return placed.join(offsets, "_part").withColumn(name, F.col("_offset") + F.col("_pos") + 1).drop("_mid", "_part", "_pos", "_offset")
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], at: str, columns: Sequence[str]) -> DataFrame:

@@ -509,28 +509,28 @@ def customer_360(spark, sf):
 
 
 KPIS = [
-    {"kpi_name": "Loss Ratio", "calculation_formula": "SUM(claim_amount) / SUM(premium) * 100", "target_value": 70.0, "threshold_red": 85.0, "threshold_green": 70.0},
-    {"kpi_name": "Combined Ratio", "calculation_formula": "(SUM(claim_amount) + SUM(expenses)) / SUM(premium) * 100", "target_value": 95.0, "threshold_red": 105.0, "threshold_green": 95.0},
-    {"kpi_name": "Customer Retention Rate", "calculation_formula": "COUNT(DISTINCT renewed) * 100.0 / COUNT(DISTINCT customer_id)", "target_value": 85.0, "threshold_red": 75.0, "threshold_green": 85.0},
+    {"kpi_name": "Loss Ratio", "calculation_formula": "CAST(SUM(claim_amount) AS DOUBLE) / CAST(SUM(premium) AS DOUBLE) * 100", "target_value": 70.0, "threshold_red": 85.0, "threshold_green": 70.0},
+    {"kpi_name": "Combined Ratio", "calculation_formula": "(CAST(SUM(claim_amount) AS DOUBLE) + CAST(SUM(expenses) AS DOUBLE)) / CAST(SUM(premium) AS DOUBLE) * 100", "target_value": 95.0, "threshold_red": 105.0, "threshold_green": 95.0},
+    {"kpi_name": "Customer Retention Rate", "calculation_formula": "CAST(COUNT(DISTINCT renewed) * 100 AS DOUBLE) / COUNT(DISTINCT customer_id)", "target_value": 85.0, "threshold_red": 75.0, "threshold_green": 85.0},
 ]
 
 
 @query("kpi_status", with_sql(POLICY, CLAIM, """per AS (SELECT policy_id, CAST(sum(claim_amount) AS DOUBLE) AS claim_amount FROM claim GROUP BY policy_id)""", """j AS (
-  SELECT sum(CAST(coalesce(claim_amount, 0) AS DECIMAL(18,4))) AS ca, sum(CAST(premium AS DECIMAL(18,4))) AS pr, sum(CAST(coalesce(claim_amount, 0) * 0.25 AS DECIMAL(18,4))) AS ex,
+  SELECT sum(CAST(coalesce(claim_amount, 0) AS DECIMAL(18,4))) AS ca, sum(CAST(premium AS DECIMAL(18,4))) AS pr, sum(CAST(premium * 0.25 AS DECIMAL(18,4))) AS ex,
          count(DISTINCT CASE WHEN policy_status = 'O' THEN customer_id END) AS ren, count(DISTINCT customer_id) AS cu FROM policy LEFT JOIN per USING (policy_id))""", """v AS (
-  SELECT 'Loss Ratio' AS kpi_name, round(CAST(ca AS DOUBLE) / CAST(pr AS DOUBLE) * 100, 6) AS kpi_value, 70.0::DOUBLE AS target_value, 85.0 AS red, 70.0 AS green FROM j
-  UNION ALL SELECT 'Combined Ratio', round((CAST(ca AS DOUBLE) + CAST(ex AS DOUBLE)) / CAST(pr AS DOUBLE) * 100, 6), 95.0, 105.0, 95.0 FROM j
-  UNION ALL SELECT 'Customer Retention Rate', round(ren * 100.0 / cu, 6), 85.0, 75.0, 85.0 FROM j)""") + """
+  SELECT 'Loss Ratio' AS kpi_name, CAST(ca AS DOUBLE) / CAST(pr AS DOUBLE) * 100 AS kpi_value, 70.0::DOUBLE AS target_value, 85.0 AS red, 70.0 AS green FROM j
+  UNION ALL SELECT 'Combined Ratio', (CAST(ca AS DOUBLE) + CAST(ex AS DOUBLE)) / CAST(pr AS DOUBLE) * 100, 95.0, 105.0, 95.0 FROM j
+  UNION ALL SELECT 'Customer Retention Rate', CAST(ren * 100 AS DOUBLE) / cu, 85.0, 75.0, 85.0 FROM j)""") + """
 SELECT kpi_name, kpi_value, target_value, CASE WHEN red > green THEN CASE WHEN kpi_value <= green THEN 'green' WHEN kpi_value < red THEN 'yellow' ELSE 'red' END
   ELSE CASE WHEN kpi_value >= green THEN 'green' WHEN kpi_value > red THEN 'yellow' ELSE 'red' END END AS status FROM v""")
 def kpi_status(spark, sf):
     per = b.claims(spark, sf).groupBy("policy_id").agg(F.sum("claim_amount").alias("claim_amount"))
     joined = b.policies(spark, sf).join(per, "policy_id", "left").select(
         "customer_id", F.coalesce(F.col("claim_amount"), F.lit(0)).cast("decimal(18,4)").alias("claim_amount"), "premium",
-        (F.coalesce(F.col("claim_amount"), F.lit(0)) * 0.25).cast("decimal(18,4)").alias("expenses"),
+        (F.col("premium") * F.lit("0.25").cast("decimal(4,2)")).cast("decimal(18,4)").alias("expenses"),
         F.when(F.col("policy_status") == "O", F.col("customer_id")).alias("renewed"),
     )
-    return kpi.kpi_status(joined, KPIS).withColumn("kpi_value", F.round("kpi_value", 6))
+    return kpi.kpi_status(joined, KPIS)
 
 
 @query("semantic_measures", with_sql(POLICY, CLAIM) + """

@@ -41,7 +41,7 @@ def catastrophe_adjusted_premium(spark, sf):
 @query("life_pricing", """
 WITH m AS (SELECT CAST(o_custkey % 60 + 20 AS INTEGER) AS age, CASE WHEN o_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender, count(*) / 1000000.0::DOUBLE AS mortality_rate, CAST(90 - min(o_custkey % 15) AS INTEGER) AS life_expectancy FROM orders WHERE o_custkey % 7 <> 0 GROUP BY ALL),
  a AS (SELECT c_custkey, CAST(c_custkey % 60 + 20 AS INTEGER) AS age, CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender, c_acctbal AS face_amount FROM customer)
-SELECT c_custkey, age, gender, round(face_amount * mortality_rate * 1.30::DOUBLE, 6) AS annual_premium, life_expectancy - age AS expected_payout_year, round(face_amount * pow(1.03::DOUBLE, -(life_expectancy - age)), 6) AS present_value_benefits FROM a LEFT JOIN m USING (age, gender)""")
+SELECT c_custkey, age, gender, face_amount * mortality_rate * 1.30::DOUBLE AS annual_premium, life_expectancy - age AS expected_payout_year, round(face_amount * pow(1.03::DOUBLE, -(life_expectancy - age)), 6) AS present_value_benefits FROM a LEFT JOIN m USING (age, gender)""")
 def life_pricing(spark, sf):
     def person(key):
         return (F.col(key) % 60 + 20).cast("int").alias("age"), F.when(F.col(key) % 2 == 0, "F").otherwise("M").alias("gender")
@@ -52,7 +52,7 @@ def life_pricing(spark, sf):
     )
     applications = table(spark, sf, "customer").select("c_custkey", *person("c_custkey"), F.col("c_acctbal").alias("face_amount"))
     return enrich.life_pricing(applications, mortality).select(
-        "c_custkey", "age", "gender", F.round("annual_premium", 6).alias("annual_premium"), "expected_payout_year", F.round("present_value_benefits", 6).alias("present_value_benefits")
+        "c_custkey", "age", "gender", "annual_premium", "expected_payout_year", F.round("present_value_benefits", 6).alias("present_value_benefits")
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lodestrata.functions.cleansing import standard_address, standard_zip
 from lodestrata.operators import identity
 from lodestrata.plans.registry import query, table
+from lodestrata.session import cut_lineage
 from lodestrata.sources.readers import tagged_union
 
 LETTERS = "translate(md5('{0}' || c_custkey), '0123456789', 'ghijklmnop')"
@@ -122,7 +123,7 @@ LINKS_SQL = "WITH " + ", ".join([RECORDS_SQL, CLEAN_SQL, PROFILE_SQL]) + ", l AS
 
 @query("identity_match_links", LINKS_SQL)
 def identity_match_links(spark, sf):
-    nodes = identity.profiles(identity.standardise(records(spark, sf)))
+    nodes = cut_lineage(identity.profiles(identity.standardise(records(spark, sf))))
     return identity.scored_links(nodes, identity.match_links(nodes)).select("src", "dst", "score")
 
 

@@ -37,11 +37,11 @@ def error_classes(spark, sf):
   SELECT asset_id, avg(duration_seconds) AS ad, stddev_samp(duration_seconds) AS sd, avg(records_written) AS ar, stddev_samp(records_written) AS sr FROM runs
   WHERE status = 'succeeded' AND start_time >= {NOW_SQL} - INTERVAL 30 DAYS AND NOT start_time >= {NOW_SQL} - INTERVAL 48 HOURS GROUP BY asset_id)""", f"""a AS (
   SELECT execution_id, asset_id, CASE WHEN duration_seconds > ad + 2 * coalesce(sd, 0) THEN 'duration_spike' WHEN records_written < ar - 2 * coalesce(sr, 0) THEN 'low_volume'
-    WHEN records_written > ar + 2 * coalesce(sr, 0) THEN 'high_volume' END AS anomaly_type, round(ad, 4) AS avg_duration FROM runs JOIN base USING (asset_id)
+    WHEN records_written > ar + 2 * coalesce(sr, 0) THEN 'high_volume' END AS anomaly_type FROM runs JOIN base USING (asset_id)
   WHERE status = 'succeeded' AND start_time >= {NOW_SQL} - INTERVAL 48 HOURS)""") + "SELECT * FROM a WHERE anomaly_type IS NOT NULL")
 def execution_anomalies(spark, sf):
     found = monitoring.execution_anomalies(b.runs(spark, sf), at(NOW), recent="48 HOURS", sigmas=2.0)
-    return found.select("execution_id", "asset_id", "anomaly_type", F.round("avg_duration", 4).alias("avg_duration"))
+    return found.select("execution_id", "asset_id", "anomaly_type")
 
 
 @query("failure_rates", with_sql(RUNS, ASSETS, f"""c AS (SELECT asset_id, count(*) AS total_runs, count_if(status = 'failed') AS failed_runs FROM runs

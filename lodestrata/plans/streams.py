@@ -150,10 +150,10 @@ def web_sessions(spark, sf):
     return out.withColumn("products_viewed", F.array_join("products_viewed", ","))
 
 
-@query("session_event_sequences", with_sql(CLICKS) + """
-SELECT session_id, user_id, CAST(floor(epoch_us(event_timestamp) / 21600000000) AS BIGINT) AS slice_no, string_agg(event_type, '>' ORDER BY event_timestamp, event_id) AS event_sequence FROM clicks GROUP BY ALL""")
+@query("session_event_sequences", with_sql(CLICKS, "o AS (SELECT *, row_number() OVER (PARTITION BY session_id, user_id ORDER BY event_timestamp, event_id) - 1 AS n FROM clicks)") + """
+SELECT session_id, user_id, n // 8 AS part_no, string_agg(event_type, '>' ORDER BY n) AS event_sequence FROM o GROUP BY ALL""")
 def session_event_sequences(spark, sf):
-    out = windows.event_sequences(b.clicks(spark, sf), SESSION_KEYS, "event_timestamp", "event_id", "event_type", 360)
+    out = windows.event_sequences(b.clicks(spark, sf), SESSION_KEYS, "event_timestamp", "event_id", "event_type", 8)
     return out.withColumn("event_sequence", F.array_join("event_sequence", ">"))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.operators.aggregates import mean
-from lodestrata.operators.windows import micros
+from lodestrata.operators.windows import ordered_lists
 
 
 def _windowed(df: DataFrame, ts: str, keys: Sequence[str], length: str, slide: str | None = None):
@@ -110,19 +110,9 @@ def web_sessions(df: DataFrame, session: str, user: str, ts: str, kind: str, pro
     return flat(grouped, "session_window")
 
 
-def event_sequences(df: DataFrame, keys: Sequence[str], ts: str, event_id: str, kind: str, slice_minutes: int = 5) -> DataFrame:
-    """Ordered event types of each session, in time slices.
-
-    The slices of a session follow each other in time; joined in order they are its whole
-    sequence. A slice, not a session, is what one task has to hold.
-    """
-    width = slice_minutes * 60 * 1_000_000
-    items = F.sort_array(F.collect_list(F.struct(F.col(ts).alias("t"), F.col(event_id).alias("i"), F.col(kind).alias("k"))))
-    return (
-        df.groupBy(*keys, F.floor(micros(F.col(ts)) / width).alias("slice_no"))
-        .agg(items.alias("_e"))
-        .select(*keys, "slice_no", F.transform("_e", lambda e: e["k"]).alias("event_sequence"))
-    )
+def event_sequences(df: DataFrame, keys: Sequence[str], ts: str, event_id: str, kind: str, size: int = 1000) -> DataFrame:
+    """Ordered event types of each session, in parts of at most ``size`` events (batch only)."""
+    return ordered_lists(df, keys, [ts, event_id], kind, "event_sequence", size)
 
 
 def high_value_by_type(df: DataFrame, kind: str, score: str, amount: str, min_score: float = 0.7) -> DataFrame:
