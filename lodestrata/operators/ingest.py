@@ -75,6 +75,21 @@ def schema_difference(df: DataFrame, expected: Sequence[str]) -> tuple[list[str]
     return sorted(want - have), sorted(have - want)
 
 
+def enforce_schema(df: DataFrame, expected: Sequence[str], mode: str) -> DataFrame:
+    """``strict`` raises on any difference, ``evolve`` lets new columns in, ``ignore`` drops them.
+
+    A missing expected column is an error in every mode but ``evolve``.
+    """
+    missing, extra = schema_difference(df, expected)
+    if mode == "strict" and (missing or extra):
+        raise ValueError(f"missing columns {missing}, unexpected columns {extra}")
+    if mode == "ignore":
+        if missing:
+            raise ValueError(f"missing columns {missing}")
+        return df.select(*expected)
+    return df
+
+
 def watermark(df: DataFrame, column: str) -> DataFrame:
     return df.agg(F.max(column).alias("watermark"))
 
@@ -118,20 +133,20 @@ def run_ingestion(
         try:
             df = READERS[rule["source_type"]](spark, rule)
             df = apply_mapping(df, mappings.get(rule_id, ()))
+            if rule.get("schema_enforcement") and rule.get("expected_columns"):
+                df = enforce_schema(df, rule["expected_columns"], rule["schema_enforcement"])
             mark_col = rule.get("incremental_column")
             if mark_col and rule.get("incremental_value") and rule["source_type"] != "jdbc":
                 df = df.filter(F.col(mark_col) > F.lit(rule["incremental_value"]))
             if rule.get("dedup_columns"):
                 df = df.dropDuplicates([c.strip() for c in rule["dedup_columns"].split(",")])
-            mark = F.max(mark_col).cast("string") if mark_col else F.lit(None).cast("string")
+            mark = F.max(mark_col if mark_col else F.lit(None)).cast("string")
             seen = Observation(f"ingest_{rule_id}")
-            df = add_audit(df, rule_id, execution_id, at).observe(
-                seen, F.count(F.lit(1)).alias("n"), (mark if mark_col else F.max(mark)).alias("mark")
-            )
+            df = add_audit(df, rule_id, execution_id, at).observe(seen, F.count(F.lit(1)).alias("n"), mark.alias("mark"))
             parts = [c.strip() for c in (rule.get("partition_columns") or "").split(",") if c.strip()]
             write_load(df, f"{target_folder}/{rule['target_table']}", rule["ingestion_mode"], parts)
             got = seen.get
             log.append((execution_id, rule_id, "succeeded", got["n"], got["mark"], None))
-        except (PySparkException, KeyError, OSError) as problem:
+        except (PySparkException, KeyError, OSError, ValueError) as problem:
             log.append((execution_id, rule_id, "failed", 0, None, type(problem).__name__))
     return spark.createDataFrame(log, LOG_SCHEMA)

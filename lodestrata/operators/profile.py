@@ -47,6 +47,19 @@ def _scalar(f: T.StructField) -> bool:
     return not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.BinaryType))
 
 
+def sample_if_large(df: DataFrame, threshold: int = 1_000_000, fraction: float = 0.1, seed: int = 42) -> DataFrame:
+    """A Bernoulli sample of tables above ``threshold`` rows, smaller ones whole.
+
+    For quick looks only; profiles and scans read whole tables unless given a sample.
+    """
+    return df.sample(fraction=fraction, seed=seed) if df.count() > threshold else df
+
+
+def first_rows(df: DataFrame, n: int) -> DataFrame:
+    """Any ``n`` rows, for a preview."""
+    return df.limit(n)
+
+
 def column_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column_name, value, n): every distinct value of every column, counted map-side first."""
     cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns])

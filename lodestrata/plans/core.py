@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lodestrata.functions.cleansing import cleanse
 from lodestrata.functions.hashing import row_hash
 from lodestrata.operators import aggregates as agg
-from lodestrata.operators import gold, history, ingest, kpi, rules, windows
+from lodestrata.operators import gold, history, ingest, kpi, profile, rules, windows
 from lodestrata.plans import bindings as b
 from lodestrata.plans.bindings import CLAIM, HOLDER, POLICY, with_sql
 from lodestrata.plans.registry import at, plain, query, table
@@ -246,9 +246,9 @@ CHECKS = {"price_not_negative": "o_totalprice >= 0", "known_status": "o_ordersta
 
 
 @query("check_constraints", """
-SELECT 'price_not_negative' AS constraint_name, count_if(NOT (o_totalprice >= 0)) AS violations FROM orders
-UNION ALL SELECT 'known_status', count_if(NOT (o_orderstatus IN ('O','F'))) FROM orders
-UNION ALL SELECT 'key_present', count_if(o_orderkey IS NULL) FROM orders""")
+SELECT 'price_not_negative' AS constraint_name, count(*) FILTER (WHERE NOT (o_totalprice >= 0)) AS violations FROM orders
+UNION ALL SELECT 'known_status', count(*) FILTER (WHERE NOT (o_orderstatus IN ('O','F'))) FROM orders
+UNION ALL SELECT 'key_present', count(*) FILTER (WHERE o_orderkey IS NULL) FROM orders""")
 def check_constraints(spark, sf):
     return history.check_constraints(table(spark, sf, "orders"), CHECKS).select("constraint_name", "violations")
 
@@ -268,10 +268,10 @@ def archive_expired(spark, sf):
 
 @query("retention_cycle", """
 SELECT 'orders' AS table_name, 'archive' AS action, count(*) AS total_rows,
-       count_if(CAST(o_orderdate AS DATE) < DATE '2001-08-02' - 365) AS expired_rows,
-       CASE WHEN count_if(CAST(o_orderdate AS DATE) < DATE '2001-08-02' - 365) > 0 THEN 'archive' ELSE 'nothing_due' END AS status FROM orders
-UNION ALL SELECT 'lineitem', 'delete', count(*), count_if(CAST(l_shipdate AS DATE) < DATE '2001-08-02' - 100000),
-       CASE WHEN count_if(CAST(l_shipdate AS DATE) < DATE '2001-08-02' - 100000) > 0 THEN 'delete' ELSE 'nothing_due' END FROM lineitem
+       count(*) FILTER (WHERE CAST(o_orderdate AS DATE) < DATE '2001-08-02' - 365) AS expired_rows,
+       CASE WHEN count(*) FILTER (WHERE CAST(o_orderdate AS DATE) < DATE '2001-08-02' - 365) > 0 THEN 'archive' ELSE 'nothing_due' END AS status FROM orders
+UNION ALL SELECT 'lineitem', 'delete', count(*), count(*) FILTER (WHERE CAST(l_shipdate AS DATE) < DATE '2001-08-02' - 100000),
+       CASE WHEN count(*) FILTER (WHERE CAST(l_shipdate AS DATE) < DATE '2001-08-02' - 100000) > 0 THEN 'delete' ELSE 'nothing_due' END FROM lineitem
 UNION ALL SELECT 'customer', 'archive', 0, 0, 'no_date_column'""")
 def retention_cycle(spark, sf):
     tables = {n: table(spark, sf, n) for n in ("orders", "lineitem", "customer")}
@@ -286,8 +286,8 @@ def retention_cycle(spark, sf):
 
 @query("storage_savings", """
 SELECT CAST(sum(n) AS BIGINT) AS total_archivable_rows FROM (
-  SELECT count_if(CAST(o_orderdate AS DATE) < DATE '2001-08-02' - 365) AS n FROM orders
-  UNION ALL SELECT count_if(CAST(l_shipdate AS DATE) < DATE '2001-08-02' - 730) FROM lineitem)""")
+  SELECT count(*) FILTER (WHERE CAST(o_orderdate AS DATE) < DATE '2001-08-02' - 365) AS n FROM orders
+  UNION ALL SELECT count(*) FILTER (WHERE CAST(l_shipdate AS DATE) < DATE '2001-08-02' - 730) FROM lineitem)""")
 def storage_savings(spark, sf):
     tables = {n: table(spark, sf, n) for n in ("orders", "lineitem")}
     policies = [{"table_name": "orders", "action": "archive", "retention_days": 365}, {"table_name": "lineitem", "action": "archive", "retention_days": 730}]
@@ -632,7 +632,14 @@ def latest_series_pivot(spark, sf):
 
 @query("bernoulli_sample")
 def bernoulli_sample(spark, sf):
-    return table(spark, sf, "lineitem").sample(fraction=0.1, seed=42).select("l_orderkey", "l_linenumber")
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
+    return profile.sample_if_large(lines, threshold=1000, fraction=0.1, seed=42)
+
+
+@query("preview_rows", "SELECT least(1000, count(*)) AS n FROM lineitem")
+def preview_rows(spark, sf):
+    """A limit sample, reported as its size."""
+    return profile.first_rows(table(spark, sf, "lineitem"), 1000).agg(F.count("*").alias("n"))
 
 
 @query("row_hash_columns", """

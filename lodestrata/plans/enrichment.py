@@ -76,7 +76,7 @@ def market_opportunity(spark, sf):
 
 
 LATE_SQL = """late AS (SELECT o_orderkey AS policy_id, o_custkey % 40 AS policy_duration_months, late_payments_12mo, last_payment_date FROM orders JOIN (
-   SELECT l_orderkey, count_if(l_returnflag = 'R') AS late_payments_12mo, max(l_shipdate) AS last_payment_date FROM lineitem WHERE CAST(l_shipdate AS DATE) >= DATE '2001-08-02' - 365 GROUP BY l_orderkey) ON l_orderkey = o_orderkey
+   SELECT l_orderkey, count(*) FILTER (WHERE l_returnflag = 'R') AS late_payments_12mo, max(l_shipdate) AS last_payment_date FROM lineitem WHERE CAST(l_shipdate AS DATE) >= DATE '2001-08-02' - 365 GROUP BY l_orderkey) ON l_orderkey = o_orderkey
    WHERE o_orderstatus = 'O' AND CAST(last_payment_date AS DATE) < DATE '2001-08-02' - 30)"""
 
 
@@ -122,7 +122,7 @@ def dataset_ranking(spark, sf):
 
 @query("exchange_volume", """
 SELECT l_returnflag AS vendor_name, l_linestatus AS direction, count(*) AS transfer_count, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS total_rows, round(CAST(sum(CAST(l_tax AS DECIMAL(18,2))) AS DOUBLE) / count(*), 6) AS avg_duration_sec,
-  count_if(l_discount < 0.05) AS successful_transfers, count_if(l_discount >= 0.05) AS failed_transfers, count(DISTINCT CAST(l_shipdate AS DATE)) AS days_active FROM lineitem WHERE l_shipdate >= TIMESTAMP '2001-08-02' - INTERVAL 365 DAYS GROUP BY ALL""")
+  count(*) FILTER (WHERE l_discount < 0.05) AS successful_transfers, count(*) FILTER (WHERE l_discount >= 0.05) AS failed_transfers, count(DISTINCT CAST(l_shipdate AS DATE)) AS days_active FROM lineitem WHERE l_shipdate >= TIMESTAMP '2001-08-02' - INTERVAL 365 DAYS GROUP BY ALL""")
 def exchange_volume(spark, sf):
     log = table(spark, sf, "lineitem").filter(F.col("l_shipdate") >= at(b.ORDERS_AS_OF) - F.expr("INTERVAL 365 DAYS"))
     return log.groupBy(F.col("l_returnflag").alias("vendor_name"), F.col("l_linestatus").alias("direction")).agg(

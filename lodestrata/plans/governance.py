@@ -33,9 +33,9 @@ VIOLATIONS_SQL = """vio AS (
     WHERE database_name || '.' || table_name || '.' || column_name NOT IN (SELECT full_path FROM good))"""
 SCORE_SQL = """score AS (SELECT database_name, table_name, total_columns, columns_with_comments, coalesce(l, 0) AS columns_with_glossary_terms, 0 AS violations_critical, coalesce(vh, 0) AS violations_high, coalesce(vm, 0) AS violations_medium, 0 AS violations_low,
    round(columns_with_comments / total_columns * 40 + coalesce(l, 0) / total_columns * 60, 2) AS compliance_score
-  FROM (SELECT database_name, table_name, count(*) AS total_columns, count_if(coalesce(trim(column_comment), '') <> '') AS columns_with_comments FROM cols GROUP BY ALL)
+  FROM (SELECT database_name, table_name, count(*) AS total_columns, count(*) FILTER (WHERE coalesce(trim(column_comment), '') <> '') AS columns_with_comments FROM cols GROUP BY ALL)
   LEFT JOIN (SELECT database_name, table_name, count(DISTINCT full_path) AS l FROM good GROUP BY ALL) USING (database_name, table_name)
-  LEFT JOIN (SELECT database_name, table_name, count_if(severity = 'high') AS vh, count_if(severity = 'medium') AS vm FROM vio GROUP BY ALL) USING (database_name, table_name))"""
+  LEFT JOIN (SELECT database_name, table_name, count(*) FILTER (WHERE severity = 'high') AS vh, count(*) FILTER (WHERE severity = 'medium') AS vm FROM vio GROUP BY ALL) USING (database_name, table_name))"""
 ALL = with_sql(COLUMNS_SQL, TERMS_SQL, LINKS_SQL, GOOD_LINKS_SQL, VIOLATIONS_SQL, SCORE_SQL)
 
 
@@ -167,7 +167,7 @@ def violations_by_severity(spark, sf):
 
 
 @query("tables_with_most_violations", DEDUP + """
-SELECT database_name, table_name, count(*) AS violation_count, 0::BIGINT AS critical_count, count_if(severity = 'high') AS high_count, count_if(severity = 'medium') AS medium_count FROM vio
+SELECT database_name, table_name, count(*) AS violation_count, 0::BIGINT AS critical_count, count(*) FILTER (WHERE severity = 'high') AS high_count, count(*) FILTER (WHERE severity = 'medium') AS medium_count FROM vio
 GROUP BY ALL ORDER BY violation_count DESC, database_name, table_name LIMIT 10""")
 def tables_with_most_violations(spark, sf):
     return g.worst_tables(violations(spark, sf))
@@ -197,13 +197,13 @@ def compliance_by_day(spark, sf):
 
 
 @query("governance_alerts", DEDUP + """
-SELECT count_if(compliance_score < 60) AS low_compliance_tables, CAST(sum(CAST(compliance_score AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_compliance, 0::BIGINT AS critical_violations, (SELECT count(*) FROM vio) AS open_violations, 'healthy' AS status FROM score""")
+SELECT count(*) FILTER (WHERE compliance_score < 60) AS low_compliance_tables, CAST(sum(CAST(compliance_score AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_compliance, 0::BIGINT AS critical_violations, (SELECT count(*) FROM vio) AS open_violations, 'healthy' AS status FROM score""")
 def governance_alerts(spark, sf):
     return g.governance_alerts(scorecard(spark, sf), violations(spark, sf))
 
 
 @query("governance_tile", DEDUP + """
-SELECT (SELECT count(*) FROM terms) AS total_terms, (SELECT count_if(status = 'published') FROM terms) AS published_terms, (SELECT count(*) FROM links) AS total_linkages, count(*) AS tables_scanned,
+SELECT (SELECT count(*) FROM terms) AS total_terms, (SELECT count(*) FILTER (WHERE status = 'published') FROM terms) AS published_terms, (SELECT count(*) FROM links) AS total_linkages, count(*) AS tables_scanned,
   round(CAST(sum(CAST(compliance_score AS DECIMAL(18,2))) AS DOUBLE) / count(*), 1) AS avg_compliance FROM score""")
 def governance_tile(spark, sf):
     return g.governance_tile(terms(spark, sf), links(spark, sf), scorecard(spark, sf))

@@ -44,7 +44,7 @@ def execution_anomalies(spark, sf):
     return found.select("execution_id", "asset_id", "anomaly_type")
 
 
-@query("failure_rates", with_sql(RUNS, ASSETS, f"""c AS (SELECT asset_id, count(*) AS total_runs, count_if(status = 'failed') AS failed_runs FROM runs
+@query("failure_rates", with_sql(RUNS, ASSETS, f"""c AS (SELECT asset_id, count(*) AS total_runs, count(*) FILTER (WHERE status = 'failed') AS failed_runs FROM runs
   WHERE start_time >= {NOW_SQL} - INTERVAL 72 HOURS GROUP BY asset_id)""") + """
 SELECT asset_id, asset_name, sla_max_failure_rate::DOUBLE AS sla_max_failure_rate, total_runs, failed_runs, failed_runs::DOUBLE / total_runs AS failure_rate FROM assets JOIN c USING (asset_id)
 WHERE monitoring_enabled AND failed_runs::DOUBLE / total_runs > sla_max_failure_rate""")
@@ -52,8 +52,8 @@ def failure_rates(spark, sf):
     return monitoring.failure_rates(b.runs(spark, sf), b.assets(spark, sf), at(NOW), "72 HOURS")
 
 
-@query("domain_health", with_sql(RUNS, ASSETS, f"""p AS (SELECT domain, 100.0::DOUBLE * count_if(status = 'succeeded') / count(*) AS v FROM runs JOIN assets USING (asset_id)
-  WHERE start_time >= {NOW_SQL} - INTERVAL 24 HOURS GROUP BY domain)""", f"""s AS (SELECT domain, 100.0::DOUBLE * count_if(duration_seconds <= 60) / count(*) AS v FROM runs JOIN assets USING (asset_id)
+@query("domain_health", with_sql(RUNS, ASSETS, f"""p AS (SELECT domain, 100.0::DOUBLE * count(*) FILTER (WHERE status = 'succeeded') / count(*) AS v FROM runs JOIN assets USING (asset_id)
+  WHERE start_time >= {NOW_SQL} - INTERVAL 24 HOURS GROUP BY domain)""", f"""s AS (SELECT domain, 100.0::DOUBLE * count(*) FILTER (WHERE duration_seconds <= 60) / count(*) AS v FROM runs JOIN assets USING (asset_id)
   WHERE start_time >= {NOW_SQL} - INTERVAL 24 HOURS GROUP BY domain)""", f"""d AS (SELECT 'domain_' || (asset_id % 9) AS domain, CAST(sum(records_written) AS DOUBLE) / count(*) AS v FROM runs
   WHERE start_time >= {NOW_SQL} - INTERVAL 24 HOURS GROUP BY ALL)""") + """
 SELECT coalesce(p.domain, d.domain, s.domain) AS domain, round(coalesce(p.v, 100) * 0.4::DOUBLE + coalesce(d.v, 100) * 0.3::DOUBLE + coalesce(s.v, 100) * 0.2::DOUBLE + 100 * 0.1::DOUBLE, 1) AS health_score,
@@ -66,10 +66,10 @@ def domain_health(spark, sf):
     return monitoring.domain_health(runs, quality, sla, b.assets(spark, sf), at(NOW))
 
 
-PLATFORM_SQL = with_sql(RUNS, f"""r AS (SELECT count(*) AS total_pipelines, count_if(status = 'succeeded') AS successful_pipelines, count_if(status = 'failed') AS failed_pipelines,
-   count_if(duration_seconds <= 60) AS pipelines_in_sla FROM runs WHERE start_time >= {NOW_SQL} - INTERVAL 24 HOURS)""", """
+PLATFORM_SQL = with_sql(RUNS, f"""r AS (SELECT count(*) AS total_pipelines, count(*) FILTER (WHERE status = 'succeeded') AS successful_pipelines, count(*) FILTER (WHERE status = 'failed') AS failed_pipelines,
+   count(*) FILTER (WHERE duration_seconds <= 60) AS pipelines_in_sla FROM runs WHERE start_time >= {NOW_SQL} - INTERVAL 24 HOURS)""", """
  sc AS (SELECT 'table_' || asset_id AS table_name, max_by(records_written, start_time) AS overall_score, max_by(duration_seconds > 60, start_time) AS is_stale FROM runs GROUP BY asset_id)""", """
- q AS (SELECT CAST(sum(overall_score) AS DOUBLE) / count(*) AS data_quality_score, count_if(is_stale) AS stale_tables, 100.0::DOUBLE * count_if(NOT is_stale) / count(*) AS data_freshness_score FROM sc)""", """
+ q AS (SELECT CAST(sum(overall_score) AS DOUBLE) / count(*) AS data_quality_score, count(*) FILTER (WHERE is_stale) AS stale_tables, 100.0::DOUBLE * count(*) FILTER (WHERE NOT is_stale) / count(*) AS data_freshness_score FROM sc)""", """
  v AS (SELECT *, coalesce(100.0::DOUBLE * successful_pipelines / nullif(total_pipelines, 0), 100.0) AS pipeline_health_score, coalesce(100.0::DOUBLE * pipelines_in_sla / nullif(total_pipelines, 0), 100.0) AS sla_compliance_score FROM r, q)""")
 
 
@@ -186,7 +186,7 @@ def mirror_issues(spark, sf):
 
 
 @query("mirror_count_difference", """
-SELECT o_orderpriority, count(*) AS source_rows, count_if(o_orderstatus <> 'P') AS target_rows, count_if(o_orderstatus = 'P') AS missing_rows FROM orders GROUP BY o_orderpriority""")
+SELECT o_orderpriority, count(*) AS source_rows, count(*) FILTER (WHERE o_orderstatus <> 'P') AS target_rows, count(*) FILTER (WHERE o_orderstatus = 'P') AS missing_rows FROM orders GROUP BY o_orderpriority""")
 def mirror_count_difference(spark, sf):
     source = table(spark, sf, "orders")
     return monitoring.mirror_count_difference(source, source.filter("o_orderstatus <> 'P'"), ["o_orderpriority"])
@@ -201,7 +201,7 @@ def cost_recommendations(spark, sf):
 
 
 @query("monitoring_cycle", with_sql(RUNS, ASSETS) + f"""
-SELECT 'failure_rates' AS check_name, count(*) AS findings FROM assets JOIN (SELECT asset_id, count(*) AS n, count_if(status = 'failed') AS f FROM runs WHERE start_time >= {NOW_SQL} - INTERVAL 24 HOURS GROUP BY asset_id) USING (asset_id)
+SELECT 'failure_rates' AS check_name, count(*) AS findings FROM assets JOIN (SELECT asset_id, count(*) AS n, count(*) FILTER (WHERE status = 'failed') AS f FROM runs WHERE start_time >= {NOW_SQL} - INTERVAL 24 HOURS GROUP BY asset_id) USING (asset_id)
   WHERE monitoring_enabled AND f::DOUBLE / n > sla_max_failure_rate
 UNION ALL SELECT 'incidents', count(*) FROM (SELECT DISTINCT asset_name, error_message FROM runs WHERE status = 'failed' AND start_time >= {NOW_SQL} - INTERVAL 1 HOUR AND asset_id % 3 <> 0)
 UNION ALL SELECT 'sla_breaches', 0
@@ -285,7 +285,7 @@ def schedule_decision(spark, sf):
     return monitoring.schedule_decision(config, _shifts(spark, sf), at("2024-01-28 03:00:00")).select("capacity_id", "on_shift", "target_size")
 
 
-@query("throttle_flags", with_sql(USAGE_SQL) + "SELECT capacity_id, count_if(k > 10.0) AS throttled, count(*) AS readings FROM usage GROUP BY capacity_id")
+@query("throttle_flags", with_sql(USAGE_SQL) + "SELECT capacity_id, count(*) FILTER (WHERE k > 10.0) AS throttled, count(*) AS readings FROM usage GROUP BY capacity_id")
 def throttle_flags(spark, sf):
     flagged = monitoring.throttled(_usage(spark, sf).withColumn("throttle_pct", F.col("k")))
     return flagged.groupBy("capacity_id").agg(F.count_if("is_throttled").alias("throttled"), F.count("*").alias("readings"))
@@ -318,14 +318,14 @@ def _tests(spark, sf):
 
 
 @query("test_summary_by_category", with_sql(TESTS_SQL) + """
-SELECT category, count(*) AS total_tests, count_if(status = 'passed') AS passed, count_if(status = 'failed') AS failed, count_if(status = 'error') AS errors,
- CAST(sum(duration_sec) AS DOUBLE) / count(*) AS avg_duration, 100.0::DOUBLE * count_if(status = 'passed') / count(*) AS pass_rate FROM tests GROUP BY category""")
+SELECT category, count(*) AS total_tests, count(*) FILTER (WHERE status = 'passed') AS passed, count(*) FILTER (WHERE status = 'failed') AS failed, count(*) FILTER (WHERE status = 'error') AS errors,
+ CAST(sum(duration_sec) AS DOUBLE) / count(*) AS avg_duration, 100.0::DOUBLE * count(*) FILTER (WHERE status = 'passed') / count(*) AS pass_rate FROM tests GROUP BY category""")
 def test_summary_by_category(spark, sf):
     return plain(kpi.test_summary(_tests(spark, sf), ["category"]))
 
 
-@query("deployment_gate", with_sql(TESTS_SQL, RUNS, f"""g AS (SELECT (SELECT 100.0::DOUBLE * count_if(status = 'passed') / count(*) FROM tests) AS test_pass_rate,
-  (SELECT CAST(sum(records_written) AS DOUBLE) / count(*) FROM runs) AS dq_score, (SELECT 100.0::DOUBLE * count_if(status = 'succeeded') / count(*) FROM runs WHERE start_time >= {NOW_SQL} - INTERVAL 1 DAY) AS run_success_rate)""") + """
+@query("deployment_gate", with_sql(TESTS_SQL, RUNS, f"""g AS (SELECT (SELECT 100.0::DOUBLE * count(*) FILTER (WHERE status = 'passed') / count(*) FROM tests) AS test_pass_rate,
+  (SELECT CAST(sum(records_written) AS DOUBLE) / count(*) FROM runs) AS dq_score, (SELECT 100.0::DOUBLE * count(*) FILTER (WHERE status = 'succeeded') / count(*) FROM runs WHERE start_time >= {NOW_SQL} - INTERVAL 1 DAY) AS run_success_rate)""") + """
 SELECT *, test_pass_rate >= 95 AS tests_ok, dq_score >= 90 AS dq_ok, run_success_rate >= 95 AS runs_ok, test_pass_rate >= 95 AND dq_score >= 90 AND run_success_rate >= 95 AS gate_passed FROM g""")
 def deployment_gate(spark, sf):
     runs = b.runs(spark, sf)
@@ -336,9 +336,9 @@ def deployment_gate(spark, sf):
 @query("executive_summary", with_sql(POLICY, CLAIM, RUNS, ACCESS, f"""m AS (
  SELECT 'financial' AS metric_category, 'Loss Ratio' AS metric_name, coalesce(CAST(sum(claim_amount) AS DOUBLE) / CAST(sum(premium) AS DOUBLE) * 100, 0.0) AS metric_value, 'percentage' AS metric_unit, 70.0::DOUBLE AS target_value FROM claim JOIN policy USING (policy_id) WHERE claim_date >= TIMESTAMP '2001-08-02' - INTERVAL 30 DAYS
  UNION ALL SELECT 'financial', 'Total Premium Volume', CAST(sum(premium) AS DOUBLE), 'currency', NULL FROM policy WHERE policy_status = 'O'
- UNION ALL SELECT 'operational', 'Pipeline Success Rate (24h)', 100.0::DOUBLE * count_if(status = 'succeeded') / count(*), 'percentage', 95.0 FROM runs WHERE start_time >= {NOW_SQL} - INTERVAL 24 HOURS
+ UNION ALL SELECT 'operational', 'Pipeline Success Rate (24h)', 100.0::DOUBLE * count(*) FILTER (WHERE status = 'succeeded') / count(*), 'percentage', 95.0 FROM runs WHERE start_time >= {NOW_SQL} - INTERVAL 24 HOURS
  UNION ALL SELECT 'quality', 'Average Data Quality Score', CAST(sum(records_written) AS DOUBLE) / count(*), 'score', 90.0 FROM runs
- UNION ALL SELECT 'security', 'PII/PCI Access Count (24h)', CAST(count_if(pii_accessed) AS DOUBLE), 'count', NULL FROM access WHERE ts >= {NOW_SQL} - INTERVAL 24 HOURS)""") + """
+ UNION ALL SELECT 'security', 'PII/PCI Access Count (24h)', CAST(count(*) FILTER (WHERE pii_accessed) AS DOUBLE), 'count', NULL FROM access WHERE ts >= {NOW_SQL} - INTERVAL 24 HOURS)""") + """
 SELECT *, CASE metric_name WHEN 'Loss Ratio' THEN CASE WHEN metric_value < 70 THEN 'green' WHEN metric_value < 85 THEN 'yellow' ELSE 'red' END
  WHEN 'Pipeline Success Rate (24h)' THEN CASE WHEN metric_value >= 95 THEN 'green' WHEN metric_value >= 90 THEN 'yellow' ELSE 'red' END
  WHEN 'Average Data Quality Score' THEN CASE WHEN metric_value >= 90 THEN 'green' WHEN metric_value >= 75 THEN 'yellow' ELSE 'red' END ELSE 'green' END AS status FROM m""")

@@ -33,10 +33,10 @@ def _result_sql(table_name, rules, total="count(*)"):
 
 
 @query("typed_quality_checks", _result_sql("orders", [
-    ("o_orderkey.not_null", "o_orderkey", "not_null", "high", "count_if(o_orderkey IS NULL)", 0.0),
+    ("o_orderkey.not_null", "o_orderkey", "not_null", "high", "count(*) FILTER (WHERE o_orderkey IS NULL)", 0.0),
     ("o_custkey.unique", "o_custkey", "unique", "high", "count(*) - count(DISTINCT o_custkey)", 0.0),
-    ("o_totalprice.positive", "o_totalprice", "positive", "high", "count_if(NOT (o_totalprice > 0))", 0.0),
-    ("o_orderpriority.email_format", "o_orderpriority", "email_format", "high", "count_if(NOT regexp_matches(o_orderpriority, '^[\\w\\._%+-]+@[\\w\\.-]+\\.[A-Za-z]{2,}$'))", 0.05),
+    ("o_totalprice.positive", "o_totalprice", "positive", "high", "count(*) FILTER (WHERE NOT (o_totalprice > 0))", 0.0),
+    ("o_orderpriority.email_format", "o_orderpriority", "email_format", "high", "count(*) FILTER (WHERE NOT regexp_matches(o_orderpriority, '^[\\w\\._%+-]+@[\\w\\.-]+\\.[A-Za-z]{2,}$'))", 0.05),
 ]))
 def typed_quality_checks(spark, sf):
     return quality.run_rules(table(spark, sf, "orders"), "orders", [quality.typed_check(r) for r in TYPED])
@@ -61,18 +61,18 @@ LINE_RULES = [
     _rule("Ship After Epoch", "l_shipdate", "consistency", "high", "l_shipdate >= TIMESTAMP_NTZ'1996-01-01'", 0.01),
 ]
 ORDER_SQL = [
-    ("Order Key Not Null", "o_orderkey", "completeness", "critical", "count_if(o_orderkey IS NULL)", 0.0),
+    ("Order Key Not Null", "o_orderkey", "completeness", "critical", "count(*) FILTER (WHERE o_orderkey IS NULL)", 0.0),
     ("Order Key Unique", "o_orderkey", "uniqueness", "critical", "count(*) - count(DISTINCT o_orderkey)", 0.0),
     ("Customer Unique", "o_custkey", "uniqueness", "critical", "count(*) - count(DISTINCT o_custkey)", 0.0),
-    ("Price Positive", "o_totalprice", "validity", "high", "count_if(NOT (o_totalprice > 0))", 0.0),
-    ("Price In Range", "o_totalprice", "validity", "medium", "count_if(NOT (o_totalprice BETWEEN 100 AND 450000))", 0.05),
-    ("Known Status", "o_orderstatus", "accuracy", "medium", "count_if(NOT (o_orderstatus IN ('O','F')))", 0.02),
-    ("Price And Date", "o_orderdate", "consistency", "high", "count_if(NOT (o_orderdate >= TIMESTAMP '1995-01-01'))", 0.01),
+    ("Price Positive", "o_totalprice", "validity", "high", "count(*) FILTER (WHERE NOT (o_totalprice > 0))", 0.0),
+    ("Price In Range", "o_totalprice", "validity", "medium", "count(*) FILTER (WHERE NOT (o_totalprice BETWEEN 100 AND 450000))", 0.05),
+    ("Known Status", "o_orderstatus", "accuracy", "medium", "count(*) FILTER (WHERE NOT (o_orderstatus IN ('O','F')))", 0.02),
+    ("Price And Date", "o_orderdate", "consistency", "high", "count(*) FILTER (WHERE NOT (o_orderdate >= TIMESTAMP '1995-01-01'))", 0.01),
 ]
 LINE_SQL = [
-    ("Quantity Positive", "l_quantity", "validity", "high", "count_if(NOT (l_quantity > 0))", 0.0),
-    ("Discount In Range", "l_discount", "validity", "medium", "count_if(NOT (l_discount BETWEEN 0 AND 0.05))", 0.05),
-    ("Ship After Epoch", "l_shipdate", "consistency", "high", "count_if(NOT (l_shipdate >= TIMESTAMP '1996-01-01'))", 0.01),
+    ("Quantity Positive", "l_quantity", "validity", "high", "count(*) FILTER (WHERE NOT (l_quantity > 0))", 0.0),
+    ("Discount In Range", "l_discount", "validity", "medium", "count(*) FILTER (WHERE NOT (l_discount BETWEEN 0 AND 0.05))", 0.05),
+    ("Ship After Epoch", "l_shipdate", "consistency", "high", "count(*) FILTER (WHERE NOT (l_shipdate >= TIMESTAMP '1996-01-01'))", 0.01),
 ]
 
 
@@ -82,8 +82,8 @@ def quality_rule_engine(spark, sf):
 
 
 @query("quality_scorecard", "WITH results AS (SELECT * FROM (" + _result_sql("orders", ORDER_SQL) + ") UNION ALL SELECT * FROM (" + _result_sql("lineitem", LINE_SQL) + """))
-SELECT table_name, count(*) AS total_rules, count_if(check_passed) AS passed_rules, count_if(NOT check_passed) AS failed_rules,
-  100.0::DOUBLE * count_if(check_passed) / count(*) AS overall_score,
+SELECT table_name, count(*) AS total_rules, count(*) FILTER (WHERE check_passed) AS passed_rules, count(*) FILTER (WHERE NOT check_passed) AS failed_rules,
+  100.0::DOUBLE * count(*) FILTER (WHERE check_passed) / count(*) AS overall_score,
   round(avg(CASE WHEN rule_type = 'completeness' THEN quality_score END), 6) AS completeness_score, round(avg(CASE WHEN rule_type = 'uniqueness' THEN quality_score END), 6) AS uniqueness_score,
   round(avg(CASE WHEN rule_type = 'validity' THEN quality_score END), 6) AS validity_score, round(avg(CASE WHEN rule_type = 'consistency' THEN quality_score END), 6) AS consistency_score,
   round(avg(CASE WHEN rule_type = 'accuracy' THEN quality_score END), 6) AS accuracy_score
@@ -108,8 +108,8 @@ def quality_trend(spark, sf):
 
 
 @query("completeness_validity", """
-SELECT event_type, 100.0::DOUBLE * count_if(CASE WHEN value > 20 THEN value END IS NOT NULL) / count(*) AS completeness,
-  100.0::DOUBLE * count_if(coalesce(value BETWEEN 10 AND 200, false)) / count(*) AS validity FROM events GROUP BY event_type""")
+SELECT event_type, 100.0::DOUBLE * count(*) FILTER (WHERE CASE WHEN value > 20 THEN value END IS NOT NULL) / count(*) AS completeness,
+  100.0::DOUBLE * count(*) FILTER (WHERE coalesce(value BETWEEN 10 AND 200, false)) / count(*) AS validity FROM events GROUP BY event_type""")
 def completeness_validity(spark, sf):
     ev = table(spark, sf, "events")
     return ev.groupBy("event_type").agg(
@@ -168,7 +168,7 @@ def _profile_sql(names):
                 if c in NUMERIC else "NULL::DOUBLE AS min_value, NULL::DOUBLE AS max_value, NULL::DOUBLE AS avg_value, NULL::DOUBLE AS std_dev"
             )
             parts.append(
-                f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS total_rows, count_if({c} IS NULL) AS null_count, "
+                f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS total_rows, count(*) FILTER (WHERE {c} IS NULL) AS null_count, "
                 f"count(DISTINCT {c}) + max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS distinct_count, {stats} FROM {t}"
             )
     return (
@@ -269,8 +269,8 @@ def quality_issues(spark, sf):
     return _issues(spark, sf)
 
 
-@query("quality_recommendations", ISSUE_SQL + """, c AS (SELECT table_name, count_if(severity = 'high') AS high_issues, count_if(issue = 'high_null_percentage') AS null_issues,
-   count_if(issue = 'pii_detected') AS pii_issues FROM i GROUP BY table_name)
+@query("quality_recommendations", ISSUE_SQL + """, c AS (SELECT table_name, count(*) FILTER (WHERE severity = 'high') AS high_issues, count(*) FILTER (WHERE issue = 'high_null_percentage') AS null_issues,
+   count(*) FILTER (WHERE issue = 'pii_detected') AS pii_issues FROM i GROUP BY table_name)
 SELECT table_name, high_issues, null_issues, pii_issues, CASE WHEN high_issues = 0 AND null_issues <= 3 AND pii_issues = 0 THEN 'continue_monitoring' ELSE
  concat_ws(',', CASE WHEN high_issues > 0 THEN 'address_high_severity_issues' END, CASE WHEN null_issues > 3 THEN 'investigate_data_collection' END, CASE WHEN pii_issues > 0 THEN 'mask_pii_columns' END) END AS actions FROM c""")
 def quality_recommendations(spark, sf):
@@ -279,7 +279,7 @@ def quality_recommendations(spark, sf):
 
 @query("workspace_summary", ISSUE_SQL + """, d AS (SELECT table_name, avg(100.0 - null_percentage) * 0.25 + 95.0 * 0.25 + 90.0 * 0.15 + 85.0 * 0.10 + 92.0 * 0.15 +
    coalesce(avg(CASE WHEN column_name LIKE '%id%' THEN CASE WHEN cardinality = 'high' THEN 100.0 ELSE 50.0 END END), 100.0) * 0.10 AS s FROM p GROUP BY table_name)
-SELECT count(*) AS assets_profiled, round(avg(s), 6)::DOUBLE AS avg_quality_score, (SELECT count(*) FROM p) AS columns_analyzed, (SELECT count_if(severity = 'high') FROM i) AS critical_issues FROM d""")
+SELECT count(*) AS assets_profiled, round(avg(s), 6)::DOUBLE AS avg_quality_score, (SELECT count(*) FROM p) AS columns_analyzed, (SELECT count(*) FILTER (WHERE severity = 'high') FROM i) AS critical_issues FROM d""")
 def workspace_summary(spark, sf):
     out = profile.workspace_summary(_dimensions(spark, sf), _issues(spark, sf), _profiles(spark, sf))
     return out.withColumn("avg_quality_score", F.round("avg_quality_score", 6))
@@ -287,7 +287,7 @@ def workspace_summary(spark, sf):
 
 @query("asset_criticality_impact", """
 WITH a AS (SELECT user_id, CASE user_id % 5 WHEN 0 THEN 'gold_policy' WHEN 1 THEN 'silver_billing' WHEN 2 THEN 'bronze_feed' WHEN 3 THEN 'fact_claims' ELSE 'misc' END || '_' || user_id AS name,
-   count_if(event_type <> 'error') * 100.0::DOUBLE / count(*) AS score FROM events GROUP BY user_id),
+   count(*) FILTER (WHERE event_type <> 'error') * 100.0::DOUBLE / count(*) AS score FROM events GROUP BY user_id),
  c AS (SELECT *, CASE WHEN regexp_matches(name, 'gold|fact|dim') THEN 'critical' WHEN name LIKE '%silver%' THEN 'high' WHEN name LIKE '%bronze%' THEN 'medium' ELSE 'unknown' END AS criticality FROM a)
 SELECT user_id, name, score, criticality, CASE WHEN criticality = 'critical' AND score < 80 THEN 'HIGH' WHEN criticality = 'high' AND score < 70 THEN 'MEDIUM' ELSE 'LOW' END AS business_impact,
   CASE WHEN score >= 90 THEN 'excellent' WHEN score >= 75 THEN 'good' ELSE 'needs_improvement' END AS insight FROM c""")

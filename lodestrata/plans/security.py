@@ -83,6 +83,19 @@ def display_masks(spark, sf):
     return _person(spark, sf).select("id", *[fn(F.col(c)).alias(c) for c, fn in shown.items()])
 
 
+@query("sql_display_masks", with_sql(PERSON_SQL) + """
+SELECT id, regexp_replace(ssn, '([0-9]{3})-([0-9]{2})-([0-9]{4})', 'XXX-XX-\\3', 'g') AS ssn, substring(email, 1, 1) || '***@' || split_part(email, '@', 2) AS email,
+  'XXX-XXX-' || right(regexp_replace(phone, '[^0-9]', '', 'g'), 4) AS phone, 'XXXX-XXXX-XXXX-' || right(card, 4) AS card, '*****, Town' || (id % 9) || ', ST' AS address FROM person""")
+def sql_display_masks(spark, sf):
+    """The same masks called as SQL functions."""
+    masks.register_sql_masks(spark)
+    _person(spark, sf).createOrReplaceTempView("lodestrata_person")
+    return spark.sql(
+        "SELECT id, mask_ssn(ssn) AS ssn, mask_email(email) AS email, mask_phone(phone) AS phone, mask_credit_card(card) AS card, "
+        "mask_address(address) AS address FROM lodestrata_person"
+    )
+
+
 @query("role_aware_masking", with_sql(PERSON_SQL) + f"""
 SELECT id, {MASK_SQL['ssn']} AS ssn, email, {MASK_SQL['phone']} AS phone, name, {MASK_SQL['card']} AS card, {MASK_SQL['address']} AS address, CAST({MASK_SQL['born']} AS VARCHAR) AS born FROM person""")
 def role_aware_masking(spark, sf):
@@ -97,18 +110,18 @@ def masked_view(spark, sf):
 
 @query("sensitive_column_scan", with_sql(PERSON_SQL) + """
 SELECT 'person' AS table_name, c AS column_name, kind AS data_element_type, m::DOUBLE / n AS match_rate FROM (
-  SELECT 'ssn' AS c, 'ssn' AS kind, count_if(regexp_matches(ssn, '^[0-9]{3}-?[0-9]{2}-?[0-9]{4}$')) AS m, count(*) AS n FROM person
-  UNION ALL SELECT 'email', 'email', count_if(regexp_matches(email, '^[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\\.[a-zA-Z0-9-.]+$')), count(*) FROM person
-  UNION ALL SELECT 'phone', 'phone', count_if(regexp_matches(phone, '^\\+?1?\\s*\\(?[0-9]{3}\\)?[\\s.-]?[0-9]{3}[\\s.-]?[0-9]{4}$')), count(*) FROM person
-  UNION ALL SELECT 'card', 'credit_card', count_if(regexp_matches(card, '^[0-9]{4}[\\s-]?[0-9]{4}[\\s-]?[0-9]{4}[\\s-]?[0-9]{4}$')), count(*) FROM person) WHERE m::DOUBLE / n > 0.1""")
+  SELECT 'ssn' AS c, 'ssn' AS kind, count(*) FILTER (WHERE regexp_matches(ssn, '^[0-9]{3}-?[0-9]{2}-?[0-9]{4}$')) AS m, count(*) AS n FROM person
+  UNION ALL SELECT 'email', 'email', count(*) FILTER (WHERE regexp_matches(email, '^[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\\.[a-zA-Z0-9-.]+$')), count(*) FROM person
+  UNION ALL SELECT 'phone', 'phone', count(*) FILTER (WHERE regexp_matches(phone, '^\\+?1?\\s*\\(?[0-9]{3}\\)?[\\s.-]?[0-9]{3}[\\s.-]?[0-9]{4}$')), count(*) FROM person
+  UNION ALL SELECT 'card', 'credit_card', count(*) FILTER (WHERE regexp_matches(card, '^[0-9]{4}[\\s-]?[0-9]{4}[\\s-]?[0-9]{4}[\\s-]?[0-9]{4}$')), count(*) FROM person) WHERE m::DOUBLE / n > 0.1""")
 def sensitive_column_scan(spark, sf):
     return security.scan_values(_person(spark, sf), "person").select("table_name", "column_name", "data_element_type", "match_rate")
 
 
 @query("sensitive_text_scan", """
-WITH m AS (SELECT 'text' AS column_name, count(*) AS n, count_if(regexp_matches(text, '\\b\\d{3}-\\d{2}-\\d{4}\\b')) AS ssn, count_if(regexp_matches(text, '\\b\\d{4}[\\s-]?\\d{4}[\\s-]?\\d{4}[\\s-]?\\d{4}\\b')) AS card,
-  count_if(regexp_matches(text, '\\b[\\w\\._%+-]+@[\\w\\.-]+\\.[A-Za-z]{2,}\\b')) AS email, count_if(regexp_matches(text, '\\b\\d{3}[-.\\s]?\\d{3}[-.\\s]?\\d{4}\\b')) AS phone,
-  count_if(regexp_matches(text, '\\b(?:\\d{1,3}\\.){3}\\d{1,3}\\b')) AS ip FROM documents)
+WITH m AS (SELECT 'text' AS column_name, count(*) AS n, count(*) FILTER (WHERE regexp_matches(text, '\\b\\d{3}-\\d{2}-\\d{4}\\b')) AS ssn, count(*) FILTER (WHERE regexp_matches(text, '\\b\\d{4}[\\s-]?\\d{4}[\\s-]?\\d{4}[\\s-]?\\d{4}\\b')) AS card,
+  count(*) FILTER (WHERE regexp_matches(text, '\\b[\\w\\._%+-]+@[\\w\\.-]+\\.[A-Za-z]{2,}\\b')) AS email, count(*) FILTER (WHERE regexp_matches(text, '\\b\\d{3}[-.\\s]?\\d{3}[-.\\s]?\\d{4}\\b')) AS phone,
+  count(*) FILTER (WHERE regexp_matches(text, '\\b(?:\\d{1,3}\\.){3}\\d{1,3}\\b')) AS ip FROM documents)
 SELECT 'documents' AS table_name, column_name, CASE WHEN ssn > 0 THEN 'ssn' WHEN card > 0 THEN 'credit_card' WHEN email > 0 THEN 'email' WHEN phone > 0 THEN 'phone' ELSE 'ip_address' END AS data_element_type,
   CASE WHEN ssn > 0 THEN ssn WHEN card > 0 THEN card WHEN email > 0 THEN email WHEN phone > 0 THEN phone ELSE ip END AS matches FROM m WHERE ssn + card + email + phone + ip > 0""")
 def sensitive_text_scan(spark, sf):
@@ -117,11 +130,11 @@ def sensitive_text_scan(spark, sf):
 
 
 @query("text_pattern_rates", """
-SELECT 'email' AS data_element_type, count_if(regexp_matches(text, '\\b[\\w\\._%+-]+@[\\w\\.-]+\\.[A-Za-z]{2,}\\b')) AS matches, count(*) AS rows_read FROM documents
-UNION ALL SELECT 'phone', count_if(regexp_matches(text, '\\b\\d{3}[-.\\s]?\\d{3}[-.\\s]?\\d{4}\\b')), count(*) FROM documents
-UNION ALL SELECT 'ssn', count_if(regexp_matches(text, '\\b\\d{3}-\\d{2}-\\d{4}\\b')), count(*) FROM documents
-UNION ALL SELECT 'credit_card', count_if(regexp_matches(text, '\\b\\d{4}[\\s-]?\\d{4}[\\s-]?\\d{4}[\\s-]?\\d{4}\\b')), count(*) FROM documents
-UNION ALL SELECT 'ip_address', count_if(regexp_matches(text, '\\b(?:\\d{1,3}\\.){3}\\d{1,3}\\b')), count(*) FROM documents""")
+SELECT 'email' AS data_element_type, count(*) FILTER (WHERE regexp_matches(text, '\\b[\\w\\._%+-]+@[\\w\\.-]+\\.[A-Za-z]{2,}\\b')) AS matches, count(*) AS rows_read FROM documents
+UNION ALL SELECT 'phone', count(*) FILTER (WHERE regexp_matches(text, '\\b\\d{3}[-.\\s]?\\d{3}[-.\\s]?\\d{4}\\b')), count(*) FROM documents
+UNION ALL SELECT 'ssn', count(*) FILTER (WHERE regexp_matches(text, '\\b\\d{3}-\\d{2}-\\d{4}\\b')), count(*) FROM documents
+UNION ALL SELECT 'credit_card', count(*) FILTER (WHERE regexp_matches(text, '\\b\\d{4}[\\s-]?\\d{4}[\\s-]?\\d{4}[\\s-]?\\d{4}\\b')), count(*) FROM documents
+UNION ALL SELECT 'ip_address', count(*) FILTER (WHERE regexp_matches(text, '\\b(?:\\d{1,3}\\.){3}\\d{1,3}\\b')), count(*) FROM documents""")
 def text_pattern_rates(spark, sf):
     rates = security.pattern_rates(table(spark, sf, "documents").select("text"), "documents", security.TEXT_PATTERNS)
     return rates.select("data_element_type", "matches", "rows_read")
@@ -149,7 +162,7 @@ def _part_registry(spark, sf):
     )
 
 
-AUDIT_SQL = with_sql(PART_REGISTRY_SQL, f"""c AS (SELECT count_if(NOT static_mask_enabled OR masking_strategy = 'null_out') AS unmasked, count_if(length(unmasked_roles) > 100) AS broad,
+AUDIT_SQL = with_sql(PART_REGISTRY_SQL, f"""c AS (SELECT count(*) FILTER (WHERE NOT static_mask_enabled OR masking_strategy = 'null_out') AS unmasked, count(*) FILTER (WHERE length(unmasked_roles) > 100) AS broad,
    (SELECT count(*) FROM events WHERE ts >= {NOW_SQL} - INTERVAL 24 HOURS) AS audited FROM reg WHERE sensitivity_class = 'PCI')""", """a AS (
  SELECT 'requirement_3' AS requirement, CASE WHEN unmasked = 0 THEN 'compliant' ELSE 'non_compliant' END AS status, unmasked AS findings FROM c
  UNION ALL SELECT 'requirement_7', CASE WHEN broad = 0 THEN 'compliant' ELSE 'review_needed' END, broad FROM c
@@ -169,8 +182,8 @@ CATALOGUE_SQL = """cat AS (SELECT p_partkey, p_brand AS table_name, p_size % 5 <
   CASE p_size % 3 WHEN 0 THEN 'pci_dss' WHEN 1 THEN 'gdpr' ELSE 'ccpa' END AS tag FROM part)"""
 
 
-@query("compliance_report", with_sql(CATALOGUE_SQL, f"""f AS (SELECT count(DISTINCT table_name) AS total_tables, count(*) AS total_sensitive_fields, count_if(masking_required) AS masked_fields,
-   count_if(NOT masking_required) AS unmasked_fields, count_if(encryption_required) AS encrypted_fields, (SELECT count(*) FROM events WHERE event_type = 'error' AND CAST(ts AS DATE) >= DATE '2024-01-30' - 30) AS access_violations FROM cat WHERE tag = 'pci_dss')""") + """
+@query("compliance_report", with_sql(CATALOGUE_SQL, f"""f AS (SELECT count(DISTINCT table_name) AS total_tables, count(*) AS total_sensitive_fields, count(*) FILTER (WHERE masking_required) AS masked_fields,
+   count(*) FILTER (WHERE NOT masking_required) AS unmasked_fields, count(*) FILTER (WHERE encryption_required) AS encrypted_fields, (SELECT count(*) FROM events WHERE event_type = 'error' AND CAST(ts AS DATE) >= DATE '2024-01-30' - 30) AS access_violations FROM cat WHERE tag = 'pci_dss')""") + """
 SELECT *, encrypted_fields * 100.0::DOUBLE / total_sensitive_fields AS encryption_coverage_pct, masked_fields * 100.0::DOUBLE / total_sensitive_fields AS compliance_score, 'pci_dss' AS report_type,
  concat_ws(',', CASE WHEN masked_fields < total_sensitive_fields THEN 'fields_not_masked' END, CASE WHEN encrypted_fields < total_sensitive_fields THEN 'encryption_incomplete' END, CASE WHEN access_violations > 0 THEN 'access_violations' END) AS findings FROM f""")
 def compliance_report(spark, sf):
@@ -188,7 +201,7 @@ def _retention(spark, sf):
     return security.retention_compliance(policies, at(b.ORDERS_AS_OF))
 
 
-OVERDUE_SQL = "SELECT count_if(CAST(o_orderdate AS DATE) < DATE '2001-08-02' - 30) AS overdue_policies FROM orders WHERE o_orderstatus <> 'P'"
+OVERDUE_SQL = "SELECT count(*) FILTER (WHERE CAST(o_orderdate AS DATE) < DATE '2001-08-02' - 30) AS overdue_policies FROM orders WHERE o_orderstatus <> 'P'"
 
 
 @query("retention_compliance", f"SELECT *, CASE WHEN overdue_policies = 0 THEN 'compliant' ELSE 'attention_needed' END AS status FROM ({OVERDUE_SQL})")
@@ -349,8 +362,8 @@ def access_logging_health(spark, sf):
 
 
 @query("access_compliance_by_user", with_sql(ACCESS) + """
-SELECT user_id, count(DISTINCT CAST(ts AS DATE)) AS days_active, count(*) AS total_operations, count_if(operation = 'read') AS read_operations, count_if(operation = 'write') AS write_operations,
-  count_if(pii_accessed) AS pii_access_count, count_if(flagged) AS flagged_operations, count(DISTINCT table_name) AS unique_tables_accessed, CAST(sum(row_count) AS BIGINT) AS total_rows_accessed,
+SELECT user_id, count(DISTINCT CAST(ts AS DATE)) AS days_active, count(*) AS total_operations, count(*) FILTER (WHERE operation = 'read') AS read_operations, count(*) FILTER (WHERE operation = 'write') AS write_operations,
+  count(*) FILTER (WHERE pii_accessed) AS pii_access_count, count(*) FILTER (WHERE flagged) AS flagged_operations, count(DISTINCT table_name) AS unique_tables_accessed, CAST(sum(row_count) AS BIGINT) AS total_rows_accessed,
   CAST(sum(bytes_scanned) AS DOUBLE) / 1073741824.0::DOUBLE AS total_gb_scanned FROM access WHERE CAST(ts AS DATE) >= DATE '2024-01-30' - 30 GROUP BY user_id""")
 def access_compliance_by_user(spark, sf):
     return access.compliance_by_user(b.accesses(spark, sf), at(NOW))

@@ -102,6 +102,22 @@ def landed_json_unwrap(spark, sf):
     return readers.read_landed_json(spark, folder, record)
 
 
+@query("glossary_import", """
+SELECT term_name, 'published' AS status, array_to_string([split_part(term_name, ' ', 1), 'part'], '|') AS tags FROM (SELECT DISTINCT p_name AS term_name FROM part)""")
+def glossary_import(spark, sf):
+    """Terms exported as CSV and imported again, tags separated by a bar."""
+    from lodestrata.operators import governance
+
+    folder = _folder(spark, "glossary")
+    names = table(spark, sf, "part").select(F.col("p_name").alias("term_name")).distinct()
+    extra = {c: F.lit("x") for c in ("definition", "business_definition", "category", "domain")}
+    writers.export_csv(names.withColumns(extra).withColumn("tags", F.concat(F.split_part("term_name", F.lit(" "), F.lit(1)), F.lit("|part"))), folder)
+    rule = {"file_format": "csv", "source_table_or_path": folder}
+    schema = "term_name string, definition string, business_definition string, category string, domain string, tags string"
+    imported = governance.import_terms(readers.read_file(spark, rule, schema), at(b.EVENTS_AS_OF))
+    return imported.select("term_name", "status", F.array_join("tags", "|").alias("tags"))
+
+
 @query("event_log_replay", "SELECT event_type, count(*) AS n FROM events WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-20' GROUP BY event_type")
 def event_log_replay(spark, sf):
     df = readers.read_landed_events(spark, f"{sf}/events.parquet", None, "ts", at("2024-01-10"), at("2024-01-20"))

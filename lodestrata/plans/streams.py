@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from lodestrata.operators import windows as w
+from lodestrata.operators.monitoring import evaluate_alerts
 from lodestrata.plans import bindings as b
 from lodestrata.plans.bindings import CLICKS, PAYMENTS, with_sql
 from lodestrata.plans.registry import at, plain, query, table
@@ -50,6 +51,20 @@ def loss_notice_scores(spark, sf):
     return out.select("event_id", "processing_delay_seconds", "reporting_delay_hours", F.col("fraud_score").cast("double").alias("fraud_score"))
 
 
+@query("stream_alert_conditions", """
+WITH n AS (SELECT event_id, ts, value * 1000 AS loss_amount, CASE WHEN value * 1000 > 50000 THEN 0.9 ELSE 0.1 END AS fraud_score FROM events)
+SELECT DISTINCT 'high_fraud_score' AS alert_id, CAST(event_id AS VARCHAR) AS entity, ts AS fired_at FROM n WHERE fraud_score > 0.8
+UNION ALL SELECT DISTINCT 'large_loss', CAST(event_id AS VARCHAR), ts FROM n WHERE loss_amount > 100000""")
+def stream_alert_conditions(spark, sf):
+    amount = F.col("value") * 1000
+    notices = table(spark, sf, "events").select("event_id", "ts", amount.alias("loss_amount"), F.when(amount > 50000, 0.9).otherwise(0.1).alias("fraud_score"))
+    alerts = [
+        {"alert_id": name, "severity": "high", "table": "notices", "condition": queries.STREAM_ALERTS[name], "ts": "ts", "entity": "event_id"}
+        for name in ("high_fraud_score", "large_loss")
+    ]
+    return evaluate_alerts({"notices": notices}, alerts).select("alert_id", "entity", "fired_at")
+
+
 @query("payment_anomalies", with_sql(PAYMENTS) + """
 SELECT transaction_id, amount > 50000 OR event_type IN ('chargeback', 'decline') OR amount < 0 AS is_anomaly, CASE WHEN amount > 50000 THEN 'high_value' WHEN event_type = 'chargeback' THEN 'chargeback' WHEN amount < 0 THEN 'negative_amount' END AS anomaly_type FROM payments""")
 def payment_anomalies(spark, sf):
@@ -118,7 +133,7 @@ SESSION_KEYS = ["session_id", "user_id"]
 
 @query("session_engagement", with_sql(CLICKS) + f"""
 SELECT time_bucket(INTERVAL 30 MINUTES, event_timestamp) AS window_start, time_bucket(INTERVAL 30 MINUTES, event_timestamp) + INTERVAL 30 MINUTES AS window_end, session_id, user_id, count(*) AS event_count,
- CAST(sum({WEIGHT}) AS BIGINT) AS total_engagement, count_if(event_type IN ('form_submit', 'quote_request')) AS conversions, max(time_on_page_sec) AS max_page_time FROM clicks GROUP BY ALL""")
+ CAST(sum({WEIGHT}) AS BIGINT) AS total_engagement, count(*) FILTER (WHERE event_type IN ('form_submit', 'quote_request')) AS conversions, max(time_on_page_sec) AS max_page_time FROM clicks GROUP BY ALL""")
 def session_engagement(spark, sf):
     return windows.session_engagement(enrich.score_clicks(b.clicks(spark, sf)), SESSION_KEYS)
 
@@ -129,7 +144,7 @@ INACTIVE = """g AS (SELECT *, CASE WHEN event_timestamp - lag(event_timestamp) O
 
 @query("inactivity_sessions", with_sql(CLICKS, INACTIVE) + f"""
 SELECT min(event_timestamp) AS window_start, max(event_timestamp) + INTERVAL 30 MINUTES AS window_end, session_id, user_id, count(*) AS event_count, CAST(sum({WEIGHT}) AS BIGINT) AS total_engagement,
-  count_if(event_type IN ('form_submit', 'quote_request')) AS conversions FROM n GROUP BY session_id, user_id, sno""")
+  count(*) FILTER (WHERE event_type IN ('form_submit', 'quote_request')) AS conversions FROM n GROUP BY session_id, user_id, sno""")
 def inactivity_sessions(spark, sf):
     return windows.inactivity_sessions(enrich.score_clicks(b.clicks(spark, sf)), SESSION_KEYS)
 
@@ -144,7 +159,7 @@ def session_slots(spark, sf):
 
 @query("web_sessions", with_sql(CLICKS, INACTIVE) + """
 SELECT min(event_timestamp) AS window_start, max(event_timestamp) + INTERVAL 30 MINUTES AS window_end, session_id, user_id, count(*) AS event_count, min(event_timestamp) AS session_start, max(event_timestamp) AS session_end,
-  array_to_string(list_sort(list_distinct(list(product_interest))), ',') AS products_viewed, count_if(event_type = 'quote_request') AS quote_requests FROM n GROUP BY session_id, user_id, sno""")
+  array_to_string(list_sort(list_distinct(list(product_interest))), ',') AS products_viewed, count(*) FILTER (WHERE event_type = 'quote_request') AS quote_requests FROM n GROUP BY session_id, user_id, sno""")
 def web_sessions(spark, sf):
     out = windows.web_sessions(b.clicks(spark, sf), "session_id", "user_id", "event_timestamp", "event_type", "product_interest")
     return out.withColumn("products_viewed", F.array_join("products_viewed", ","))
@@ -159,7 +174,7 @@ def session_event_sequences(spark, sf):
 
 CENTRE_SQL = with_sql(CALLS_SQL) + """
 SELECT time_bucket(INTERVAL 15 MINUTES, event_timestamp) AS window_start, time_bucket(INTERVAL 15 MINUTES, event_timestamp) + INTERVAL 15 MINUTES AS window_end, queue_name, intent_detected, count(*) AS call_count,
- avg(wait_time_sec) AS avg_wait_sec, avg(talk_time_sec) AS avg_talk_sec, round(avg(sentiment_score), 6) AS avg_sentiment, count_if(call_disposition = 'abandoned') AS abandoned_count FROM calls GROUP BY ALL"""
+ avg(wait_time_sec) AS avg_wait_sec, avg(talk_time_sec) AS avg_talk_sec, round(avg(sentiment_score), 6) AS avg_sentiment, count(*) FILTER (WHERE call_disposition = 'abandoned') AS abandoned_count FROM calls GROUP BY ALL"""
 
 
 @query("contact_centre_metrics", CENTRE_SQL)
@@ -188,7 +203,7 @@ def high_value_claims_by_type(spark, sf):
 
 
 @query("approval_rate_by_minute", with_sql(PAYMENTS) + """
-SELECT date_trunc('minute', event_timestamp) AS minute, event_type, count(*) AS total_payments, CAST(sum(amount) AS DOUBLE) AS total_amount, count_if(status = 'approved') * 100.0::DOUBLE / count(*) AS approval_rate FROM payments GROUP BY ALL""")
+SELECT date_trunc('minute', event_timestamp) AS minute, event_type, count(*) AS total_payments, CAST(sum(amount) AS DOUBLE) AS total_amount, count(*) FILTER (WHERE status = 'approved') * 100.0::DOUBLE / count(*) AS approval_rate FROM payments GROUP BY ALL""")
 def approval_rate_by_minute(spark, sf):
     return plain(windows.approval_by_minute(b.payments(spark, sf), "event_timestamp", "event_type", F.col("status") == "approved"))
 
@@ -228,7 +243,7 @@ def stream_payment_minutes(spark, sf):
 
 @query("stream_inactivity_sessions", with_sql(CLICKS, INACTIVE) + f"""
 SELECT * FROM (SELECT min(event_timestamp) AS window_start, max(event_timestamp) + INTERVAL 30 MINUTES AS window_end, session_id, user_id, count(*) AS event_count, CAST(sum({WEIGHT}) AS BIGINT) AS total_engagement,
-  count_if(event_type IN ('form_submit', 'quote_request')) AS conversions FROM n GROUP BY session_id, user_id, sno) WHERE window_end <= (SELECT max(event_timestamp) FROM clicks) - INTERVAL 60 SECONDS""")
+  count(*) FILTER (WHERE event_type IN ('form_submit', 'quote_request')) AS conversions FROM n GROUP BY session_id, user_id, sno) WHERE window_end <= (SELECT max(event_timestamp) FROM clicks) - INTERVAL 60 SECONDS""")
 def stream_inactivity_sessions(spark, sf):
     scored = enrich.score_clicks(b.clicks(spark, sf, _stream(spark, sf, parse.WATERMARKS["clicks"])))
     return _unzoned(_run(windows.inactivity_sessions(scored, SESSION_KEYS), "sessions"))
@@ -248,7 +263,7 @@ def stream_dimension_join(spark, sf):
     return _run(joined.select("event_id", "user_id", F.coalesce("segment", F.lit("none")).alias("segment")), "dimension_join")
 
 
-@query("stream_fan_out", with_sql(PAYMENTS) + "SELECT 'raw' AS branch, count(*) AS n FROM payments UNION ALL SELECT 'anomalies', count_if(amount > 50000 OR event_type IN ('chargeback', 'decline') OR amount < 0) FROM payments")
+@query("stream_fan_out", with_sql(PAYMENTS) + "SELECT 'raw' AS branch, count(*) AS n FROM payments UNION ALL SELECT 'anomalies', count(*) FILTER (WHERE amount > 50000 OR event_type IN ('chargeback', 'decline') OR amount < 0) FROM payments")
 def stream_fan_out(spark, sf):
     """One read of the source, two outputs per micro-batch."""
     folder = f"{shared_folder(spark)}/fan-{uuid.uuid4().hex}"

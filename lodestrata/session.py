@@ -16,7 +16,6 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.session.timeZone": "UTC",
 }
 

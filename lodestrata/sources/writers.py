@@ -12,8 +12,11 @@ Rule = Mapping[str, Any]
 
 
 def write_load(df: DataFrame, path: str, mode: str, partition_by: Sequence[str] = (), fmt: str = "parquet") -> None:
-    """``full`` replaces the target, every other load mode appends."""
-    writer = df.write.format(fmt).mode("overwrite" if mode == "full" else "append")
+    """``full`` replaces the target, ``partitions`` only the partitions present in ``df``, other modes append."""
+    replace = mode in ("full", "partitions")
+    writer = df.write.format(fmt).mode("overwrite" if replace else "append")
+    if replace:
+        writer = writer.option("partitionOverwriteMode", "static" if mode == "full" else "dynamic")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)

@@ -10,6 +10,7 @@ import traceback
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as entry  # noqa: E402
+from pyspark.sql import SparkSession  # noqa: E402
 from lodestrata.session import build_session  # noqa: E402
 from tests.oracle import compare, connect  # noqa: E402
 
@@ -18,7 +19,10 @@ def main() -> int:
     sf = sys.argv[1] if len(sys.argv) > 1 else "0.01"
     wanted = sys.argv[2:]
     folder = f"/root/testdata/sf{sf}"
-    spark = build_session("check", "local[8]", 8, **{"spark.ui.enabled": "false", "spark.driver.memory": "8g"})
+    if os.environ.get("PLAIN"):  # a session without the library's settings
+        spark = SparkSession.builder.master("local[8]").config("spark.driver.memory", "8g").config("spark.ui.enabled", "false").getOrCreate()
+    else:
+        spark = build_session("check", "local[8]", 8, **{"spark.ui.enabled": "false", "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)
     queries, oracles = entry.queries(), entry.oracle_sql()

@@ -127,3 +127,13 @@ def test_model_learns(spark, sf):
     train, test = scoring.split_rows(fraud_rows(spark, sf))
     model = scoring.train_fraud_model(train, FRAUD_FEATURES, "is_fraud", trees=10, depth=6)
     assert scoring.area_under_roc(model.transform(test), "is_fraud") > 0.9
+
+
+def test_full_load_replaces_and_partition_load_keeps(spark, tmp_path):
+    two = spark.createDataFrame([(1, "a"), (2, "b")], "v int, p string")
+    one = spark.createDataFrame([(9, "a")], "v int, p string")
+    for mode, want in (("full", [9]), ("partitions", [2, 9])):
+        path = f"{tmp_path}/{mode}"
+        writers.write_load(two, path, "full", ["p"])
+        writers.write_load(one, path, mode, ["p"])
+        assert sorted(r.v for r in spark.read.parquet(path).collect()) == want

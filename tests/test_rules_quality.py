@@ -121,3 +121,12 @@ def test_active_rules(spark):
 def test_zip(spark):
     df = spark.createDataFrame([("12345-6789",), ("123456",), ("12",), (None,)], "z string")
     assert [r[0] for r in df.select(standard_zip(F.col("z"))).collect()] == ["12345-6789", "12345", None, None]
+
+
+def test_schema_enforcement(spark):
+    df = spark.createDataFrame([(1, 2)], "a int, b int")
+    assert ingest.enforce_schema(df, ["a"], "ignore").columns == ["a"]
+    assert ingest.enforce_schema(df, ["a", "c"], "evolve").columns == ["a", "b"]
+    for expected, mode in ((["a"], "strict"), (["c"], "ignore")):
+        with pytest.raises(ValueError):
+            ingest.enforce_schema(df, expected, mode)
