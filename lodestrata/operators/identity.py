@@ -8,8 +8,9 @@ match. Inside a number no pairs are enumerated:
 * records equal in every compared field collapse to one profile;
 * fields whose equality alone decides a match link each profile to the smallest one of its
   group (a star, linear in the group);
-* only distinct field combinations are compared, and of those only the ones that share a
-  token of a lossless prefix filter (``functions.similarity.join_tokens``).
+* only distinct field combinations are compared: directly in small groups, and in larger
+  ones only those that share a token of a lossless prefix filter
+  (``functions.similarity.join_tokens``).
 
 The links have the same connected components as the full list of matching pairs.
 """
@@ -112,47 +113,74 @@ def _groups(nodes: DataFrame, fields: Sequence[str]) -> tuple[DataFrame, DataFra
     return heads, stars
 
 
-def _similar(heads: DataFrame, block: Sequence[str], text: str, min_ratio: int, extra: Column | None = None) -> DataFrame:
-    """Links between heads of one block whose ``text`` is similar enough."""
-    tokens = heads.withColumn("token", F.explode(join_tokens(F.col(text), min_ratio)))
-    a, b = tokens.alias("a"), tokens.alias("b")
-    on = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in (*block, "token")]
-    test = (F.col("a.head") > F.col("b.head")) & (ratio(F.col(f"a.{text}"), F.col(f"b.{text}")) >= min_ratio)
-    if extra is not None:
-        test = test & extra
-    cond = test
-    for c in on:
-        cond = cond & c
-    return a.join(b, cond).select(F.col("a.head").alias("src"), F.col("b.head").alias("dst"))
+def _tokens(heads: DataFrame, block: Sequence[str], text: str, min_ratio: int, second: tuple[str, int] | None, busy: int) -> DataFrame:
+    """Join keys inside a block: none for blocks of up to ``busy`` heads, tokens beyond.
 
-
-def match_links(nodes: DataFrame) -> DataFrame:
-    """Links (src > dst) between profiles whose components are those of all matching pairs."""
+    A block with one head has nothing to link and is dropped; a small block is compared
+    directly, at most ``busy`` times ``busy`` comparisons. In a larger one heads meet only on
+    a shared token, and where a second text must be similar too, on tokens of both.
+    """
+    sizes = heads.groupBy(*block).agg(F.count("*").alias("_n")).filter("_n > 1")
+    marked = heads.join(sizes, list(block))
+    none = F.array(F.lit(0).cast("bigint"))
+
+    def keys(column: str, limit: int) -> Column:
+        return F.explode(F.when(F.col("_n") > busy, join_tokens(F.col(column), limit)).otherwise(none))
+
+    marked = marked.withColumn("token", keys(text, min_ratio))
+    other = keys(*second) if second else F.lit(0).cast("bigint")
+    return marked.withColumn("token2", other).drop("_n")
+
+
+def _similar(
+    heads: DataFrame,
+    block: Sequence[str],
+    text: str,
+    min_ratio: int,
+    test: Column | None = None,
+    second: tuple[str, int] | None = None,
+    busy: int = 50,
+) -> DataFrame:
+    """Links between heads of one block whose ``text`` is similar enough and that pass ``test``."""
+    tokens = _tokens(heads, block, text, min_ratio, second, busy)
+    cond = F.col("a.head") > F.col("b.head")
+    for c in (*block, "token", "token2"):
+        cond = cond & (F.col(f"a.{c}") == F.col(f"b.{c}"))
+    cond = cond & (ratio(F.col(f"a.{text}"), F.col(f"b.{text}")) >= min_ratio)
+    if test is not None:
+        cond = cond & test
+    return tokens.alias("a").join(tokens.alias("b"), cond).select(F.col("a.head").alias("src"), F.col("b.head").alias("dst"))
+
+
+def match_links(nodes: DataFrame, busy: int = 50) -> DataFrame:
+    """Links (src > dst) between profiles whose components are those of all matching pairs.
+
+    Beside the number a match needs 30 points. With the same birth date that is any of: a
+    name of 60, an address of 70, or the same e-mail and an address of 50. Without it: a
+    name of 80 and an address of 70, or the same e-mail with one of them at its upper and
+    the other at its lower limit.
+    """
     ssn, dob, name, address, email = FIELDS
-    # same number and birth date, name of 60 or more
+
+    def alike(field: str) -> Column:
+        return ratio(F.col(f"a.{field}"), F.col(f"b.{field}"))
+
     by_name, star_name = _groups(nodes, [ssn, dob, name])
-    # same number and birth date, address of 70 or more
     by_address, star_address = _groups(nodes, [ssn, dob, address])
-    # same number, birth date and e-mail, address of 50 or more
     by_email, star_email = _groups(nodes, [ssn, dob, email, address])
-    # same number, other or no birth date: name and address must carry 30 points with the e-mail
-    with_email = nodes.withColumn(email, F.coalesce(F.col(email), F.lit("")))
-    apart, star_apart = _groups(with_email, [ssn, name, address, email])
-    mail = F.when((F.col(f"a.{email}") == F.col(f"b.{email}")) & (F.col(f"a.{email}") != ""), 5).otherwise(0)
-    points = (
-        tier(ratio(F.col(f"a.{name}"), F.col(f"b.{name}")), 80, 20, 60, 10)
-        + tier(ratio(F.col(f"a.{address}"), F.col(f"b.{address}")), 70, 15, 50, 7)
-        + mail
-    )
+    apart, star_apart = _groups(nodes, [ssn, name, address])
+    mailed, _ = _groups(nodes, [ssn, email, name, address])
+    either = ((alike(name) >= 80) & (alike(address) >= 50)) | (alike(address) >= 70)
     parts = [
         star_name,
         star_address,
         star_email,
         star_apart,
-        _similar(by_name, [ssn, dob], name, 60),
-        _similar(by_address, [ssn, dob], address, 70),
-        _similar(by_email, [ssn, dob, email], address, 50),
-        _similar(apart, [ssn], name, 60, points >= MATCH - 40),
+        _similar(by_name, [ssn, dob], name, 60, busy=busy),
+        _similar(by_address, [ssn, dob], address, 70, busy=busy),
+        _similar(by_email, [ssn, dob, email], address, 50, busy=busy),
+        _similar(apart, [ssn], name, 80, alike(address) >= 70, (address, 70), busy),
+        _similar(mailed, [ssn, email], name, 60, either, busy=busy),
     ]
     out = parts[0]
     for p in parts[1:]:

@@ -18,9 +18,11 @@ def micros(ts: Column) -> Column:
 def rolling_mean(df: DataFrame, keys: Sequence[str], ts: str, value: str, minutes: int, name: str = "rolling_avg") -> DataFrame:
     """Mean of ``value`` over the last ``minutes`` up to each instant of a key.
 
-    Readings are summed per key and instant first. A key's time line is then cut into
-    buckets as long as the window; every instant also serves as context for the next
-    bucket, so a busy key is spread over many tasks and the frame is still complete.
+    Readings are summed per key and instant first. A key's time line is cut into buckets as
+    long as the window, so a busy key is spread over many tasks. Inside a bucket the mean is
+    a running sum: an instant enters at its time and, as context of the next bucket, leaves
+    again once the window has passed it. That is linear in the readings, where a sliding
+    frame would add up its whole window anew for each of them.
     """
     span = minutes * 60 * 1_000_000
     instants = (
@@ -29,12 +31,21 @@ def rolling_mean(df: DataFrame, keys: Sequence[str], ts: str, value: str, minute
         .withColumn("_us", micros(F.col(ts)))
         .withColumn("_own", F.floor(F.col("_us") / span))
     )
-    copies = instants.withColumn("_bucket", F.explode(F.array(F.col("_own"), F.col("_own") + 1)))
-    w = Window.partitionBy(*keys, "_bucket").orderBy("_us").rangeBetween(-span, 0)
-    total = F.sum("_sum").over(w).cast("double") / F.nullif(F.sum("_n").over(w), F.lit(0))
+
+    def step(bucket, moment, sign: int, own: bool) -> Column:
+        return F.struct(
+            bucket.alias("_bucket"), moment.alias("_at"), (F.coalesce(F.col("_sum"), F.lit(0)) * sign).alias("_ds"),
+            (F.col("_n") * sign).alias("_dn"), F.lit(own).alias("_mine"),
+        )
+
+    us, own = F.col("_us"), F.col("_own")
+    steps = F.array(step(own, us, 1, True), step(own + 1, us, 1, False), step(own + 1, us + span + 1, -1, False))
+    running = Window.partitionBy(*keys, "_bucket").orderBy("_at")
+    total = F.sum("_ds").over(running).cast("double") / F.nullif(F.sum("_dn").over(running), F.lit(0))
     return (
-        copies.withColumn(name, total)
-        .filter(F.col("_bucket") == F.col("_own"))
+        instants.select(*keys, ts, "_last", F.inline(steps))
+        .withColumn(name, total)
+        .filter("_mine")
         .select(*keys, ts, F.col("_last").alias(value), name)
     )
 

@@ -101,23 +101,24 @@ def identity_pair_scores(spark, sf):
     )
 
 
-def _part(key, extra, heads="min(record_key)"):
-    """Heads of one grouping and the star links to them, in SQL."""
+def _part(key, extra, star=True):
+    """Heads of one grouping: the star links to them and the links between similar ones, in SQL."""
     cols = ", ".join(key)
-    cond = " AND ".join(f"{c} IS NOT NULL" for c in key)
-    return (
-        f"SELECT p.record_key AS src, h.head AS dst FROM pr p JOIN (SELECT {cols}, {heads} AS head FROM pr WHERE {cond} GROUP BY {cols}) h USING ({cols}) WHERE p.record_key <> h.head UNION ALL "
-        f"SELECT p.head, q.head FROM (SELECT {cols}, {heads} AS head FROM pr WHERE {cond} GROUP BY {cols}) p JOIN (SELECT {cols}, {heads} AS head FROM pr WHERE {cond} GROUP BY {cols}) q ON {extra} WHERE p.head > q.head"
-    )
+    heads = f"(SELECT {cols}, min(record_key) AS head FROM pr WHERE {' AND '.join(f'{c} IS NOT NULL' for c in key)} GROUP BY {cols})"
+    links = f"SELECT p.head AS src, q.head AS dst FROM {heads} p JOIN {heads} q ON {extra} WHERE p.head > q.head"
+    if star:
+        links += f" UNION ALL SELECT p.record_key, h.head FROM pr p JOIN {heads} h USING ({cols}) WHERE p.record_key <> h.head"
+    return links
 
 
-PROFILE_SQL = "pr0 AS (SELECT s, d, n, a, e, min(record_key) AS record_key FROM cl WHERE s IS NOT NULL AND 40 + CASE WHEN d IS NOT NULL THEN 20 ELSE 0 END + CASE WHEN n IS NOT NULL THEN 20 ELSE 0 END + CASE WHEN a IS NOT NULL THEN 15 ELSE 0 END + CASE WHEN e IS NOT NULL THEN 5 ELSE 0 END >= 70 GROUP BY ALL), pr AS (SELECT *, coalesce(e, '') AS m FROM pr0)"
-APART_TEST = f"p.s = q.s AND {_ratio('p.n', 'q.n')} >= 60 AND {_tier('p.n', 'q.n', 80, 20, 60, 10)} + {_tier('p.a', 'q.a', 70, 15, 50, 7)} + CASE WHEN p.m = q.m AND p.m <> '' THEN 5 ELSE 0 END >= 30"
+PROFILE_SQL = "pr AS (SELECT s, d, n, a, e, min(record_key) AS record_key FROM cl WHERE s IS NOT NULL AND 40 + CASE WHEN d IS NOT NULL THEN 20 ELSE 0 END + CASE WHEN n IS NOT NULL THEN 20 ELSE 0 END + CASE WHEN a IS NOT NULL THEN 15 ELSE 0 END + CASE WHEN e IS NOT NULL THEN 5 ELSE 0 END >= 70 GROUP BY ALL)"
+_n, _a = _ratio("p.n", "q.n"), _ratio("p.a", "q.a")
 LINKS_SQL = "WITH " + ", ".join([RECORDS_SQL, CLEAN_SQL, PROFILE_SQL]) + ", l AS (SELECT DISTINCT src, dst FROM (" + " UNION ALL ".join([
-    _part(["s", "d", "n"], f"p.s = q.s AND p.d = q.d AND {_ratio('p.n', 'q.n')} >= 60"),
-    _part(["s", "d", "a"], f"p.s = q.s AND p.d = q.d AND {_ratio('p.a', 'q.a')} >= 70"),
-    _part(["s", "d", "e", "a"], f"p.s = q.s AND p.d = q.d AND p.e = q.e AND {_ratio('p.a', 'q.a')} >= 50"),
-    _part(["s", "n", "a", "m"], APART_TEST),
+    _part(["s", "d", "n"], f"p.s = q.s AND p.d = q.d AND {_n} >= 60"),
+    _part(["s", "d", "a"], f"p.s = q.s AND p.d = q.d AND {_a} >= 70"),
+    _part(["s", "d", "e", "a"], f"p.s = q.s AND p.d = q.d AND p.e = q.e AND {_a} >= 50"),
+    _part(["s", "n", "a"], f"p.s = q.s AND {_n} >= 80 AND {_a} >= 70"),
+    _part(["s", "e", "n", "a"], f"p.s = q.s AND p.e = q.e AND {_n} >= 60 AND (({_n} >= 80 AND {_a} >= 50) OR {_a} >= 70)", star=False),
 ]) + f")) SELECT src, dst, {_score()} AS score FROM l JOIN pr p ON p.record_key = src JOIN pr q ON q.record_key = dst"
 
 

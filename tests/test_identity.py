@@ -121,3 +121,6 @@ def test_shared_number_against_all_pairs(spark):
     want = {k: k for k in range(90)} | components([tuple(p) for p in pairs])
     got = {r.record_key: r.golden_record_id for r in identity.resolve(df).collect()}
     assert got == want
+    nodes = identity.profiles(clean)
+    plain, busy = (sorted(tuple(r) for r in identity.match_links(nodes, limit).collect()) for limit in (10**6, 2))
+    assert plain == busy and plain
