@@ -67,7 +67,8 @@ def scd2_merge(
     Closed versions are passed through without a shuffle. Only current versions meet the
     source in one full outer join: an unchanged key keeps its row, a changed key gives its
     closed row and a new one, a new key gives a new row. Running it twice changes nothing,
-    and a source older than the current version is ignored.
+    and a source older than the current version is ignored. Keys must not be NULL: as in a
+    SQL MERGE, NULL equals no key.
     """
     closed = target.filter(~F.col("_is_current"))
     incoming = open_version(source, as_of).select(*target.columns)

@@ -307,20 +307,29 @@ def cycle_summary(checks: Mapping[str, DataFrame]) -> DataFrame:
 def evaluate_alerts(tables: Mapping[str, DataFrame], rules: Sequence[Mapping]) -> DataFrame:
     """Rows meeting each rule's condition, reduced to firings outside the rule's cooldown.
 
-    A rule names ``table``, ``condition``, ``ts``, ``entity`` and ``cooldown_minutes``. The
-    firings of an entity are thinned per time slot first, never ordered event by event.
+    A rule names ``table``, ``condition``, ``ts``, ``entity`` and ``cooldown_minutes``. Rules
+    over one table with one cooldown share a scan; the firings of an entity are thinned per
+    time slot first, never ordered event by event.
     """
-    parts = []
+    groups: dict[tuple[str, int], list[Mapping]] = {}
     for r in rules:
-        if not r.get("is_active", True):
-            continue
-        hits = tables[r["table"]].filter(F.expr(r["condition"])).select(
+        if r.get("is_active", True):
+            groups.setdefault((r["table"], int(r.get("cooldown_minutes", 0))), []).append(r)
+
+    def firing(r: Mapping) -> Column:
+        row = F.struct(
             F.lit(r["alert_id"]).alias("alert_id"),
             F.lit(r["severity"]).alias("severity"),
             F.col(r["entity"]).cast("string").alias("entity"),
             F.col(r["ts"]).alias("fired_at"),
         )
-        parts.append(first_after_silence(hits, ["alert_id", "severity", "entity"], "fired_at", int(r.get("cooldown_minutes", 0))))
+        return F.when(F.expr(r["condition"]), row)
+
+    parts = []
+    for (table, cooldown), members in groups.items():
+        fired = F.array_compact(F.array(*[firing(r) for r in members]))
+        hits = tables[table].select(F.inline(fired))
+        parts.append(first_after_silence(hits, ["alert_id", "severity", "entity"], "fired_at", cooldown))
     return union_all(parts)
 
 
