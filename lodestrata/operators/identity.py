@@ -3,7 +3,7 @@
 A pair scores 40 for the same social security number, 20 for the same birth date, 20 or 10
 for a similar name, 15 or 7 for a similar address and 5 for the same e-mail; 70 is a match.
 Without the same number a pair reaches 60 at most, so only records sharing a number can
-match. Inside a number no pairs are enumerated:
+match. The pairs of a number are not enumerated (beyond groups of a small fixed size):
 
 * records equal in every compared field collapse to one profile;
 * fields whose equality alone decides a match link each profile to the smallest one of its
