@@ -89,15 +89,25 @@ def code_of(running: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
 
 
 def gram_codes(words: np.ndarray, n: int) -> np.ndarray:
-    """Hash of the n words from each position on (as many as there are whole n-grams)."""
+    """Hash of the n words from each position on (as many as there are whole n-grams), by doubling."""
     if len(words) < n:
         return np.zeros(0, np.uint64)
-    odd, count = np.uint64(_ODD), len(words) - n + 1
-    total = words[:count].copy()
-    for k in range(1, n):
-        total *= odd
-        total += words[k : k + count]
-    return mix(total)
+    count = len(words) - n + 1
+    power, have, total, part, size = _ODD, 0, None, words, 1
+    while True:
+        if n & size:
+            # what is there so far stands after this part
+            if total is None:
+                total = part
+            else:
+                shift = np.uint64(pow(_ODD, have, 1 << 64))
+                rest = total[size:]
+                total = part[: len(rest)] * shift + rest
+            have += size
+        if 2 * size > n:
+            return mix(total[:count])
+        part = part[:-size] * np.uint64(power) + part[size:] if len(part) > size else part[:0]
+        power, size = power * power % (1 << 64), 2 * size
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:

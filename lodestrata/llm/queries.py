@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm import bpe, packing, wordpiece
+from lodestrata.llm import bpe, factors, packing, runs, wordpiece
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -57,3 +57,55 @@ def bpe_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+#: Words of every text with their position, as the contracts define them.
+SQL_WORDS = """
+words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents
+)"""
+
+
+@query(
+    "op4_substring_dedup",
+    "WITH" + SQL_WORDS + """,
+windows AS (SELECT doc_id, i, list_aggregate(w[i : i + 49], 'string_agg', ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM words)),
+firsts AS (SELECT s, min(doc_id) AS first_doc FROM windows GROUP BY s),
+late AS (SELECT doc_id, list(i) AS starts FROM windows JOIN firsts USING (s) WHERE first_doc < doc_id GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 50)) AS i FROM (SELECT doc_id, unnest(starts) AS s FROM late)),
+removed AS (SELECT doc_id, count(*) AS n, list(i) AS spots FROM gone GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_removed,
+       sha256(array_to_string(CASE WHEN n IS NULL THEN w ELSE list_filter(w, lambda x, k: NOT list_contains(spots, k)) END, ' ')) AS kept_sha256
+FROM words LEFT JOIN removed USING (doc_id)""",
+)
+def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words that an earlier document has too, cut from every document."""
+    left = factors.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
+    kept = F.array_join(F.array_remove(F.split(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+"), ""), " ")
+    return left.select("doc_id", "n_words", "n_removed", F.sha2(kept, 256).alias("kept_sha256"))
+
+
+@query(
+    "op10_suffix_dedup",
+    """
+WITH texts AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+windows AS (SELECT doc_id, i, substr(h, 2 * i + 1, 200) AS s FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 99)) AS i FROM texts)),
+again AS (SELECT s, min((doc_id, i)) AS first_at FROM windows GROUP BY s HAVING count(*) > 1),
+late AS (SELECT doc_id, i FROM windows JOIN again USING (s) WHERE (doc_id, i) > first_at),
+marked AS (SELECT doc_id, i, CASE WHEN i - lag(i) OVER w <= 100 THEN 0 ELSE 1 END AS new FROM late WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+numbered AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM marked),
+spans AS (SELECT doc_id, k, min(i) AS a, max(i) + 100 AS b FROM numbered GROUP BY doc_id, k),
+pieces AS (SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS since FROM spans),
+cut AS (
+  SELECT doc_id, count(*) AS n, sum(b - a)::BIGINT AS removed, max(b) AS tail,
+         string_agg(substr(h, 2 * since + 1, 2 * (a - since)), '' ORDER BY a) AS kept
+  FROM pieces JOIN texts USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, len(h) // 2 AS n_bytes, coalesce(removed, 0) AS n_removed, coalesce(n, 0) AS n_spans,
+       sha256(unhex(CASE WHEN n IS NULL THEN h ELSE kept || substr(h, 2 * tail + 1) END)) AS kept_sha256
+FROM texts LEFT JOIN cut USING (doc_id)""",
+)
+def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte strings of 100 that start earlier somewhere, cut from every document."""
+    left = runs.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
