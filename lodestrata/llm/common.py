@@ -61,12 +61,15 @@ def text_arrays(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[at[0] : at[-1]], at - at[0]
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First byte, byte after the last, and text number of each word of consecutive texts."""
+def words_of(data: np.ndarray, offsets: np.ndarray, apart_at: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First byte, byte after the last, and text number of each word of consecutive texts.
+
+    ``apart_at`` marks the bytes that separate words.
+    """
     n = len(data)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    solid = ~IS_SPACE[data]
+    solid = ~apart_at[data]
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True
     apart = edge[1:n] | (solid[1:] != solid[:-1])
@@ -88,6 +91,11 @@ def code_of(running: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return mix(raw + (ends - starts).astype(np.uint64))
 
 
+def codes_along(running: np.ndarray, n: int) -> np.ndarray:
+    """:func:`code_of` for the n bytes from each position on."""
+    return mix((running[n:] - running[:-n]) * powers(len(running))[1][: len(running) - n] + np.uint64(n))
+
+
 def gram_codes(words: np.ndarray, n: int) -> np.ndarray:
     """Hash of the n words from each position on (as many as there are whole n-grams), by doubling."""
     if len(words) < n:

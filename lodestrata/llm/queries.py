@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm import bpe, factors, packing, runs, wordpiece
+from lodestrata.llm import bpe, factors, lines, packing, runs, toxicity, wordpiece
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -109,3 +109,45 @@ def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte strings of 100 that start earlier somewhere, cut from every document."""
     left = runs.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
     return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: Labels of these documents may be learnt from; the others are held out.
+def learnable(key: str):
+    return F.crc32(F.col(key).cast("string").cast("binary")) % 5 != 0
+
+
+@query("op1_toxicity")
+def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by a network trained on labels that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), "doc_id", "text", "lang", "toxic", learnable("doc_id"))
+    scored = toxicity.score(docs.select("doc_id", "text", "lang"), "text", "lang", model)
+    return scored.select(
+        "doc_id", (~learnable("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "toxic"
+    )
+
+
+@query(
+    "op6_line_dedup",
+    """
+WITH pages AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS lines FROM documents),
+blank AS (SELECT ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) AS b),
+totals AS (SELECT source, count(*) AS pages FROM documents WHERE source IS NOT NULL GROUP BY source),
+each AS (SELECT source, unnest(list_distinct(lines)) AS line FROM pages WHERE source IS NOT NULL),
+high AS (
+  SELECT source, line FROM (SELECT source, line, count(*) AS n FROM each, blank WHERE trim(line, b) <> '' GROUP BY source, line)
+  JOIN totals USING (source) WHERE n >= 10 AND n > 0.1 * pages
+),
+drops AS (SELECT source, list(line) AS gone FROM high GROUP BY source),
+cut AS (
+  SELECT doc_id, text, lines, CASE WHEN gone IS NULL THEN lines ELSE list_filter(lines, lambda x: NOT list_contains(gone, x)) END AS stay
+  FROM pages LEFT JOIN drops USING (source)
+)
+SELECT doc_id, coalesce(len(lines), 0) AS n_lines, coalesce(len(lines) - len(stay), 0) AS n_dropped,
+       sha256(CASE WHEN len(stay) < len(lines) THEN coalesce(array_to_string(stay, chr(10)), '') ELSE text END) AS kept_sha256
+FROM cut""",
+)
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines on more than a tenth of their source's documents dropped, the source taken as the site."""
+    left = lines.drop_site_lines(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), "source", "text")
+    return left.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
