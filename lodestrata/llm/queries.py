@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm import bpe, factors, lines, packing, runs, toxicity, wordpiece
+from lodestrata.llm import bpe, factors, lines, packing, quality, runs, toxicity, wordpiece
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -151,3 +151,11 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines on more than a tenth of their source's documents dropped, the source taken as the site."""
     left = lines.drop_site_lines(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), "source", "text")
     return left.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query("op7_quality_rules")
+def quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule counts and likeness to the documents labelled as good, for every document."""
+    trusted = table(spark, sf_dir, "labels").filter("quality = 1")
+    judged = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text", trusted)
+    return judged.drop("text")
