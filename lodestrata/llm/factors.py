@@ -8,54 +8,46 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from lodestrata.llm.common import code_of, gram_codes, running_code, words_of
-from lodestrata.llm.segments import DIGEST, ID, Stretches, Windows, compare, covered, prepared, repeated_anchors, spans_of, stretches, with_spans
+from lodestrata.llm.segments import DIGEST, ID, Stretches, Windows, compare, covered, keyed, repeated_anchors, spans_of, stretches, with_spans
 
-FACTOR_FIELDS = [
-    T.StructField(ID, T.LongType()), T.StructField(DIGEST, T.LongType()), T.StructField("_start", T.LongType()),
-    T.StructField("_length", T.LongType()), T.StructField("_from_doc", T.LongType()), T.StructField("_from_start", T.LongType()),
-]
+FACTOR_FIELDS = [T.StructField(n, T.LongType()) for n in (ID, DIGEST, "_start", "_length")]
 
 
-def parse(found: Stretches, width: int) -> pa.RecordBatch:
-    """Factors of ``width`` words and more of one block, each with its source in an earlier document.
+def parse(found: Stretches, width: int) -> list[np.ndarray]:
+    """Factors of ``width`` words and more of one block whose source lies in an earlier document.
 
     The reference block is the first occurrence of every window, in document order; its index
     maps a window's hash to its place there. A window whose first occurrence lies in an earlier
-    document opens a factor, which goes on greedily as long as the next word is also the next word
+    document opens a factor, which goes on greedily as long as the next window is also the next one
     of the source. Windows across the border of two factors are looked up like all others, so a
     passage that no single factor holds is still covered.
     """
-    data, offsets = found.pick(np.arange(len(found.doc)))
-    starts, ends, row = words_of(data, offsets)
-    code = gram_codes(code_of(running_code(data), starts, ends), width)
+    starts, ends, row = words_of(found.data, found.offsets)
+    code = gram_codes(code_of(running_code(found.data), starts, ends), width)
     count = len(code)
     at = np.flatnonzero(row[:count] == row[width - 1 :]) if count else np.zeros(0, np.int64)
+    # stretches lie in the order of anchor and document, so the first of equal windows is the earliest
     _, first, which = np.unique(code[at], return_index=True, return_inverse=True)
     source = at[first[which]]
     late = found.doc[row[source]] < found.doc[row[at]]
     at, source = at[late], source[late]
     if not len(at):
-        return pa.RecordBatch.from_pylist([], pa.schema([(f.name, pa.int64()) for f in FACTOR_FIELDS]))
-    before = np.searchsorted(row, np.arange(len(found.doc)))
-    jumped = np.concatenate(([True], np.diff(source) != 1))
-    head, tail = spans_of(row[at], at, jumped)
-    place = lambda x: found.at[row[x]] + x - before[row[x]]
-    own, origin = at[head], source[head]
-    columns = [found.doc[row[own]], found.digest[row[own]], place(own), at[tail] - own + width, found.doc[row[origin]], place(origin)]
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], [f.name for f in FACTOR_FIELDS])
+        return found.all_of(at, at, at)
+    head, tail = spans_of(row[at], at, np.diff(source, prepend=-2) != 1)
+    own = at[head]
+    return found.all_of(row[own], own - np.searchsorted(row, row[own]), at[tail] - own + width)
 
 
 def factors(df: DataFrame, key: str, text: str, width: int = 50, gram: int = 8) -> DataFrame:
     """Factors of all documents relative to documents with a smaller ``key``.
 
-    Columns: ``_doc``, ``_digest`` (hash of the text), ``_start`` and ``_length`` in words,
-    ``_from_doc`` and ``_from_start``. Every word covered by a window of ``width`` words that
-    also starts in a document with a smaller key lies in a factor, and no other word.
+    Columns: ``_doc``, ``_digest`` (hash of the text), ``_start`` and ``_length`` in words. Every word
+    covered by a window of ``width`` words that also starts in a document with a smaller key lies in a
+    factor, and no other word.
     """
     windows = Windows(True, width, gram)
-    docs = prepared(df, key, text)
-    parts = stretches(docs, repeated_anchors(docs, windows, other_documents=True), windows)
-    return compare(parts, FACTOR_FIELDS, lambda found: parse(found, width))
+    parts = stretches(keyed(df, key, text), text, repeated_anchors(df, key, text, windows, True), windows, False)
+    return compare(parts, FACTOR_FIELDS, lambda found: parse(found, width), False)
 
 
 def without_repeats(df: DataFrame, key: str, text: str, width: int = 50, gram: int = 8) -> DataFrame:
@@ -90,4 +82,4 @@ def without_repeats(df: DataFrame, key: str, text: str, width: int = 50, gram: i
         return [pa.array(texts, pa.string()), pa.array(counts, pa.int64()), pa.array(removed, pa.int64())]
 
     fields = [df.schema[text], T.StructField("n_words", T.LongType(), False), T.StructField("n_removed", T.LongType(), False)]
-    return with_spans(df, key, text, factors(df, key, text, width, gram), fields, cut)
+    return with_spans(keyed(df, key, text), text, factors(df, key, text, width, gram), fields, cut)

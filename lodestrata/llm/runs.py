@@ -4,60 +4,65 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from lodestrata.llm.common import spread
-from lodestrata.llm.segments import DIGEST, ID, Stretches, Windows, compare, covered, prepared, repeated_anchors, spans_of, stretches, with_spans
+from lodestrata.llm.segments import DIGEST, ID, Stretches, Windows, compare, covered, keyed, repeated_anchors, spans_of, stretches, with_spans
 
 SPAN_FIELDS = [T.StructField(n, T.LongType()) for n in (ID, DIGEST, "_start", "_length")]
 #: Symbols in the first sorting key: seven of nine bits each.
 FIRST = 7
 
 
-def suffix_order(symbols: np.ndarray, left: np.ndarray) -> np.ndarray:
+def first_keys(symbols: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """The next seven symbols of each position in one number; nothing stands behind a string's end."""
+
+    def behind(key: np.ndarray, step: int) -> np.ndarray:
+        return np.where(left > step, np.concatenate((key[step:], np.zeros(min(step, len(key)), np.int64))), 0)
+
+    one = symbols.astype(np.int64) + 1
+    two = one << 9 | behind(one, 1)
+    four = two << 18 | behind(two, 2)
+    return four << 27 | behind(four, 4) >> 9
+
+
+def suffix_order(first: np.ndarray, left: np.ndarray) -> np.ndarray:
     """Positions of consecutive strings in suffix order; equal suffixes go by position.
 
-    ``left`` is the number of symbols from a position to the end of its string. Ranks double
-    their depth each round; only suffixes that still share a rank are sorted again.
+    ``first`` are the positions' first keys, ``left`` the symbols from a position to the end of its
+    string. Ranks double their depth each round; only suffixes that still share a rank are sorted again.
     """
-    n = len(symbols)
-    key = np.zeros(n, np.int64)
-    padded = np.concatenate((symbols.astype(np.int64) + 1, np.zeros(FIRST, np.int64)))
-    for k in range(FIRST):
-        key = (key << 9) | np.where(left > k, padded[k : k + n], 0)
-    order = np.argsort(key, kind="stable")
+    n = len(first)
+    index = np.arange(n)
+    order = np.argsort(first)
+    head = np.diff(first[order], prepend=-1) != 0
     rank, depth = np.empty(n, np.int64), FIRST
-    head = np.concatenate(([True], np.diff(key[order]) != 0))
-    first = np.maximum.accumulate(np.where(head, np.arange(n), 0))
-    rank[order] = first
-    single = head & np.concatenate((head[1:], [True]))
-    open_ = order[~single]
+    rank[order] = np.maximum.accumulate(np.where(head, index, 0))
+    tied = order[~(head & np.append(head[1:], True))]
     longest = int(left.max(initial=0))
-    while len(open_) and depth < longest:
-        after = np.where(left[open_] > depth, rank[np.minimum(open_ + depth, n - 1)] + 1, 0)
-        key = rank[open_] * (n + 1) + after
-        by = np.argsort(key, kind="stable")
-        open_, key = open_[by], key[by]
-        old = rank[open_]
-        head = np.concatenate(([True], np.diff(key) != 0))
-        group = np.concatenate(([True], np.diff(old) != 0))
-        index = np.arange(len(open_))
-        rank_new = old + np.maximum.accumulate(np.where(head, index, 0)) - np.maximum.accumulate(np.where(group, index, 0))
-        rank[open_] = rank_new
-        open_ = open_[~(head & np.concatenate((head[1:], [True])))]
+    while len(tied) and depth < longest:
+        old = rank[tied]
+        key = old * (n + 1) + np.where(left[tied] > depth, rank[np.minimum(tied + depth, n - 1)] + 1, 0)
+        by = np.argsort(key)
+        tied, key, old = tied[by], key[by], old[by]
+        head, group, own = np.diff(key, prepend=-1) != 0, np.diff(old, prepend=-1) != 0, index[: len(tied)]
+        rank[tied] = old + np.maximum.accumulate(np.where(head, own, 0)) - np.maximum.accumulate(np.where(group, own, 0))
+        tied = tied[~(head & np.append(head[1:], True))]
         depth *= 2
-    return np.argsort(rank, kind="stable")
+    return np.argsort(rank * n + index)
 
 
-def common_length(symbols: np.ndarray, left: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def common_length(first: np.ndarray, symbols: np.ndarray, left: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Number of equal symbols from each pair of positions on, inside their strings."""
     most = np.minimum(left[a], left[b])
-    same, going = np.zeros(len(a), np.int64), np.flatnonzero(most > 0)
+    same, going = np.zeros(len(a), np.int64), np.flatnonzero(most >= FIRST)
     while len(going):
-        equal = symbols[a[going] + same[going]] == symbols[b[going] + same[going]]
-        going = going[equal]
+        going = going[first[a[going] + same[going]] == first[b[going] + same[going]]]
+        same[going] += FIRST
+        going = going[same[going] + FIRST <= most[going]]
+    going = np.flatnonzero(same < most)
+    while len(going):
+        going = going[symbols[a[going] + same[going]] == symbols[b[going] + same[going]]]
         same[going] += 1
         going = going[same[going] < most[going]]
     return same
@@ -74,7 +79,8 @@ class RunIndex:
 
     def __init__(self, symbols: np.ndarray, left: np.ndarray, begins: np.ndarray):
         self.length = len(symbols)
-        self.order = suffix_order(symbols, left)
+        first = first_keys(symbols, left)
+        self.order = suffix_order(first, left)
         before = symbols[self.order - 1].astype(np.int64)
         starting = np.zeros(self.length, bool)
         starting[begins] = True
@@ -84,7 +90,7 @@ class RunIndex:
         self.above = np.where(heads > 0, self.order[heads - 1], -1)
         self.shared = np.zeros(len(heads), np.int64)
         inner = heads > 0
-        self.shared[inner] = common_length(symbols, left, self.at[inner], self.above[inner])
+        self.shared[inner] = common_length(first, symbols, left, self.at[inner], self.above[inner])
 
     def matching_statistics(self) -> tuple[np.ndarray, np.ndarray]:
         """For each text position: symbols shared with the suffix above it in order, and its position."""
@@ -106,55 +112,30 @@ def earliest(index: RunIndex, width: int) -> np.ndarray:
     return out
 
 
-def mark(found: Stretches, width: int) -> pa.RecordBatch:
-    """Spans of one block in which every ``width`` bytes also start earlier.
-
-    Equal stretches enter the index once, the earliest; all of a later copy is marked. In the
-    index a window is marked if an equal one has a smaller document or start.
-    """
-    empty = pa.RecordBatch.from_pylist([], pa.schema([(f.name, pa.int64()) for f in SPAN_FIELDS]))
-    if not len(found.doc):
-        return empty
-    codes = found.bytes.dictionary_encode().indices.to_numpy()  # numbered as they first occur
-    by_place = np.lexsort((found.at, found.doc, codes))
-    lead = np.concatenate(([True], np.diff(codes[by_place]) != 0))
-    leader = np.empty(len(codes), np.int64)
-    leader[by_place] = by_place[np.maximum.accumulate(np.where(lead, np.arange(len(codes)), 0))]
-    same_place = (found.doc == found.doc[leader]) & (found.at == found.at[leader])
-    size = pc.binary_length(found.bytes).to_numpy().astype(np.int64)
-    late = np.flatnonzero(~same_place)
-    rows = [(found.doc[late], found.digest[late], found.at[late], size[late])]
-
-    # strings of the index in order of document and start
-    ones = by_place[lead]
-    ones = ones[np.lexsort((found.at[ones], found.doc[ones]))]
-    symbols, offsets = found.pick(ones)
-    lengths = np.diff(offsets)
-    string = np.repeat(np.arange(len(ones)), lengths)
-    inside = np.arange(len(symbols)) - offsets[:-1][string]
-    left = lengths[string] - inside
-    source = earliest(RunIndex(symbols, left, offsets[:-1]), width)
-    doc, start = found.doc[ones][string], found.at[ones][string] + inside
+def mark(found: Stretches, width: int) -> list[np.ndarray]:
+    """Spans of one block in which every string of ``width`` bytes also starts earlier."""
+    size = np.diff(found.offsets)
+    string = np.repeat(np.arange(len(size)), size)
+    if not len(string):
+        return found.all_of(string, string, string)
+    inside = np.arange(len(string)) - found.offsets[:-1][string]
+    left = size[string] - inside
+    # stretches lie in the order of anchor and place, so the first of equal strings is the earliest
+    source = earliest(RunIndex(found.data, left, found.offsets[:-1]), width)
+    doc, start = found.doc[string], found.at[string] + inside
     at = np.flatnonzero((left >= width) & ((doc[source] < doc) | ((doc[source] == doc) & (start[source] < start))))
-    if len(at):
-        head, tail = spans_of(string[at], at, np.zeros(len(at), bool))
-        own, run = at[head], at[tail] - at[head] + width
-        # also for other texts whose copy stands at the same place
-        followers = np.flatnonzero(same_place)
-        followers = followers[np.argsort(leader[followers], kind="stable")]
-        lo = np.searchsorted(leader[followers], ones[string[own]])
-        hi = np.searchsorted(leader[followers], ones[string[own]], side="right")
-        who, which = followers[spread(lo, hi - lo)], np.repeat(np.arange(len(own)), hi - lo)
-        rows.append((found.doc[who], found.digest[who], start[own][which], run[which]))
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in zip(*rows)], [f.name for f in SPAN_FIELDS])
+    if not len(at):
+        return found.all_of(at, at, at)
+    head, tail = spans_of(string[at], at, np.zeros(len(at), bool))
+    own = at[head]
+    return found.all_of(string[own], inside[own], at[tail] - own + width)
 
 
 def repeated_spans(df: DataFrame, key: str, text: str, width: int = 100, gram: int = 32) -> DataFrame:
     """Byte spans (``_doc``, ``_digest``, ``_start``, ``_length``) covered by strings that start earlier."""
     windows = Windows(False, width, gram)
-    docs = prepared(df, key, text)
-    parts = stretches(docs, repeated_anchors(docs, windows, other_documents=False), windows)
-    return compare(parts, SPAN_FIELDS, lambda found: mark(found, width))
+    parts = stretches(keyed(df, key, text), text, repeated_anchors(df, key, text, windows, False), windows, True)
+    return compare(parts, SPAN_FIELDS, lambda found: mark(found, width), True)
 
 
 def without_repeats(df: DataFrame, key: str, text: str, width: int = 100, gram: int = 32) -> DataFrame:
@@ -181,4 +162,4 @@ def without_repeats(df: DataFrame, key: str, text: str, width: int = 100, gram:
         return [*[pa.array(c, pa.int64()) for c in (sizes, removed, spans)], kept]
 
     fields = [*[T.StructField(n, T.LongType(), False) for n in ("n_bytes", "n_removed", "n_spans")], T.StructField("kept", T.BinaryType(), False)]
-    return with_spans(df, key, text, repeated_spans(df, key, text, width, gram), fields, cut)
+    return with_spans(keyed(df, key, text), text, repeated_spans(df, key, text, width, gram), fields, cut)

@@ -11,19 +11,25 @@ sent to the task of that anchor. No window that occurs twice is lost.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestrata.llm.common import code_of, gram_codes, mix, row_slices, running_code, sliding_min, text_arrays, words_of
+from lodestrata.llm.common import code_of, codes_along, gram_codes, mix, row_slices, running_code, sliding_min, spread, text_arrays, words_of
 
 #: Names of the columns that hold a row's number, its text's hash and its text.
 ID, DIGEST, TEXT = "_doc", "_digest", "_text"
 #: Bytes of stretches that a task compares together (more where one anchor has more).
 TOGETHER_BYTES = 2 << 20
+#: Bytes of text searched for anchors at a time: the arrays for them stay in a core's cache.
+PASS_BYTES = 1 << 18
+#: Stretches that a task remembers to leave out the bytes of their copies.
+SEEN = 100_000
 
 
 class Windows:
@@ -32,85 +38,115 @@ class Windows:
     def __init__(self, words: bool, width: int, gram: int):
         self.words, self.width, self.gram = words, width, gram
 
-    def units(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """First byte, byte after the last and text number of every unit."""
+    def runs(self, data: np.ndarray, offsets: np.ndarray) -> Runs:
+        """Runs of windows with the same anchor, in the order of the text."""
         if self.words:
-            return words_of(data, offsets)
-        at = np.arange(len(data), dtype=np.int64)
-        return at, at + 1, np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-
-    def runs(self, data: np.ndarray, offsets: np.ndarray):
-        """Runs of windows with the same anchor: text number, first window, last window, anchor hash.
-
-        Windows are numbered by their first unit in the block; the units come along.
-        """
-        starts, ends, row = units = self.units(data, offsets)
-        count, none = len(starts) - self.width + 1, np.zeros(0, np.int64)
+            starts, ends, row = words_of(data, offsets)
+            before = np.searchsorted(starts, offsets[:-1])
+        else:
+            starts = ends = None
+            row = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets))
+            before = offsets[:-1]
+        count, none = len(row) - self.width + 1, np.zeros(0, np.int64)
         if count <= 0:
-            return units, none, none, none, none
+            return Runs(none, none, none, none, none, none, none)
         running = running_code(data)
         if self.words:
             grams = gram_codes(code_of(running, starts, ends), self.gram)
         else:
-            grams = code_of(running, starts[: len(starts) - self.gram + 1], starts[: len(starts) - self.gram + 1] + self.gram)
+            grams = codes_along(running, self.gram)
         low = np.uint64(0xFFFFFFFF)
-        at = sliding_min((grams & ~low) | np.arange(len(grams), dtype=np.uint64), self.width - self.gram + 1) & low
+        at = sliding_min((grams & ~low) | np.arange(len(grams), dtype=np.uint64), self.width - self.gram + 1).astype(np.uint32)
         valid = row[:count] == row[self.width - 1 :]
         moved = (at[1:] != at[:-1]) | (valid[1:] != valid[:-1])
         first = np.flatnonzero(valid & np.concatenate(([True], moved)))
         last = np.flatnonzero(valid & np.concatenate((moved, [True])))
-        return units, row[first], first, last, grams[at[first].astype(np.int64)].view(np.int64)
+        text, until = row[first].astype(np.int64), last + self.width - 1
+        lo, hi = (starts[first], ends[until]) if self.words else (first, until + 1)
+        return Runs(text, first - before[text], until + 1 - first, grams[at[first]].view(np.int64), lo, hi, before)
+
+
+@dataclass
+class Runs:
+    """Of each run: text number, first unit in the text, units, anchor hash, first byte and byte after the last."""
 
+    row: np.ndarray
+    at: np.ndarray
+    units: np.ndarray
+    anchor: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    before: np.ndarray
 
-def prepared(df: DataFrame, key: str, text: str) -> DataFrame:
-    """Number, text hash and text of the rows that have both."""
-    columns = [F.col(f"`{key}`").cast("long").alias(ID), F.xxhash64(F.col(f"`{text}`")).alias(DIGEST), F.col(f"`{text}`").alias(TEXT)]
-    return df.select(*columns).filter(F.col(ID).isNotNull() & F.col(TEXT).isNotNull())
+    def pick(self, which: np.ndarray) -> Runs:
+        return Runs(self.row[which], self.at[which], self.units[which], self.anchor[which], self.low[which], self.high[which], self.before)
 
 
-def repeated_anchors(docs: DataFrame, windows: Windows, other_documents: bool) -> DataFrame:
-    """For each text, its anchors that occur again: in another document, or anywhere."""
-    schema = T.StructType([docs.schema[ID], docs.schema[DIGEST], T.StructField("_anchor", T.LongType())])
+def keyed(df: DataFrame, key: str, text: str) -> DataFrame:
+    """The rows with their number and the hash of their text; where that hash is NULL the row is not compared.
+
+    Both joins of a query take these rows by number with all their columns, so Spark shuffles the texts
+    once and reads that exchange twice. A row without number is dealt by its text.
+    """
+    number, digest = F.col(f"`{key}`").cast("long"), F.xxhash64(F.col(f"`{text}`"))
+    known = number.isNotNull() & F.col(f"`{text}`").isNotNull()
+    return df.withColumns({ID: F.coalesce(number, digest), DIGEST: F.when(known, digest)})
+
+
+def repeated_anchors(df: DataFrame, key: str, text: str, windows: Windows, other_documents: bool) -> DataFrame:
+    """For each document number, the anchors of its texts that occur again: in another document, or anywhere."""
+    docs = df.select(F.col(f"`{key}`").cast("long").alias(ID), F.col(f"`{text}`").alias(TEXT)).filter(F.col(ID).isNotNull() & F.col(TEXT).isNotNull())
+    schema = T.StructType([T.StructField("_anchor", T.LongType()), T.StructField(ID, T.LongType())])
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in row_slices(batch, TEXT):
-                _, row, _, _, anchor = windows.runs(*text_arrays(part.column(TEXT)))
-                picked = pa.array(row)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(ID).take(picked), part.column(DIGEST).take(picked), pa.array(anchor)], [ID, DIGEST, "_anchor"]
-                )
+            for part in row_slices(batch, TEXT, PASS_BYTES):
+                runs = windows.runs(*text_arrays(part.column(TEXT)))
+                yield pa.RecordBatch.from_arrays([pa.array(runs.anchor), part.column(ID).take(pa.array(runs.row))], ["_anchor", ID])
 
     found = docs.mapInArrow(anchors, schema)
     again = (F.min(ID) != F.max(ID)) if other_documents else (F.count("*") > 1)
     live = found.groupBy("_anchor").agg(again.alias("_again")).filter("_again").select("_anchor")
-    return found.join(live, "_anchor", "left_semi").groupBy(ID, DIGEST).agg(F.collect_set("_anchor").alias("_anchors"))
+    return found.join(live, "_anchor", "left_semi").groupBy(ID).agg(F.collect_set("_anchor").alias("_anchors"))
+
 
+def stretches(docs: DataFrame, text: str, anchors: DataFrame, windows: Windows, same_document: bool) -> DataFrame:
+    """The texts' stretches around repeated anchors: anchor, document, text hash, first unit, units and bytes.
 
-def stretches(docs: DataFrame, anchors: DataFrame, windows: Windows) -> DataFrame:
-    """The texts' stretches around repeated anchors: anchor, text, first unit and bytes."""
-    fields = [T.StructField("_anchor", T.LongType()), docs.schema[ID], docs.schema[DIGEST], T.StructField("_at", T.LongType()), T.StructField("_bytes", T.BinaryType())]
+    A stretch of which a task has seen an earlier copy comes without its bytes: all of it is repeated. With
+    ``same_document`` a copy in the same document counts too, else only one in a document with a smaller number.
+    """
+    fields = [T.StructField(n, T.LongType()) for n in ("_anchor", ID, DIGEST, "_at", "_units")] + [T.StructField("_bytes", T.BinaryType())]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[bytes, tuple[int, int]] = {}
         for batch in batches:
-            for part in row_slices(batch, TEXT):
-                data, offsets = text_arrays(part.column(TEXT))
-                (starts, ends, _), row, first, last, anchor = windows.runs(data, offsets)
+            for part in row_slices(batch, text, PASS_BYTES):
+                part = part.filter(pc.and_(part.column("_anchors").is_valid(), part.column(DIGEST).is_valid()))
+                data, offsets = text_arrays(part.column(text))
                 listed = part.column("_anchors")
                 owner = np.repeat(np.arange(part.num_rows), listed.value_lengths().to_numpy(zero_copy_only=False))
-                wanted = in_row(listed.flatten().to_numpy(zero_copy_only=False), owner)
-                pick = np.isin(in_row(anchor, row), wanted)
-                row, first, last, anchor = row[pick], first[pick], last[pick], anchor[pick]
-                before = np.searchsorted(starts, offsets[:-1])  # units of the block before each text
-                raw, until = data.tobytes(), last + windows.width - 1
-                pieces = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[until].tolist())]
-                at = pa.array(row)
+                runs = windows.runs(data, offsets)
+                runs = runs.pick(np.isin(in_row(runs.anchor, runs.row), in_row(listed.flatten().to_numpy(zero_copy_only=False), owner)))
+                raw, pieces = data.tobytes(), []
+                number, digest = (part.column(c).to_numpy(zero_copy_only=False)[runs.row] for c in (ID, DIGEST))
+                if len(seen) > SEEN:
+                    seen.clear()
+                for a, b, place in zip(runs.low.tolist(), runs.high.tolist(), zip(number.tolist(), runs.at.tolist())):
+                    piece = raw[a:b]
+                    known = seen.setdefault(piece, place)
+                    if known < place and (same_document or known[0] < place[0]):
+                        pieces.append(None)
+                    else:
+                        pieces.append(piece)
+                        seen[piece] = min(known, place)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(anchor), part.column(ID).take(at), part.column(DIGEST).take(at), pa.array(first - before[row]), pa.array(pieces, pa.binary())],
+                    [*[pa.array(x) for x in (runs.anchor, number, digest, runs.at, runs.units)], pa.array(pieces, pa.binary())],
                     [f.name for f in fields],
                 )
 
-    joined = docs.join(anchors.hint("shuffle_hash"), [ID, DIGEST])
+    # a left join, as in with_spans, so that both read the same exchange of texts
+    joined = docs.join(anchors.hint("shuffle_hash"), ID, "left").select(*docs.columns, "_anchors")
     return joined.mapInArrow(cut, T.StructType(fields))
 
 
@@ -120,23 +156,59 @@ def in_row(anchor: np.ndarray, row: np.ndarray) -> np.ndarray:
 
 
 class Stretches:
-    """Stretches of whole anchors, in the order of anchor, document and first unit, once each."""
-
-    def __init__(self, table: pa.Table):
-        columns = {c: table.column(c).combine_chunks() for c in table.column_names}
-        anchor, doc, digest, at = (columns[c].to_numpy(zero_copy_only=False) for c in ("_anchor", ID, DIGEST, "_at"))
-        same = (anchor[1:] == anchor[:-1]) & (doc[1:] == doc[:-1]) & (digest[1:] == digest[:-1]) & (at[1:] == at[:-1])
-        once = np.concatenate(([True], ~same)) if len(at) else np.zeros(0, bool)
-        self.doc, self.digest, self.at = doc[once], digest[once], at[once]
-        self.bytes = columns["_bytes"].filter(pa.array(once))
-
-    def pick(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return text_arrays(self.bytes.take(pa.array(which)))
+    """The different stretches of whole anchors that must be compared, and spans that need no comparison.
 
+    Equal stretches of an anchor are kept once, the earliest (by document and first unit); copies
+    that are later are spans. A stretch that no other stretch shares its anchor with holds nothing new.
+    ``twin`` lists stretches equal in bytes and place to a kept one (rows that share their number).
+    """
 
-def compare(parts: DataFrame, fields: list[T.StructField], check: Callable[[Stretches], pa.RecordBatch]) -> DataFrame:
+    def __init__(self, table: pa.Table, same_document: bool):
+        columns = {c: table.column(c).combine_chunks() for c in table.column_names}
+        held = columns["_bytes"].is_valid()
+        anchor, doc, digest, at, units = (columns[c].to_numpy(zero_copy_only=False) for c in ("_anchor", ID, DIGEST, "_at", "_units"))
+        number = np.full(len(doc), -1)
+        whole = np.flatnonzero(held.to_numpy(zero_copy_only=False))
+        number[whole] = columns["_bytes"].filter(held).dictionary_encode().indices.to_numpy()
+        order = whole[np.lexsort((at[whole], doc[whole], number[whole]))]
+        lead = np.diff(number[order], prepend=-2) != 0
+        leader = np.full(len(doc), -1)
+        if len(order):
+            leader[order] = order[np.maximum.accumulate(np.where(lead, np.arange(len(order)), 0))]
+        later = (doc > doc[leader]) | ((doc == doc[leader]) & (at > at[leader]) & same_document)
+        done = (leader < 0) | later
+        self.spans = [doc[done], digest[done], at[done], units[done]]
+        lead = order[lead]
+        lead = lead[np.lexsort((at[lead], doc[lead], anchor[lead]))]
+        shared = np.zeros(len(lead), bool)
+        equal = anchor[lead][1:] == anchor[lead][:-1]
+        shared[1:] |= equal
+        shared[:-1] |= equal
+        lead = lead[shared]
+        self.doc, self.digest, self.at = doc[lead], digest[lead], at[lead]
+        self.data, self.offsets = text_arrays(columns["_bytes"].take(pa.array(lead)))
+        twins = np.flatnonzero(~done & (leader != np.arange(len(doc))))
+        index = np.full(len(doc), -1)
+        index[lead] = np.arange(len(lead))
+        twins = twins[index[leader[twins]] >= 0]
+        twins = twins[np.argsort(index[leader[twins]], kind="stable")]
+        self.twin_of, self.twin = index[leader[twins]], [doc[twins], digest[twins], at[twins]]
+
+    def all_of(self, stretch: np.ndarray, inside: np.ndarray, units: np.ndarray) -> list[np.ndarray]:
+        """Spans of kept stretches (and of their twins) together with those that were known at once."""
+        lo, hi = np.searchsorted(self.twin_of, stretch), np.searchsorted(self.twin_of, stretch, side="right")
+        who, which = spread(lo, hi - lo), np.repeat(np.arange(len(stretch)), hi - lo)
+        own = [self.doc[stretch], self.digest[stretch], self.at[stretch] + inside, units]
+        twin = [self.twin[0][who], self.twin[1][who], self.twin[2][who] + inside[which], units[which]]
+        return [np.concatenate(c) for c in zip(self.spans, own, twin)]
+
+
+def compare(parts: DataFrame, fields: list[T.StructField], check: Callable[[Stretches], list[np.ndarray]], same_document: bool) -> DataFrame:
     """Run ``check`` on blocks of whole anchors; each task streams over its anchors in order."""
 
+    def result(table: pa.Table) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in check(Stretches(table, same_document))], [f.name for f in fields])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         size = 0
@@ -150,14 +222,13 @@ def compare(parts: DataFrame, fields: list[T.StructField], check: Callable[[Stre
                 anchor = whole.column("_anchor").to_numpy()
                 done = int(np.searchsorted(anchor, anchor[-1]))  # the last anchor may go on
                 if done:
-                    yield check(Stretches(whole.slice(0, done)))
+                    yield result(whole.slice(0, done))
                 held = whole.slice(done).combine_chunks().to_batches()
                 size = sum(b.nbytes for b in held)
         if held:
-            yield check(Stretches(pa.Table.from_batches(held)))
+            yield result(pa.Table.from_batches(held))
 
-    ordered = parts.repartition("_anchor").sortWithinPartitions("_anchor", ID, "_at", DIGEST)
-    return ordered.mapInArrow(run, T.StructType(fields))
+    return parts.repartition("_anchor").sortWithinPartitions("_anchor").mapInArrow(run, T.StructType(fields))
 
 
 def spans_of(stretch: np.ndarray, at: np.ndarray, fresh: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -167,28 +238,29 @@ def spans_of(stretch: np.ndarray, at: np.ndarray, fresh: np.ndarray) -> tuple[np
     return np.concatenate(([0], edge + 1)), np.concatenate((edge, [len(at) - 1]))
 
 
-def with_spans(df: DataFrame, key: str, text: str, spans: DataFrame, fields: list[T.StructField], cut) -> DataFrame:
+def with_spans(docs: DataFrame, text: str, spans: DataFrame, fields: list[T.StructField], cut) -> DataFrame:
     """Apply each text's spans (columns ``_start`` and ``_length``): ``cut`` gives the new columns of a block.
 
-    ``cut`` gets the bytes and offsets of a block of texts and, for its spans, text number, start
-    and length. Rows without number or text have no spans.
+    ``cut`` gets the bytes and offsets of a block of texts, text number, start and length of its
+    spans, and the texts. Rows without number or text have no spans.
     """
-    lists = spans.groupBy(ID, DIGEST).agg(F.collect_list("_start").alias("_starts"), F.collect_list("_length").alias("_lengths"))
-    kept = df.drop(*[f.name for f in fields if f.name != text])
-    keyed = kept.withColumns({ID: F.col(f"`{key}`").cast("long"), DIGEST: F.xxhash64(F.col(f"`{text}`"))})
-    joined = keyed.join(lists.hint("shuffle_hash"), [ID, DIGEST], "left").select(*[f"`{c}`" for c in kept.columns], "_starts", "_lengths")
-    replaced = [c for c in kept.columns if c not in {f.name for f in fields}]
+    one = F.struct(F.col(DIGEST).alias("digest"), F.col("_start").alias("start"), F.col("_length").alias("length"))
+    lists = spans.groupBy(ID).agg(F.collect_list(one).alias("_spans"))
+    joined = docs.join(lists.hint("shuffle_hash"), ID, "left").select(*docs.columns, "_spans")
+    names = {f.name for f in fields}
+    others = [c for c in docs.columns if c not in names and c not in (ID, DIGEST)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in row_slices(batch, text):
-                counts = part.column("_starts").value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-                row = np.repeat(np.arange(part.num_rows), counts)
-                start, length = (part.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("_starts", "_lengths"))
-                made = cut(*text_arrays(part.column(text)), row, start, length, part.column(text))
-                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in replaced], *made], [*replaced, *[f.name for f in fields]])
-
-    return joined.mapInArrow(run, T.StructType([*[df.schema[c] for c in replaced], *fields]))
+                listed = part.column("_spans")
+                row = np.repeat(np.arange(part.num_rows), listed.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+                digest, start, length = (x.to_numpy(zero_copy_only=False) for x in listed.flatten().flatten())
+                own = digest == part.column(DIGEST).fill_null(0).to_numpy(zero_copy_only=False)[row]
+                made = cut(*text_arrays(part.column(text)), row[own], start[own], length[own], part.column(text))
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in others], *made], [*others, *[f.name for f in fields]])
+
+    return joined.mapInArrow(run, T.StructType([*[docs.schema[c] for c in others], *fields]))
 
 
 def covered(before: np.ndarray, total: int, row: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
