@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm import bpe, factors, lines, packing, quality, runs, toxicity, wordpiece
+from lodestrata.llm import bpe, factors, lines, ngrams, packing, quality, runs, toxicity, wordpiece
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -159,3 +159,30 @@ def quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     trusted = table(spark, sf_dir, "labels").filter("quality = 1")
     judged = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text", trusted)
     return judged.drop("text")
+
+
+@query(
+    "op5_ngram_join",
+    """
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents
+),
+grams AS (
+  SELECT DISTINCT doc_id, list_aggregate(w[i : i + 4], 'string_agg', ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0)
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT x, y FROM pairs JOIN sizes s ON s.doc_id = x JOIN sizes t ON t.doc_id = y WHERE 100 * shared >= 80 * (s.n + t.n - shared)
+),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT x AS node, x AS seen FROM edges UNION SELECT node, y FROM reach JOIN edges ON seen = x)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(least(doc_id, low), doc_id) AS component_id
+FROM words LEFT JOIN sizes USING (doc_id) LEFT JOIN (SELECT node AS doc_id, min(seen) AS low FROM reach GROUP BY node) USING (doc_id)""",
+)
+def ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents grouped by links between sets of five-word shingles with a Jaccard similarity of 0.8 or more."""
+    found = ngrams.similar_documents(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return found.select(F.col("_doc").alias("doc_id"), F.col("_n").alias("n_shingles"), F.col("_component").alias("component_id"))
