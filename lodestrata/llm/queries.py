@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm import bpe, factors, lines, ngrams, packing, quality, runs, toxicity, wordpiece
+from lodestrata.llm import bpe, factors, lines, ngrams, packing, quality, runs, toxicity, vectors, wordpiece
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -186,3 +186,25 @@ def ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents grouped by links between sets of five-word shingles with a Jaccard similarity of 0.8 or more."""
     found = ngrams.similar_documents(table(spark, sf_dir, "documents"), "doc_id", "text")
     return found.select(F.col("_doc").alias("doc_id"), F.col("_n").alias("n_shingles"), F.col("_component").alias("component_id"))
+
+
+@query(
+    "op3_embedding_dedup",
+    """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+),
+good AS (
+  SELECT vec_id, label, e FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  AND list_sum(list_transform(e, lambda x: x * x)) > 0
+),
+links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reach AS (SELECT x AS node, x AS seen FROM links UNION SELECT node, y FROM reach JOIN links ON seen = x),
+low AS (SELECT node, min(seen) AS c FROM reach GROUP BY node),
+n AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(c, vec_id) AS component_id, coalesce(c, vec_id) = vec_id AS kept
+FROM v LEFT JOIN n ON vec_id = n.x LEFT JOIN low ON vec_id = node""",
+)
+def embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors of a label linked at a cosine of 0.98 or more."""
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label").withColumnRenamed("_vec", "vec_id")
