@@ -25,12 +25,12 @@ def site_lines(df: DataFrame, host: str, text: str, ratio: float, least: int) ->
     Since the lines on a page are few on average, a host has at most that average divided by
     ``ratio`` such lines, however many pages it has.
     """
-    pages = df.select(F.col(f"`{host}`").alias("_host"), F.split(F.col(f"`{text}`"), "\n").alias("_lines")).filter(F.col("_host").isNotNull())
-    totals = pages.groupBy("_host").agg(F.count("*").alias("_pages"))
-    each = pages.select("_host", F.explode(F.array_distinct(F.filter("_lines", solid))).alias("_line"))
-    found = each.select("_host", digest(F.col("_line")).alias("_line")).groupBy("_host", "_line").agg(F.count("*").alias("_on")).filter(F.col("_on") >= least)
-    high = found.join(totals, "_host").filter(F.col("_on") > F.lit(ratio) * F.col("_pages"))
-    return high.groupBy("_host").agg(F.collect_set("_line").alias("_drop"))
+    pages = df.select(F.col(f"`{host}`").alias("__host"), F.split(F.col(f"`{text}`"), "\n").alias("__lines")).filter(F.col("__host").isNotNull())
+    totals = pages.groupBy("__host").agg(F.count("*").alias("__pages"))
+    each = pages.select("__host", F.explode(F.array_distinct(F.filter("__lines", solid))).alias("__line"))
+    found = each.select("__host", digest(F.col("__line")).alias("__line")).groupBy("__host", "__line").agg(F.count("*").alias("__on")).filter(F.col("__on") >= least)
+    high = found.join(totals, "__host").filter(F.col("__on") > F.lit(ratio) * F.col("__pages"))
+    return high.groupBy("__host").agg(F.collect_set("__line").alias("__drop"))
 
 
 def drop_site_lines(df: DataFrame, host: str, text: str, ratio: float = 0.1, least: int = 10) -> DataFrame:
@@ -48,11 +48,11 @@ def drop_site_lines(df: DataFrame, host: str, text: str, ratio: float = 0.1, lea
     kept = df.drop("n_lines", "n_dropped")
     drop = site_lines(df, host, text, ratio, least)
     lines = F.split(F.col(f"`{text}`"), "\n")
-    joined = kept.join(drop, F.col(f"`{host}`") == F.col("_host"), "left").withColumn("_lines", lines)
-    stays = F.filter("_lines", lambda x: ~solid(x) | ~F.array_contains(F.col("_drop"), digest(x)))
-    cut = joined.withColumn("_stay", F.when(F.col("_drop").isNotNull(), stays).otherwise(F.col("_lines")))
+    joined = kept.join(drop, F.col(f"`{host}`") == F.col("__host"), "left").withColumn("__lines", lines)
+    stays = F.filter("__lines", lambda x: ~solid(x) | ~F.array_contains(F.col("__drop"), digest(x)))
+    cut = joined.withColumn("__stay", F.when(F.col("__drop").isNotNull(), stays).otherwise(F.col("__lines")))
     size = lambda c: F.coalesce(F.size(c), F.lit(0)).cast("long")
-    total = F.when(F.col("_lines").isNull(), F.lit(0).cast("long")).otherwise(size("_lines"))
-    gone = F.when(F.col("_lines").isNull(), F.lit(0).cast("long")).otherwise(size("_lines") - size("_stay"))
-    new_text = F.when(gone > 0, F.array_join("_stay", "\n")).otherwise(F.col(f"`{text}`"))
+    total = F.when(F.col("__lines").isNull(), F.lit(0).cast("long")).otherwise(size("__lines"))
+    gone = F.when(F.col("__lines").isNull(), F.lit(0).cast("long")).otherwise(size("__lines") - size("__stay"))
+    new_text = F.when(gone > 0, F.array_join("__stay", "\n")).otherwise(F.col(f"`{text}`"))
     return cut.select(*[new_text.alias(c) if c == text else F.col(f"`{c}`") for c in kept.columns], total.alias("n_lines"), gone.alias("n_dropped"))

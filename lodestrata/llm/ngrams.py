@@ -284,5 +284,5 @@ def one_of_each(df: DataFrame, key: str, text: str, n: int = 5) -> DataFrame:
     The document with the smallest key of each component stays, with all its rows. Rows with a NULL key
     stay; NULL and empty texts are similar to nothing.
     """
-    first = similar_documents(df, key, text, n).filter("_doc <> _component").select("_doc").distinct()
-    return df.join(first.hint("shuffle_hash"), F.col(f"`{key}`") == F.col("_doc"), "left_anti")
+    later = similar_documents(df, key, text, n).filter("_doc <> _component").select(F.col("_doc").alias("__later")).distinct()
+    return df.join(later.hint("shuffle_hash"), F.col(f"`{key}`") == F.col("__later"), "left_anti")

@@ -11,13 +11,13 @@ from lodestrata.llm.lines import solid
 SYMBOLS = "#*$%&|<>"
 WORDS_IN_WINDOW = 5
 #: Columns that the steps below add and take away again.
-HELPERS = ("_w", "_lines", "_h", "_two", "_four", "_five", "_sorted", "_twice", "_at", "_grams")
+HELPERS = ("__w", "__lines", "__h", "__two", "__four", "__five", "__sorted", "__twice", "__at", "__grams")
 
 
 def with_words(df: DataFrame, text: str) -> DataFrame:
     """Add ``_w``, the words, and ``_h``, a 64-bit hash of each; NULL texts have none."""
     words = F.array_remove(F.split(F.coalesce(F.col(f"`{text}`"), F.lit("")), SPACE_CLASS + "+"), "")
-    return df.withColumn("_w", words).withColumn("_h", F.transform("_w", lambda x: F.xxhash64(x)))
+    return df.withColumn("__w", words).withColumn("__h", F.transform("__w", lambda x: F.xxhash64(x)))
 
 
 def next_of(name: str, step: int) -> Column:
@@ -27,7 +27,7 @@ def next_of(name: str, step: int) -> Column:
 
 def with_pairs(df: DataFrame) -> DataFrame:
     """Add ``_two``: the hash of each word with the next (the last item is of no use)."""
-    return df.withColumn("_two", F.zip_with("_h", next_of("_h", 1), lambda a, b: F.xxhash64(a, b)))
+    return df.withColumn("__two", F.zip_with("__h", next_of("__h", 1), lambda a, b: F.xxhash64(a, b)))
 
 
 def rule_counts(df: DataFrame, text: str) -> DataFrame:
@@ -37,37 +37,37 @@ def rule_counts(df: DataFrame, text: str) -> DataFrame:
     hashes are folded into one; only texts where some window occurs twice are sorted.
     """
     whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    out = with_pairs(with_words(df, text)).withColumn("_lines", F.filter(F.split(whole, "\n"), solid))
-    out = out.withColumn("_four", F.zip_with("_two", next_of("_two", 2), lambda a, b: F.xxhash64(a, b)))
-    windows = F.greatest(F.size("_h") - (WORDS_IN_WINDOW - 1), F.lit(0))
-    out = out.withColumn("_five", F.slice(F.zip_with("_four", next_of("_h", 4), lambda a, b: F.xxhash64(a, b)), F.lit(1), windows))
-    repeated = F.size(F.array_distinct("_five")) < F.size("_five")
-    places = F.sequence(F.lit(0), F.size("_five") - 1)
-    in_order = F.sort_array(F.zip_with("_five", places, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    out = out.withColumn("_sorted", F.when(repeated, in_order))
+    out = with_pairs(with_words(df, text)).withColumn("__lines", F.filter(F.split(whole, "\n"), solid))
+    out = out.withColumn("__four", F.zip_with("__two", next_of("__two", 2), lambda a, b: F.xxhash64(a, b)))
+    windows = F.greatest(F.size("__h") - (WORDS_IN_WINDOW - 1), F.lit(0))
+    out = out.withColumn("__five", F.slice(F.zip_with("__four", next_of("__h", 4), lambda a, b: F.xxhash64(a, b)), F.lit(1), windows))
+    repeated = F.size(F.array_distinct("__five")) < F.size("__five")
+    places = F.sequence(F.lit(0), F.size("__five") - 1)
+    in_order = F.sort_array(F.zip_with("__five", places, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    out = out.withColumn("__sorted", F.when(repeated, in_order))
     # a window occurs again if its neighbour in the sorted order has the same hash
-    same = F.zip_with("_sorted", next_of("_sorted", 1), lambda a, b: F.coalesce(a["h"] == b["h"], F.lit(False)))
-    out = out.withColumn("_twice", F.when(F.col("_sorted").isNotNull(), same))
+    same = F.zip_with("__sorted", next_of("__sorted", 1), lambda a, b: F.coalesce(a["h"] == b["h"], F.lit(False)))
+    out = out.withColumn("__twice", F.when(F.col("__sorted").isNotNull(), same))
     flagged = F.zip_with(
-        "_sorted", F.zip_with("_twice", F.concat(F.array(F.lit(False)), "_twice"), lambda a, b: a | b), lambda s, f: F.when(f, s["i"])
+        "__sorted", F.zip_with("__twice", F.concat(F.array(F.lit(False)), "__twice"), lambda a, b: a | b), lambda s, f: F.when(f, s["i"])
     )
-    out = out.withColumn("_at", F.when(F.size("_twice") > 0, F.sort_array(F.array_compact(flagged))))
-    reach = F.zip_with("_at", next_of("_at", 1), lambda a, b: F.least(F.coalesce(b - a, F.lit(WORDS_IN_WINDOW)), F.lit(WORDS_IN_WINDOW)))
+    out = out.withColumn("__at", F.when(F.size("__twice") > 0, F.sort_array(F.array_compact(flagged))))
+    reach = F.zip_with("__at", next_of("__at", 1), lambda a, b: F.least(F.coalesce(b - a, F.lit(WORDS_IN_WINDOW)), F.lit(WORDS_IN_WINDOW)))
     return out.withColumns(
         {
-            "n_words": F.size("_w").cast("long"),
-            "word_chars": F.length(F.array_join("_w", "")).cast("long"),
+            "n_words": F.size("__w").cast("long"),
+            "word_chars": F.length(F.array_join("__w", "")).cast("long"),
             "n_symbols": (F.length(whole) - F.length(F.translate(whole, SYMBOLS, ""))).cast("long"),
-            "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-            "n_repeat_words": F.when(F.size("_at") > 0, F.aggregate(reach, F.lit(0), lambda a, x: a + x)).otherwise(0).cast("long"),
+            "n_dup_lines": (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long"),
+            "n_repeat_words": F.when(F.size("__at") > 0, F.aggregate(reach, F.lit(0), lambda a, x: a + x)).otherwise(0).cast("long"),
         }
     )
 
 
 def grams(buckets: int) -> Column:
     """Hash buckets of all words and of all pairs of neighbours."""
-    one = F.transform("_h", lambda h: F.pmod(h, F.lit(buckets)).cast("int"))
-    two = F.transform(F.slice("_two", F.lit(1), F.greatest(F.size("_h") - 1, F.lit(0))), lambda h: F.pmod(h, F.lit(buckets)).cast("int"))
+    one = F.transform("__h", lambda h: F.pmod(h, F.lit(buckets)).cast("int"))
+    two = F.transform(F.slice("__two", F.lit(1), F.greatest(F.size("__h") - 1, F.lit(0))), lambda h: F.pmod(h, F.lit(buckets)).cast("int"))
     return F.concat(one, two)
 
 
@@ -108,8 +108,8 @@ def judge(
     # a fixed number of values, so they may pass through the driver; as one literal that Spark folds into an array
     values = log_ratios(plain, text, trusted, key, buckets, smoothing).first()["_ratios"]
     ratios = F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
-    counted = rule_counts(plain, text).withColumn("_grams", grams(buckets))
-    total = F.aggregate("_grams", F.lit(0.0), lambda a, g: a + F.get(ratios, g))
+    counted = rule_counts(plain, text).withColumn("__grams", grams(buckets))
+    total = F.aggregate("__grams", F.lit(0.0), lambda a, g: a + F.get(ratios, g))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    scored = counted.withColumns({"base_failed": failed, "likeness": F.when(F.size("_grams") > 0, total / F.size("_grams")).otherwise(F.lit(0.0))})
+    scored = counted.withColumns({"base_failed": failed, "likeness": F.when(F.size("__grams") > 0, total / F.size("__grams")).otherwise(F.lit(0.0))})
     return scored.withColumn("kept", ~F.col("base_failed") & (F.col("likeness") >= least)).drop(*HELPERS)
