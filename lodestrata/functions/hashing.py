@@ -28,8 +28,17 @@ def business_columns(df: DataFrame) -> list[str]:
 
 
 def surrogate_key(columns: Iterable[str | Column]) -> Column:
-    """Repeatable 60-bit key of a business key: same input, same key, on every run and engine."""
-    return F.conv(F.substring(F.md5(joined_text(columns)), 1, 15), 16, 10).cast("bigint")
+    """Repeatable 128-bit key of a business key: same input, same key, on every run and engine.
+
+    The whole digest, since a shorter one would give two of many keys the same name. For gap-free
+    numbers see ``operators.windows.dense_key``.
+    """
+    return F.md5(joined_text(columns))
+
+
+def hash_share(columns: Iterable[str | Column]) -> Column:
+    """A number in [0, 1) that depends on the columns alone and is spread evenly."""
+    return F.conv(F.substring(F.md5(joined_text(columns)), 1, 8), 16, 10).cast("double") / float(1 << 32)
 
 
 def day_offset(entity_key: Column, span: int) -> Column:

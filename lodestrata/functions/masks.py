@@ -1,4 +1,4 @@
-"""Masking strategies as Column expressions: NULL stays NULL in every one of them."""
+"""Masking strategies as Column expressions: NULL stays NULL in all of them but ``full_redact``."""
 
 from __future__ import annotations
 
@@ -12,15 +12,19 @@ from lodestrata.functions.hashing import day_offset
 # Literals that masked data must carry.
 REDACTED = "***REDACTED***"
 MASKED = "***MASKED***"
-HASH_SALT = "ins_fabric_2024"
-TOKEN_SALT = "token_salt"
-FORMAT_KEY = "fpe_key"
 
 
 def _keep_null(c: Column, masked: Column) -> Column:
     return F.when(c.isNotNull(), masked)
 
 
+def secret(p: dict, name: str) -> Column:
+    """A secret from the parameters; there is none to fall back on, as a known one could be undone by listing."""
+    if not p.get(name):
+        raise ValueError(f"a mask needs its {name!r}")
+    return F.lit(p[name])
+
+
 def full_redact(c: Column, p: dict) -> Column:
     return F.lit(REDACTED)
 
@@ -37,23 +41,23 @@ def partial_mask(c: Column, p: dict) -> Column:
 
 
 def hash_sha256(c: Column, p: dict) -> Column:
-    return F.sha2(F.concat(c.cast("string"), F.lit("||" + p.get("salt", HASH_SALT))), 256)
+    return F.sha2(F.concat(c.cast("string"), F.lit("||"), secret(p, "salt")), 256)
 
 
 def tokenize(c: Column, p: dict) -> Column:
-    digest = F.sha2(F.concat(c.cast("string"), F.lit("||" + p.get("salt", TOKEN_SALT))), 256)
+    digest = F.sha2(F.concat(c.cast("string"), F.lit("||"), secret(p, "salt")), 256)
     return F.concat(F.lit("TKN_"), F.substring(digest, 1, 16))
 
 
 def format_preserving(c: Column, p: dict) -> Column:
     """Hash digits in place of the value, at the same length (letters a-f become 0-5)."""
-    digest = F.sha2(F.concat(c, F.lit(FORMAT_KEY)), 256)
+    digest = F.sha2(F.concat(c, secret(p, "key")), 256)
     return F.translate(F.substr(digest, F.lit(1), F.length(c)), "abcdef", "012345")
 
 
 def format_keeping(c: Column, p: dict) -> Column:
     """Per-character variant: digits stay digits, letters letters, punctuation is untouched."""
-    digest = F.sha2(F.concat(c, F.lit(FORMAT_KEY)), 256)
+    digest = F.sha2(F.concat(c, secret(p, "key")), 256)
 
     def swap(ch: Column, i: Column) -> Column:
         nibble = F.conv(F.substr(digest, F.pmod(i, F.lit(64)) + F.lit(1), F.lit(1)), 16, 10).cast("int")

@@ -58,25 +58,28 @@ def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n
 def exact_percentile(df: DataFrame, keys: Sequence[str], value: str, p: float, name: str, accuracy: int = 10000) -> DataFrame:
     """Exact interpolated percentile per group without holding a group in one task.
 
-    A quantile sketch with a guaranteed rank error brackets the answer; then only distinct
-    values inside the bracket (a sliver of the group) are ranked, on top of the count of
-    the values below it.
+    A quantile sketch with a guaranteed rank error brackets the answer; the bracket reaches to the next value on
+    either side, so that it holds the ranks wanted in groups of any size. Then only distinct values
+    inside it (a sliver of a large group) are ranked, on top of the count of the values below.
     """
     data = df.select(*keys, F.col(value).cast("double").alias("_v")).filter("_v IS NOT NULL")
-    # a sketch errs by at most n / accuracy ranks; groups of up to ``accuracy`` rows stay whole
     slack = 4.0 / accuracy
-    small = F.count("*") <= accuracy
     bracket = data.groupBy(*keys).agg(
         F.count("*").alias("_n"),
-        F.when(small, F.min("_v")).otherwise(F.percentile_approx("_v", max(p - slack, 0.0), accuracy)).alias("_lo"),
-        F.when(small, F.max("_v")).otherwise(F.percentile_approx("_v", min(p + slack, 1.0), accuracy)).alias("_hi"),
+        F.percentile_approx("_v", max(p - slack, 0.0), accuracy).alias("_lo"),
+        F.percentile_approx("_v", min(p + slack, 1.0), accuracy).alias("_hi"),
     )
     counts = data.groupBy(*keys, "_v").agg(F.count("*").alias("_c"))
-    marked = counts.join(bracket, list(keys)).filter(F.col("_v") <= F.col("_hi"))
-    below = marked.groupBy(*keys).agg(
-        F.sum(F.when(F.col("_v") < F.col("_lo"), F.col("_c")).otherwise(0)).alias("_below")
+    marked = counts.join(bracket, list(keys))
+    under, over = F.col("_v") < F.col("_lo"), F.col("_v") > F.col("_hi")
+    around = marked.groupBy(*keys).agg(
+        F.max(F.when(under, F.struct("_v", "_c"))).alias("_down"), F.min(F.when(over, F.col("_v"))).alias("_up"),
+        F.sum(F.when(under, F.col("_c")).otherwise(0)).alias("_below"),
     )
-    inside = marked.filter(F.col("_v") >= F.col("_lo")).join(below, list(keys))
+    near = marked.join(around, list(keys)).withColumns(
+        {"_below": F.col("_below") - F.coalesce(F.col("_down._c"), F.lit(0)), "_from": F.coalesce(F.col("_down._v"), F.col("_lo")), "_to": F.coalesce(F.col("_up"), F.col("_hi"))}
+    )
+    inside = near.filter((F.col("_v") >= F.col("_from")) & (F.col("_v") <= F.col("_to")))
     w = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = inside.withColumn("_upto", F.col("_below") + F.sum("_c").over(w))
     position = (F.col("_n") - 1) * F.lit(p)

@@ -153,10 +153,11 @@ def analysis_tables(df: DataFrame, key: Sequence[str], payload: str) -> DataFram
 
 
 def document_statistics(df: DataFrame, text: str, summary: str, pages: Column, tables: Column) -> DataFrame:
-    """Documents of 101 to 49,999 characters with counts and a quality band by summary length."""
+    """Every document with counts, a band of its length and a quality band by summary length."""
     length, summary_length = F.length(text), F.length(summary)
-    return df.filter((length > 100) & (length < 50000)).withColumns(
+    return df.withColumns(
         {
+            "length_band": F.when(length <= 100, "short").when(length < 50000, "usable").otherwise("long"),
             "char_count": length,
             "page_count": pages,
             "table_count": tables,

@@ -32,7 +32,7 @@ def _blank(c: str) -> Column:
 def _violation(df: DataFrame, policy: str, severity: str, kind: str, path: Column, details: str) -> DataFrame:
     column = F.col("column_name") if kind == "column" else F.lit(None).cast("string")
     return df.select(
-        F.concat(F.lit("VIO_"), F.substring(F.md5(F.concat_ws("|", F.lit(policy), path)), 1, 12)).alias("violation_id"),
+        F.concat(F.lit("VIO_"), F.md5(F.concat_ws("|", F.lit(policy), path))).alias("violation_id"),
         F.lit(policy).alias("policy_name"),
         F.lit(severity).alias("severity"),
         F.lit(kind).alias("object_type"),
@@ -155,7 +155,7 @@ def create_terms(spark: SparkSession, rows: Sequence[Mapping], at: Column) -> Da
     df = spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], schema)
     return df.withColumns(
         {
-            "term_id": F.concat(F.lit("TERM_"), F.substring(F.md5(F.lower("term_name")), 1, 12)),
+            "term_id": F.concat(F.lit("TERM_"), F.md5(F.lower("term_name"))),
             "status": F.lit("draft"),
             "version": F.lit(1),
             "created_at": at,
@@ -175,7 +175,7 @@ def link_term(terms: DataFrame, term_id: str, database: str, table: str, column:
               confidence: float = 1.0) -> DataFrame:
     """Link row from a term to a column; manual and auto-approved links are verified."""
     return terms.filter(F.col("term_id") == term_id).select(
-        F.concat(F.lit("LINK_"), F.substring(F.md5(F.concat_ws("|", "term_id", F.lit(f"{database}.{table}.{column}"))), 1, 12)).alias("linkage_id"),
+        F.concat(F.lit("LINK_"), F.md5(F.concat_ws("|", "term_id", F.lit(f"{database}.{table}.{column}")))).alias("linkage_id"),
         "term_id",
         F.lit(database).alias("database_name"),
         F.lit(table).alias("table_name"),
@@ -194,7 +194,7 @@ def create_policy(spark: SparkSession, name: str, kind: str, description: str, s
         "scope string, validation_query string"
     )
     df = spark.createDataFrame([(name, kind, description, severity, True, "all", validation_query)], schema)
-    return df.withColumn("policy_id", F.concat(F.lit("POLICY_"), F.substring(F.md5("policy_name"), 1, 12)))
+    return df.withColumn("policy_id", F.concat(F.lit("POLICY_"), F.md5("policy_name")))
 
 
 def term_lineage(links: DataFrame, terms: DataFrame) -> DataFrame:
@@ -254,7 +254,7 @@ def custom_violations(spark: SparkSession, policies: Sequence[Mapping]) -> DataF
 def import_terms(df: DataFrame, at: Column) -> DataFrame:
     """Glossary rows from a file with tags separated by ``|``; imported terms are published."""
     return df.select(
-        F.concat(F.lit("TERM_"), F.substring(F.md5(F.lower("term_name")), 1, 12)).alias("term_id"),
+        F.concat(F.lit("TERM_"), F.md5(F.lower("term_name"))).alias("term_id"),
         "term_name", "definition", "business_definition", "category", "domain",
         F.when(F.length("tags") > 0, F.split("tags", r"\|")).otherwise(F.array().cast("array<string>")).alias("tags"),
         F.lit("published").alias("status"),

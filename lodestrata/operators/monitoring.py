@@ -18,7 +18,7 @@ from lodestrata.operators.aggregates import (
 )
 from lodestrata.operators.profile import asset_criticality
 from lodestrata.operators.rules import within
-from lodestrata.operators.windows import first_after_silence, interval_join, latest_per_key, micros, rolling_mean
+from lodestrata.operators.windows import firings_with_cooldown, interval_join, latest_per_key, micros, rolling_mean
 
 # Words in an error message and the class they point to, in the order tried.
 ERROR_CLASSES = (
@@ -198,7 +198,7 @@ def incidents_from_failures(runs: DataFrame, open_incidents: DataFrame, as_of: C
     )
     known = open_incidents.filter(F.col("status") == "open").select("asset_name").distinct()
     return failures.join(known, "asset_name", "left_anti").select(
-        F.concat(F.lit("INC-"), F.substring(F.md5(F.concat_ws("|", "asset_name", "error_message")), 1, 12)).alias("incident_id"),
+        F.concat(F.lit("INC-"), F.md5(F.concat_ws("|", "asset_name", "error_message"))).alias("incident_id"),
         F.lit("pipeline_failure").alias("incident_type"),
         F.lit("high").alias("severity"),
         F.concat(F.lit("Pipeline Failure: "), "asset_name").alias("title"),
@@ -308,8 +308,8 @@ def evaluate_alerts(tables: Mapping[str, DataFrame], rules: Sequence[Mapping]) -
     """Rows meeting each rule's condition, reduced to firings outside the rule's cooldown.
 
     A rule names ``table``, ``condition``, ``ts``, ``entity`` and ``cooldown_minutes``. Rules
-    over one table with one cooldown share a scan; the firings of an entity are thinned per
-    time slot first, never ordered event by event.
+    over one table with one cooldown share a scan. The next firing of an entity comes with the first hit at
+    least the cooldown after its last firing, so a lasting failure is reported again and again.
     """
     groups: dict[tuple[str, int], list[Mapping]] = {}
     for r in rules:
@@ -329,7 +329,7 @@ def evaluate_alerts(tables: Mapping[str, DataFrame], rules: Sequence[Mapping]) -
     for (table, cooldown), members in groups.items():
         fired = F.array_compact(F.array(*[firing(r) for r in members]))
         hits = tables[table].select(F.inline(fired))
-        parts.append(first_after_silence(hits, ["alert_id", "severity", "entity"], "fired_at", cooldown))
+        parts.append(firings_with_cooldown(hits, ["alert_id", "severity", "entity"], "fired_at", cooldown))
     return union_all(parts)
 
 

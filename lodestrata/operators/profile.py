@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lodestrata.functions.hashing import hash_share
 from lodestrata.operators.aggregates import band, top_per_group, union_all
 
 # Keyword in a column name, in the order tried, and the meaning it gives.
@@ -47,17 +48,14 @@ def _scalar(f: T.StructField) -> bool:
     return not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.BinaryType))
 
 
-def sample_if_large(df: DataFrame, threshold: int = 1_000_000, fraction: float = 0.1, seed: int = 42) -> DataFrame:
-    """A Bernoulli sample of tables above ``threshold`` rows, smaller ones whole.
-
-    For quick looks only; profiles and scans read whole tables unless given a sample.
-    """
-    return df.sample(fraction=fraction, seed=seed) if df.count() > threshold else df
+def sample_rows(df: DataFrame, keys: Sequence[str], fraction: float) -> DataFrame:
+    """A Bernoulli sample by a hash of the key: the same rows at every run, of tables of any size."""
+    return df.filter(hash_share(keys) < fraction)
 
 
-def first_rows(df: DataFrame, n: int) -> DataFrame:
-    """Any ``n`` rows, for a preview."""
-    return df.limit(n)
+def first_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
+    """The first ``n`` rows in an order, for a preview."""
+    return df.orderBy(*order).limit(n)
 
 
 def column_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -134,12 +132,10 @@ def profile_columns(df: DataFrame, approximate: bool = False, rsd: float = 0.03)
     return out
 
 
-def top_values(df: DataFrame, columns: Sequence[str], n: int = 5, max_distinct: int = 100) -> DataFrame:
-    """Most frequent values of each low-cardinality column, all columns in one job."""
+def top_values(df: DataFrame, columns: Sequence[str], n: int = 5) -> DataFrame:
+    """The ``n`` most frequent values of every column, all columns in one job."""
     values = column_values(df, columns)
-    low = values.groupBy("column_name").agg(F.count(F.lit(1)).alias("d")).filter(F.col("d") < max_distinct)
-    kept = values.join(low.select("column_name"), "column_name", "left_semi")
-    return top_per_group(kept, ["column_name"], [F.col("n").desc(), F.col("value").asc_nulls_first()], n)
+    return top_per_group(values, ["column_name"], [F.col("n").desc(), F.col("value").asc_nulls_first()], n)
 
 
 def semantic_type(name: Column) -> Column:

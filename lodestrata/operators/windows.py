@@ -19,10 +19,10 @@ def rolling_mean(df: DataFrame, keys: Sequence[str], ts: str, value: str, minute
     """Mean of ``value`` over the last ``minutes`` up to each instant of a key.
 
     Readings are summed per key and instant first. A key's time line is cut into buckets as
-    long as the window, so a busy key is spread over many tasks. Inside a bucket the mean is
-    a running sum: an instant enters at its time and, as context of the next bucket, leaves
-    again once the window has passed it. That is linear in the readings, where a sliding
-    frame would add up its whole window anew for each of them.
+    long as the window, so a busy key is spread over many tasks. A window ends in its own bucket
+    and begins in the one before: its sum is the running sum of the own bucket plus the sum
+    from the window's start to the end of the bucket before. Nothing is ever subtracted, so no large
+    or undefined reading leaves a trace in windows that do not hold it.
     """
     span = minutes * 60 * 1_000_000
     instants = (
@@ -31,23 +31,21 @@ def rolling_mean(df: DataFrame, keys: Sequence[str], ts: str, value: str, minute
         .withColumn("_us", micros(F.col(ts)))
         .withColumn("_own", F.floor(F.col("_us") / span))
     )
-
-    def step(bucket, moment, sign: int, own: bool) -> Column:
-        return F.struct(
-            bucket.alias("_bucket"), moment.alias("_at"), (F.coalesce(F.col("_sum"), F.lit(0)) * sign).alias("_ds"),
-            (F.col("_n") * sign).alias("_dn"), F.lit(own).alias("_mine"),
-        )
-
-    us, own = F.col("_us"), F.col("_own")
-    steps = F.array(step(own, us, 1, True), step(own + 1, us, 1, False), step(own + 1, us + span + 1, -1, False))
-    running = Window.partitionBy(*keys, "_bucket").orderBy("_at")
-    total = F.sum("_ds").over(running).cast("double") / F.nullif(F.sum("_dn").over(running), F.lit(0))
-    return (
-        instants.select(*keys, ts, "_last", F.inline(steps))
-        .withColumn(name, total)
-        .filter("_mine")
-        .select(*keys, ts, F.col("_last").alias(value), name)
+    up = Window.partitionBy(*keys, "_own").orderBy("_us").rowsBetween(Window.unboundedPreceding, 0)
+    down = Window.partitionBy(*keys, "_own").orderBy(F.col("_us").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    sums = instants.withColumns(
+        {"_head": F.sum("_sum").over(up), "_head_n": F.sum("_n").over(up), "_tail": F.sum("_sum").over(down), "_tail_n": F.sum("_n").over(down)}
     )
+    # an instant serves its own bucket, and from the next one it is last seen one window later
+    seen = F.struct(F.col("_tail").alias("s"), F.col("_tail_n").alias("n"))
+    own = F.struct(F.col("_own").alias("_bucket"), F.col("_us").alias("_at"), F.lit(True).alias("_mine"), F.nullif(seen, seen).alias("_rest"))
+    later = F.struct((F.col("_own") + 1).alias("_bucket"), (F.col("_us") + span).alias("_at"), F.lit(False).alias("_mine"), seen.alias("_rest"))
+    back = Window.partitionBy(*keys, "_bucket").orderBy(F.col("_at").desc(), "_mine").rowsBetween(Window.unboundedPreceding, 0)
+    both = sums.select(*keys, ts, "_last", "_head", "_head_n", F.inline(F.array(own, later)))
+    met = both.withColumn("_before", F.last("_rest", ignorenulls=True).over(back)).filter("_mine")
+    rest, rest_n = F.col("_before.s"), F.coalesce(F.col("_before.n"), F.lit(0))
+    total = F.when(F.col("_head").isNull(), rest).when(rest.isNull(), F.col("_head")).otherwise(F.col("_head") + rest)
+    return met.select(*keys, ts, F.col("_last").alias(value), (total.cast("double") / F.nullif(F.col("_head_n") + rest_n, F.lit(0))).alias(name))
 
 
 def smoothed(df: DataFrame, keys: Sequence[str], ts: str, value: str, name: str = "smoothed") -> DataFrame:
@@ -104,45 +102,80 @@ def sessions(
     )
 
 
-def first_after_silence(df: DataFrame, keys: Sequence[str], ts: str, minutes: int) -> DataFrame:
-    """Instants that follow at least ``minutes`` of silence of their key (cooldown)."""
+def firings_with_cooldown(df: DataFrame, keys: Sequence[str], ts: str, minutes: int) -> DataFrame:
+    """Instants at which a key fires: its first, then each first one at least ``minutes`` after the last firing.
+
+    Each instant points to the first one that could fire after it. An instant after a silence of
+    the cooldown fires in any case; from those starts the pointers are followed, twice as far each
+    round, so a failure that lasts for n firings takes log2(n) rounds. Time is cut into slots as long as
+    the cooldown: pointers are found inside a slot, and only slots are ordered per key.
+    """
     gap = minutes * 60 * 1_000_000
+    instants = df.select(*keys, ts).distinct()
     if gap == 0:
-        return df.select(*keys, ts).distinct()
-    slots = df.groupBy(*keys, F.floor(micros(F.col(ts)) / gap).alias("_slot")).agg(
-        F.min(ts).alias(ts), F.max(ts).alias("_last")
+        return instants
+    us, slot = F.col("_us"), F.col("_slot")
+    placed = cut_lineage(instants.withColumn("_us", micros(F.col(ts))).withColumn("_slot", F.floor(us / gap)))
+    in_order = Window.partitionBy(*keys).orderBy("_slot")
+    slots = placed.groupBy(*keys, "_slot").agg(F.min("_us").alias("_lo"), F.max("_us").alias("_hi")).withColumns(
+        {
+            "_before": F.lag("_hi").over(in_order), "_next_slot": F.lead("_slot").over(in_order),
+            "_next": F.lead("_lo").over(in_order), "_second": F.lead("_lo", 2).over(in_order),
+        }
     )
-    w = Window.partitionBy(*keys).orderBy("_slot")
-    silence = micros(F.col(ts)) - F.lag(micros(F.col("_last"))).over(w)
-    return slots.withColumn("_silence", silence).filter("_silence IS NULL OR _silence >= " + str(gap)).select(*keys, ts)
-
-
-def interval_join(
-    points: DataFrame,
-    intervals: DataFrame,
-    ts: str,
-    start: str,
-    end: str,
-    bucket_minutes: int = 60,
-    on: Sequence[str] = (),
-    how: str = "inner",
-) -> DataFrame:
+    # within the next slot: the first instant at or after the end of the cooldown
+    none = F.lit(None).cast("long")
+    own = F.struct(slot.alias("_in"), us.alias("_at"), us.alias("_is"), none.alias("_for"))
+    asks = F.struct((slot + 1).alias("_in"), (us + gap).alias("_at"), none.alias("_is"), us.alias("_for"))
+    back = Window.partitionBy(*keys, "_in").orderBy(F.col("_at").desc(), F.col("_is").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
+    asked = placed.select(*keys, F.inline(F.array(own, asks))).withColumn("_found", F.last("_is", ignorenulls=True).over(back)).filter("_for IS NOT NULL")
+
+    def same(a: str, b: str, *more) -> object:
+        out = F.lit(True)
+        for k in keys:
+            out = out & F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}"))
+        for m in more:
+            out = out & m
+        return out
+
+    met = asked.alias("a").join(slots.alias("s"), same("a", "s", F.col("a._in") - 1 == F.col("s._slot")))
+    to = F.when(F.col("s._next_slot") == F.col("a._in"), F.coalesce(F.col("a._found"), F.col("s._second"))).otherwise(F.col("s._next"))
+    jump = cut_lineage(met.select(*[f"a.{k}" for k in keys], F.col("a._for").alias("_us"), to.alias("_to")).filter("_to IS NOT NULL"))
+    fired = slots.filter(f"_before IS NULL OR _lo - _before >= {gap}").select(*keys, F.col("_lo").alias("_us"))
+    while jump.limit(1).count():
+        further = fired.alias("f").join(jump.alias("j"), same("f", "j", F.col("f._us") == F.col("j._us")))
+        fired = cut_lineage(fired.unionAll(further.select(*[f"f.{k}" for k in keys], "j._to")).distinct())
+        twice = jump.alias("j").join(jump.alias("k"), same("j", "k", F.col("j._to") == F.col("k._us")))
+        jump = cut_lineage(twice.select(*[f"j.{k}" for k in keys], "j._us", "k._to"))
+    return placed.alias("p").join(fired.alias("f"), same("p", "f", F.col("p._us") == F.col("f._us")), "left_semi").select(*keys, ts)
+
+
+def interval_join(points: DataFrame, intervals: DataFrame, ts: str, start: str, end: str, bucket_minutes: int = 60, on: Sequence[str] = ()) -> DataFrame:
     """Points in ``[start, end]``: an equi-join on time buckets plus the exact check.
 
-    Intervals are repeated once per bucket they touch, points are not copied.
+    A NULL start or end is open. Intervals are cut to the time of the points; a longer interval
+    uses wider buckets (a power of two of ``bucket_minutes``), so that none touches more than three, and a point is
+    looked up once for each width that occurs (a few dozen at most).
     """
     width = bucket_minutes * 60 * 1_000_000
-
-    def bucket(c: Column) -> Column:
-        return F.floor(micros(c) / width)
-
-    spread = intervals.withColumn("_b", F.explode(F.sequence(bucket(F.col(start)), bucket(F.col(end)))))
-    left = points.withColumn("_pb", bucket(F.col(ts)))
-    cond = (F.col("_pb") == F.col("_b")) & (F.col(ts) >= F.col(start)) & (F.col(ts) <= F.col(end))
+    low, high = points.agg(F.min(micros(F.col(ts))), F.max(micros(F.col(ts)))).first()
+    if low is None:
+        low = high = 0
+    since = F.greatest(F.coalesce(micros(F.col(start)), F.lit(low)), F.lit(low))
+    until = F.least(F.coalesce(micros(F.col(end)), F.lit(high)), F.lit(high))
+    kept = intervals.withColumns({"_since": since, "_until": until}).filter("_since <= _until")
+    level = F.ceil(F.log2(F.greatest((F.col("_until") - F.col("_since")) / width, F.lit(1.0)))).cast("int")
+    kept = kept.withColumn("_level", level)
+    levels = sorted(r[0] for r in kept.select("_level").distinct().collect())
+    wide = lambda c, n: F.floor(c / (F.lit(float(width)) * F.pow(F.lit(2.0), n)))
+    spread = kept.withColumn("_b", F.explode(F.sequence(wide(F.col("_since"), F.col("_level")), wide(F.col("_until"), F.col("_level")))))
+    left = points.withColumn("_at", micros(F.col(ts))).withColumn("_pl", F.explode(F.array(*[F.lit(n) for n in levels or [0]])))
+    left = left.withColumn("_pb", wide(F.col("_at"), F.col("_pl")))
+    cond = (F.col("_pb") == F.col("_b")) & (F.col("_pl") == F.col("_level")) & (F.col("_at") >= F.col("_since")) & (F.col("_at") <= F.col("_until"))
     for name in on:
         spread = spread.withColumnRenamed(name, f"_i_{name}")
         cond = cond & (F.col(name) == F.col(f"_i_{name}"))
-    return left.join(spread, cond, how).drop("_pb", "_b", *[f"_i_{n}" for n in on])
+    return left.join(spread, cond).drop("_at", "_pl", "_pb", "_b", "_level", "_since", "_until", *[f"_i_{n}" for n in on])
 
 
 def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:

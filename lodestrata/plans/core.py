@@ -425,7 +425,7 @@ def gold_fact_premium_invoice(spark, sf):
 
 
 @query("gold_keyed_dimension", """
-SELECT ('0x' || substr(md5('POL' || o_orderkey), 1, 15))::BIGINT AS dim_policy_key, 'POL' || o_orderkey AS policy_number, o_orderstatus AS policy_status,
+SELECT md5('POL' || o_orderkey) AS dim_policy_key, 'POL' || o_orderkey AS policy_number, o_orderstatus AS policy_status,
        o_totalprice AS premium_amount FROM orders WHERE o_orderkey % 4 <> 0""")
 def gold_keyed_dimension(spark, sf):
     return gold.keyed_dimension(silver_policy(spark, sf), ["policy_number"], ["policy_number", "policy_status", "premium_amount"], "dim_policy_key")
@@ -585,21 +585,20 @@ def tagged_union_distinct(spark, sf):
 
 
 @query("rolling_average", """
-WITH i AS (SELECT user_id, ts, sum(CAST(value AS DECIMAL(18,2))) AS s, count(*) AS n, max(CAST(value AS DECIMAL(18,2))) AS v FROM events GROUP BY user_id, ts)
-SELECT user_id, ts, CAST(v AS DOUBLE) AS value, CAST(sum(s) OVER w AS DOUBLE) / CAST(sum(n) OVER w AS BIGINT) AS rolling_avg FROM i
+WITH i AS (SELECT user_id, ts, sum(value) AS s, count(*) AS n, max(value) AS v FROM events GROUP BY user_id, ts)
+SELECT user_id, ts, v AS value, round(sum(s) OVER w / CAST(sum(n) OVER w AS BIGINT), 6) AS rolling_avg FROM i
 WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 360 MINUTES PRECEDING AND CURRENT ROW)""")
 def rolling_average(spark, sf):
-    ev = table(spark, sf, "events").select("user_id", "ts", F.col("value").cast("decimal(18,2)").alias("value"))
-    return plain(windows.rolling_mean(ev, ["user_id"], "ts", "value", 360))
+    rolled = windows.rolling_mean(table(spark, sf, "events"), ["user_id"], "ts", "value", 360)
+    return rolled.withColumn("rolling_avg", F.round("rolling_avg", 6))
 
 
 @query("smoothed_usage", """
-WITH i AS (SELECT user_id, ts, sum(CAST(value AS DECIMAL(18,2))) AS s, count(*) AS n, max(CAST(value AS DECIMAL(18,2))) AS v FROM events GROUP BY user_id, ts)
-SELECT user_id, ts, CAST(v AS DOUBLE) AS value, CAST(sum(s) OVER w AS DOUBLE) / CAST(sum(n) OVER w AS BIGINT) * CAST(0.7 AS DOUBLE) + CAST(v AS DOUBLE) * CAST(0.3 AS DOUBLE) AS smoothed FROM i
+WITH i AS (SELECT user_id, ts, sum(value) AS s, count(*) AS n, max(value) AS v FROM events GROUP BY user_id, ts)
+SELECT user_id, ts, v AS value, round(sum(s) OVER w / CAST(sum(n) OVER w AS BIGINT) * 0.7::DOUBLE + v * 0.3::DOUBLE, 6) AS smoothed FROM i
 WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 60 MINUTES PRECEDING AND CURRENT ROW)""")
 def smoothed_usage(spark, sf):
-    ev = table(spark, sf, "events").select("user_id", "ts", F.col("value").cast("decimal(18,2)").alias("value"))
-    return plain(windows.smoothed(ev, ["user_id"], "ts", "value"))
+    return windows.smoothed(table(spark, sf, "events"), ["user_id"], "ts", "value").withColumn("smoothed", F.round("smoothed", 6))
 
 
 @query("dense_surrogate_key", "SELECT c_custkey, row_number() OVER (ORDER BY c_name, c_custkey) AS customer_sk FROM customer")
@@ -630,16 +629,17 @@ def latest_series_pivot(spark, sf):
     return agg.latest_values(table(spark, sf, "events"), "event_type", "value", "ts", {"view": "view_value", "click": "click_value"})
 
 
-@query("bernoulli_sample")
+@query("bernoulli_sample", """
+SELECT l_orderkey, l_linenumber FROM lineitem WHERE ('0x' || substr(md5(l_orderkey || '||' || l_linenumber), 1, 8))::BIGINT < 0.1 * 4294967296""")
 def bernoulli_sample(spark, sf):
-    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
-    return profile.sample_if_large(lines, threshold=1000, fraction=0.1, seed=42)
+    return profile.sample_rows(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber"), ["l_orderkey", "l_linenumber"], 0.1)
 
 
-@query("preview_rows", "SELECT least(1000, count(*)) AS n FROM lineitem")
+@query("preview_rows", "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem ORDER BY l_orderkey, l_linenumber LIMIT 1000")
 def preview_rows(spark, sf):
-    """A limit sample, reported as its size."""
-    return profile.first_rows(table(spark, sf, "lineitem"), 1000).agg(F.count("*").alias("n"))
+    """The first thousand rows in the order of the key."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    return profile.first_rows(lines, ["l_orderkey", "l_linenumber"], 1000)
 
 
 @query("row_hash_columns", """

@@ -48,7 +48,8 @@ def analysis_tables(spark, sf):
 
 
 STATS_SQL = """st AS (SELECT page_id, length(html) AS char_count, CAST((length(html) - length(replace(html, '<p>', ''))) / 3 AS INTEGER) AS page_count, 0 AS table_count,
-  CASE WHEN length(url) > 50 THEN 'high' WHEN length(url) > 20 THEN 'medium' ELSE 'low' END AS processing_quality FROM pages WHERE length(html) > 100 AND length(html) < 50000)"""
+  CASE WHEN length(url) > 50 THEN 'high' WHEN length(url) > 20 THEN 'medium' ELSE 'low' END AS processing_quality,
+  CASE WHEN length(html) <= 100 THEN 'short' WHEN length(html) < 50000 THEN 'usable' ELSE 'long' END AS length_band FROM pages)"""
 
 
 def _statistics(spark, sf):
@@ -56,9 +57,9 @@ def _statistics(spark, sf):
     return documents.document_statistics(table(spark, sf, "pages"), "html", "url", pages, F.lit(0))
 
 
-@query("document_statistics", "WITH " + STATS_SQL + " SELECT page_id, CAST(char_count AS INTEGER) AS char_count, page_count, table_count, processing_quality FROM st")
+@query("document_statistics", "WITH " + STATS_SQL + " SELECT page_id, CAST(char_count AS INTEGER) AS char_count, page_count, table_count, length_band, processing_quality FROM st")
 def document_statistics(spark, sf):
-    return _statistics(spark, sf).select("page_id", "char_count", "page_count", "table_count", "processing_quality")
+    return _statistics(spark, sf).select("page_id", "char_count", "page_count", "table_count", "length_band", "processing_quality")
 
 
 @query("document_quality_distribution", "WITH " + STATS_SQL + " SELECT processing_quality, count(*) AS document_count FROM st GROUP BY processing_quality")

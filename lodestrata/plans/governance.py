@@ -80,7 +80,7 @@ def definition_policy_scan(spark, sf):
 
 
 @query("all_policy_violations", ALL + """
-SELECT DISTINCT policy_name, 'VIO_' || substr(md5(policy_name || '|' || full_path), 1, 12) AS violation_id, severity, full_path FROM vio""")
+SELECT DISTINCT policy_name, 'VIO_' || md5(policy_name || '|' || full_path) AS violation_id, severity, full_path FROM vio""")
 def all_policy_violations(spark, sf):
     return violations(spark, sf).select("policy_name", "violation_id", "severity", "full_path")
 

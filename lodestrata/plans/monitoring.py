@@ -90,7 +90,7 @@ def _open_incidents(spark, sf):
 
 @query("incidents_from_failures", with_sql(RUNS, ASSETS, f"""f AS (SELECT DISTINCT asset_name, error_message FROM runs WHERE status = 'failed' AND start_time >= {NOW_SQL} - INTERVAL 48 HOURS
   AND asset_name NOT IN (SELECT asset_name FROM assets WHERE asset_id % 3 = 0))""") + f"""
-SELECT 'INC-' || substr(md5(asset_name || '|' || error_message), 1, 12) AS incident_id, 'pipeline_failure' AS incident_type, 'high' AS severity, 'Pipeline Failure: ' || asset_name AS title,
+SELECT 'INC-' || md5(asset_name || '|' || error_message) AS incident_id, 'pipeline_failure' AS incident_type, 'high' AS severity, 'Pipeline Failure: ' || asset_name AS title,
   asset_name, {_class_sql('error_message', monitoring.ERROR_CLASSES)} AS error_category FROM f""")
 def incidents_from_failures(spark, sf):
     return monitoring.incidents_from_failures(b.runs(spark, sf), _open_incidents(spark, sf), at(NOW), "48 HOURS")
@@ -214,9 +214,10 @@ def monitoring_cycle(spark, sf):
 
 
 @query("alert_rules_with_cooldown", """
-WITH hits AS (SELECT DISTINCT 'ALR001' AS alert_id, 'critical' AS severity, CAST(user_id AS VARCHAR) AS entity, ts AS fired_at FROM events WHERE event_type = 'error'),
- c AS (SELECT *, fired_at - lag(fired_at) OVER (PARTITION BY entity ORDER BY fired_at) AS silence FROM hits)
-SELECT alert_id, severity, entity, fired_at FROM c WHERE silence IS NULL OR silence >= INTERVAL 720 MINUTES
+WITH RECURSIVE hits AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS entity, ts AS fired_at FROM events WHERE event_type = 'error'),
+ fired AS (SELECT entity, min(fired_at) AS fired_at FROM hits GROUP BY entity
+   UNION ALL SELECT h.entity, min(h.fired_at) FROM fired f JOIN hits h ON h.entity = f.entity AND h.fired_at >= f.fired_at + INTERVAL 720 MINUTES GROUP BY h.entity)
+SELECT 'ALR001' AS alert_id, 'critical' AS severity, entity, fired_at FROM fired
 UNION ALL SELECT DISTINCT 'ALR005', 'high', CAST(user_id AS VARCHAR), ts FROM events WHERE value > 150""")
 def alert_rules_with_cooldown(spark, sf):
     rules = [

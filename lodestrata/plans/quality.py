@@ -194,9 +194,8 @@ def column_profiles_approximate(spark, sf):
 @query("column_top_values", """
 WITH v AS (SELECT 'o_orderstatus' AS column_name, o_orderstatus AS value, count(*) AS n FROM orders GROUP BY ALL
   UNION ALL SELECT 'o_orderpriority', o_orderpriority, count(*) FROM orders GROUP BY ALL
-  UNION ALL SELECT 'o_custkey', CAST(o_custkey AS VARCHAR), count(*) FROM orders GROUP BY ALL),
- k AS (SELECT column_name FROM v GROUP BY column_name HAVING count(*) < 100)
-SELECT column_name, value, n, CAST(r AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY n DESC, value) AS r FROM v WHERE column_name IN (SELECT column_name FROM k)) WHERE r <= 5""")
+  UNION ALL SELECT 'o_custkey', CAST(o_custkey AS VARCHAR), count(*) FROM orders GROUP BY ALL)
+SELECT column_name, value, n, CAST(r AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY n DESC, value) AS r FROM v) WHERE r <= 5""")
 def column_top_values(spark, sf):
     return profile.top_values(table(spark, sf, "orders"), ["o_orderstatus", "o_orderpriority", "o_custkey"]).withColumnRenamed("_rank", "rank")
 

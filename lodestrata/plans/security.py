@@ -42,7 +42,7 @@ REGISTRY = [
     _entry("email", "email_mask", roles='["marketing"]'),
     _entry("phone", "phone_mask", roles='["service"]'),
     _entry("name", "pseudonymize", '{"prefix":"FN"}', '["claims_admin"]'),
-    _entry("card", "hash_sha256"),
+    _entry("card", "hash_sha256", '{"salt":"of this query"}'),
     _entry("address", "generalize", '{"keep_chars":4}'),
     _entry("born", "date_shift", '{"shift_days_range":30,"entity_column":"id"}'),
 ]
@@ -52,7 +52,7 @@ MASK_SQL = {
     "email": "substring(email, 1, 2) || '***@' || split_part(email, '@', 2)",
     "phone": "'***-***-' || right(phone, 4)",
     "name": "'FN_' || substr(md5(name), 1, 8)",
-    "card": "sha256(card || '||ins_fabric_2024')",
+    "card": "sha256(card || '||of this query')",
     "address": "substring(address, 1, 4)",
     "born": f"born + {OFFSET_SQL}",
 }
@@ -64,14 +64,14 @@ def static_masking(spark, sf):
 
 
 @query("mask_strategies", with_sql(PERSON_SQL) + """
-SELECT id, '***REDACTED***' AS redacted, CAST(NULL AS VARCHAR) AS nulled, 'TKN_' || substr(sha256(ssn || '||token_salt'), 1, 16) AS token,
-  translate(substr(sha256(ssn || 'fpe_key'), 1, length(ssn)), 'abcdef', '012345') AS preserved, regexp_replace(ssn, '[0-9]', '9', 'g') AS shape FROM person""")
+SELECT id, '***REDACTED***' AS redacted, CAST(NULL AS VARCHAR) AS nulled, 'TKN_' || substr(sha256(ssn || '||of this query'), 1, 16) AS token,
+  translate(substr(sha256(ssn || 'of this query'), 1, length(ssn)), 'abcdef', '012345') AS preserved, regexp_replace(ssn, '[0-9]', '9', 'g') AS shape FROM person""")
 def mask_strategies(spark, sf):
     ssn = F.col("ssn")
-    kept = masks.format_keeping(ssn, {})
+    kept = masks.format_keeping(ssn, {"key": "of this query"})
     return _person(spark, sf).select(
-        "id", masks.full_redact(ssn, {}).alias("redacted"), masks.null_out(ssn, {}).alias("nulled"), masks.tokenize(ssn, {}).alias("token"),
-        masks.format_preserving(ssn, {}).alias("preserved"), F.regexp_replace(kept, "[0-9]", "9").alias("shape"),
+        "id", masks.full_redact(ssn, {}).alias("redacted"), masks.null_out(ssn, {}).alias("nulled"), masks.tokenize(ssn, {"salt": "of this query"}).alias("token"),
+        masks.format_preserving(ssn, {"key": "of this query"}).alias("preserved"), F.regexp_replace(kept, "[0-9]", "9").alias("shape"),
     )
 
 

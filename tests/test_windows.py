@@ -35,10 +35,34 @@ def test_session_boundary_equals_session_window(spark, gap, want):
 
 def test_cooldown(spark):
     df = minutes(spark, [("a", m, 1) for m in (0, 3, 6, 20, 29, 45)])
-    fired = sorted(r.ts for r in w.first_after_silence(df, ["k"], "ts", 10).collect())
+    fired = sorted(r.ts for r in w.firings_with_cooldown(df, ["k"], "ts", 10).collect())
     assert fired == [T0 + dt.timedelta(minutes=m) for m in (0, 20, 45)]
 
 
+def test_a_lasting_failure_fires_after_each_cooldown(spark):
+    every_minute = minutes(spark, [("a", m, 1) for m in range(180)])
+    assert w.firings_with_cooldown(every_minute, ["k"], "ts", 5).count() == 36
+    random.seed(4)
+    data = [(k, m) for k in (None, "x", "y") for m in sorted(random.sample(range(3000), 250))]
+    expected = []
+    for key in (None, "x", "y"):
+        last = None
+        for k, m in data:
+            if k == key and (last is None or m >= last + 37):
+                expected.append((str(key), T0 + dt.timedelta(minutes=m)))
+                last = m
+    got = w.firings_with_cooldown(minutes(spark, [(k, m, 1) for k, m in data]), ["k"], "ts", 37).collect()
+    assert sorted((str(r.k), r.ts) for r in got) == sorted(expected)
+
+
+def test_large_and_undefined_readings_leave_no_trace(spark):
+    df = minutes(spark, [("a", 1, 1e17), ("a", 59, 3), ("a", 75, 1), ("b", 1, float("nan")), ("b", 59, 3), ("b", 75, 1), ("b", 30, float("inf"))])
+    got = {(r.k, r.ts.hour * 60 + r.ts.minute): r.rolling_avg for r in w.rolling_mean(df, ["k"], "ts", "v", 60).collect()}
+    assert got["a", 75] == 2.0 and np.isnan(got["b", 59]) and np.isinf(got["b", 75])
+    after = w.rolling_mean(df, ["k"], "ts", "v", 20).filter("k = 'b'").collect()
+    assert sorted(r.rolling_avg for r in after)[:2] == [2.0, 3.0]
+
+
 def test_interval_join(spark):
     shifts = spark.createDataFrame(
         [("day", T0, T0 + dt.timedelta(hours=9)), ("night", T0 + dt.timedelta(hours=9), T0 + dt.timedelta(hours=30))], "name string, s timestamp_ntz, e timestamp_ntz"
@@ -47,6 +71,16 @@ def test_interval_join(spark):
     assert sorted((r.k, r.name) for r in met.collect()) == [("a", "day"), ("b", "day"), ("b", "night")]
 
 
+def test_open_and_far_intervals_give_all_their_rows(spark):
+    at = lambda m: T0 + dt.timedelta(minutes=m)
+    rows = [("open", at(60), None), ("far", at(500), dt.datetime(9999, 12, 31)), ("since ever", None, at(60)), ("gone", at(-900), at(-800)), ("point", at(540), at(540)), ("always", None, None)]
+    intervals = spark.createDataFrame(rows, "name string, s timestamp_ntz, e timestamp_ntz")
+    points = [0, 60, 61, 499, 500, 540, 1900]
+    met = w.interval_join(minutes(spark, [(str(m), m, 1) for m in points]), intervals, "ts", "s", "e")
+    expected = [(str(m), n) for m in points for n, s, e in rows if (s is None or s <= at(m)) and (e is None or at(m) <= e)]
+    assert sorted((r.k, r.name) for r in met.collect()) == sorted(expected)
+
+
 def test_positions_within_a_hot_key(spark):
     df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 2).alias("k"), (F.col("id") * 7 % 3001).alias("o"))
     got = w.number_rows(df, ["k"], ["o"], "n").collect()
