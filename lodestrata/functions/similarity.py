@@ -13,22 +13,29 @@ def ratio(a: Column, b: Column) -> Column:
     return F.when((F.length(a) > 0) & (F.length(b) > 0), value).otherwise(F.lit(0.0))
 
 
-def join_tokens(text: Column, min_ratio: int) -> Column:
-    """Prefix-filter tokens: two texts with ``ratio >= min_ratio`` share at least one.
+def bigrams(text: Column) -> Column:
+    """Hashes of the distinct pairs of neighbouring characters of the padded text."""
+    n = F.length(text)
+    padded = F.concat(F.lit("^"), text, F.lit("$"))
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), n + 1), lambda i: F.xxhash64(F.substr(padded, i, F.lit(2)))))
+
+
+def prefix_size(text: Column, distinct: Column, min_ratio: int) -> Column:
+    """How many tokens in one global order suffice: two texts with ``ratio >= min_ratio`` share one of them.
 
     A padded text of length n has n + 1 bigrams and one edit touches at most two of them, so
     two texts within k edits share ``m + 1 - 2k`` bigrams, m being the longer length; with
     k at most ``(1 - min_ratio/100) * m`` that is never less than the same formula for the
     shorter text. Repeats are dropped, which can cost a text no more shared bigrams than it
-    had repeats. With all bigrams in one global order (their hash), both texts must then
-    share one among their first ``distinct - shared + 1``.
+    had repeats. Both texts must then share one among their first ``distinct - shared + 1``.
     """
     n = F.length(text)
-    padded = F.concat(F.lit("^"), text, F.lit("$"))
-    hashes = F.transform(F.sequence(F.lit(1), n + 1), lambda i: F.xxhash64(F.substr(padded, i, F.lit(2))))
-    tokens = F.sort_array(F.array_distinct(hashes))
     edits_share = 2 * (100 - min_ratio) / 100.0
     bag_shared = F.ceil(n + 1 - n * F.lit(edits_share) - F.lit(1e-9))
-    repeats = n + 1 - F.size(tokens)
-    shared = F.greatest(bag_shared - repeats, F.lit(1))
-    return F.when(n > 0, F.slice(tokens, F.lit(1), (F.size(tokens) - shared + 1).cast("int")))
+    shared = F.greatest(bag_shared - (n + 1 - distinct), F.lit(1))
+    return (distinct - shared + 1).cast("int")
+
+
+def lengths_fit(a: Column, b: Column, min_ratio: int) -> Column:
+    """Whether texts of these lengths can reach ``min_ratio``: the difference alone takes as many edits."""
+    return F.least(F.length(a), F.length(b)) * 100 >= F.greatest(F.length(a), F.length(b)) * min_ratio

@@ -23,9 +23,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.functions.cleansing import digits_key, match_text, standard_address, standard_zip
-from lodestrata.functions.similarity import join_tokens, ratio
+from lodestrata.functions.similarity import bigrams, lengths_fit, prefix_size, ratio
 from lodestrata.operators.history import keep_latest
-from lodestrata.session import cut_lineage
+from lodestrata.session import cut_lineage, release
 
 MATCH = 70
 # Sources from most to least trusted.
@@ -113,46 +113,41 @@ def _groups(nodes: DataFrame, fields: Sequence[str]) -> tuple[DataFrame, DataFra
     return heads, stars
 
 
-def _tokens(heads: DataFrame, block: Sequence[str], text: str, min_ratio: int, second: tuple[str, int] | None, busy: int) -> DataFrame:
-    """Join keys inside a block: none for blocks of up to ``busy`` heads, tokens beyond.
+def _tokens(heads: DataFrame, block: Sequence[str], text: str, min_ratio: int) -> DataFrame:
+    """Heads with ``_prefix``: their rarest tokens, of which two similar ones share at least one.
 
-    A block with one head has nothing to link and is dropped; a small block is compared
-    directly, at most ``busy`` times ``busy`` comparisons. In a larger one heads meet only on
-    a shared token, and where a second text must be similar too, on tokens of both.
+    A block with one head has nothing to link and is dropped.
     """
-    sizes = heads.groupBy(*block).agg(F.count("*").alias("_n")).filter("_n > 1")
-    marked = heads.join(sizes, list(block))
-    none = F.array(F.lit(0).cast("bigint"))
-
-    def keys(column: str, limit: int) -> Column:
-        return F.explode(F.when(F.col("_n") > busy, join_tokens(F.col(column), limit)).otherwise(none))
-
-    marked = marked.withColumn("token", keys(text, min_ratio))
-    other = keys(*second) if second else F.lit(0).cast("bigint")
-    return marked.withColumn("token2", other).drop("_n")
-
-
-def _similar(
-    heads: DataFrame,
-    block: Sequence[str],
-    text: str,
-    min_ratio: int,
-    test: Column | None = None,
-    second: tuple[str, int] | None = None,
-    busy: int = 50,
-) -> DataFrame:
-    """Links between heads of one block whose ``text`` is similar enough and that pass ``test``."""
-    tokens = _tokens(heads, block, text, min_ratio, second, busy)
+    sizes = heads.groupBy(*block).agg(F.count("*").alias("_n")).filter("_n > 1").drop("_n")
+    marked = heads.join(sizes, list(block)).filter(F.length(text) > 0)
+    each = marked.select("head", F.explode(bigrams(F.col(text))).alias("_token"))
+    often = each.groupBy("_token").agg(F.count("*").alias("_times"))
+    order = F.sort_array(F.collect_list(F.struct("_times", "_token")))
+    tokens = each.join(often, "_token").groupBy("head").agg(F.transform(order, lambda x: x["_token"]).alias("_all"))
+    prefix = F.slice("_all", F.lit(1), prefix_size(F.col(text), F.size("_all"), min_ratio))
+    return marked.join(tokens, "head").withColumn("_prefix", prefix).drop("_all")
+
+
+def _similar(heads: DataFrame, block: Sequence[str], text: str, min_ratio: int, test: Column | None = None) -> DataFrame:
+    """Links between heads of one block whose ``text`` is similar enough and that pass ``test``.
+
+    Heads meet on a shared rare token; a pair goes on only at its first one and if the lengths fit,
+    so it is compared once.
+    """
+    tokens = _tokens(heads, block, text, min_ratio).withColumn("token", F.explode("_prefix"))
     cond = F.col("a.head") > F.col("b.head")
-    for c in (*block, "token", "token2"):
+    for c in (*block, "token"):
         cond = cond & (F.col(f"a.{c}") == F.col(f"b.{c}"))
-    cond = cond & (ratio(F.col(f"a.{text}"), F.col(f"b.{text}")) >= min_ratio)
+    a, b = F.col(f"a.{text}"), F.col(f"b.{text}")
+    cond = cond & lengths_fit(a, b, min_ratio)
+    cond = cond & (F.element_at(F.array_intersect("a._prefix", "b._prefix"), 1) == F.col("a.token"))
+    cond = cond & (ratio(a, b) >= min_ratio)
     if test is not None:
         cond = cond & test
     return tokens.alias("a").join(tokens.alias("b"), cond).select(F.col("a.head").alias("src"), F.col("b.head").alias("dst"))
 
 
-def match_links(nodes: DataFrame, busy: int = 50) -> DataFrame:
+def match_links(nodes: DataFrame) -> DataFrame:
     """Links (src > dst) between profiles whose components are those of all matching pairs.
 
     Beside the number a match needs 30 points. With the same birth date that is any of: a
@@ -176,11 +171,11 @@ def match_links(nodes: DataFrame, busy: int = 50) -> DataFrame:
         star_address,
         star_email,
         star_apart,
-        _similar(by_name, [ssn, dob], name, 60, busy=busy),
-        _similar(by_address, [ssn, dob], address, 70, busy=busy),
-        _similar(by_email, [ssn, dob, email], address, 50, busy=busy),
-        _similar(apart, [ssn], name, 80, alike(address) >= 70, (address, 70), busy),
-        _similar(mailed, [ssn, email], name, 60, either, busy=busy),
+        _similar(by_name, [ssn, dob], name, 60),
+        _similar(by_address, [ssn, dob], address, 70),
+        _similar(by_email, [ssn, dob, email], address, 50),
+        _similar(apart, [ssn], name, 80, alike(address) >= 70),
+        _similar(mailed, [ssn, email], name, 60, either),
     ]
     out = parts[0]
     for p in parts[1:]:
@@ -198,31 +193,32 @@ def scored_links(nodes: DataFrame, links: DataFrame) -> DataFrame:
     )
 
 
-def connected_components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(links: DataFrame) -> DataFrame:
     """(node, component) with the smallest node of each component as its name.
 
     Alternating large-star and small-star rounds: both only aggregate a minimum per node
     and join it back (one row per node), so no task ever holds the neighbours of a hub.
-    Each round ends in a checkpoint; the loop ends when a round changes nothing.
+    Each round ends in a stored table, which replaces the one before; the loop ends when a round
+    changes nothing.
     """
     edges = cut_lineage(
         links.select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).filter("u <> v").distinct()
     )
     before = None
-    for _ in range(max_rounds):
+    while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
         large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = cut_lineage(moved.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
+        old, edges = edges, cut_lineage(moved.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
+        release(old)
         # three numbers reach the driver: the fingerprint of the edge set
         state = tuple(edges.agg(F.count("*"), F.sum("u"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if state == before:
             roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
         before = state
-    raise RuntimeError("components did not settle")
 
 
 def resolve(records: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lodestrata.session import cut_lineage
+from lodestrata.session import cut_lineage, release
 
 
 def micros(ts: Column) -> Column:
@@ -144,9 +144,12 @@ def firings_with_cooldown(df: DataFrame, keys: Sequence[str], ts: str, minutes:
     fired = slots.filter(f"_before IS NULL OR _lo - _before >= {gap}").select(*keys, F.col("_lo").alias("_us"))
     while jump.limit(1).count():
         further = fired.alias("f").join(jump.alias("j"), same("f", "j", F.col("f._us") == F.col("j._us")))
+        old = fired, jump
         fired = cut_lineage(fired.unionAll(further.select(*[f"f.{k}" for k in keys], "j._to")).distinct())
         twice = jump.alias("j").join(jump.alias("k"), same("j", "k", F.col("j._to") == F.col("k._us")))
         jump = cut_lineage(twice.select(*[f"j.{k}" for k in keys], "j._us", "k._to"))
+        for table in old:
+            release(table)
     return placed.alias("p").join(fired.alias("f"), same("p", "f", F.col("p._us") == F.col("f._us")), "left_semi").select(*keys, ts)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,8 +43,8 @@ def build_session(
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, taken from ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a folder of its own; on a cluster a
-    machine-local folder would be lost with the executor, so that is an error.
+    Where that is not set, only a session of one process (master ``local`` or ``local[n]``, as in tests) gets a
+    folder of its own; anywhere else its files would be out of the other executors' reach, so that is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -51,12 +52,15 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     if context.getCheckpointDir():
         return context.getCheckpointDir()
-    if not context.master.startswith("local"):
+    if context.master != "local" and not context.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="lodestrata-"))
     return context.getCheckpointDir()
 
 
+_stored: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Store ``df`` as a table in the shared folder and read it back.
 
@@ -65,4 +69,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     path = f"{shared_folder(df.sparkSession)}/steps/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    _stored[stored] = path
+    return stored
+
+
+def release(stored: DataFrame) -> None:
+    """Delete the table behind a result of :func:`cut_lineage` that nothing will read again."""
+    path = _stored.pop(stored, None)
+    if path:
+        context = stored.sparkSession.sparkContext
+        where = context._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -10,7 +11,8 @@ from lodestrata.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("tests", "local[8]", 8, **{"spark.ui.enabled": "false", "spark.driver.memory": "6g"})
+    folder = tempfile.mkdtemp(prefix="lodestrata-tests-")
+    session = build_session("tests", "local[8]", 8, **{"spark.checkpoint.dir": folder, "spark.ui.enabled": "false", "spark.driver.memory": "6g"})
     session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()

@@ -5,7 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from lodestrata.functions.similarity import join_tokens, ratio
+from lodestrata.functions.similarity import ratio
 from lodestrata.operators import identity
 
 
@@ -28,11 +28,10 @@ words = st.text(alphabet="ABC ", min_size=1, max_size=12)
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(words, min_size=8, max_size=25, unique=True), st.sampled_from([50, 60, 70]))
 def test_tokens_lose_no_similar_pair(spark, texts, limit):
-    df = spark.createDataFrame([(t,) for t in texts], "t string").withColumn("k", F.explode(join_tokens(F.col("t"), limit)))
-    a, b = df.alias("a"), df.alias("b")
-    met = {tuple(r) for r in a.join(b, F.expr("a.k = b.k AND a.t < b.t")).select("a.t", "b.t").distinct().collect()}
-    need = {(x, y) for x in texts for y in texts if x < y and alike(x, y) >= limit}
-    assert need <= met
+    heads = spark.createDataFrame([(k, "x", t) for k, t in enumerate(texts)], "head long, block string, t string")
+    met = sorted((r.dst, r.src) for r in identity._similar(heads, ["block"], "t", limit).collect())
+    need = sorted((i, j) for i, x in enumerate(texts) for j, y in enumerate(texts) if i < j and alike(x, y) >= limit)
+    assert met == need
 
 
 def test_ratio(spark):
@@ -121,6 +120,3 @@ def test_shared_number_against_all_pairs(spark):
     want = {k: k for k in range(90)} | components([tuple(p) for p in pairs])
     got = {r.record_key: r.golden_record_id for r in identity.resolve(df).collect()}
     assert got == want
-    nodes = identity.profiles(clean)
-    plain, busy = (sorted(tuple(r) for r in identity.match_links(nodes, limit).collect()) for limit in (10**6, 2))
-    assert plain == busy and plain
