@@ -127,7 +127,7 @@ def conditional_update(df: DataFrame, condition: Column, values: Mapping[str, Co
 
 def conditional_delete(df: DataFrame, condition: Column) -> DataFrame:
     """Drop rows meeting ``condition``; rows where it is NULL stay, as in SQL DELETE."""
-    return df.filter(~F.coalesce(condition, F.lit(False)))
+    return df.filter(~condition | condition.isNull())
 
 
 def keep_max_per_group(df: DataFrame, keys: Sequence[str], id_col: str) -> DataFrame:
@@ -249,8 +249,11 @@ def find_date_column(schema: T.StructType, candidates: Sequence[str] = DATE_COLU
 def split_expired(df: DataFrame, date_col: str, as_of: Column, retention_days: int) -> tuple[DataFrame, DataFrame]:
     """(kept, expired) by age; a row without a date is kept."""
     cutoff = F.date_sub(as_of.cast("date"), retention_days)
-    expired = F.coalesce(F.col(date_col).cast("date") < cutoff, F.lit(False))
-    return df.filter(~expired), df.filter(expired)
+    kind = df.schema[date_col].dataType
+    # the bare column on one side, so that the scan can skip what the other side rules out
+    dated = F.col(date_col) if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)) else F.col(date_col).cast("date")
+    cutoff = cutoff.cast(kind) if isinstance(kind, (T.TimestampType, T.TimestampNTZType)) else cutoff
+    return df.filter((dated >= cutoff) | dated.isNull()), df.filter(dated < cutoff)
 
 
 def archive_rows(expired: DataFrame, at: Column, snapshot: bool = False) -> DataFrame:

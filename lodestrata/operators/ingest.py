@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lodestrata.functions.hashing import business_columns, row_hash
-from lodestrata.operators.history import conditional_update
+from lodestrata.operators.history import conditional_update, keep_latest
 from lodestrata.sources import readers
 from lodestrata.sources.writers import write_load
 
@@ -121,9 +121,12 @@ def run_ingestion(
 ) -> DataFrame:
     """Run every rule and return the execution log; a failing rule does not stop the rest.
 
-    One Spark job per rule: the row count and the new watermark are observed while writing.
-    De-duplication happens before the write and before the count. Only rule rows (tens of
-    them) are on the driver.
+    An incremental load takes up where its target ends: the mark is the target's largest value, or the rule's where
+    nothing is loaded yet, so it is stored with the rows and neither can be without the other. Each
+    incremental load is a partition of its own, named by the execution; running an execution again replaces its rows
+    and starts from where the others end. One Spark job per rule writes; the row count and the new mark are
+    observed meanwhile. De-duplication keeps the row with the largest increment (then the largest hash)
+    and happens before the write and the count. Only rule rows (tens of them) are on the driver.
     """
     log = []
     for rule in rules:
@@ -131,22 +134,66 @@ def run_ingestion(
         if rule.get("ingestion_mode") == "streaming":
             continue
         try:
+            path = f"{target_folder}/{rule['target_table']}"
+            mark_col, steps = rule.get("incremental_column"), rule.get("ingestion_mode") == "incremental"
+            if mark_col and steps:
+                done = _mark_of_others(spark, path, mark_col, execution_id)
+                rule = {**rule, "incremental_value": done if done is not None else rule.get("incremental_value")}
             df = READERS[rule["source_type"]](spark, rule)
             df = apply_mapping(df, mappings.get(rule_id, ()))
             if rule.get("schema_enforcement") and rule.get("expected_columns"):
                 df = enforce_schema(df, rule["expected_columns"], rule["schema_enforcement"])
-            mark_col = rule.get("incremental_column")
-            if mark_col and rule.get("incremental_value") and rule["source_type"] != "jdbc":
-                df = df.filter(F.col(mark_col) > F.lit(rule["incremental_value"]))
-            if rule.get("dedup_columns"):
-                df = df.dropDuplicates([c.strip() for c in rule["dedup_columns"].split(",")])
+            if mark_col and rule.get("incremental_value") is not None and rule["source_type"] != "jdbc":
+                df = df.filter(F.col(mark_col) > F.lit(rule["incremental_value"]).cast(df.schema[mark_col].dataType))
             mark = F.max(mark_col if mark_col else F.lit(None)).cast("string")
             seen = Observation(f"ingest_{rule_id}")
-            df = add_audit(df, rule_id, execution_id, at).observe(seen, F.count(F.lit(1)).alias("n"), mark.alias("mark"))
+            df = add_audit(df, rule_id, execution_id, at)
+            if rule.get("dedup_columns"):
+                keys = [c.strip() for c in rule["dedup_columns"].split(",")]
+                order = ([F.col(mark_col).desc()] if mark_col else []) + [F.col("_record_hash").desc()]
+                df = keep_latest(df, keys, order)
+            df = df.observe(seen, F.count(F.lit(1)).alias("n"), mark.alias("mark"))
             parts = [c.strip() for c in (rule.get("partition_columns") or "").split(",") if c.strip()]
-            write_load(df, f"{target_folder}/{rule['target_table']}", rule["ingestion_mode"], parts)
+            if steps:
+                write_load(df, path, "partitions", ["_execution_id", *parts])
+            else:
+                write_load(df, path, rule["ingestion_mode"], parts)
             got = seen.get
             log.append((execution_id, rule_id, "succeeded", got["n"], got["mark"], None))
         except (PySparkException, KeyError, OSError, ValueError) as problem:
             log.append((execution_id, rule_id, "failed", 0, None, type(problem).__name__))
     return spark.createDataFrame(log, LOG_SCHEMA)
+
+
+def _mark_of_others(spark: SparkSession, path: str, column: str, execution_id: str) -> str | None:
+    """:func:`stored_mark` without the rows of this execution, which a second run of it replaces."""
+    try:
+        target = spark.read.parquet(path)
+    except AnalysisException:
+        return None
+    return target.filter(F.col("_execution_id").cast("string") != execution_id).agg(F.max(column).cast("string")).first()[0]
+
+
+def run_rule_tables(
+    spark: SparkSession,
+    tables: Mapping[str, DataFrame],
+    environment: str,
+    target_folder: str,
+    execution_id: str,
+    at: Column,
+    domain: str | None = None,
+) -> DataFrame:
+    """:func:`run_ingestion` for the active rules of the control tables.
+
+    ``tables`` holds ``ingestion_rules``, ``source_systems`` and ``schema_mapping``.
+    """
+    rules = [r.asDict() for r in active_rules(tables["ingestion_rules"], tables["source_systems"], environment, domain).collect()]
+    mappings = {r["rule_id"]: [m.asDict() for m in mappings_of(tables["schema_mapping"], r["rule_id"]).collect()] for r in rules}
+    return run_ingestion(spark, rules, mappings, target_folder, execution_id, at)
+
+
+def store_marks(rules: DataFrame, log: DataFrame) -> DataFrame:
+    """The rules with the marks of a log's successful loads; a rule without a new mark keeps its own."""
+    new = log.filter("status = 'succeeded' AND watermark IS NOT NULL").groupBy("rule_id").agg(F.max_by("watermark", "execution_id").alias("_mark"))
+    value = F.coalesce("_mark", "incremental_value").alias("incremental_value")
+    return rules.join(new, "rule_id", "left").select(*[value if c == "incremental_value" else c for c in rules.columns])

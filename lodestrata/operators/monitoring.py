@@ -18,6 +18,7 @@ from lodestrata.operators.aggregates import (
 )
 from lodestrata.operators.profile import asset_criticality
 from lodestrata.operators.rules import within
+from lodestrata.operators.history import keep_latest
 from lodestrata.operators.windows import firings_with_cooldown, interval_join, latest_per_key, micros, rolling_mean
 
 # Words in an error message and the class they point to, in the order tried.
@@ -247,7 +248,7 @@ def sla_breaches(runs: DataFrame, assets: DataFrame, as_of: Column) -> DataFrame
 
 def register_assets(found: DataFrame, known: DataFrame) -> DataFrame:
     """New assets with inferred criticality; known ones are left alone."""
-    fresh = found.dropDuplicates(["asset_id"]).join(known.select("asset_id"), "asset_id", "left_anti")
+    fresh = keep_latest(found, ["asset_id"], [F.col("asset_name"), F.col("asset_type")]).join(known.select("asset_id"), "asset_id", "left_anti")
     return fresh.withColumn("criticality", asset_criticality(F.col("asset_name"), F.col("asset_type")))
 
 

@@ -10,6 +10,8 @@ from lodestrata.operators import gold, history, ingest
 from lodestrata.plans import bindings as b
 from lodestrata.plans.core import old_state, new_state
 from lodestrata.plans.registry import at, query, table
+from lodestrata.operators.aggregates import union_all, with_one_row
+from lodestrata.schemas import control_rows
 from lodestrata.session import shared_folder
 from lodestrata.sources import readers, writers
 
@@ -250,6 +252,34 @@ def rule_driven_ingest(spark, sf):
     return ingest.run_ingestion(spark, rules, mappings, _folder(spark, "ingest"), "run-1", at(b.ORDERS_AS_OF))
 
 
+@query("ingest_from_rule_tables", """
+SELECT 'first' AS execution_id, (SELECT count(*) FROM orders WHERE o_orderkey <= 1000)::BIGINT AS loaded, count(*)::BIGINT AS stored, sum(o_orderkey)::BIGINT AS key_sum, max(o_orderkey)::VARCHAR AS mark FROM orders
+UNION ALL SELECT 'second', (SELECT count(*) FROM orders WHERE o_orderkey > 1000), count(*), sum(o_orderkey), max(o_orderkey)::VARCHAR FROM orders
+UNION ALL SELECT 'second', (SELECT count(*) FROM orders WHERE o_orderkey > 1000), count(*), sum(o_orderkey), max(o_orderkey)::VARCHAR FROM orders""")
+def ingest_from_rule_tables(spark, sf):
+    """Rules run from their tables, again when the source has grown, and the last run once more: every order is there once."""
+    source, target = _folder(spark, "source"), _folder(spark, "target")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    rule = {"rule_id": "R1", "source_id": "S1", "source_table_or_path": source, "target_table": "orders", "ingestion_mode": "incremental", "incremental_column": "order_key", "file_format": "parquet", "domain": "sales", "priority": 1, "is_active": True}
+    idle = {**rule, "rule_id": "R2", "source_table_or_path": "nowhere", "is_active": False}
+    names = (("o_orderkey", "order_key", "bigint"), ("o_totalprice", "amount", "double"))
+    tables = {
+        "ingestion_rules": control_rows(spark, "ingestion_rules", [rule, idle]),
+        "source_systems": control_rows(spark, "source_systems", [{"source_id": "S1", "source_type": "file", "environment": "prod", "is_active": True}]),
+        "schema_mapping": control_rows(spark, "schema_mapping", [{"rule_id": "R1", "source_column": c, "target_column": t, "target_data_type": k, "column_order": i} for i, (c, t, k) in enumerate(names)]),
+    }
+    logs = []
+    for name, part in (("first", orders.filter("o_orderkey <= 1000")), ("second", orders.filter("o_orderkey > 1000")), ("second", None)):
+        if part is not None:
+            part.write.mode("append").parquet(source)
+        log = ingest.run_rule_tables(spark, tables, "prod", target, name, at(b.ORDERS_AS_OF))
+        tables["ingestion_rules"] = ingest.store_marks(tables["ingestion_rules"], log)
+        logs.append(log.select("execution_id", F.col("record_count").alias("loaded")))
+    stored = spark.read.parquet(f"{target}/orders").agg(F.count("*").alias("stored"), F.sum("order_key").alias("key_sum"))
+    mark = tables["ingestion_rules"].filter("rule_id = 'R1'").select("incremental_value")
+    return with_one_row(union_all(logs), stored).withColumn("mark", mark.scalar())
+
+
 @query("gold_definitions_run", """
 SELECT 'priority_totals' AS target_table, 'positive' AS constraint_name, 0::BIGINT AS violations UNION ALL SELECT 'open_orders', 'cheap', (SELECT count(*) FROM orders WHERE o_orderstatus = 'O' AND NOT (o_totalprice < 100000))""")
 def gold_definitions_run(spark, sf):

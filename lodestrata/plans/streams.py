@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lodestrata.operators import windows as w
 from lodestrata.operators.monitoring import evaluate_alerts
@@ -101,11 +102,9 @@ def call_flags(spark, sf):
 SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE event_type END AS event_type, CASE WHEN event_type = 'error' THEN NULL ELSE value END AS value, event_type = 'error' AS malformed FROM events""")
 def payload_parsing(spark, sf):
     """Every error event becomes a broken payload and must end in the reject branch."""
-    from lodestrata.schemas import struct
-
     good = F.to_json(F.struct(F.col("event_id").cast("string").alias("event_id"), "event_type", "value"))
     raw = table(spark, sf, "events").select("event_id", F.when(F.col("event_type") == "error", F.lit("{broken")).otherwise(good).cast("binary").alias("body"))
-    parsed = parse.parse_payload(raw.withColumnRenamed("event_id", "source_id"), struct("event_id event_type value:d"), at(b.EVENTS_AS_OF), keep=("source_id",))
+    parsed = parse.parse_payload(raw.withColumnRenamed("event_id", "source_id"), T.StructType.fromDDL("event_id string, event_type string, value double"), at(b.EVENTS_AS_OF), keep=("source_id",))
     ok, bad = parse.good_and_bad(parsed, ["event_id", "event_type"])
     rows = ok.withColumn("malformed", F.lit(False)).unionByName(bad.drop(parse.CORRUPT).withColumn("malformed", F.lit(True)))
     return rows.select(F.col("source_id").alias("event_id"), "event_type", "value", "malformed")

@@ -1,249 +1,47 @@
-"""Schemas of events, control tables and logs, and their seed rows."""
+"""Tables that drive the operators, with the columns that these read, and one event payload."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
-
-_TYPES = {
-    "s": T.StringType(),
-    "i": T.IntegerType(),
-    "l": T.LongType(),
-    "d": T.DoubleType(),
-    "b": T.BooleanType(),
-    "t": T.TimestampType(),
-    "dt": T.DateType(),
-    "as": T.ArrayType(T.StringType()),
-    "ai": T.ArrayType(T.IntegerType()),
-    "af": T.ArrayType(T.FloatType()),
-}
-
-
-def struct(text: str) -> T.StructType:
-    """Schema from ``name[:type][!]`` words; text by default, ``!`` for not null."""
-    fields = []
-    for word in text.split():
-        required = word.endswith("!")
-        name, _, kind = word.rstrip("!").partition(":")
-        fields.append(T.StructField(name, _TYPES[kind or "s"], not required))
-    return T.StructType(fields)
+from collections.abc import Mapping, Sequence
+from typing import Any
 
-
-# ---- event payloads ------------------------------------------------------------------
-
-CLAIM_EVENT = struct(
-    "event_id! event_type! claim_id policy_id customer_id loss_date:t report_date:t loss_type loss_description "
-    "loss_amount_estimate:d loss_location_state loss_location_zip reporter_name reporter_phone channel priority "
-    "metadata event_timestamp:t!"
-)
-PAYMENT_EVENT = struct(
-    "transaction_id! event_type! policy_id customer_id invoice_id amount:d! currency! payment_method card_last_four "
-    "gateway_response_code gateway_response_msg ip_address device_fingerprint event_timestamp:t!"
-)
-CLICK_EVENT = struct(
-    "session_id! visitor_id customer_id event_type! page_url referrer_url utm_source utm_medium utm_campaign "
-    "product_interest device_type browser geo_state geo_city time_on_page_sec:i event_timestamp:t!"
-)
-CALL_EVENT = struct(
-    "call_id! event_type! caller_phone customer_id policy_id ivr_menu_path intent_detected agent_id queue_name "
-    "wait_time_sec:i talk_time_sec:i call_disposition sentiment_score:d transcript_url recording_url event_timestamp:t!"
-)
-LOSS_NOTICE = struct(
-    "claim_id policy_number claim_type loss_date:t reported_date:t loss_amount:d loss_description location_lat:d "
-    "location_lon:d reporter_id"
-)
-PAYMENT = struct("payment_id policy_number payment_type payment_method amount:d currency payment_timestamp:t status")
-WEB_EVENT = struct(
-    "event_id user_id session_id event_type page_url referrer_url product_code timestamp:t user_agent ip_address"
-)
-
-# ---- control tables and logs ---------------------------------------------------------
+from pyspark.sql import DataFrame, SparkSession
 
 CONTROL_TABLES = {
-    "source_systems": struct(
-        "source_id! source_name! source_type connection_type host port:i database_name connection_string_key "
-        "authentication_type api_base_url environment is_active:b"
-    ),
-    "ingestion_rules": struct(
-        "rule_id! source_id! source_table_or_path! target_lakehouse target_table! ingestion_mode! incremental_column "
-        "incremental_value partition_columns load_frequency batch_size:i source_query file_format file_header:b "
-        "file_delimiter file_encoding schema_enforcement dedup_columns domain priority:i sla_minutes:i is_active:b"
-    ),
-    "schema_mapping": struct(
-        "mapping_id! rule_id! source_column target_column! target_data_type! transformation_expr is_nullable:b "
-        "column_order:i"
-    ),
-    "business_rules": struct(
-        "rule_id! rule_name! domain source_layer target_layer source_table target_table rule_type! rule_expression "
-        "rule_parameters execution_order:i error_handling effective_from:dt effective_to:dt is_active:b"
-    ),
-    "data_quality_rules": struct(
-        "rule_id! rule_name! table_name! column_name rule_type! rule_category check_expression threshold_value:d "
-        "severity auto_quarantine:b domain is_active:b"
-    ),
-    "dq_execution_log": struct(
-        "execution_id! rule_id! table_name execution_start:t total_rows:l failed_rows:l failure_rate:d "
-        "threshold_value:d check_passed:b quality_score:d pass_percentage:d failure_sample"
-    ),
-    "alert_rules": struct(
-        "alert_id! alert_name! alert_type domain condition_type condition_expression threshold_params severity! "
-        "channels recipients auto_remediate:b cooldown_minutes:i escalation_minutes:i is_active:b"
-    ),
-    "pipeline_execution_log": struct(
-        "execution_id! rule_id status! start_time:t end_time:t duration_seconds:i records_read:l records_written:l "
-        "error_message environment"
-    ),
-    "environment_config": struct("config_key! environment! config_value! is_secret:b"),
-    "domain_registry": struct("domain_id! domain_name! bronze_name silver_name gold_name freshness_sla_minutes:i owner"),
-    "retention_policy": struct(
-        "policy_id! table_name! layer retention_days:i! action! archive_path last_purge_date:dt is_active:b"
-    ),
-    "monitored_assets": struct(
-        "asset_id! asset_name! asset_type! domain criticality sla_max_duration_min:i sla_max_failure_rate:d "
-        "auto_retry_enabled:b max_auto_retries:i monitoring_enabled:b"
-    ),
-    "activity_execution_log": struct(
-        "execution_id! asset_id! asset_type status! start_time:t end_time:t duration_seconds:d records_read:l "
-        "records_written:l error_message error_category retry_count:i"
-    ),
-    "refresh_log": struct("refresh_id! asset_id! status start_time:t end_time:t duration_seconds:d error_message"),
-    "agent_decision_log": struct("decision_id! agent_type trigger analysis decision confidence:d action_params decided_at:t"),
-    "sla_tracking": struct("sla_id! asset_id! measurement_time:t sla_met:b actual_minutes:d target_minutes:d"),
-    "incidents": struct(
-        "incident_id! title severity category affected_assets:as root_cause detected_by status opened_at:t resolved_at:t"
-    ),
-    "team_shift_schedule": struct(
-        "shift_id! team_member! email role! shift_start:t! shift_end:t! is_on_call:b is_active:b"
-    ),
-    "capacity_config": struct(
-        "capacity_id! capacity_name environment default_size current_size min_size max_size weekend_size scale_up_pct:d "
-        "scale_down_pct:d monthly_budget:d month_spend:d auto_scale_enabled:b auto_pause_enabled:b "
-        "pause_after_idle_min:i is_active:b"
-    ),
-    "capacity_usage_log": struct(
-        "log_id! capacity_id! ts:t cu_usage_pct:d throttle_pct:d sessions:i notebooks:i pipelines:i is_throttled:b "
-        "smoothed_usage_pct:d"
-    ),
-    "capacity_scale_events": struct(
-        "event_id! capacity_id! event_type from_size to_size trigger reason status cost_impact:d created_at:t"
-    ),
-    "sensitive_column_registry": struct(
-        "table_name! column_name! sensitivity_class data_element_type masking_strategy! masking_parameters "
-        "unmasked_roles applicable_regulations layer static_mask_enabled:b dynamic_mask_enabled:b is_active:b"
-    ),
-    "data_access_audit_log": struct("audit_id! user_id table_name columns:as access_type was_masked:b created_at:t"),
-    "token_vault": struct("token! value_hash! data_element_type created_at:t"),
-    "consent_registry": struct(
-        "consent_id! customer_id! consent_type! consent_status! granted_at:t withdrawn_at:t expires_at:t purpose "
-        "legal_basis jurisdiction source_channel version:i created_at:t"
-    ),
-    "classification_policy": struct("classification! description handling_rules retention_days:i"),
-    "data_access_log": struct(
-        "event_id! ts:t user_id operation table_name row_count:l bytes_scanned:l pii_accessed:b sensitive_columns:as "
-        "flagged:b flag_reason"
-    ),
-    "compute_access_log": struct(
-        "event_id! ts:t user_id session_id resource_type resource_name operation status flagged:b flag_reason"
-    ),
-    "control_access_log": struct(
-        "event_id! ts:t user_id operation resource_type resource_name change_details severity flagged:b flag_reason"
-    ),
-    "user_access_baseline": struct(
-        "user_id! typical_hours:ai typical_resources:as typical_operations:as avg_daily_queries:d avg_daily_data_gb:d"
-    ),
-    "access_anomalies": struct(
-        "anomaly_id! detected_timestamp:t access_type user_id anomaly_type anomaly_score:d details resolution_status"
-    ),
-    "glossary_terms": struct(
-        "term_id! term_name! definition category domain business_definition tags:as status version:i created_at:t"
-    ),
-    "glossary_term_linkages": struct(
-        "linkage_id! term_id! database_name table_name column_name full_path confidence_score:d linkage_type verified:b"
-    ),
-    "governance_policies": struct(
-        "policy_id! policy_name! policy_type description severity enabled:b scope validation_query"
-    ),
-    "governance_policy_violations": struct(
-        "violation_id! policy_name severity object_type database_name table_name column_name full_path "
-        "violation_details status"
-    ),
-    "test_execution_log": struct(
-        "test_id! test_name category status duration_sec:d assertions_total:i assertions_passed:i assertions_failed:i "
-        "execution_timestamp:t"
-    ),
-    "deployment_history": struct("deployment_id! environment status tables:as deployed_at:t deployed_by"),
-    "dashboard_metrics": struct(
-        "snapshot_timestamp:t metric_category metric_name metric_value:d metric_unit target_value:d status"
-    ),
-    "document_registry": struct(
-        "document_id! path content_hash doc_type file_size:l processing_status pii_detected:b pii_elements:as created_at:t"
-    ),
-    "document_embeddings": struct("embedding_id! document_id chunk_index:i chunk_text embedding:af word_count:i"),
-    "voice_transcriptions": struct(
-        "segment_id! call_id! speaker_label segment_index:i start_time_ms:l end_time_ms:l text confidence:d"
-    ),
+    # one row for each table or folder to be loaded; read by operators.ingest
+    "ingestion_rules": """
+        rule_id string NOT NULL, source_id string NOT NULL, source_table_or_path string, source_query string,
+        file_format string, target_table string, ingestion_mode string, incremental_column string,
+        incremental_value string, dedup_columns string, partition_columns string, schema_enforcement string,
+        domain string, priority int, is_active boolean""",
+    # where a rule's rows come from
+    "source_systems": "source_id string NOT NULL, source_type string, environment string, is_active boolean",
+    # source column or expression of each target column
+    "schema_mapping": """
+        rule_id string NOT NULL, column_order int, source_column string, target_column string,
+        target_data_type string, transformation_expr string""",
+    # settings by environment
+    "environment_config": "config_key string NOT NULL, environment string NOT NULL, config_value string",
+    # read by operators.monitoring.evaluate_alerts; "table" and "condition" are those of the rule
+    "alert_rules": """
+        alert_id string NOT NULL, severity string, table string, condition string, ts string, entity string,
+        cooldown_minutes int, is_active boolean""",
+    # read by operators.security
+    "sensitive_columns": """
+        table_name string NOT NULL, column_name string NOT NULL, layer string, masking_strategy string,
+        masking_parameters string, unmasked_roles string, is_active boolean""",
+    # read by operators.quality
+    "quality_rules": """
+        rule_name string NOT NULL, table_name string, column_name string, check_expression string,
+        threshold_value double, severity string, is_active boolean""",
+    # read by operators.history
+    "retention_policies": "table_name string NOT NULL, retention_days int, action string, is_active boolean",
 }
 
-# ---- seed rows -----------------------------------------------------------------------
-
-# Domains and their freshness targets in minutes.
-DOMAIN_SLA_MINUTES = {
-    "policy": 30,
-    "claims": 15,
-    "customer": 60,
-    "billing": 30,
-    "disbursement": 60,
-    "actuarial": 1440,
-    "finance": 60,
-    "regulatory": 1440,
-    "reinsurance": 60,
-    "marketing": 120,
-    "integration": 30,
-}
-
-# Alert rules (id, name, condition, severity, cooldown minutes).
-ALERT_SEED = (
-    ("ALR001", "Pipeline Failure", "status = 'failed'", "critical", 5),
-    ("ALR002", "DQ Below Threshold", "pass_percentage < threshold_pct", "high", 30),
-    ("ALR003", "Fraud Score High", "fraud_score > 0.85", "critical", 0),
-    ("ALR004", "SLA Breach", "minutes_since_last_run > sla_minutes", "high", 15),
-    ("ALR005", "Payment Anomaly", "payment_amount > avg_amount * 3 OR payment_amount < 0", "high", 30),
-    ("ALR006", "Missing Data", "record_count = 0 AND expected_records > 0", "critical", 15),
-)
-
-# Sensitive columns (table, column, class, strategy, parameters, roles that see it clear).
-SENSITIVE_SEED = (
-    ("dim_customer_master", "ssn", "PII_HIGH", "partial_mask", '{"visible_last":4,"mask_char":"X"}', '["compliance_admin"]'),
-    ("dim_customer_master", "tax_id", "PII_HIGH", "partial_mask", '{"visible_last":4,"mask_char":"X"}', '["compliance_admin"]'),
-    ("dim_customer_master", "date_of_birth", "PII_MEDIUM", "date_shift", '{"shift_days_range":30}', '["claims_admin","uw"]'),
-    ("dim_customer_master", "first_name", "PII_MEDIUM", "pseudonymize", '{"prefix":"FN"}', '["claims_admin"]'),
-    ("dim_customer_master", "last_name", "PII_MEDIUM", "pseudonymize", '{"prefix":"LN"}', '["claims_admin"]'),
-    ("dim_customer_master", "email", "PII_MEDIUM", "email_mask", "{}", '["marketing"]'),
-    ("dim_customer_master", "phone", "PII_MEDIUM", "phone_mask", "{}", '["service"]'),
-    ("dim_customer_master", "driver_license", "PII_HIGH", "hash_sha256", '{"salt":"dl_salt"}', '["compliance_admin"]'),
-    ("fact_payment", "card_number", "PCI", "partial_mask", '{"visible_last":4,"mask_char":"X"}', '["payment_admin"]'),
-    ("fact_payment", "card_cvv", "PCI", "null_out", "{}", "[]"),
-    ("fact_payment", "card_expiry", "PCI", "full_redact", "{}", '["payment_admin"]'),
-    ("fact_payment", "bank_account_num", "FINANCIAL", "partial_mask", '{"visible_last":4,"mask_char":"X"}', '["finance_admin"]'),
-    ("fact_claim", "diagnosis_code", "PHI", "full_redact", "{}", '["claims_medical"]'),
-    ("fact_claim", "medical_notes", "PHI", "full_redact", "{}", '["claims_medical"]'),
-    ("fact_claim", "treatment_desc", "PHI", "full_redact", "{}", '["claims_medical"]'),
-    ("dim_address", "address_line_1", "PII_MEDIUM", "partial_mask", '{"visible_last":6,"mask_char":"X"}', '["service"]'),
-    ("dim_address", "address_line_2", "PII_LOW", "partial_mask", '{"visible_last":6,"mask_char":"X"}', '["service"]'),
-)
-
-
-def sensitive_seed() -> list[dict]:
-    names = ("table_name", "column_name", "sensitivity_class", "masking_strategy", "masking_parameters", "unmasked_roles")
-    return [
-        dict(zip(names, row), layer="gold", static_mask_enabled=True, dynamic_mask_enabled=True, is_active=True)
-        for row in SENSITIVE_SEED
-    ]
-
-
-def alert_seed() -> list[dict]:
-    names = ("alert_id", "alert_name", "condition", "severity", "cooldown_minutes")
-    return [dict(zip(names, row), is_active=True) for row in ALERT_SEED]
+#: A payment as it comes in an event stream.
+PAYMENT_EVENT = """
+    transaction_id string NOT NULL, event_type string NOT NULL, policy_id string, amount double NOT NULL,
+    currency string NOT NULL, payment_method string, event_timestamp timestamp NOT NULL"""
 
 
 def empty_table(spark: SparkSession, name: str) -> DataFrame:
@@ -251,7 +49,7 @@ def empty_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.createDataFrame([], CONTROL_TABLES[name])
 
 
-def control_rows(spark: SparkSession, name: str, rows: list[dict]) -> DataFrame:
+def control_rows(spark: SparkSession, name: str, rows: Sequence[Mapping[str, Any]]) -> DataFrame:
     """Rows of a control table; absent columns are NULL."""
-    schema = CONTROL_TABLES[name]
-    return spark.createDataFrame([tuple(r.get(f.name) for f in schema.fields) for r in rows], schema)
+    fields = empty_table(spark, name).schema.fields
+    return spark.createDataFrame([tuple(r.get(f.name) for f in fields) for r in rows], CONTROL_TABLES[name])

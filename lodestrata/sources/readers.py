@@ -52,7 +52,8 @@ def jdbc_options(rule: Rule) -> dict[str, str]:
     """Options of a JDBC read.
 
     With ``partition_column`` and bounds the read is split into ``num_partitions`` ranges;
-    an increment becomes a subquery the database filters; ``source_query`` replaces both.
+    ``source_query`` stands for the table; an increment becomes a subquery around either, which
+    the database filters.
     """
     options = {
         "url": rule["url"],
@@ -62,14 +63,11 @@ def jdbc_options(rule: Rule) -> dict[str, str]:
     auth = {"managed_identity": "ActiveDirectoryMSI", "service_principal": "ActiveDirectoryServicePrincipal"}
     if rule.get("authentication_type") in auth:
         options["authentication"] = auth[rule["authentication_type"]]
-    if rule.get("ingestion_mode") == "incremental" and rule.get("incremental_value"):
-        literal = str(rule["incremental_value"]).replace("'", "''")
-        options["dbtable"] = (
-            f"(SELECT * FROM {rule['source_table_or_path']} "
-            f"WHERE {rule['incremental_column']} > '{literal}') AS src"
-        )
     if rule.get("source_query"):
         options["dbtable"] = f"({rule['source_query']}) AS custom_src"
+    if rule.get("ingestion_mode") == "incremental" and rule.get("incremental_value"):
+        literal = str(rule["incremental_value"]).replace("'", "''")
+        options["dbtable"] = f"(SELECT * FROM {options['dbtable']} WHERE {rule['incremental_column']} > '{literal}') AS src"
     if rule.get("partition_column"):
         options.update(
             partitionColumn=rule["partition_column"],

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import Any
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +13,10 @@ Rule = Mapping[str, Any]
 
 
 def write_load(df: DataFrame, path: str, mode: str, partition_by: Sequence[str] = (), fmt: str = "parquet") -> None:
-    """``full`` replaces the target, ``partitions`` only the partitions present in ``df``, other modes append."""
+    """``full`` replaces the target, ``partitions`` only the partitions present in ``df``, other modes append.
+
+    ``df`` must not read the target: a replaced folder is gone before it is written.
+    """
     replace = mode in ("full", "partitions")
     writer = df.write.format(fmt).mode("overwrite" if replace else "append")
     if replace:
@@ -50,18 +54,24 @@ def export_json(df: DataFrame, path: str, single_file: bool = False, files: int
     _files(df, single_file, files).write.mode("overwrite").json(path)
 
 
-def fixed_width_line(widths: Mapping[str, int]) -> Column:
-    """Fields cut or blank-padded to their widths and put side by side."""
-    return F.concat(
-        *[
-            F.rpad(F.substring(F.coalesce(F.col(name).cast("string"), F.lit("")), 1, width), width, " ")
-            for name, width in widths.items()
-        ]
-    )
+def fixed_width_line(widths: Mapping[str, int], cut: bool = False) -> Column:
+    """Fields blank-padded to their widths and put side by side.
+
+    A value longer than its field is an error; with ``cut`` it loses its end.
+    """
+
+    def field(name: str, width: int) -> Column:
+        text = F.coalesce(F.col(name).cast("string"), F.lit(""))
+        if not cut:
+            problem = F.concat(F.lit(f"value of {name} is longer than {width}: "), text)
+            text = F.when(F.length(text) > width, F.raise_error(problem).cast("string")).otherwise(text)
+        return F.rpad(F.substring(text, 1, width), width, " ")
+
+    return F.concat(*[field(name, width) for name, width in widths.items()])
 
 
-def export_fixed_width(df: DataFrame, path: str, widths: Mapping[str, int], single_file: bool = False) -> None:
-    lines = df.select(fixed_width_line(widths).alias("value"))
+def export_fixed_width(df: DataFrame, path: str, widths: Mapping[str, int], single_file: bool = False, cut: bool = False) -> None:
+    lines = df.select(fixed_width_line(widths, cut).alias("value"))
     _files(lines, single_file, None).write.mode("overwrite").text(path)
 
 
@@ -103,7 +113,7 @@ def run_exchanges(
             df = df.observe(seen, F.count(F.lit(1)).alias("n"))
             export(df, f"{folder}/{p['pattern_name']}", p["file_format"], **p.get("options", {}))
             log.append((p["pattern_name"], p["vendor_name"], "success", seen.get["n"], None))
-        except Exception as problem:  # the log carries the failure, the next pattern still runs
+        except (PySparkException, KeyError, OSError, ValueError) as problem:  # logged; the next pattern still runs
             log.append((p["pattern_name"], p["vendor_name"], "failed", 0, type(problem).__name__))
     return spark.createDataFrame(
         log, "pattern_name string, vendor_name string, status string, row_count bigint, error string"

@@ -130,3 +130,22 @@ def test_schema_enforcement(spark):
     for expected, mode in ((["a"], "strict"), (["c"], "ignore")):
         with pytest.raises(ValueError):
             ingest.enforce_schema(df, expected, mode)
+
+
+def test_an_incremental_run_takes_up_where_the_target_ends(spark, tmp_path):
+    source, target = f"{tmp_path}/in", f"{tmp_path}/out"
+    rule = {"rule_id": "R", "source_type": "file", "file_format": "parquet", "source_table_or_path": source, "target_table": "t", "ingestion_mode": "incremental", "incremental_column": "id"}
+    run = lambda name: ingest.run_ingestion(spark, [rule], {}, target, name, F.lit("2024-01-01").cast("timestamp_ntz")).first().record_count
+    spark.range(10).write.parquet(source)
+    assert run("a") == 10 and run("b") == 0 and run("a") == 10
+    spark.range(10, 15).write.mode("append").parquet(source)
+    assert run("c") == 5 and run("c") == 5
+    assert sorted(r.id for r in spark.read.parquet(f"{target}/t").collect()) == list(range(15))
+
+
+def test_repeats_keep_the_newest_row(spark, tmp_path):
+    source, target = f"{tmp_path}/in", f"{tmp_path}/out"
+    spark.createDataFrame([(1, 5, "old"), (1, 9, "new"), (2, 1, "only")], "k int, v int, t string").write.parquet(source)
+    rule = {"rule_id": "R", "source_type": "file", "file_format": "parquet", "source_table_or_path": source, "target_table": "t", "ingestion_mode": "full", "incremental_column": "v", "dedup_columns": "k"}
+    ingest.run_ingestion(spark, [rule], {}, target, "a", F.lit("2024-01-01").cast("timestamp_ntz"))
+    assert sorted((r.k, r.t) for r in spark.read.parquet(f"{target}/t").collect()) == [(1, "new"), (2, "only")]

@@ -69,9 +69,13 @@ def test_scan_by_name_and_value(spark):
     assert got == {"a": ("ssn", "regex_pattern", "PII_HIGH"), "birth_date": ("dob", "column_name_pattern", "PII_MEDIUM")}
 
 
-def test_seeded_registry_masks(spark):
+def test_registry_masks(spark):
     df = spark.createDataFrame([("4111222233334444", "123", "12/30")], "card_number string, card_cvv string, card_expiry string")
-    row = security.mask_table(df, schemas.sensitive_seed(), "fact_payment", "gold").first()
+    rows = [("card_number", "partial_mask"), ("card_cvv", "null_out"), ("card_expiry", "full_redact")]
+    registry = schemas.control_rows(spark, "sensitive_columns", [
+        {"table_name": "fact_payment", "column_name": c, "layer": "gold", "masking_strategy": s, "masking_parameters": "{}", "unmasked_roles": "[]", "is_active": True} for c, s in rows
+    ])
+    row = security.mask_table(df, [r.asDict() for r in registry.collect()], "fact_payment", "gold").first()
     assert tuple(row) == ("XXXXXXXXXXXX4444", None, masks.REDACTED)
 
 
@@ -95,4 +99,3 @@ def test_control_schemas(spark):
     for name in schemas.CONTROL_TABLES:
         assert schemas.empty_table(spark, name).count() == 0
     assert schemas.control_rows(spark, "environment_config", [{"config_key": "k", "environment": "prod", "config_value": "v"}]).count() == 1
-    assert len(schemas.sensitive_seed()) == 17 and len(schemas.alert_seed()) == 6 and len(schemas.DOMAIN_SLA_MINUTES) == 11

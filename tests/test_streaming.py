@@ -3,6 +3,7 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lodestrata import schemas
 from lodestrata.plans.registry import at
@@ -49,7 +50,7 @@ def test_repeated_events_count_once(spark, tmp_path):
 def test_malformed_payload_goes_to_rejects(spark):
     good = json.dumps({"transaction_id": "t1", "event_type": "pay", "amount": 5.0, "currency": "USD", "event_timestamp": "2024-01-01T00:00:00Z"})
     raw = spark.createDataFrame([(good.encode(), 1), (b"{oops", 2), (b'{"event_type":"pay"}', 3)], "body binary, offset int")
-    parsed = parse.parse_payload(raw, schemas.PAYMENT_EVENT, at("2024-01-01"), keep=("offset",))
+    parsed = parse.parse_payload(raw, T.StructType.fromDDL(schemas.PAYMENT_EVENT), at("2024-01-01"), keep=("offset",))
     ok, bad = parse.good_and_bad(parsed, ["transaction_id", "amount"])
     assert [r.offset for r in ok.collect()] == [1] and sorted(r.offset for r in bad.collect()) == [2, 3]
 
