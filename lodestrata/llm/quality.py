@@ -78,7 +78,7 @@ def log_ratios(docs: DataFrame, text: str, trusted: DataFrame, key: str, buckets
     in each task first, so at most ``buckets`` rows a task are shuffled.
     """
     marked = docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text"))
-    marked = marked.join(trusted.select(F.col(f"`{key}`").alias("_key")).distinct().withColumn("_good", F.lit(1)), "_key", "left")
+    marked = marked.join(trusted.select(F.col(f"`{key}`").alias("_key")).distinct().withColumn("_good", F.lit(1)).hint("shuffle_hash"), "_key", "left")
     counted = with_pairs(with_words(marked, "_text")).select(F.explode(grams(buckets)).alias("_gram"), F.coalesce("_good", F.lit(0)).alias("_good"))
     counts = counted.groupBy("_gram").agg(F.count("*").alias("_raw"), F.sum("_good").alias("_target"))
     every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("_gram")).join(counts, "_gram", "left")
