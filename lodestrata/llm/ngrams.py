@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from lodestrata.llm.common import LOWER_CODES, code_of, gram_codes, list_array, mix, row_slices, running_code, text_arrays, words_of
 from lodestrata.llm.components import components
@@ -89,10 +90,20 @@ def common_ngrams(docs: DataFrame, n: int) -> np.ndarray:
     return np.sort(rows.column("_gram").to_numpy().astype(np.uint64))
 
 
+def least_overlap(size):
+    """What a set of this size must at least share with a similar one."""
+    return (ABOVE * size + BELOW - 1) // BELOW
+
+
+def spare(size):
+    """N-grams that a start has beyond those that make sure of one shared n-gram."""
+    return np.minimum(4 + size // 32, least_overlap(size) - 1)
+
+
 def signatures(docs: DataFrame, n: int, common) -> DataFrame:
     """Size of each document's set, a 128-bit hash of it, the start of the set in order, and its parity sketch.
 
-    The start is so long that two similar sets share at least one n-gram of it. The sketch has a bit
+    The start is so long that two similar sets share more n-grams of it than the smaller ``spare`` of the two. The sketch has a bit
     for every n-gram or more (a power of two of them): bit b is the parity of the n-grams that fall to b.
     Bits in which two sketches differ are no more than the n-grams in which the sets differ.
     """
@@ -107,7 +118,7 @@ def signatures(docs: DataFrame, n: int, common) -> DataFrame:
                 end = np.cumsum(size)
                 sums = [np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(value ^ np.uint64(s)), dtype=np.uint64))) for s in (0, 0x5DEECE66D)]
                 d1, d2 = (mix(s[end] - s[end - size]).view(np.int64) for s in sums)
-                first = np.where(size > 0, size - (ABOVE * size + BELOW - 1) // BELOW + 1, 0)
+                first = np.where(size > 0, size - least_overlap(size) + 1 + spare(size), 0)
                 inside = np.arange(len(value)) - (end - size)[owner]
                 bits = 64 << np.ceil(np.log2(np.maximum(size, 64) / 64)).astype(np.int64)
                 where = (value & ~_COMMON_BIT).astype(np.int64) & (bits[owner] - 1)
@@ -249,8 +260,17 @@ def similar_documents(df: DataFrame, key: str, text: str, n: int = 5) -> DataFra
     entries = signed.select("_doc", F.explode("_start").alias("_gram"))
     shared = entries.groupBy("_gram").agg((F.min("_doc") != F.max("_doc")).alias("_more")).filter("_more").select("_gram")
     meets = entries.join(shared, "_gram", "left_semi").join(member, "_doc").groupBy("_gram", "_rep").agg(F.min("_n").alias("_n"))
-    degree = meets.groupBy("_rep").agg(F.count("*").alias("_deg"))
-    lists = cut_lineage(meets.join(degree, "_rep"))
+    # A document may leave its longest lists: as many as the smallest similar set could spare. Of the n-grams
+    # that two similar sets share, that in the shortest list is left by neither.
+    meets = cut_lineage(meets)
+    often = meets.groupBy("_gram").agg(F.count("*").alias("_df"))
+    least = lambda c: F.floor((ABOVE * c + (BELOW - 1)) / BELOW)
+    smallest = least(F.col("_n"))
+    left_out = F.least(4 + F.floor(smallest / 32), least(smallest) - 1)
+    longest = Window.partitionBy("_rep").orderBy(F.col("_df").desc(), "_gram")
+    ranked = meets.join(often, "_gram").filter("_df > 1").withColumn("_rank", F.row_number().over(longest)).filter(F.col("_rank") > left_out)
+    degree = Window.partitionBy("_rep")
+    lists = cut_lineage(ranked.select("_gram", "_rep", "_n", F.count("*").over(degree).alias("_deg")))
     bits = signed.select(F.col("_doc").alias("_rep"), "_bits")
 
     def candidates(pairs: DataFrame) -> DataFrame:
