@@ -11,6 +11,10 @@ from pyspark.sql.window import Window
 from lodestrata.session import cut_lineage, release
 
 
+#: Rows that are sorted together in one task.
+ROWS_TOGETHER = 5_000_000
+
+
 def micros(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp"))
 
@@ -189,7 +193,7 @@ def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], name:
     before: one small row per key and partition, never the rows of a key.
     """
     columns = [*keys, *order]
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // ROWS_TOGETHER))
     ordered = df.repartitionByRange(parts, *columns).sortWithinPartitions(*columns)
     placed = cut_lineage(ordered.withColumn("_mid", F.monotonically_increasing_id())).withColumns(
         {"_part": F.shiftright("_mid", 33), "_pos": F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))}

@@ -296,3 +296,16 @@ def asset_criticality_impact(spark, sf):
     scored = table(spark, sf, "events").groupBy("user_id").agg((F.count_if(F.col("event_type") != "error") * 100.0 / F.count("*")).alias("score"))
     named = scored.withColumn("name", F.concat(prefix, F.lit("_"), "user_id")).withColumn("criticality", profile.layer_criticality(F.col("name")))
     return named.withColumns({"business_impact": profile.business_impact(F.col("criticality"), F.col("score")), "insight": profile.insight(F.col("score"))})
+
+
+@query("seeded_rules", """
+WITH c AS (SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 THEN 'nobody' ELSE 'u' || c_custkey || '@mail.com' END AS email,
+  CASE WHEN c_custkey % 5 = 0 THEN NULL WHEN c_custkey % 11 = 0 THEN '12-3' ELSE '123-45-' || lpad((c_custkey % 10000)::VARCHAR, 4, '0') END AS ssn FROM customer)
+SELECT 'Email Format Valid' AS rule_name, count(*) FILTER (WHERE c_custkey % 7 = 0)::BIGINT AS failed_rows FROM c
+UNION ALL SELECT 'SSN Format Valid', count(*) FILTER (WHERE c_custkey % 5 <> 0 AND c_custkey % 11 = 0) FROM c""")
+def seeded_rules(spark, sf):
+    """Of the seeded rules those whose columns a table has."""
+    k = F.col("c_custkey")
+    ssn = F.when(k % 5 == 0, None).when(k % 11 == 0, "12-3").otherwise(F.concat(F.lit("123-45-"), F.lpad((k % 10000).cast("string"), 4, "0")))
+    people = table(spark, sf, "customer").select(k, F.when(k % 7 == 0, "nobody").otherwise(F.concat(F.lit("u"), k, F.lit("@mail.com"))).alias("email"), ssn.alias("ssn"))
+    return quality.run_rules(people, "people", quality.seed_rules(people.columns)).select("rule_name", F.col("failed_rows").cast("bigint").alias("failed_rows"))

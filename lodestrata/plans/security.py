@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lodestrata.functions import masks
 from lodestrata.operators import access, security
+from lodestrata.operators.aggregates import union_all, with_one_row
 from lodestrata.plans import bindings as b
 from lodestrata.plans.bindings import ACCESS, with_sql
 from lodestrata.plans.core import silver_customer
@@ -395,3 +396,18 @@ def role_assignment_audit(spark, sf):
         F.col("s_nationkey").alias("workspace_id"), k.alias("principal_id"), F.lit("User").alias("principal_type"), F.when(k % 3 == 0, "Admin").when(k % 3 == 1, "Member").otherwise("Viewer").alias("role")
     )
     return access.assignment_audit(rows, at(NOW))
+
+
+@query("tracked_reads", """
+SELECT 'u1' AS user_id, 'read' AS operation, 'customer' AS table_name, 'c_phone' AS columns, true AS pii_accessed, (SELECT count(*) FROM customer) AS row_count
+UNION ALL SELECT 'u1', 'read', 'lineitem', '', false, (SELECT count(*) FROM lineitem)""")
+def tracked_reads(spark, sf):
+    """Two tables read with a log row each; one holds a personal column."""
+    logs = []
+    for name, columns in (("customer", ["c_custkey", "c_phone"]), ("lineitem", ["l_orderkey", "l_quantity"])):
+        data = table(spark, sf, name)
+        data = data.select(*[c for c in columns if c in data.columns], *([F.lit("555").alias("c_phone")] if "c_phone" in columns and "c_phone" not in data.columns else []))
+        rows, log = access.tracked_read(spark, name, data, "u1", at("2024-01-01"))
+        logs.append(with_one_row(log.drop("ts"), rows.agg(F.count("*").alias("row_count"))))
+    both = union_all(logs)
+    return both.select("user_id", "operation", "table_name", F.array_join("sensitive_columns", ",").alias("columns"), "pii_accessed", "row_count")

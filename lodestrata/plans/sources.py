@@ -126,31 +126,37 @@ def event_log_replay(spark, sf):
     return df.groupBy("event_type").agg(F.count("*").alias("n"))
 
 
-@query("binary_file_catalogue", "SELECT lang || '.txt' AS file_name, 'txt' AS file_extension, lang AS doc_type, 'pending' AS status FROM (SELECT DISTINCT lang FROM documents)")
+@query("binary_file_catalogue", """
+SELECT lang AS doc_type, 'txt' AS file_extension, 'pending' AS status, sum(strlen(replace(text, chr(10), ' ')) + 1)::BIGINT AS bytes, true AS named FROM documents GROUP BY lang""")
 def binary_file_catalogue(spark, sf):
-    """Documents written as one folder per language, found again as files of a kind."""
+    """Documents written as one folder per language, found again as files of a kind with all their bytes."""
     folder = _folder(spark, "files")
     table(spark, sf, "documents").select("lang", F.regexp_replace("text", r"\n", " ").alias("value")).write.partitionBy("lang").text(folder)
     found = readers.file_catalogue(spark, folder, ["txt"], r"lang=([a-z]+)")
-    return found.groupBy("doc_type", "file_extension", "status").agg(F.sum("file_size").alias("bytes")).filter("bytes > 0").select(
-        F.concat("doc_type", F.lit(".txt")).alias("file_name"), "file_extension", "doc_type", "status"
-    )
+    named = F.bool_and(F.expr("endswith(path, file_name) AND endswith(file_name, '.txt')")).alias("named")
+    return found.groupBy("doc_type", "file_extension", "status").agg(F.sum("file_size").alias("bytes"), named)
 
 
-@query("file_statistics", "SELECT DISTINCT 'l_returnflag=' || l_returnflag AS folder, true AS has_files, true AS has_bytes FROM lineitem")
+@query("file_statistics", "SELECT DISTINCT 'l_returnflag=' || l_returnflag AS folder, true AS files_match, true AS bytes_match FROM lineitem")
 def file_statistics(spark, sf):
-    """Files and bytes per partition folder of a written table, without opening a data file."""
+    """Files and bytes per partition folder, held against what a scan of the rows reports of its files."""
     folder = _folder(spark, "stats")
     writers.write_load(table(spark, sf, "lineitem"), folder, "full", ["l_returnflag"])
-    stats = readers.file_statistics(spark, folder)
-    return stats.select("folder", (F.col("num_files") > 0).alias("has_files"), (F.col("size_bytes") > 0).alias("has_bytes"))
+    files = spark.read.parquet(folder).select(F.concat(F.lit("l_returnflag="), "l_returnflag").alias("folder"), "_metadata.file_path", "_metadata.file_size").distinct()
+    seen = files.groupBy("folder").agg(F.count("*").alias("n"), F.sum("file_size").alias("bytes"))
+    both = readers.file_statistics(spark, folder).join(seen, "folder")
+    return both.select("folder", (F.col("num_files") == F.col("n")).alias("files_match"), (F.col("size_bytes") == F.col("bytes")).alias("bytes_match"))
 
 
-@query("partitioned_overwrite", "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus")
+@query("partitioned_overwrite", """
+SELECT o_orderstatus, count(*) AS n, sum(o_orderkey)::BIGINT AS key_sum FROM orders WHERE o_orderstatus <> 'O' OR o_orderkey % 2 = 0 GROUP BY o_orderstatus""")
 def partitioned_overwrite(spark, sf):
+    """A whole load, then one that replaces a single partition; the others stay."""
     folder = _folder(spark, "part")
-    writers.write_load(table(spark, sf, "orders"), folder, "full", ["o_orderstatus"])
-    return spark.read.parquet(folder).groupBy("o_orderstatus").agg(F.count("*").alias("n"))
+    orders = table(spark, sf, "orders")
+    writers.write_load(orders, folder, "full", ["o_orderstatus"])
+    writers.write_load(orders.filter("o_orderstatus = 'O' AND o_orderkey % 2 = 0"), folder, "partitions", ["o_orderstatus"])
+    return spark.read.parquet(folder).groupBy("o_orderstatus").agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("key_sum"))
 
 
 @query("append_load", "SELECT 2 * count(*) AS n FROM supplier")
@@ -161,25 +167,39 @@ def append_load(spark, sf):
     return spark.read.parquet(folder).agg(F.count("*").alias("n"))
 
 
-@query("compaction", "SELECT count(*) AS n, 4::BIGINT AS files FROM lineitem")
+@query("compaction", "SELECT count(*) AS n, sum(l_orderkey)::BIGINT AS key_sum, true AS fewer_files FROM lineitem")
 def compaction(spark, sf):
-    folder = _folder(spark, "compact")
-    writers.compact(table(spark, sf, "lineitem"), folder, 4)
-    return spark.read.parquet(folder).agg(F.count("*").alias("n"), F.countDistinct(F.col("_metadata.file_path")).alias("files"))
-
-
-@query("clustered_layout", "SELECT count(*) AS n FROM lineitem WHERE l_shipdate < TIMESTAMP '1996-01-01'")
+    """Many small files rewritten into as many as their bytes call for."""
+    scattered, folder = _folder(spark, "scattered"), _folder(spark, "compact")
+    table(spark, sf, "lineitem").repartition(16).write.parquet(scattered)
+    small = spark.read.parquet(scattered)
+    files = writers.file_count_for(writers.stored_bytes(small))
+    writers.compact(small, folder, files)
+    n_files = F.countDistinct(F.col("_metadata.file_path"))
+    return spark.read.parquet(folder).agg(F.count("*").alias("n"), F.sum("l_orderkey").alias("key_sum"), ((n_files <= files) & (n_files < 16)).alias("fewer_files"))
+
+
+@query("clustered_layout", """
+SELECT count(*) AS n, 0::BIGINT AS overlapping_files, true AS skips_files FROM lineitem WHERE l_shipdate < TIMESTAMP '1996-01-01'""")
 def clustered_layout(spark, sf):
-    """Written in ship-date order, so that a date filter skips whole files."""
+    """Written in ship-date order: the files' date ranges do not overlap, so a date filter skips whole files."""
     folder = _folder(spark, "cluster")
     writers.cluster_by(table(spark, sf, "lineitem").select("l_shipdate", "l_partkey"), ["l_shipdate", "l_partkey"], 8).write.parquet(folder)
-    return spark.read.parquet(folder).filter(F.col("l_shipdate") < at("1996-01-01")).agg(F.count("*").alias("n"))
-
-
-@query("z_order_values", "SELECT count(*) AS n, 65536::BIGINT >= max(z) AS bounded FROM (SELECT l_quantity AS z FROM lineitem)")
+    rows = spark.read.parquet(folder)
+    early = F.col("l_shipdate") < at("1996-01-01")
+    files = rows.groupBy("_metadata.file_path").agg(F.min("l_shipdate").alias("low"), F.max("l_shipdate").alias("high"))
+    one, other = files.alias("a"), files.alias("b")
+    crossing = one.join(other, F.expr("a.low > b.low AND a.low < b.high AND a.file_path <> b.file_path")).agg(F.count("*"))
+    skipped = files.agg(F.count_if(F.col("low") >= at("1996-01-01")) > 0)
+    return rows.filter(early).agg(F.count("*").alias("n")).withColumns({"overlapping_files": crossing.scalar(), "skips_files": skipped.scalar()})
+
+
+@query("z_order_values", """
+WITH c AS (SELECT l_orderkey, l_linenumber, least(greatest(floor(l_quantity / 50.0 * 256), 0), 255)::BIGINT AS q, least(greatest(floor(l_extendedprice / 100000.0 * 256), 0), 255)::BIGINT AS e FROM lineitem)
+SELECT l_orderkey, l_linenumber, list_sum(list_transform(range(8), lambda i: ((q >> i) & 1) * (1 << (2 * i)) + ((e >> i) & 1) * (1 << (2 * i + 1))))::BIGINT AS z FROM c""")
 def z_order_values(spark, sf):
     z = writers.z_value({"l_quantity": (0.0, 50.0), "l_extendedprice": (0.0, 100000.0)})
-    return table(spark, sf, "lineitem").select(z.alias("z")).agg(F.count("*").alias("n"), (F.max("z") <= 65536).alias("bounded"))
+    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", z.alias("z"))
 
 
 @query("snapshot_versions", "SELECT 1 AS _version, (SELECT count(*) FROM customer) AS row_count UNION ALL SELECT 2, (SELECT count(*) FROM customer WHERE c_custkey % 5 <> 0) + (SELECT count(*) FROM supplier) UNION ALL SELECT 3, (SELECT count(*) FROM customer)")

@@ -127,6 +127,12 @@ def file_count_for(size_bytes: int, target_bytes: int = 128 * 1024 * 1024) -> in
     return max(1, -(-int(size_bytes) // target_bytes))
 
 
+def stored_bytes(df: DataFrame) -> int:
+    """Bytes of the files that ``df`` is read from, from their listing."""
+    files = df.select("_metadata.file_path", "_metadata.file_size").distinct()
+    return int(files.agg(F.coalesce(F.sum("file_size"), F.lit(0))).first()[0])
+
+
 def compact(df: DataFrame, path: str, files: int) -> None:
     """Rewrite into evenly filled files, in a new folder."""
     df.repartition(files).write.mode("errorifexists").parquet(path)
