@@ -300,6 +300,18 @@ def ingest_from_rule_tables(spark, sf):
     return with_one_row(union_all(logs), stored).withColumn("mark", mark.scalar())
 
 
+@query("retention_carried_out", """
+WITH o AS (SELECT CAST(o_orderdate AS DATE) < DATE '2001-08-02' - 1000 AS expired, o_orderkey FROM orders)
+SELECT 'archived' AS part, count(*) AS n, sum(o_orderkey)::BIGINT AS key_sum FROM o WHERE expired UNION ALL SELECT 'kept', count(*), sum(o_orderkey)::BIGINT FROM o WHERE NOT expired""")
+def retention_carried_out(spark, sf):
+    """Expired orders moved to the archive, the others written anew; both read back."""
+    archive, keep = _folder(spark, "archive"), _folder(spark, "keep")
+    policy = {"table_name": "orders", "action": "archive", "retention_days": 1000}
+    history.run_retention(table(spark, sf, "orders"), policy, "o_orderdate", at(b.ORDERS_AS_OF), archive, keep)
+    count = lambda name, path: spark.read.parquet(path).agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("key_sum")).select(F.lit(name).alias("part"), "n", "key_sum")
+    return count("archived", archive).unionByName(count("kept", keep))
+
+
 @query("gold_definitions_run", """
 SELECT 'priority_totals' AS target_table, 'positive' AS constraint_name, 0::BIGINT AS violations UNION ALL SELECT 'open_orders', 'cheap', (SELECT count(*) FROM orders WHERE o_orderstatus = 'O' AND NOT (o_totalprice < 100000))""")
 def gold_definitions_run(spark, sf):

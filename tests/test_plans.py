@@ -43,3 +43,12 @@ def test_keep_latest_reduces_before_the_shuffle(spark, sf):
 def test_mutations_need_no_shuffle(spark, sf):
     df = history.conditional_update(table(spark, sf, "orders"), F.col("o_orderkey") > 5, {"o_orderstatus": F.lit("X")})
     assert "Exchange" not in plan(df)
+
+
+def test_retention_reaches_the_scan(spark, sf):
+    as_of = F.lit("2001-08-02").cast("timestamp_ntz")
+    kept, expired = history.split_expired(table(spark, sf, "orders"), "o_orderdate", as_of, 1000)
+    assert "LessThan(o_orderdate" in plan(expired)
+    assert "IsNull(o_orderdate)" in plan(kept) and "GreaterThanOrEqual(o_orderdate" in plan(kept)
+    gone = history.conditional_delete(table(spark, sf, "orders"), F.col("o_orderkey") > 100)
+    assert "LessThanOrEqual(o_orderkey,100)" in plan(gone)
