@@ -19,11 +19,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from lodestrata.llm.common import code_of, codes_along, gram_codes, mix, row_slices, running_code, sliding_min, spread, text_arrays, words_of
 
 #: Names of the columns that hold a row's number, its text's hash and its text.
-ID, DIGEST, TEXT = "_doc", "_digest", "_text"
+ID, DIGEST, TEXT = "__number", "__digest", "__text"
 #: Bytes of stretches that a task compares together (more where one anchor has more).
 TOGETHER_BYTES = 2 << 20
 #: Bytes of text searched for anchors at a time: the arrays for them stay in a core's cache.
@@ -86,8 +87,11 @@ def keyed(df: DataFrame, key: str, text: str) -> DataFrame:
     """The rows with their number and the hash of their text; where that hash is NULL the row is not compared.
 
     Both joins of a query take these rows by number with all their columns, so Spark shuffles the texts
-    once and reads that exchange twice. A row without number is dealt by its text.
+    once and reads that exchange twice. A row without number is dealt by its text. Names that begin with
+    two underscores are taken: a table with such a column is refused.
     """
+    if any(c.startswith("__") for c in df.columns):
+        raise ValueError("columns must not begin with two underscores")
     number, digest = F.col(f"`{key}`").cast("long"), F.xxhash64(F.col(f"`{text}`"))
     known = number.isNotNull() & F.col(f"`{text}`").isNotNull()
     return df.withColumns({ID: F.coalesce(number, digest), DIGEST: F.when(known, digest)})
@@ -102,12 +106,17 @@ def repeated_anchors(df: DataFrame, key: str, text: str, windows: Windows, other
         for batch in batches:
             for part in row_slices(batch, TEXT, PASS_BYTES):
                 runs = windows.runs(*text_arrays(part.column(TEXT)))
-                yield pa.RecordBatch.from_arrays([pa.array(runs.anchor), part.column(ID).take(pa.array(runs.row))], ["_anchor", ID])
+                _, first, times = np.unique(in_row(runs.anchor, runs.row), return_index=True, return_counts=True)
+                if not other_documents:  # an anchor that a text holds twice is told by a second row
+                    first = np.concatenate((first, first[times > 1]))
+                number = part.column(ID).take(pa.array(runs.row[first]))
+                yield pa.RecordBatch.from_arrays([pa.array(runs.anchor[first]), number], ["_anchor", ID])
 
-    found = docs.mapInArrow(anchors, schema)
-    again = (F.min(ID) != F.max(ID)) if other_documents else (F.count("*") > 1)
-    live = found.groupBy("_anchor").agg(again.alias("_again")).filter("_again").select("_anchor")
-    return found.join(live, "_anchor", "left_semi").groupBy(ID).agg(F.collect_set("_anchor").alias("_anchors"))
+    # counted over the rows of each anchor, so that anchors are found and shuffled once; a row is two numbers
+    same = Window.partitionBy("_anchor")
+    again = (F.min(ID).over(same) != F.max(ID).over(same)) if other_documents else (F.count("*").over(same) > 1)
+    live = docs.mapInArrow(anchors, schema).withColumn("_again", again).filter("_again")
+    return live.groupBy(ID).agg(F.collect_set("_anchor").alias("__anchors"))
 
 
 def stretches(docs: DataFrame, text: str, anchors: DataFrame, windows: Windows, same_document: bool) -> DataFrame:
@@ -122,9 +131,9 @@ def stretches(docs: DataFrame, text: str, anchors: DataFrame, windows: Windows,
         seen: dict[bytes, tuple[int, int]] = {}
         for batch in batches:
             for part in row_slices(batch, text, PASS_BYTES):
-                part = part.filter(pc.and_(part.column("_anchors").is_valid(), part.column(DIGEST).is_valid()))
+                part = part.filter(pc.and_(part.column("__anchors").is_valid(), part.column(DIGEST).is_valid()))
                 data, offsets = text_arrays(part.column(text))
-                listed = part.column("_anchors")
+                listed = part.column("__anchors")
                 owner = np.repeat(np.arange(part.num_rows), listed.value_lengths().to_numpy(zero_copy_only=False))
                 runs = windows.runs(data, offsets)
                 runs = runs.pick(np.isin(in_row(runs.anchor, runs.row), in_row(listed.flatten().to_numpy(zero_copy_only=False), owner)))
@@ -146,7 +155,7 @@ def stretches(docs: DataFrame, text: str, anchors: DataFrame, windows: Windows,
                 )
 
     # a left join, as in with_spans, so that both read the same exchange of texts
-    joined = docs.join(anchors.hint("shuffle_hash"), ID, "left").select(*docs.columns, "_anchors")
+    joined = docs.join(anchors.hint("shuffle_hash"), ID, "left").select(*docs.columns, "__anchors")
     return joined.mapInArrow(cut, T.StructType(fields))
 
 
@@ -245,15 +254,15 @@ def with_spans(docs: DataFrame, text: str, spans: DataFrame, fields: list[T.Stru
     spans, and the texts. Rows without number or text have no spans.
     """
     one = F.struct(F.col(DIGEST).alias("digest"), F.col("_start").alias("start"), F.col("_length").alias("length"))
-    lists = spans.groupBy(ID).agg(F.collect_list(one).alias("_spans"))
-    joined = docs.join(lists.hint("shuffle_hash"), ID, "left").select(*docs.columns, "_spans")
+    lists = spans.groupBy(ID).agg(F.collect_list(one).alias("__spans"))
+    joined = docs.join(lists.hint("shuffle_hash"), ID, "left").select(*docs.columns, "__spans")
     names = {f.name for f in fields}
     others = [c for c in docs.columns if c not in names and c not in (ID, DIGEST)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in row_slices(batch, text):
-                listed = part.column("_spans")
+                listed = part.column("__spans")
                 row = np.repeat(np.arange(part.num_rows), listed.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
                 digest, start, length = (x.to_numpy(zero_copy_only=False) for x in listed.flatten().flatten())
                 own = digest == part.column(DIGEST).fill_null(0).to_numpy(zero_copy_only=False)[row]
