@@ -63,11 +63,11 @@ class Vocabulary:
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         size = max([*vocab.values(), *self.special.values()]) + 1
         self.length, self.split, self.pair = [0] * size, [(i, i) for i in range(size)], {}
-        by_symbols, texts = {}, [b""] * size
+        by_symbols: dict[str, int] = {}
         self.automaton = ahocorasick.Automaton()
         for token, i in vocab.items():
             s = symbols(token)
-            by_symbols[s], texts[i], self.length[i] = i, token.encode(), len(s)
+            by_symbols[s], self.length[i] = i, len(s)
             self.automaton.add_word(s, (i, len(s)))
         self.automaton.make_automaton()
         ranks = [0] * size
@@ -79,10 +79,6 @@ class Vocabulary:
         self.shorter = [-1] * size
         for s, i in by_symbols.items():
             self.shorter[i] = next((by_symbols[s[:k]] for k in range(len(s) - 1, 0, -1) if s[:k] in by_symbols), -1)
-        for word, i in self.special.items():
-            texts[i] = word.encode()
-        # decoding joins tokens by a space where the file names no decoder
-        self.blob, self.offsets = blob_of([t + b" " for t in texts])
         self.seen: dict[bytes, np.ndarray] = {}
         self.fits: dict[tuple[int, int], bool] = {}
 
@@ -192,6 +188,19 @@ class Vocabulary:
         ids = flat[spread((np.cumsum(sizes) - sizes)[which], counts)]
         return ids, np.bincount(row, counts, len(offsets) - 1).astype(np.int64)
 
+
+class TokenTexts:
+    """The letters of all tokens in one blob, addressed by an offset table."""
+
+    def __init__(self, content: bytes):
+        model = json.loads(content)
+        names = {**model["model"]["vocab"], **{t["content"]: t["id"] for t in model["added_tokens"]}}
+        texts = [b""] * (max(names.values()) + 1)
+        for token, i in names.items():
+            texts[i] = token.encode()
+        # decoding joins tokens by a space where the file names no decoder
+        self.blob, self.offsets = blob_of([t + b" " for t in texts])
+
     def decode_ids(self, ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bytes of the texts of consecutive id lists and the number of bytes of each."""
         return join_pieces(self.blob, self.offsets, ids, counts)
@@ -267,17 +276,26 @@ def distinct_pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[list[tuple[b
     return [(raw[a:b], o) for a, b, o in spans], which, row
 
 
-_loaded: dict[str, Vocabulary] = {}
+_loaded: dict[tuple[type, str], object] = {}
 
 
-def vocabulary(content: bytes) -> Vocabulary:
-    """The tables of a vocabulary file's content, built once in each worker."""
-    key = hashlib.sha256(content).hexdigest()
+def _once(kind: type, content: bytes):
+    key = kind, hashlib.sha256(content).hexdigest()
     if key not in _loaded:
-        _loaded[key] = Vocabulary(content)
+        _loaded[key] = kind(content)
     return _loaded[key]
 
 
+def vocabulary(content: bytes) -> Vocabulary:
+    """The encoder's tables of a vocabulary file's content, built once in each worker."""
+    return _once(Vocabulary, content)
+
+
+def token_texts(content: bytes) -> TokenTexts:
+    """The decoder's table of a vocabulary file's content, built once in each worker."""
+    return _once(TokenTexts, content)
+
+
 def file_content(path: str) -> bytes:
     with open(path, "rb") as f:
         return f.read()
@@ -313,13 +331,13 @@ def decode(df: DataFrame, ids: str, vocabulary_path: str, text: str = "decoded")
     content = df.sparkSession.sparkContext.broadcast(file_content(vocabulary_path))
 
     def make():
-        vocab = vocabulary(content.value)
+        table = token_texts(content.value)
 
         def extra(part: pa.RecordBatch):
             column = part.column(ids)
             counts = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
             flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            data, sizes = vocab.decode_ids(flat, counts)
+            data, sizes = table.decode_ids(flat, counts)
             offsets = np.zeros(len(sizes) + 1, np.int32)
             np.cumsum(sizes, out=offsets[1:])
             return [pa.StringArray.from_buffers(len(sizes), pa.py_buffer(offsets), pa.py_buffer(data))]
