@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from lodestrata.llm.common import LOWER_CODES, code_of, gram_codes, list_array, mix, row_slices, running_code, text_arrays, words_of
+from lodestrata.llm.common import LOWER_CODES, code_of, gram_codes, list_array, mix, row_slices, running_code, spread, text_arrays, words_of
 from lodestrata.llm.components import components
 from lodestrata.session import cut_lineage
 
@@ -21,6 +21,8 @@ ABOVE, BELOW = 4, 5
 COMMON = 4096
 #: N-grams whose local counts a task holds at a time, partner sets in one tree, partners of one task.
 COUNTED, TREE, PARTNERS = 1 << 20, 512, 4096
+#: Documents of one side of a tile in which the documents of a long list are compared.
+TILE = 4096
 _COMMON_BIT = np.uint64(1 << 63)
 
 
@@ -187,6 +189,100 @@ def tree_links(query: np.ndarray, partners: list[tuple[int, np.ndarray]]) -> lis
     return found
 
 
+def half(sketch: np.ndarray) -> np.ndarray:
+    return sketch[: len(sketch) // 2] ^ sketch[len(sketch) // 2 :]
+
+
+class Lists:
+    """Whole lists (or tiles of long ones) of documents with sizes, components and sketches, as arrays."""
+
+    def __init__(self, table: pa.Table):
+        get = lambda c: table.column(c).to_numpy()
+        self.rep, self.size, self.component, side = get("_rep"), get("_n"), get("_component"), get("_side")
+        key = [get(c) for c in ("_gram", "_i", "_j")]
+        fresh = np.concatenate(([True], np.any([k[1:] != k[:-1] for k in key], axis=0)))
+        begin = np.flatnonzero(fresh)
+        end = np.concatenate((begin[1:], [len(self.rep)]))
+        group = np.cumsum(fresh) - 1
+        seconds = np.bincount(group, side).astype(np.int64)  # rows of the second side stand last
+        at = np.arange(len(self.rep))
+        inner = key[1] == key[2]
+        self.since = np.where(inner, at + 1, (end - seconds)[group])
+        self.count = np.where(inner | (side == 0), end[group] - self.since, 0)
+        sketches = [np.asarray(x, np.int64).view(np.uint64) for x in table.column("_bits").to_numpy()]
+        self.words = np.array([len(x) for x in sketches], np.int64)
+        halves = [half(x) if len(x) > 1 else x[:0] for x in sketches]
+        self.flat = np.concatenate([*sketches, *halves])
+        sizes = np.concatenate((self.words, [len(x) for x in halves]))
+        place = np.cumsum(sizes) - sizes
+        self.whole, self.folded = place[: len(sketches)], place[len(sketches) :]
+
+    def open_pairs(self, limit: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of different components that sizes and sketches leave open, some rows at a time."""
+        ends, lo = np.cumsum(self.count), 0
+        while lo < len(self.count):
+            done = ends[lo - 1] if lo else 0
+            hi = max(lo + 1, int(np.searchsorted(ends, done + limit, side="right")))
+            a = np.repeat(np.arange(lo, hi), self.count[lo:hi])
+            b = spread(self.since[lo:hi], self.count[lo:hi])
+            x, y = self.size[a], self.size[b]
+            fits = (self.component[a] != self.component[b]) & (x * BELOW >= y * ABOVE) & (y * BELOW >= x * ABOVE)
+            a, b = a[fits], b[fits]
+            length = np.minimum(self.words[a], self.words[b])
+            from_a = np.where(self.words[a] == length, self.whole[a], self.folded[a])
+            from_b = np.where(self.words[b] == length, self.whole[b], self.folded[b])
+            most = (self.size[a] + self.size[b]) * (BELOW - ABOVE) // (BELOW + ABOVE)
+            apart, going = np.zeros(len(a), np.int64), np.arange(len(a))
+            step = 0
+            while len(going):
+                apart[going] += np.bitwise_count(self.flat[from_a[going] + step] ^ self.flat[from_b[going] + step])
+                step += 1
+                going = going[(length[going] > step) & (apart[going] <= most[going])]
+            open_ = apart <= most
+            yield self.rep[a[open_]], self.rep[b[open_]]
+            lo = hi
+
+
+def pairs_across(rest: DataFrame, bits: DataFrame) -> DataFrame:
+    """Pairs (``_a`` < ``_b``) of one list and of different components that sizes and sketches leave open.
+
+    Only open pairs leave a task. A list is cut into blocks of about ``TILE`` documents, and each pair of blocks
+    is compared on its own, so lists of any length are spread over many tasks.
+    """
+    sizes = rest.groupBy("_gram").agg(F.ceil(F.count("*") / TILE).cast("int").alias("_blocks"))
+    block = F.pmod(F.xxhash64("_rep"), F.col("_blocks")).cast("int")
+    known = rest.join(sizes, "_gram").join(bits, "_rep").withColumn("_block", block)
+    each = known.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    columns = ["_gram", "_i", "_j", "_side", "_rep", "_n", "_component", "_bits"]
+    tiled = each.withColumns(
+        {"_i": F.least("_block", "_o"), "_j": F.greatest("_block", "_o"), "_side": F.when(F.col("_block") <= F.col("_o"), 0).otherwise(1)}
+    ).select(*columns)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found(table: pa.Table) -> pa.RecordBatch:
+            pairs = [np.stack((np.minimum(a, b), np.maximum(a, b)), axis=1) for a, b in Lists(table).open_pairs()]
+            once = np.unique(np.concatenate(pairs), axis=0)
+            return pa.RecordBatch.from_arrays([pa.array(once[:, 0]), pa.array(once[:, 1])], ["_a", "_b"])
+
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) < 4 * TILE:
+                continue
+            whole = pa.Table.from_batches(held)
+            last = [whole.column(c).to_numpy() for c in ("_gram", "_i", "_j")]
+            other = np.flatnonzero(np.any([k != k[-1] for k in last], axis=0))
+            done = int(other[-1]) + 1 if len(other) else 0  # the last tile may go on
+            if done:
+                yield found(whole.slice(0, done))
+            held = whole.slice(done).combine_chunks().to_batches()
+        if held:
+            yield found(pa.Table.from_batches(held))
+
+    ordered = tiled.repartition("_gram", "_i", "_j").sortWithinPartitions("_gram", "_i", "_j", "_side")
+    return ordered.mapInArrow(compare, "_a long, _b long").distinct()
+
+
 def verified(pairs: DataFrame, docs: DataFrame, n: int, common) -> DataFrame:
     """The pairs (``_a``, ``_b``) whose sets are similar.
 
@@ -289,10 +385,7 @@ def similar_documents(df: DataFrame, key: str, text: str, n: int = 5) -> DataFra
     named = lists.join(label, F.col("_rep") == F.col("_node"), "left").select("_gram", "_rep", "_n", F.coalesce("_component", "_rep").alias("_component"))
     mixed = named.groupBy("_gram").agg((F.min("_component") != F.max("_component")).alias("_mixed")).filter("_mixed").select("_gram")
     rest = named.join(mixed, "_gram", "left_semi")
-    left, right = rest.alias("l"), rest.alias("r")
-    across = left.join(right, (F.col("l._gram") == F.col("r._gram")) & (F.col("l._rep") < F.col("r._rep")) & (F.col("l._component") != F.col("r._component")) & fitting(F.col("l._n"), F.col("r._n")))
-    second = across.select(F.col("l._rep").alias("_a"), F.col("r._rep").alias("_b"), F.col("l._n").alias("_na"), F.col("r._n").alias("_nb"))
-    more = verified(candidates(second), docs, n, common)
+    more = verified(pairs_across(rest, bits), docs, n, common)
 
     final = components(links.unionAll(more), "_a", "_b")
     return member.join(final, F.col("_rep") == F.col("_node"), "left").select("_doc", "_n", F.coalesce("_component", "_rep").alias("_component"))

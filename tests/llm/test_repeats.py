@@ -43,7 +43,9 @@ def test_byte_strings_that_start_earlier_go(docs):
         assert r["n_removed"] == r["n_bytes"] - len(kept)
 
 
-def test_similar_documents_share_a_component(docs):
+@pytest.mark.parametrize("tile", [4096, 2])
+def test_similar_documents_share_a_component(docs, monkeypatch, tile):
+    monkeypatch.setattr(ngrams, "TILE", tile)
     rows, df = docs
     sets = {k: data.shingles(t, 5) for k, t, *_ in rows if k is not None}
     links = [(a, b) for a, b in combinations(sets, 2) if sets[a] and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
@@ -115,3 +117,29 @@ def test_set_hashes_do_not_depend_on_the_block():
     alone = [ngrams.ngram_sets(*ngrams.text_arrays(texts[k : k + 1]), 5)[0].tolist() for k in range(5)]
     assert [value[owner == k].tolist() for k in range(5)] == alone
     assert alone[0] == alone[3] and alone[1] != alone[4] and alone[2] == []
+
+
+def test_open_pairs_are_those_of_all_comparisons():
+    rng = np.random.default_rng(8)
+    words = rng.choice([1, 2, 4], 40)
+    sketches = [rng.integers(0, 2**62, n) & rng.integers(0, 2**62, n) & rng.integers(0, 2**62, n) for n in words]
+    sizes, component = words * 40 + rng.integers(0, 24, 40), rng.integers(0, 6, 40)
+    gram = np.repeat([1, 2], 20)
+    for tile in (False, True):
+        side = np.tile(np.repeat([0, 1], 10), 2) if tile else np.zeros(40, int)
+        table = pa.table({"_gram": gram, "_i": np.zeros(40, int), "_j": np.full(40, int(tile)), "_side": side, "_rep": np.arange(40), "_n": sizes,
+                          "_component": component, "_bits": pa.array([x.tolist() for x in sketches])})
+        got = sorted((int(x), int(y)) for a, b in ngrams.Lists(table).open_pairs(limit=7) for x, y in zip(a, b))
+        expected = []
+        for i in range(40):
+            for j in range(i + 1, 40):
+                x, y = (np.asarray(s).view(np.uint64) for s in (sketches[i], sketches[j]))
+                while len(x) > len(y):
+                    x = ngrams.half(x)
+                while len(y) > len(x):
+                    y = ngrams.half(y)
+                alike = 5 * sizes[i] >= 4 * sizes[j] and 5 * sizes[j] >= 4 * sizes[i]
+                meets = gram[i] == gram[j] and (not tile or side[i] < side[j])
+                if meets and alike and component[i] != component[j] and 9 * np.bitwise_count(x ^ y).sum() <= sizes[i] + sizes[j]:
+                    expected.append((i, j))
+        assert got == expected and got
