@@ -16,7 +16,7 @@ SPACES = b" \t\n\x0b\x0c\r"
 #: The same for Spark's regular expressions.
 SPACE_CLASS = "[\\x20\\x09-\\x0D]"
 #: Bytes of text that a task turns into arrays at a time.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[list(SPACES)] = True
@@ -153,7 +153,9 @@ def row_slices(batch: pa.RecordBatch, text: str | None, limit: int = BLOCK_BYTES
 Extra = Callable[[pa.RecordBatch], Sequence[pa.Array]]
 
 
-def extend(df: DataFrame, text: str, fields: Sequence[T.StructField], make: Callable[[], Extra]) -> DataFrame:
+def extend(
+    df: DataFrame, text: str, fields: Sequence[T.StructField], make: Callable[[], Extra], limit: int = BLOCK_BYTES
+) -> DataFrame:
     """``df`` with columns that Python computes from blocks of rows; a column of the same name is replaced.
 
     ``make`` runs once in each task and returns the function from a block to its new columns.
@@ -164,7 +166,7 @@ def extend(df: DataFrame, text: str, fields: Sequence[T.StructField], make: Call
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         extra = make()
         for batch in batches:
-            for part in row_slices(batch, text):
+            for part in row_slices(batch, text, limit):
                 yield pa.RecordBatch.from_arrays([*part.columns, *extra(part)], [*names, *[f.name for f in fields]])
 
     return kept.mapInArrow(run, T.StructType([*kept.schema.fields, *fields]))

@@ -21,6 +21,8 @@ ABOVE, BELOW = 4, 5
 COMMON = 4096
 #: N-grams whose local counts a task holds at a time, partner sets in one tree, partners of one task.
 COUNTED, TREE, PARTNERS = 1 << 20, 512, 4096
+#: Bytes of text whose n-grams a task holds at a time.
+SET_BYTES = 1 << 19
 #: Documents of one side of a tile in which the documents of a long list are compared.
 TILE = 4096
 _COMMON_BIT = np.uint64(1 << 63)
@@ -77,7 +79,7 @@ def common_ngrams(docs: DataFrame, n: int) -> np.ndarray:
             return pa.RecordBatch.from_arrays([pa.array(value[again].view(np.int64)), pa.array(times[again], pa.int64())], ["_gram", "_times"])
 
         for batch in batches:
-            for part in row_slices(batch, "_text"):
+            for part in row_slices(batch, "_text", SET_BYTES):
                 held.append(ngram_sets(*text_arrays(part.column("_text")), n)[0])
                 size += len(held[-1])
                 if size >= COUNTED:
@@ -113,7 +115,7 @@ def signatures(docs: DataFrame, n: int, common) -> DataFrame:
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in row_slices(batch, "_text"):
+            for part in row_slices(batch, "_text", SET_BYTES):
                 value, owner = ordered_sets(part, n, common.value)
                 rows = part.num_rows
                 size = np.bincount(owner, minlength=rows)
@@ -294,7 +296,7 @@ def verified(pairs: DataFrame, docs: DataFrame, n: int, common) -> DataFrame:
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in row_slices(batch, "_text"):
+            for part in row_slices(batch, "_text", SET_BYTES):
                 value, owner = ordered_sets(part, n, common.value)
                 size = np.bincount(owner, minlength=part.num_rows)
                 end, raw = np.cumsum(size) * 8, value.astype("<u8").tobytes()
