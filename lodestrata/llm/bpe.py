@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from lodestrata.llm.common import LOWER_CODES, SPACES, code_of, extend, list_array, running_code, spread, text_arrays, words_of
 
 #: Entries kept of each worker's memory of pieces and of pairs; a full one starts anew.
-MEMORY = 150_000
+MEMORY = 250_000
 
 
 def byte_letters() -> list[str]:
