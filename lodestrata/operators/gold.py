@@ -14,36 +14,38 @@ from lodestrata.sources.writers import write_load
 
 # The columns of each gold model, in order.
 DIM_POLICY = (
-    "policy_id policy_number product_code product_name line_of_business policy_status effective_date "
-    "expiration_date issue_date cancellation_date premium_amount coverage_amount deductible_amount "
-    "customer_id agent_id underwriter_id risk_class territory_code state_code"
-).split()
+    "policy_id", "policy_number", "product_code", "product_name", "line_of_business", "policy_status",
+    "effective_date", "expiration_date", "issue_date", "cancellation_date", "premium_amount", "coverage_amount",
+    "deductible_amount", "customer_id", "agent_id", "underwriter_id", "risk_class", "territory_code",
+    "state_code",
+)
 FACT_POLICY_TRANSACTION = (
-    "transaction_id policy_id transaction_type transaction_date effective_date premium_change "
-    "written_premium earned_premium unearned_premium commission_amount tax_amount fees agent_id "
-    "underwriter_id approval_status"
-).split()
+    "transaction_id", "policy_id", "transaction_type", "transaction_date", "effective_date", "premium_change",
+    "written_premium", "earned_premium", "unearned_premium", "commission_amount", "tax_amount", "fees",
+    "agent_id", "underwriter_id", "approval_status",
+)
 DIM_CLAIM = (
-    "claim_id claim_number policy_id claimant_id loss_date report_date claim_status claim_type loss_type "
-    "cause_of_loss loss_description loss_location_state loss_location_zip assigned_adjuster_id "
-    "litigation_flag fraud_score fraud_flag total_incurred total_paid total_reserved salvage_amount "
-    "subrogation_amount deductible_applied"
-).split()
+    "claim_id", "claim_number", "policy_id", "claimant_id", "loss_date", "report_date", "claim_status",
+    "claim_type", "loss_type", "cause_of_loss", "loss_description", "loss_location_state", "loss_location_zip",
+    "assigned_adjuster_id", "litigation_flag", "fraud_score", "fraud_flag", "total_incurred", "total_paid",
+    "total_reserved", "salvage_amount", "subrogation_amount", "deductible_applied",
+)
 DIM_CUSTOMER = (
-    "customer_id customer_type first_name last_name full_name date_of_birth gender ssn email phone "
-    "preferred_language preferred_channel customer_since_date customer_segment lifetime_premium_value "
-    "total_claims_count active_policy_count risk_score nps_score churn_risk_score last_interaction_date"
-).split()
+    "customer_id", "customer_type", "first_name", "last_name", "full_name", "date_of_birth", "gender", "ssn",
+    "email", "phone", "preferred_language", "preferred_channel", "customer_since_date", "customer_segment",
+    "lifetime_premium_value", "total_claims_count", "active_policy_count", "risk_score", "nps_score",
+    "churn_risk_score", "last_interaction_date",
+)
 FACT_JOURNAL_ENTRY = (
-    "entry_id journal_id posting_date fiscal_year fiscal_period account_code account_name "
-    "account_category department_code cost_center debit_amount credit_amount net_amount currency_code "
-    "description source_module reference_id reversal_flag approved_by"
-).split()
+    "entry_id", "journal_id", "posting_date", "fiscal_year", "fiscal_period", "account_code", "account_name",
+    "account_category", "department_code", "cost_center", "debit_amount", "credit_amount", "net_amount",
+    "currency_code", "description", "source_module", "reference_id", "reversal_flag", "approved_by",
+)
 FACT_PREMIUM_INVOICE = (
-    "invoice_id policy_id customer_id billing_period_start billing_period_end due_date invoice_amount "
-    "paid_amount outstanding_amount payment_status billing_frequency payment_method last_payment_date "
-    "days_overdue dunning_level"
-).split()
+    "invoice_id", "policy_id", "customer_id", "billing_period_start", "billing_period_end", "due_date",
+    "invoice_amount", "paid_amount", "outstanding_amount", "payment_status", "billing_frequency",
+    "payment_method", "last_payment_date", "days_overdue", "dunning_level",
+)
 
 
 def _model(df: DataFrame, columns: Sequence[str], at: Column, extra: Mapping[str, Column] | None = None) -> DataFrame:

@@ -96,12 +96,13 @@ def compliance_scorecard(columns: DataFrame, links: DataFrame, violations: DataF
     return joined.withColumn("compliance_score", F.round(score, 2))
 
 
-def auto_links(terms: DataFrame, columns: DataFrame) -> DataFrame:
+def auto_links(terms: DataFrame, columns: DataFrame, least: int = 1) -> DataFrame:
     """Links suggested by names: equal (1.0, approved) or one contained in the other (0.7).
 
-    Containment is an equi-join on substrings: each name is cut into its substrings (names
-    are short) and meets the other side's whole names, so no term is paired with every
-    column. Rows are reduced to distinct names before the join.
+    A contained name must have at least ``least`` letters (equal names always count): names of one or two letters are
+    part of nearly every other, so at scale three or more are wanted. Containment is an equi-join on
+    substrings: each name is cut into its substrings (names are short) and meets the other side's
+    whole names, so no term is paired with every column. Rows are reduced to distinct names before the join.
     """
     t = terms.filter(F.col("status") == "published").select("term_id", F.lower("term_name").alias("t"))
     named = _described(columns).withColumn("c", F.lower("column_name"))
@@ -111,8 +112,10 @@ def auto_links(terms: DataFrame, columns: DataFrame) -> DataFrame:
         n = F.length(name)
         every = F.flatten(
             F.transform(
-                F.sequence(F.lit(1), n),
-                lambda i: F.transform(F.sequence(F.lit(1), n - i + 1), lambda k: F.substr(F.col(name), i, k)),
+                F.sequence(F.lit(1), F.greatest(n - (least - 1), F.lit(1))),
+                lambda i: F.transform(
+                    F.sequence(F.least(F.lit(least), n - i + 1), n - i + 1), lambda k: F.substr(F.col(name), i, k)
+                ),
             )
         )
         return F.explode(F.array_distinct(every))
@@ -121,6 +124,7 @@ def auto_links(terms: DataFrame, columns: DataFrame) -> DataFrame:
     in_column = c.select("c", pieces("c").alias("t")).join(term_names, "t")
     in_term = term_names.select("t", pieces("t").alias("c")).join(c, "c")
     pairs = in_column.select("t", "c").unionByName(in_term.select("t", "c")).distinct()
+    pairs = pairs.filter((F.least(F.length("t"), F.length("c")) >= least) | (F.col("t") == F.col("c")))
     exact = F.col("t") == F.col("c")
     return (
         pairs.join(t, "t")

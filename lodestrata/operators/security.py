@@ -46,8 +46,9 @@ TEXT_PATTERNS = {
 }
 # Name parts that mark a column as personal.
 PERSONAL_WORDS = (
-    "ssn social_security dob birth email phone credit_card address medical diagnosis prescription"
-).split()
+    "ssn", "social_security", "dob", "birth", "email", "phone", "credit_card", "address", "medical",
+    "diagnosis", "prescription",
+)
 
 
 def _params(rule: Rule) -> dict:

@@ -131,8 +131,8 @@ def approval_by_minute(df: DataFrame, ts: str, kind: str, approved: Column) -> D
     )
 
 
-def active_by_minute(df: DataFrame, ts: str, user: str, as_of: Column, minutes: int = 30, approximate: bool = True) -> DataFrame:
-    """Events and distinct users per minute of the last half hour."""
+def active_by_minute(df: DataFrame, ts: str, user: str, as_of: Column, minutes: int = 30, approximate: bool = False) -> DataFrame:
+    """Events and distinct users per minute of the last ``minutes``; ``approximate`` counts users by a sketch."""
     distinct = F.approx_count_distinct(user) if approximate else F.countDistinct(user)
     recent = df.filter(F.col(ts) > as_of - F.make_interval(mins=F.lit(minutes)))
     return recent.groupBy(F.date_trunc("minute", F.col(ts)).alias("minute")).agg(
