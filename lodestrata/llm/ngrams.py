@@ -8,7 +8,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from lodestrata.llm.common import LOWER_CODES, code_of, gram_codes, list_array, mix, row_slices, running_code, spread, text_arrays, words_of
