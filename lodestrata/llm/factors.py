@@ -47,7 +47,7 @@ def factors(df: DataFrame, key: str, text: str, width: int = 50, gram: int = 8)
     """
     windows = Windows(True, width, gram)
     parts = stretches(keyed(df, key, text), text, repeated_anchors(df, key, text, windows, True), windows, False)
-    return compare(parts, FACTOR_FIELDS, lambda found: parse(found, width), False)
+    return compare(parts, FACTOR_FIELDS, lambda found: parse(found, width), windows, False)
 
 
 def without_repeats(df: DataFrame, key: str, text: str, width: int = 50, gram: int = 8) -> DataFrame:

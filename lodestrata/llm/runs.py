@@ -135,7 +135,7 @@ def repeated_spans(df: DataFrame, key: str, text: str, width: int = 100, gram: i
     """Byte spans (``_doc``, ``_digest``, ``_start``, ``_length``) covered by strings that start earlier."""
     windows = Windows(False, width, gram)
     parts = stretches(keyed(df, key, text), text, repeated_anchors(df, key, text, windows, False), windows, True)
-    return compare(parts, SPAN_FIELDS, lambda found: mark(found, width), True)
+    return compare(parts, SPAN_FIELDS, lambda found: mark(found, width), windows, True)
 
 
 def without_repeats(df: DataFrame, key: str, text: str, width: int = 100, gram: int = 32) -> DataFrame:

@@ -6,6 +6,10 @@ anchors, and neighbouring windows mostly share one, so a text has few anchors (a
 ``width - gram + 2`` units). Anchors are counted over all texts; only the windows of those that
 occur again are cut out, as one stretch of text for each run of windows with the same anchor, and
 sent to the task of that anchor. No window that occurs twice is lost.
+
+An anchor with very many stretches is cut into blocks of bounded size. A block settles the windows that it
+holds earlier itself; of each other window only its hash and place leave it, to be compared with those
+of the anchor's other blocks.
 """
 
 from __future__ import annotations
@@ -27,6 +31,10 @@ from lodestrata.llm.common import code_of, codes_along, gram_codes, mix, row_sli
 ID, DIGEST, TEXT = "__number", "__digest", "__text"
 #: Bytes of stretches that a task compares together (more where one anchor has more).
 TOGETHER_BYTES = 2 << 20
+#: Stretches of one anchor that are compared in one block; an anchor with more is cut into blocks.
+MANY = 8192
+#: The low bits of a listed anchor tell its blocks, as a power of two; the anchor itself has zeros there.
+BLOCKS_BITS = 63
 #: Bytes of text searched for anchors at a time: the arrays for them stay in a core's cache.
 PASS_BYTES = 1 << 18
 #: Stretches that a task remembers to leave out the bytes of their copies.
@@ -64,7 +72,19 @@ class Windows:
         last = np.flatnonzero(valid & np.concatenate((moved, [True])))
         text, until = row[first].astype(np.int64), last + self.width - 1
         lo, hi = (starts[first], ends[until]) if self.words else (first, until + 1)
-        return Runs(text, first - before[text], until + 1 - first, grams[at[first]].view(np.int64), lo, hi, before)
+        anchor = grams[at[first]].view(np.int64) & ~BLOCKS_BITS
+        return Runs(text, first - before[text], until + 1 - first, anchor, lo, hi, before)
+
+    def codes(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hash of every window of the texts, its text, and its first unit in the text."""
+        if self.words:
+            starts, ends, row = words_of(data, offsets)
+            code = gram_codes(code_of(running_code(data), starts, ends), self.width)
+        else:
+            row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+            code = codes_along(running_code(data), self.width) if len(data) >= self.width else np.zeros(0, np.uint64)
+        at = np.flatnonzero(row[: len(code)] == row[self.width - 1 :]) if len(code) else np.zeros(0, np.int64)
+        return code[at], row[at], at - np.searchsorted(row, row[at])
 
 
 @dataclass
@@ -98,7 +118,10 @@ def keyed(df: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def repeated_anchors(df: DataFrame, key: str, text: str, windows: Windows, other_documents: bool) -> DataFrame:
-    """For each document number, the anchors of its texts that occur again: in another document, or anywhere."""
+    """For each document number, the anchors of its texts that occur again: in another document, or anywhere.
+
+    An anchor that more than ``MANY`` stretches share comes with the power of two of blocks in its low bits.
+    """
     docs = df.select(F.col(f"`{key}`").cast("long").alias(ID), F.col(f"`{text}`").alias(TEXT)).filter(F.col(ID).isNotNull() & F.col(TEXT).isNotNull())
     schema = T.StructType([T.StructField("_anchor", T.LongType()), T.StructField(ID, T.LongType())])
 
@@ -106,26 +129,27 @@ def repeated_anchors(df: DataFrame, key: str, text: str, windows: Windows, other
         for batch in batches:
             for part in row_slices(batch, TEXT, PASS_BYTES):
                 runs = windows.runs(*text_arrays(part.column(TEXT)))
-                _, first, times = np.unique(in_row(runs.anchor, runs.row), return_index=True, return_counts=True)
-                if not other_documents:  # an anchor that a text holds twice is told by a second row
-                    first = np.concatenate((first, first[times > 1]))
-                number = part.column(ID).take(pa.array(runs.row[first]))
-                yield pa.RecordBatch.from_arrays([pa.array(runs.anchor[first]), number], ["_anchor", ID])
+                number = part.column(ID).take(pa.array(runs.row))  # a row for each stretch, so that they are counted
+                yield pa.RecordBatch.from_arrays([pa.array(runs.anchor), number], ["_anchor", ID])
 
     # counted over the rows of each anchor, so that anchors are found and shuffled once; a row is two numbers
     same = Window.partitionBy("_anchor")
-    again = (F.min(ID).over(same) != F.max(ID).over(same)) if other_documents else (F.count("*").over(same) > 1)
-    live = docs.mapInArrow(anchors, schema).withColumn("_again", again).filter("_again")
+    count = F.count("*").over(same)
+    again = (F.min(ID).over(same) != F.max(ID).over(same)) if other_documents else (count > 1)
+    blocks = F.when(count > MANY, F.ceil(F.log2(count / MANY))).otherwise(0).cast("long")
+    live = docs.mapInArrow(anchors, schema).select(ID, F.col("_anchor").bitwiseOR(blocks).alias("_anchor"), again.alias("_again")).filter("_again")
     return live.groupBy(ID).agg(F.collect_set("_anchor").alias("__anchors"))
 
 
 def stretches(docs: DataFrame, text: str, anchors: DataFrame, windows: Windows, same_document: bool) -> DataFrame:
-    """The texts' stretches around repeated anchors: anchor, document, text hash, first unit, units and bytes.
+    """The texts' stretches around repeated anchors: anchor, block, document, text hash, first unit, units and bytes.
+
+    The block is -1 where the anchor is not cut into blocks.
 
     A stretch of which a task has seen an earlier copy comes without its bytes: all of it is repeated. With
     ``same_document`` a copy in the same document counts too, else only one in a document with a smaller number.
     """
-    fields = [T.StructField(n, T.LongType()) for n in ("_anchor", ID, DIGEST, "_at", "_units")] + [T.StructField("_bytes", T.BinaryType())]
+    fields = [T.StructField(n, T.LongType()) for n in ("_anchor", "_block", ID, DIGEST, "_at", "_units")] + [T.StructField("_bytes", T.BinaryType())]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[bytes, tuple[int, int]] = {}
@@ -136,9 +160,19 @@ def stretches(docs: DataFrame, text: str, anchors: DataFrame, windows: Windows,
                 listed = part.column("__anchors")
                 owner = np.repeat(np.arange(part.num_rows), listed.value_lengths().to_numpy(zero_copy_only=False))
                 runs = windows.runs(data, offsets)
-                runs = runs.pick(np.isin(in_row(runs.anchor, runs.row), in_row(listed.flatten().to_numpy(zero_copy_only=False), owner)))
+                anchor = listed.flatten().to_numpy(zero_copy_only=False)
+                known, bits = in_row(anchor & ~BLOCKS_BITS, owner), anchor & BLOCKS_BITS
+                runs = runs.pick(np.isin(in_row(runs.anchor, runs.row), known))
                 raw, pieces = data.tobytes(), []
                 number, digest = (part.column(c).to_numpy(zero_copy_only=False)[runs.row] for c in (ID, DIGEST))
+                block = np.full(len(runs.row), -1)
+                if bits.any():
+                    known, bits = known[bits > 0], bits[bits > 0]
+                    by = np.argsort(known)
+                    mine = in_row(runs.anchor, runs.row)
+                    near = by[np.minimum(np.searchsorted(known, mine, sorter=by), len(by) - 1)]
+                    place = mix(number.astype(np.uint64) ^ mix(runs.at.astype(np.uint64))).view(np.int64)
+                    block = np.where(known[near] == mine, place & ((1 << bits[near]) - 1), -1)
                 if len(seen) > SEEN:
                     seen.clear()
                 for a, b, place in zip(runs.low.tolist(), runs.high.tolist(), zip(number.tolist(), runs.at.tolist())):
@@ -150,7 +184,7 @@ def stretches(docs: DataFrame, text: str, anchors: DataFrame, windows: Windows,
                         pieces.append(piece)
                         seen[piece] = min(known, place)
                 yield pa.RecordBatch.from_arrays(
-                    [*[pa.array(x) for x in (runs.anchor, number, digest, runs.at, runs.units)], pa.array(pieces, pa.binary())],
+                    [*[pa.array(x) for x in (runs.anchor, block, number, digest, runs.at, runs.units)], pa.array(pieces, pa.binary())],
                     [f.name for f in fields],
                 )
 
@@ -170,9 +204,10 @@ class Stretches:
     Equal stretches of an anchor are kept once, the earliest (by document and first unit); copies
     that are later are spans. A stretch that no other stretch shares its anchor with holds nothing new.
     ``twin`` lists stretches equal in bytes and place to a kept one (rows that share their number).
+    With ``alone`` a stretch without company is kept too, because its anchor has other blocks.
     """
 
-    def __init__(self, table: pa.Table, same_document: bool):
+    def __init__(self, table: pa.Table, same_document: bool, alone: bool = False):
         columns = {c: table.column(c).combine_chunks() for c in table.column_names}
         held = columns["_bytes"].is_valid()
         anchor, doc, digest, at, units = (columns[c].to_numpy(zero_copy_only=False) for c in ("_anchor", ID, DIGEST, "_at", "_units"))
@@ -189,7 +224,7 @@ class Stretches:
         self.spans = [doc[done], digest[done], at[done], units[done]]
         lead = order[lead]
         lead = lead[np.lexsort((at[lead], doc[lead], anchor[lead]))]
-        shared = np.zeros(len(lead), bool)
+        shared = np.full(len(lead), alone)
         equal = anchor[lead][1:] == anchor[lead][:-1]
         shared[1:] |= equal
         shared[:-1] |= equal
@@ -205,15 +240,21 @@ class Stretches:
 
     def all_of(self, stretch: np.ndarray, inside: np.ndarray, units: np.ndarray) -> list[np.ndarray]:
         """Spans of kept stretches (and of their twins) together with those that were known at once."""
+        return [np.concatenate(c) for c in zip(self.spans, self.places(stretch, inside, units)[0])]
+
+    def places(self, stretch: np.ndarray, inside: np.ndarray, units: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+        """Spans of kept stretches and of their twins, and which of the given ones each is."""
         lo, hi = np.searchsorted(self.twin_of, stretch), np.searchsorted(self.twin_of, stretch, side="right")
         who, which = spread(lo, hi - lo), np.repeat(np.arange(len(stretch)), hi - lo)
         own = [self.doc[stretch], self.digest[stretch], self.at[stretch] + inside, units]
         twin = [self.twin[0][who], self.twin[1][who], self.twin[2][who] + inside[which], units[which]]
-        return [np.concatenate(c) for c in zip(self.spans, own, twin)]
+        return [np.concatenate(c) for c in zip(own, twin)], np.concatenate((np.arange(len(stretch)), which))
 
 
-def compare(parts: DataFrame, fields: list[T.StructField], check: Callable[[Stretches], list[np.ndarray]], same_document: bool) -> DataFrame:
-    """Run ``check`` on blocks of whole anchors; each task streams over its anchors in order."""
+def compare(
+    parts: DataFrame, fields: list[T.StructField], check: Callable[[Stretches], list[np.ndarray]], windows: Windows, same_document: bool
+) -> DataFrame:
+    """Run ``check`` on whole anchors, each task streaming over its anchors in order; those in blocks go by :func:`across`."""
 
     def result(table: pa.Table) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in check(Stretches(table, same_document))], [f.name for f in fields])
@@ -222,7 +263,7 @@ def compare(parts: DataFrame, fields: list[T.StructField], check: Callable[[Stre
         held: list[pa.RecordBatch] = []
         size = 0
         for batch in batches:
-            for part in row_slices(batch, "_bytes", TOGETHER_BYTES):
+            for part in row_slices(of_blocks(batch, False), "_bytes", TOGETHER_BYTES):
                 held.append(part)
                 size += part.nbytes
                 if size < TOGETHER_BYTES:
@@ -237,7 +278,78 @@ def compare(parts: DataFrame, fields: list[T.StructField], check: Callable[[Stre
         if held:
             yield result(pa.Table.from_batches(held))
 
-    return parts.repartition("_anchor").sortWithinPartitions("_anchor").mapInArrow(run, T.StructType(fields))
+    # both read the same exchange; each is right by itself, since an anchor has either blocks or none
+    dealt = parts.repartition("_anchor", "_block")
+    whole = dealt.sortWithinPartitions("_anchor").mapInArrow(run, T.StructType(fields))
+    return whole.unionAll(across(dealt, fields, windows, same_document))
+
+
+def of_blocks(batch: pa.RecordBatch, wanted: bool) -> pa.RecordBatch:
+    """The stretches of anchors with blocks, or the others."""
+    blocks = batch.column("_block").to_numpy() >= 0
+    if blocks.any() if not wanted else not blocks.all():
+        return batch.filter(pa.array(blocks == wanted))
+    return batch
+
+
+def across(dealt: DataFrame, fields: list[T.StructField], windows: Windows, same_document: bool) -> DataFrame:
+    """Spans of the anchors that are cut into blocks, by window hashes.
+
+    A window with an earlier equal one in its block is settled there. Any other goes on with its hash:
+    mostly one a block and hash, so that a window shared by many texts is as many rows as there are blocks.
+    """
+    key = [T.StructField(n, T.LongType()) for n in ("_anchor", "_code")]
+    settled = T.StructField("_settled", T.BooleanType())
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            some = of_blocks(batch, True)
+            if some.num_rows:
+                yield some
+
+    def result(table: pa.Table) -> pa.RecordBatch:
+        found = Stretches(table, same_document, True)
+        code, row, inside = windows.codes(found.data, found.offsets)
+        # stretches lie in the order of document and place, so the first of equal windows is the earliest
+        _, first, which = np.unique(code, return_index=True, return_inverse=True)
+        source, doc, at = first[which], found.doc[row], found.at[row] + inside
+        late = (doc[source] < doc) | ((doc[source] == doc) & (at[source] < at) & same_document)
+        n = np.flatnonzero(late)
+        if len(n):
+            head, tail = spans_of(row[n], inside[n], np.zeros(len(n), bool))
+            done = found.all_of(row[n][head], inside[n][head], inside[n][tail] - inside[n][head] + windows.width)
+        else:
+            done = found.spans
+        n = np.flatnonzero(~late)
+        going, which = found.places(row[n], inside[n], np.full(len(n), windows.width))
+        anchor = np.full(len(done[0]) + len(which), table.column("_anchor")[0].as_py())
+        # what is settled is dealt by its place
+        dealt_by = mix(done[0].astype(np.uint64) ^ mix(done[2].astype(np.uint64)))
+        codes = np.concatenate((dealt_by, code[n][which])).view(np.int64)
+        columns = [anchor, codes, np.arange(len(anchor)) < len(done[0]), *[np.concatenate(c) for c in zip(done, going)]]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [f.name for f in (*key, settled, *fields)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            names = [batch.column(c).to_numpy() for c in ("_anchor", "_block")]
+            edges = np.flatnonzero(np.any([np.diff(c) != 0 for c in names], axis=0)) + 1
+            for lo, hi in zip([0, *edges.tolist()], [*edges.tolist(), batch.num_rows]):
+                part = batch.slice(lo, hi - lo)
+                if held and any(held[0].column(c)[0] != part.column(c)[0] for c in ("_anchor", "_block")):
+                    yield result(pa.Table.from_batches(held))
+                    held = []
+                if part.num_rows:
+                    held.append(part)
+        if held:
+            yield result(pa.Table.from_batches(held))
+
+    blocks = dealt.mapInArrow(pick, dealt.schema).sortWithinPartitions("_anchor", "_block")
+    rows = blocks.mapInArrow(run, T.StructType([*key, settled, *fields]))
+    same = Window.partitionBy("_settled", "_anchor", "_code")
+    place = F.struct(ID, "_start") if same_document else F.col(ID)
+    late = F.col("_settled") | (F.min(place).over(same) < place)
+    return rows.withColumn("_late", late).filter("_late").select(*[f.name for f in fields])
 
 
 def spans_of(stretch: np.ndarray, at: np.ndarray, fresh: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

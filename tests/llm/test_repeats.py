@@ -1,12 +1,14 @@
 """Passages, byte strings and similar documents against brute force."""
 
+import random
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from lodestrata.llm import factors, ngrams, runs
+from lodestrata.llm import factors, ngrams, runs, segments
 from lodestrata.llm.components import components
 from tests.llm import data
 
@@ -43,6 +45,38 @@ def test_byte_strings_that_start_earlier_go(docs):
         assert r["n_removed"] == r["n_bytes"] - len(kept)
 
 
+@pytest.mark.parametrize("words", [True, False])
+def test_one_passage_of_all_documents_is_compared_in_blocks(spark, monkeypatch, words):
+    monkeypatch.setattr(segments, "MANY", 8)
+    r = random.Random(6)
+    prose = lambda n: " ".join("".join(r.choice("abcdefgh") for _ in range(4)) for _ in range(n))
+    passage, around = prose(30), [prose(20) for _ in range(40)]
+    # half of the surroundings are shared by a few documents, so that blocks meet outside the passage too
+    texts = [f"{r.choice(around[:20]) if k % 2 else prose(20)} {passage} {prose(20) if k % 3 else r.choice(around[20:])}" for k in range(200)]
+    texts[50], texts[60] = texts[150], passage + " " + passage
+    rows = [(k, t) for k, t in enumerate(texts)] + [(7, texts[7]), (7, texts[8]), (None, texts[9])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+
+    windows, other = (segments.Windows(True, 12, 4), True) if words else (segments.Windows(False, 40, 12), False)
+    kept = segments.keyed(df, "doc_id", "text")
+    parts = segments.stretches(kept, "text", segments.repeated_anchors(df, "doc_id", "text", windows, other), windows, not other)
+    sizes = Counter((x["_anchor"], x["_block"]) for x in parts.collect())
+    whole = Counter()
+    for (anchor, _), n in sizes.items():
+        whole[anchor] += n
+    assert max(whole.values()) > 100 and max(sizes.values()) <= 4 * 8
+
+    if words:
+        expected = data.repeated_words(rows, 12)
+        got = factors.without_repeats(df, "doc_id", "text", width=12, gram=4).collect()
+        assert sorted((r["doc_id"] or -1, data.words(r["text"])) for r in got) == sorted((k or -1, expected[k, t]) for k, t in rows)
+    else:
+        expected = data.repeated_bytes(rows, 40)
+        got = runs.without_repeats(df, "doc_id", "text", width=40, gram=12).collect()
+        assert sorted((r["doc_id"] or -1, bytes(r["kept"]), r["n_spans"]) for r in got) == sorted((k or -1, *expected[k, t]) for k, t in rows)
+    assert len(got) == len(rows) and sum(r["n_removed"] for r in got) > 1000
+
+
 @pytest.mark.parametrize("tile", [4096, 2])
 def test_similar_documents_share_a_component(docs, monkeypatch, tile):
     monkeypatch.setattr(ngrams, "TILE", tile)
