@@ -195,9 +195,15 @@ def half(sketch: np.ndarray) -> np.ndarray:
 
 
 class Lists:
-    """Whole lists (or tiles of long ones) of documents with sizes, components and sketches, as arrays."""
+    """Whole lists (or tiles of long ones) of documents with sizes, components and sketches, as arrays.
+
+    ``one`` holds a row and ``since`` and ``count`` a stretch of rows that it is compared with: none of its own
+    component, since on each side the rows stand by component.
+    """
 
     def __init__(self, table: pa.Table):
+        by = [table.column(c).to_numpy() for c in ("_component", "_side", "_j", "_i", "_gram")]
+        table = table.take(pa.array(np.lexsort(by)))
         get = lambda c: table.column(c).to_numpy()
         self.rep, self.size, self.component, side = get("_rep"), get("_n"), get("_component"), get("_side")
         key = [get(c) for c in ("_gram", "_i", "_j")]
@@ -208,8 +214,20 @@ class Lists:
         seconds = np.bincount(group, side).astype(np.int64)  # rows of the second side stand last
         at = np.arange(len(self.rep))
         inner = key[1] == key[2]
-        self.since = np.where(inner, at + 1, (end - seconds)[group])
-        self.count = np.where(inner | (side == 0), end[group] - self.since, 0)
+        alike = np.concatenate(([True], fresh[1:] | (side[1:] != side[:-1]) | (self.component[1:] != self.component[:-1])))
+        run_end = np.append(np.flatnonzero(alike)[1:], len(at))[np.cumsum(alike) - 1]
+        # inside a block: all rows after those of the own component; else the second side before and after them
+        second = (end - seconds)[group]
+        code = np.unique(self.component, return_inverse=True)[1].astype(np.int64)
+        where = group * (code.max(initial=0) + 1) + code
+        behind = np.flatnonzero(side == 1)
+        lo, hi = (np.append(behind, len(at))[np.searchsorted(where[behind], where, side=s)] for s in ("left", "right"))
+        lo, hi = np.clip(lo, second, end[group]), np.clip(hi, second, end[group])
+        first = ~inner & (side == 0)
+        self.one = np.concatenate((at[inner], at[first], at[first]))
+        self.since = np.concatenate((run_end[inner], second[first], hi[first]))
+        until = np.concatenate((end[group][inner], lo[first], end[group][first]))
+        self.count = np.maximum(until - self.since, 0)
         sketches = [np.asarray(x, np.int64).view(np.uint64) for x in table.column("_bits").to_numpy()]
         self.words = np.array([len(x) for x in sketches], np.int64)
         halves = [half(x) if len(x) > 1 else x[:0] for x in sketches]
@@ -224,10 +242,10 @@ class Lists:
         while lo < len(self.count):
             done = ends[lo - 1] if lo else 0
             hi = max(lo + 1, int(np.searchsorted(ends, done + limit, side="right")))
-            a = np.repeat(np.arange(lo, hi), self.count[lo:hi])
+            a = np.repeat(self.one[lo:hi], self.count[lo:hi])
             b = spread(self.since[lo:hi], self.count[lo:hi])
             x, y = self.size[a], self.size[b]
-            fits = (self.component[a] != self.component[b]) & (x * BELOW >= y * ABOVE) & (y * BELOW >= x * ABOVE)
+            fits = (x * BELOW >= y * ABOVE) & (y * BELOW >= x * ABOVE)
             a, b = a[fits], b[fits]
             length = np.minimum(self.words[a], self.words[b])
             from_a = np.where(self.words[a] == length, self.whole[a], self.folded[a])
@@ -240,29 +258,47 @@ class Lists:
                 step += 1
                 going = going[(length[going] > step) & (apart[going] <= most[going])]
             open_ = apart <= most
-            yield self.rep[a[open_]], self.rep[b[open_]]
+            a, b = self.rep[a[open_]], self.rep[b[open_]]
+            yield np.minimum(a, b), np.maximum(a, b)
             lo = hi
 
 
-def pairs_across(rest: DataFrame, bits: DataFrame) -> DataFrame:
-    """Pairs (``_a`` < ``_b``) of one list and of different components that sizes and sketches leave open.
+def tiles(rest: DataFrame, bits: DataFrame) -> DataFrame:
+    """The lists' documents, a row for each tile they are compared in: blocks ``_i`` and ``_j`` of about ``TILE`` documents.
 
-    Only open pairs leave a task. A list is cut into blocks of about ``TILE`` documents, and each pair of blocks
-    is compared on its own, so lists of any length are spread over many tasks.
+    The largest component of a list has blocks of its own, behind those of the other documents. These meet all
+    blocks; the largest component meets only them, never itself.
     """
-    sizes = rest.groupBy("_gram").agg(F.ceil(F.count("*") / TILE).cast("int").alias("_blocks"))
-    block = F.pmod(F.xxhash64("_rep"), F.col("_blocks")).cast("int")
+    parts = rest.groupBy("_gram", "_component").agg(F.count("*").alias("_rows"))
+    most = F.max(F.struct("_rows", "_component"))
+    sizes = parts.groupBy("_gram").agg(most.alias("_most"), F.sum("_rows").alias("_all")).select(
+        "_gram", F.col("_most._component").alias("_main"), F.ceil((F.col("_all") - F.col("_most._rows")) / TILE).cast("int").alias("_few"),
+        F.ceil(F.col("_most._rows") / TILE).cast("int").alias("_many"),
+    )
+    dealt = lambda n: F.pmod(F.xxhash64("_rep"), F.col(n)).cast("int")
+    main = F.col("_component") == F.col("_main")
+    block = F.when(main, F.col("_few") + dealt("_many")).otherwise(dealt("_few"))
     known = rest.join(sizes, "_gram").join(bits, "_rep").withColumn("_block", block)
-    each = known.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    last = F.when(main, F.col("_few") - 1).otherwise(F.col("_few") + F.col("_many") - 1)
+    each = known.withColumn("_o", F.explode(F.sequence(F.lit(0), last)))
     columns = ["_gram", "_i", "_j", "_side", "_rep", "_n", "_component", "_bits"]
-    tiled = each.withColumns(
+    return each.withColumns(
         {"_i": F.least("_block", "_o"), "_j": F.greatest("_block", "_o"), "_side": F.when(F.col("_block") <= F.col("_o"), 0).otherwise(1)}
     ).select(*columns)
 
+
+def pairs_across(rest: DataFrame, bits: DataFrame) -> DataFrame:
+    """Pairs (``_a`` < ``_b``) of one list and of different components that sizes and sketches leave open.
+
+    ``rest`` holds lists of two components or more. Only open pairs leave a task; lists of any length are
+    spread over many tasks by their :func:`tiles`.
+    """
+    tiled = tiles(rest, bits)
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found(table: pa.Table) -> pa.RecordBatch:
-            pairs = [np.stack((np.minimum(a, b), np.maximum(a, b)), axis=1) for a, b in Lists(table).open_pairs()]
-            once = np.unique(np.concatenate(pairs), axis=0)
+            pairs = [np.stack(p, axis=1) for p in Lists(table).open_pairs()]
+            once = np.unique(np.concatenate([np.zeros((0, 2), np.int64), *pairs]), axis=0)
             return pa.RecordBatch.from_arrays([pa.array(once[:, 0]), pa.array(once[:, 1])], ["_a", "_b"])
 
         held: list[pa.RecordBatch] = []
@@ -342,8 +378,8 @@ def similar_documents(df: DataFrame, key: str, text: str, n: int = 5) -> DataFra
 
     Steps: equal sets are found by their hashes and stand for each other. N-grams at the start of more
     than one set make lists. In each list the document with most such n-grams is compared with all
-    others (linear in the lists); only documents that are still in different components are then compared
-    with each other. Every comparison passes the sizes and sketches first and is decided in a prefix tree.
+    others (linear in the lists); then each document outside a list's largest component is compared with
+    those of other components. Every comparison passes the sizes and sketches first and is decided in a prefix tree.
     """
     docs = df.select(F.col(f"`{key}`").cast("long").alias("_doc"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_text")).filter("_doc IS NOT NULL")
     context = df.sparkSession.sparkContext

@@ -177,3 +177,18 @@ def test_open_pairs_are_those_of_all_comparisons():
                 if meets and alike and component[i] != component[j] and 9 * np.bitwise_count(x ^ y).sum() <= sizes[i] + sizes[j]:
                     expected.append((i, j))
         assert got == expected and got
+
+
+def test_a_stray_document_meets_a_group_once(spark, monkeypatch):
+    monkeypatch.setattr(ngrams, "TILE", 4)
+    # list 1: a group of 200 and one stray; list 2: three components of 12, 5 and 3
+    lists = [(1, k, 100, 0 if k < 200 else 200) for k in range(201)] + [(2, k, 100, 300 if k < 312 else 312 if k < 317 else 317) for k in range(300, 320)]
+    bits = spark.createDataFrame([(k, [0]) for _, k, _, _ in lists], "_rep long, _bits array<long>")
+    rest = spark.createDataFrame(lists, "_gram long, _rep long, _n long, _component long")
+    rows = ngrams.tiles(rest, bits).filter("_gram = 1").count()
+    assert rows <= 200 + 1 + 50 + 1
+    table = ngrams.tiles(rest, bits).toArrow()
+    assert ngrams.Lists(table).count.sum() == 200 + 12 * 5 + 12 * 3 + 5 * 3
+    component = {(g, k): c for g, k, _, c in lists}
+    expected = {(a, b) for g, a in component for h, b in component if g == h and a < b and component[g, a] != component[g, b]}
+    assert {tuple(r) for r in ngrams.pairs_across(rest, bits).collect()} == expected
