@@ -33,11 +33,12 @@ def site_lines(df: DataFrame, host: str, text: str, ratio: float, least: int) ->
     return high.groupBy("__host").agg(F.collect_set("__line").alias("__drop"))
 
 
-def drop_site_lines(df: DataFrame, host: str, text: str, ratio: float = 0.1, least: int = 10) -> DataFrame:
+def drop_site_lines(df: DataFrame, host: str, text: str, ratio: float = 0.1, least: int = 2) -> DataFrame:
     """``df`` without the lines found on more than ``ratio`` of their host's pages.
 
     Each row is a page. A line counts once a page; it is dropped from all pages of the host if
-    the pages with it are at least ``least`` and more than ``ratio`` of the host's pages. Lines are
+    the pages with it are at least ``least`` and more than ``ratio`` of the host's pages. ``least`` only
+    says that a line is repeated; with more, small hosts keep lines that the ratio would drop. Lines are
     compared as they are; lines of white space only are never dropped. Added are ``n_lines`` and
     ``n_dropped`` (long), in place of columns of these names.
 

@@ -149,7 +149,7 @@ FROM cut""",
 )
 def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines on more than a tenth of their source's documents dropped, the source taken as the site."""
-    left = lines.drop_site_lines(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), "source", "text")
+    left = lines.drop_site_lines(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), "source", "text", least=10)  # as in the SQL
     return left.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 

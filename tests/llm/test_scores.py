@@ -90,6 +90,15 @@ def test_likeness_is_the_mean_log_ratio(spark):
         assert got[k] == pytest.approx(np.mean(ratio[grams(t)]))
 
 
+def test_the_ratio_decides_on_small_sites_too(spark):
+    rows = [(k, f"menu\nown {k}" if k < 5 else f"own {k}", "small") for k in range(20)]
+    rows += [(20 + k, f"rare\nown {k}" if k < 2 else f"own {k}", "other") for k in range(20)] + [(50, "alone", "single")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r["doc_id"]: r["text"] for r in lines.drop_site_lines(df, "source", "text").collect()}
+    assert [got[k] for k in range(5)] == [f"own {k}" for k in range(5)]
+    assert got[20] == "rare\nown 0" and got[50] == "alone"
+
+
 def test_lines_of_many_pages_of_a_site_go(spark):
     rows = [(k, "menu\n" + f"own {k}\nmenu\n \nrare" if k < 12 else f"own {k}", "site" if k != 3 else None) for k in range(60)]
     rows += [(100, None, "site"), (101, "", "site"), (102, "menu", "site"), (103, "menu", "other")]
