@@ -123,18 +123,19 @@ def repeated_anchors(df: DataFrame, key: str, text: str, windows: Windows, other
     An anchor that more than ``MANY`` stretches share comes with the power of two of blocks in its low bits.
     """
     docs = df.select(F.col(f"`{key}`").cast("long").alias(ID), F.col(f"`{text}`").alias(TEXT)).filter(F.col(ID).isNotNull() & F.col(TEXT).isNotNull())
-    schema = T.StructType([T.StructField("_anchor", T.LongType()), T.StructField(ID, T.LongType())])
+    schema = T.StructType([T.StructField("_anchor", T.LongType()), T.StructField(ID, T.LongType()), T.StructField("_times", T.LongType())])
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in row_slices(batch, TEXT, PASS_BYTES):
                 runs = windows.runs(*text_arrays(part.column(TEXT)))
-                number = part.column(ID).take(pa.array(runs.row))  # a row for each stretch, so that they are counted
-                yield pa.RecordBatch.from_arrays([pa.array(runs.anchor), number], ["_anchor", ID])
+                _, first, times = np.unique(in_row(runs.anchor, runs.row), return_index=True, return_counts=True)
+                number = part.column(ID).take(pa.array(runs.row[first]))
+                yield pa.RecordBatch.from_arrays([pa.array(runs.anchor[first]), number, pa.array(times, pa.int64())], ["_anchor", ID, "_times"])
 
-    # counted over the rows of each anchor, so that anchors are found and shuffled once; a row is two numbers
+    # counted over the rows of each anchor, so that anchors are found and shuffled once; a row is three numbers
     same = Window.partitionBy("_anchor")
-    count = F.count("*").over(same)
+    count = F.sum("_times").over(same)
     again = (F.min(ID).over(same) != F.max(ID).over(same)) if other_documents else (count > 1)
     blocks = F.when(count > MANY, F.ceil(F.log2(count / MANY))).otherwise(0).cast("long")
     live = docs.mapInArrow(anchors, schema).select(ID, F.col("_anchor").bitwiseOR(blocks).alias("_anchor"), again.alias("_again")).filter("_again")
