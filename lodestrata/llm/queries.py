@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm import bpe, factors, lines, ngrams, packing, quality, runs, toxicity, vectors, wordpiece
+from lodestrata.llm import bpe, factors, lines, ngrams, packing, quality, repair, runs, toxicity, vectors, wordpiece
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -208,3 +208,82 @@ FROM v LEFT JOIN n ON vec_id = n.x LEFT JOIN low ON vec_id = node""",
 def embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vectors of a label linked at a cosine of 0.98 or more."""
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label").withColumnRenamed("_vec", "vec_id")
+
+
+def sql_crc(text: str) -> str:
+    """CRC-32 of an ASCII string in DuckDB SQL, bit by bit."""
+    codes = f"list_transform(string_split({text}, ''), lambda ch: unicode(ch)::BIGINT)"
+    bits = "list_reduce(range(8), lambda v, k: xor(v >> 1, 3988292384 * (v & 1)), xor(c, b))"
+    return f"xor(list_reduce({codes}, lambda c, b: {bits}, 4294967295::BIGINT), 4294967295)"
+
+
+@query(
+    "op11_repair",
+    f"""
+WITH RECURSIVE raw AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {sql_crc("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS how
+  FROM conversations
+),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN how = 4 THEN 'user' ELSE role END AS role, copy,
+         CASE how WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM (SELECT *, unnest(CASE WHEN how = 3 THEN [0, 1] ELSE [0] END) AS copy FROM raw WHERE how <> 0)
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(len(role) || ':' || role || text), copy) AS i,
+         left(role, 1) AS initial, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS core
+  FROM damaged
+),
+kinds AS (
+  SELECT *, core = '' AS blank, core <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS twice FROM placed
+),
+faults AS (
+  SELECT *, NOT blank AND NOT twice AND right(core, 1) NOT IN ('.', '!', '?') AS cut,
+         i > 1 AND coalesce(lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial NOT IN ('su', 'ua', 'au'), false) AS wrong
+  FROM kinds
+),
+sums AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, sum(blank::INT)::BIGINT AS blank,
+         sum(twice::INT)::BIGINT AS duplicate, sum(cut::INT)::BIGINT AS truncated, sum(wrong::INT)::BIGINT AS illegal, count(*) AS n
+  FROM faults GROUP BY conv_id
+),
+inserts AS (
+  SELECT * FROM (VALUES (0, 0, 0, '', []::VARCHAR[]), (0, 2, 5, 'I', ['user:']), (0, 3, 10, 'II', ['user:', 'assistant:']), (1, 1, 0, '', []::VARCHAR[]),
+    (1, 2, 5, 'I', ['user:']), (1, 3, 10, 'II', ['user:', 'assistant:']), (2, 2, 0, '', []::VARCHAR[]), (2, 3, 5, 'I', ['assistant:']),
+    (3, 3, 0, '', []::VARCHAR[]), (3, 2, 5, 'I', ['user:'])) v(a, b, paid, said, lines)
+),
+edits AS (
+  SELECT * FROM (VALUES ('K', 's', 0, 1, 0, NULL), ('K', 'u', 0, 2, 0, NULL), ('K', 'u', 1, 2, 0, NULL), ('K', 'u', 3, 2, 0, NULL), ('K', 'a', 2, 3, 0, NULL),
+    ('R', NULL, 0, 2, 1, 'user'), ('R', NULL, 1, 2, 1, 'user'), ('R', NULL, 3, 2, 1, 'user'), ('R', NULL, 2, 3, 1, 'assistant'),
+    ('D', NULL, 0, 0, 2, NULL), ('D', NULL, 1, 1, 2, NULL), ('D', NULL, 2, 2, 2, NULL), ('D', NULL, 3, 3, 2, NULL)) v(letter, initial, a, b, paid, role)
+),
+steps AS (
+  SELECT p.a, e.b, p.paid + e.paid AS paid, p.said || e.letter AS said, p.lines, e.letter, e.initial, e.role FROM inserts p JOIN edits e ON p.b = e.a
+),
+best AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS i, 0 AS state, {{'cost': 0::BIGINT, 'audit': '', 'lines': []::VARCHAR[]}} AS way FROM faults
+  UNION ALL
+  SELECT w.conv_id, w.i + 1, s.b, min({{
+      'cost': way.cost + s.paid + CASE WHEN cut AND letter <> 'D' THEN 5 ELSE 0 END, 'audit': way.audit || s.said,
+      'lines': way.lines || s.lines || CASE WHEN letter = 'D' THEN [] ELSE [coalesce(s.role, f.role) || ':' || f.text] END}})
+  FROM best w JOIN faults f ON w.conv_id IS NOT DISTINCT FROM f.conv_id AND f.i = w.i + 1
+  JOIN steps s ON s.a = w.state AND (s.initial IS NULL OR s.initial = f.initial) AND (letter = 'D' OR NOT (blank OR twice))
+  GROUP BY w.conv_id, w.i, s.b
+),
+ends AS (
+  SELECT w.conv_id, min({{'cost': way.cost + e.paid, 'audit': way.audit || e.said, 'lines': way.lines || e.lines}}) AS way
+  FROM best w JOIN sums ON w.conv_id IS NOT DISTINCT FROM sums.conv_id AND w.i = sums.n
+  JOIN inserts e ON e.a = w.state AND ((w.state = 0 AND e.b = 0) OR (w.state > 0 AND e.b = 3)) GROUP BY w.conv_id
+)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(way.cost, 0) AS cost, coalesce(way.audit, '') AS audit,
+       sha256(coalesce(array_to_string(way.lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN sums ON c.conv_id IS NOT DISTINCT FROM sums.conv_id
+LEFT JOIN ends ON c.conv_id IS NOT DISTINCT FROM ends.conv_id""",
+)
+def repair_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged by the CRC of its turns, with its faults and cheapest repair."""
+    told = table(spark, sf_dir, "conversations")
+    fixed = repair.repair(repair.damage(told, "conv_id", "turn", "role", "text"), "conv_id", "turn", "role", "text")
+    return repair.with_all_keys(fixed, told, "conv_id")
