@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm import bpe, factors, lines, ngrams, packing, quality, repair, runs, toxicity, vectors, wordpiece
+from lodestrata.llm import bpe, factors, lines, ngrams, packing, quality, repair, runs, topk, toxicity, vectors, wordpiece
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -287,3 +287,22 @@ def repair_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     told = table(spark, sf_dir, "conversations")
     fixed = repair.repair(repair.damage(told, "conv_id", "turn", "role", "text"), "conv_id", "turn", "role", "text")
     return repair.with_all_keys(fixed, told, "conv_id")
+
+
+@query(
+    "op12_topk",
+    """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scores AS (
+  SELECT q.vec_id AS query_id, v.vec_id, list_dot_product(q.e, v.e)::BIGINT AS score FROM v q JOIN v ON q.vec_id <> v.vec_id AND len(q.e) = len(v.e)
+  WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, rank::INT AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores) WHERE rank <= 5""",
+)
+def topk_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five largest inner products of every fiftieth vector with all others."""
+    return topk.best_products(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 50 == 0)
