@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm import bpe, factors, lines, ngrams, packing, quality, repair, runs, topk, toxicity, vectors, wordpiece
+from lodestrata.llm import bpe, factors, lines, ngrams, packing, quality, repair, runs, topk, toxicity, trie, vectors, wordpiece
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -306,3 +306,39 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 def topk_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five largest inner products of every fiftieth vector with all others."""
     return topk.best_products(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 50 == 0)
+
+
+@query(
+    "op13_prefix_trie",
+    f"""
+WITH turns AS (
+  SELECT conv_id AS c, sha256(len(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS x, len(coalesce(text, '')) AS tokens, turn
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+lists AS (
+  SELECT c, list(x ORDER BY turn NULLS FIRST, x) AS xs, list(tokens ORDER BY turn NULLS FIRST, x) AS ns, {sql_crc("c::VARCHAR")} % 6 AS h FROM turns GROUP BY c
+),
+rebuilt AS (
+  SELECT a.c, coalesce(b.xs[1:a.h], []) || a.xs[a.h + 1:] AS xs, coalesce(b.ns[1:a.h], []) || a.ns[a.h + 1:] AS ns
+  FROM lists a LEFT JOIN lists b ON b.c = a.c - a.c % 100
+),
+members AS (
+  SELECT c, d, array_to_string(xs[1:d], '') AS k, coalesce(ns[d], 0) AS tokens, len(xs) = d AS ends
+  FROM (SELECT *, unnest(range(0, len(xs) + 1)) AS d FROM rebuilt)
+),
+nodes AS (
+  SELECT k, d, min(c) AS c, count(*) AS n, any_value(tokens) AS tokens, coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE ends), '') AS ended
+  FROM members GROUP BY k, d
+),
+kids AS (SELECT p.k, count(v.k) AS n FROM nodes p LEFT JOIN nodes v ON v.d = p.d + 1 AND left(v.k, 64 * p.d) = p.k GROUP BY p.k),
+subtrees AS (
+  SELECT p.k, sum((kids.n = 0)::INT)::BIGINT AS leaves, sum((v.n - 1) * v.tokens)::BIGINT AS saved
+  FROM nodes p JOIN nodes v ON v.d >= p.d AND starts_with(v.k, p.k) JOIN kids ON kids.k = v.k GROUP BY p.k
+)
+SELECT nodes.c AS conv_id, nodes.d AS depth, p.c AS parent_conv_id, nodes.n AS n_convs, kids.n AS n_children, leaves AS n_leaves,
+       saved AS saved_tokens, sha256(nodes.ended) AS ends_sha256
+FROM nodes JOIN kids USING (k) JOIN subtrees USING (k) LEFT JOIN nodes p ON p.d = nodes.d - 1 AND p.k = left(nodes.k, 64 * (nodes.d - 1))""",
+)
+def prefix_trie_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nodes of the trie of conversations that begin like the first of their hundred."""
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
