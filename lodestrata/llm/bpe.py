@@ -26,10 +26,12 @@ import tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from lodestrata.llm.common import LOWER_CODES, SPACES, code_of, extend, list_array, running_code, spread, text_arrays, words_of
+from lodestrata.llm.common import LOWER, SPACES, code_of, equal_bytes, extend, list_array, spread, text_arrays, words_of
 
-#: Entries kept of each worker's memory of pieces and of pairs; a full one starts anew.
-MEMORY = 250_000
+#: Entries kept of each worker's memory of pieces and of pairs (some 50 MB); a full one starts anew.
+MEMORY = 80_000
+#: Longest piece that is remembered, in bytes.
+REMEMBERED = 64
 
 
 def byte_letters() -> list[str]:
@@ -145,7 +147,9 @@ class Vocabulary:
             if len(self.seen) >= MEMORY:
                 self.seen.clear()
             ids = self._stretch(raw.decode()) if odd else self.encode_word(self.symbols_of(raw.decode().lower()))
-            ids = self.seen[key] = array("i", ids).tobytes()
+            ids = array("i", ids).tobytes()
+            if len(key) <= REMEMBERED:
+                self.seen[key] = ids
         return ids
 
     @staticmethod
@@ -263,15 +267,25 @@ def pieces_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
 def distinct_pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[list[tuple[bytes, bool]], np.ndarray, np.ndarray]:
     """The different pieces of a block with their oddness; for each piece in order its number and its text.
 
-    Pieces are told apart by a 64-bit hash within one block (some 10^5 pieces).
+    Pieces meet by a hash; those of one hash are then compared byte by byte.
     """
     starts, ends, row, odd = pieces_of(data, offsets)
     if not len(starts):
         return [], starts, row
-    plain, exact = running_code(data, LOWER_CODES), running_code(data)
-    code = np.where(odd, code_of(exact, starts, ends), ~code_of(plain, starts, ends))
+    lower = LOWER[data]
+    whole = spread(starts[odd], ends[odd] - starts[odd])
+    lower[whole] = data[whole]  # odd pieces keep their letters
+    code = code_of(lower, starts, ends)
+    code = np.where(odd, code, ~code)
     _, first, which = np.unique(code, return_index=True, return_inverse=True)
     raw = data.tobytes()
+    near = first[which]
+    same = (ends - starts == (ends - starts)[near]) & (odd == odd[near]) & equal_bytes(lower, starts, starts[near], ends - starts)
+    if not same.all():
+        low = lower.tobytes()
+        known: dict[tuple[bytes, bool], int] = {}
+        which = np.array([known.setdefault((low[a:b], o), len(known)) for a, b, o in zip(starts.tolist(), ends.tolist(), odd.tolist())])
+        _, first = np.unique(which, return_index=True)
     spans = zip(starts[first].tolist(), ends[first].tolist(), odd[first].tolist())
     return [(raw[a:b], o) for a, b, o in spans], which, row
 

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,22 +31,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-BYTE_CODES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_ODD))
-#: Codes that take A-Z as a-z.
-LOWER_CODES = BYTE_CODES.copy()
-LOWER_CODES[65:91] = BYTE_CODES[97:123]
-_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of an odd number and of its inverse, modulo 2^64."""
-    if len(_powers[0]) < n:
-        size = max(n, BLOCK_BYTES + 1)
-        for k, base in enumerate((_ODD, pow(_ODD, -1, 1 << 64))):
-            row = np.full(size, base, np.uint64)
-            row[0] = 1
-            _powers[k] = np.cumprod(row, dtype=np.uint64)
-    return _powers[0][:n], _powers[1][:n]
+#: Bytes with A-Z as a-z.
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+#: Stretches of more bytes are hashed in blocks first.
+LONG, BLOCK = 512, 64
+_FIRST = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)
 
 
 def text_arrays(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -78,44 +68,77 @@ def words_of(data: np.ndarray, offsets: np.ndarray, apart_at: np.ndarray = IS_SP
     return starts, ends, np.searchsorted(offsets, starts, side="right") - 1
 
 
-def running_code(data: np.ndarray, codes: np.ndarray = BYTE_CODES) -> np.ndarray:
-    """Sums from which :func:`code_of` takes the hash of any stretch of the bytes."""
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(codes[data] * powers(len(data))[0], out=total[1:], dtype=np.uint64)
-    return total
-
+def eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each position on as one number; zeros stand behind the end."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    return np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
 
-def code_of(running: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each stretch of bytes, the same wherever it lies."""
-    raw = (running[ends] - running[starts]) * powers(len(running))[1][starts]
-    return mix(raw + (ends - starts).astype(np.uint64))
 
+def code_of(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each stretch of bytes, the same wherever it lies.
 
-def codes_along(running: np.ndarray, n: int) -> np.ndarray:
-    """:func:`code_of` for the n bytes from each position on."""
-    return mix((running[n:] - running[:-n]) * powers(len(running))[1][: len(running) - n] + np.uint64(n))
-
-
-def gram_codes(words: np.ndarray, n: int) -> np.ndarray:
-    """Hash of the n words from each position on (as many as there are whole n-grams), by doubling."""
-    if len(words) < n:
+    Eight bytes at a time are mixed into what came before. No step is a sum, so no pattern of letters makes
+    different stretches equal.
+    """
+    size = ends - starts
+    code = mix(size.astype(np.uint64) + np.uint64(_ODD))
+    long = np.flatnonzero(size > LONG)
+    if len(long):
+        # blocks of long stretches become numbers, whose bytes are stretches an eighth as long
+        blocks = -(-size[long] // BLOCK)
+        low = spread(np.zeros(len(long), np.int64), blocks) * BLOCK + np.repeat(starts[long], blocks)
+        inner = code_of(data, low, np.minimum(low + BLOCK, np.repeat(ends[long], blocks)))
+        until = 8 * np.cumsum(blocks)
+        code[long] = mix(code[long] ^ code_of(inner.view(np.uint8), until - 8 * blocks, until))
+    at, left, on = starts, size, np.flatnonzero((size > 0) & (size <= LONG))
+    bytes_at, step = eights(data), 0
+    while len(on):
+        rest = left[on] - step
+        code[on] = mix(code[on] ^ (bytes_at[at[on] + step] & _FIRST[np.minimum(rest, 8)]))
+        step += 8
+        on = on[rest > 8]
+    return code
+
+
+def equal_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether the ``size`` bytes from a and from b are the same."""
+    equal, bytes_at, step = np.ones(len(a), bool), eights(data), 0
+    on = np.flatnonzero((size > 0) & (a != b))
+    while len(on):
+        rest = size[on] - step
+        equal[on] &= ((bytes_at[a[on] + step] ^ bytes_at[b[on] + step]) & _FIRST[np.minimum(rest, 8)]) == 0
+        step += 8
+        on = on[(rest > 8) & equal[on]]
+    return equal
+
+
+def gram_codes(words: np.ndarray, n: int, apart: int = 1) -> np.ndarray:
+    """Hash of n codes from each position on, ``apart`` positions from one to the next (as many as there are whole n-grams)."""
+    count = len(words) - (n - 1) * apart
+    if count <= 0:
         return np.zeros(0, np.uint64)
-    count = len(words) - n + 1
-    power, have, total, part, size = _ODD, 0, None, words, 1
+    total, part, size = None, words, 1
+    join = lambda first, rest: mix(first[: len(rest)] * np.uint64(_ODD) + rest)
     while True:
         if n & size:
             # what is there so far stands after this part
-            if total is None:
-                total = part
-            else:
-                shift = np.uint64(pow(_ODD, have, 1 << 64))
-                rest = total[size:]
-                total = part[: len(rest)] * shift + rest
-            have += size
+            total = part if total is None else join(part, total[size * apart :])
         if 2 * size > n:
-            return mix(total[:count])
-        part = part[:-size] * np.uint64(power) + part[size:] if len(part) > size else part[:0]
-        power, size = power * power % (1 << 64), 2 * size
+            return mix(total[:count] + np.uint64(n))
+        part = join(part, part[size * apart :])
+        size *= 2
+
+
+def codes_along(data: np.ndarray, n: int) -> np.ndarray:
+    """Hash of the n bytes from each position on."""
+    if len(data) < n:
+        return np.zeros(0, np.uint64)
+    if n < 8:
+        return mix((eights(data)[: len(data) - n + 1] & _FIRST[n]) + np.uint64(n))
+    eight = mix(eights(data)[: len(data) - 7])
+    total = gram_codes(eight, n // 8, 8)
+    return mix(total[: len(data) - n + 1] * np.uint64(_ODD) + eight[n - 8 :]) if n % 8 else total
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -150,6 +173,19 @@ def row_slices(batch: pa.RecordBatch, text: str | None, limit: int = BLOCK_BYTES
         lo = hi
 
 
+Task = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def tidy(run: Task) -> Task:
+    """``run``, after which the worker gives the memory of its Arrow batches back: workers outlive their tasks."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return task
+
+
 Extra = Callable[[pa.RecordBatch], Sequence[pa.Array]]
 
 
@@ -169,7 +205,7 @@ def extend(
             for part in row_slices(batch, text, limit):
                 yield pa.RecordBatch.from_arrays([*part.columns, *extra(part)], [*names, *[f.name for f in fields]])
 
-    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, *fields]))
+    return kept.mapInArrow(tidy(run), T.StructType([*kept.schema.fields, *fields]))
 
 
 def list_array(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Array:
@@ -179,6 +215,22 @@ def list_array(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
 
 
+#: The name under which :func:`packed` keeps a table's own columns.
+ROW = "_row"
+
+
+def packed(df: DataFrame, **named: str) -> DataFrame:
+    """All columns of ``df`` as one struct and the named ones beside it, so that no name of the user's meets a helper's."""
+    whole = F.struct(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(df.columns)])
+    return df.select(whole.alias(ROW), *[F.col(f"`{c}`").alias(name) for name, c in named.items()])
+
+
+def unpacked(rows: DataFrame, df: DataFrame, made: dict[str, Column]) -> DataFrame:
+    """The columns of ``df`` again, with ``made`` in the place of columns of these names or behind the others."""
+    old = [made[c].alias(c) if c in made else F.col(f"{ROW}.c{k}").alias(c) for k, c in enumerate(df.columns)]
+    return rows.select(*old, *[v.alias(c) for c, v in made.items() if c not in df.columns])
+
+
 def only(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Just these columns, quoted, so that names with dots or of other tables do no harm."""
     return df.select(*[F.col(f"`{c}`") for c in columns])

@@ -5,9 +5,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestrata.llm.common import code_of, gram_codes, running_code, words_of
+from lodestrata.llm.common import code_of, gram_codes, packed, unpacked, words_of
 from lodestrata.llm.segments import DIGEST, ID, Stretches, Windows, compare, covered, keyed, repeated_anchors, spans_of, stretches, with_spans
 
 FACTOR_FIELDS = [T.StructField(n, T.LongType()) for n in (ID, DIGEST, "_start", "_length")]
@@ -23,7 +24,7 @@ def parse(found: Stretches, width: int) -> list[np.ndarray]:
     passage that no single factor holds is still covered.
     """
     starts, ends, row = words_of(found.data, found.offsets)
-    code = gram_codes(code_of(running_code(found.data), starts, ends), width)
+    code = gram_codes(code_of(found.data, starts, ends), width)
     count = len(code)
     at = np.flatnonzero(row[:count] == row[width - 1 :]) if count else np.zeros(0, np.int64)
     # stretches lie in the order of anchor and document, so the first of equal windows is the earliest
@@ -81,5 +82,7 @@ def without_repeats(df: DataFrame, key: str, text: str, width: int = 50, gram: i
         counts = np.bincount(owner, minlength=rows)
         return [pa.array(texts, pa.string()), pa.array(counts, pa.int64()), pa.array(removed, pa.int64())]
 
-    fields = [df.schema[text], T.StructField("n_words", T.LongType(), False), T.StructField("n_removed", T.LongType(), False)]
-    return with_spans(keyed(df, key, text), text, factors(df, key, text, width, gram), fields, cut)
+    rows = packed(df, _key=key, _text=text)
+    fields = [rows.schema["_text"], T.StructField("n_words", T.LongType(), False), T.StructField("n_removed", T.LongType(), False)]
+    done = with_spans(keyed(rows, "_key", "_text"), "_text", factors(rows, "_key", "_text", width, gram), fields, cut)
+    return unpacked(done, df.drop("n_words", "n_removed"), {text: F.col("_text"), "n_words": F.col("n_words"), "n_removed": F.col("n_removed")})

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lodestrata.llm.common import LOWER_CODES, code_of, gram_codes, list_array, mix, row_slices, running_code, spread, text_arrays, words_of
+from lodestrata.llm.common import LOWER, code_of, gram_codes, list_array, mix, packed, row_slices, spread, text_arrays, tidy, unpacked, words_of
 from lodestrata.llm.components import components
 from lodestrata.session import cut_lineage
 
@@ -33,7 +33,7 @@ def ngram_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarra
     A text with fewer than n words has one: the hash of all its words.
     """
     starts, ends, row = words_of(data, offsets)
-    words = code_of(running_code(data, LOWER_CODES), starts, ends)
+    words = code_of(LOWER[data], starts, ends)
     grams = gram_codes(words, n)
     whole = row[: len(grams)] == row[n - 1 :] if len(grams) else np.zeros(0, bool)
     owner, value = row[: len(grams)][whole], grams[whole]
@@ -88,7 +88,7 @@ def common_ngrams(docs: DataFrame, n: int) -> np.ndarray:
             yield flush()
 
     least = max(2, docs.count() // COMMON)
-    counts = docs.select("_text").mapInArrow(count, "_gram long, _times long").groupBy("_gram").agg(F.sum("_times").alias("_times"))
+    counts = docs.select("_text").mapInArrow(tidy(count), "_gram long, _times long").groupBy("_gram").agg(F.sum("_times").alias("_times"))
     rows = counts.filter(F.col("_times") >= least).select("_gram").toArrow()
     return np.sort(rows.column("_gram").to_numpy().astype(np.uint64))
 
@@ -137,7 +137,7 @@ def signatures(docs: DataFrame, n: int, common) -> DataFrame:
                     ["_doc", "_n", "_d1", "_d2", "_start", "_bits"],
                 )
 
-    return docs.mapInArrow(sign, schema)
+    return docs.mapInArrow(tidy(sign), schema)
 
 
 def fitting(a: Column, b: Column) -> Column:
@@ -317,7 +317,7 @@ def pairs_across(rest: DataFrame, bits: DataFrame) -> DataFrame:
             yield found(pa.Table.from_batches(held))
 
     ordered = tiled.repartition("_gram", "_i", "_j").sortWithinPartitions("_gram", "_i", "_j", "_side")
-    return ordered.mapInArrow(compare, "_a long, _b long").distinct()
+    return ordered.mapInArrow(tidy(compare), "_a long, _b long").distinct()
 
 
 def verified(pairs: DataFrame, docs: DataFrame, n: int, common) -> DataFrame:
@@ -339,7 +339,7 @@ def verified(pairs: DataFrame, docs: DataFrame, n: int, common) -> DataFrame:
                     [part.column("_doc"), pa.array([raw[e - 8 * s : e] for e, s in zip(end.tolist(), size.tolist())], pa.binary())], ["_doc", "_set"]
                 )
 
-    sets = cut_lineage(docs.join(needed.hint("shuffle_hash"), "_doc").select("_doc", "_text").mapInArrow(build, "_doc long, _set binary"))
+    sets = cut_lineage(docs.join(needed.hint("shuffle_hash"), "_doc").select("_doc", "_text").mapInArrow(tidy(build), "_doc long, _set binary"))
     split = pairs.groupBy("_a").agg((F.count("*") / PARTNERS + 1).cast("int").alias("_parts"))
     queries = split.join(sets, F.col("_a") == F.col("_doc")).select("_a", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("_part"), F.lit(None).cast("long").alias("_b"), "_set")
     mates = pairs.join(split, "_a").join(sets, F.col("_b") == F.col("_doc"))
@@ -366,7 +366,7 @@ def verified(pairs: DataFrame, docs: DataFrame, n: int, common) -> DataFrame:
                     waiting = []
         yield links()
 
-    return cut_lineage(rows.select("_a", "_b", "_set").mapInArrow(walk, "_a long, _b long"))
+    return cut_lineage(rows.select("_a", "_b", "_set").mapInArrow(tidy(walk), "_a long, _b long"))
 
 
 def similar_documents(df: DataFrame, key: str, text: str, n: int = 5) -> DataFrame:
@@ -434,5 +434,6 @@ def one_of_each(df: DataFrame, key: str, text: str, n: int = 5) -> DataFrame:
     The document with the smallest key of each component stays, with all its rows. Rows with a NULL key
     stay; NULL and empty texts are similar to nothing.
     """
-    later = similar_documents(df, key, text, n).filter("_doc <> _component").select(F.col("_doc").alias("__later")).distinct()
-    return df.join(later.hint("shuffle_hash"), F.col(f"`{key}`") == F.col("__later"), "left_anti")
+    later = similar_documents(df, key, text, n).filter("_doc <> _component").select(F.col("_doc").alias("_later")).distinct()
+    rows = packed(df, _key=key).join(later.hint("shuffle_hash"), F.col("_key") == F.col("_later"), "left_anti")
+    return unpacked(rows, df, {})

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from lodestrata.llm.bpe import file_content, vocabulary
-from lodestrata.llm.common import only, row_slices, text_arrays
+from lodestrata.llm.common import only, row_slices, text_arrays, tidy
 
 #: Sequences that are filled together: a task holds this many times the capacity in tokens.
 TOGETHER = 256
@@ -156,4 +156,4 @@ def pack(
         if done or waiting:
             yield rows(done + last_sequences(waiting))
 
-    return only(df, [key, text]).mapInArrow(run, T.StructType(fields))
+    return only(df, [key, text]).mapInArrow(tidy(run), T.StructType(fields))

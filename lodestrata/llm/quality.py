@@ -5,13 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestrata.llm.common import SPACE_CLASS
+from lodestrata.llm.common import SPACE_CLASS, packed, unpacked
 from lodestrata.llm.lines import solid
 
 SYMBOLS = "#*$%&|<>"
 WORDS_IN_WINDOW = 5
-#: Columns that the steps below add and take away again.
-HELPERS = ("__w", "__lines", "__h", "__two", "__four", "__five", "__sorted", "__twice", "__at", "__grams")
 
 
 def with_words(df: DataFrame, text: str) -> DataFrame:
@@ -101,15 +99,17 @@ def judge(
 
     Every row is judged by the same fixed threshold. NULL and empty texts have likeness 0 and fail for want of words;
     equal texts get equal verdicts; NULL keys are never trusted; without trusted documents, smoothing makes all
-    buckets nearly alike; columns of these names are replaced.
+    buckets nearly alike; columns of these names are replaced, others may have any name. An empty table gives an empty
+    one. A text of any length is one row of arrays.
     """
     added = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "likeness", "kept")
-    plain = df.drop(*added, *HELPERS)
+    plain = df.drop(*added)
     # a fixed number of values, so they may pass through the driver; as one literal that Spark folds into an array
     values = log_ratios(plain, text, trusted, key, buckets, smoothing).first()["_ratios"]
     ratios = F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
-    counted = rule_counts(plain, text).withColumn("__grams", grams(buckets))
+    counted = rule_counts(packed(plain, _text=text), "_text").withColumn("__grams", grams(buckets))
     total = F.aggregate("__grams", F.lit(0.0), lambda a, g: a + F.get(ratios, g))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     scored = counted.withColumns({"base_failed": failed, "likeness": F.when(F.size("__grams") > 0, total / F.size("__grams")).otherwise(F.lit(0.0))})
-    return scored.withColumn("kept", ~F.col("base_failed") & (F.col("likeness") >= least)).drop(*HELPERS)
+    scored = scored.withColumn("kept", ~F.col("base_failed") & (F.col("likeness") >= least))
+    return unpacked(scored, plain, {c: F.col(c) for c in added})

@@ -5,8 +5,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lodestrata.llm.common import packed, unpacked
 from lodestrata.llm.segments import DIGEST, ID, Stretches, Windows, compare, covered, keyed, repeated_anchors, spans_of, stretches, with_spans
 
 SPAN_FIELDS = [T.StructField(n, T.LongType()) for n in (ID, DIGEST, "_start", "_length")]
@@ -161,5 +163,7 @@ def without_repeats(df: DataFrame, key: str, text: str, width: int = 100, gram:
         kept = pa.Array.from_buffers(pa.binary(), rows, [None, pa.py_buffer(ends), pa.py_buffer(data[~gone])])
         return [*[pa.array(c, pa.int64()) for c in (sizes, removed, spans)], kept]
 
+    rows = packed(df, _key=key, _text=text)
     fields = [*[T.StructField(n, T.LongType(), False) for n in ("n_bytes", "n_removed", "n_spans")], T.StructField("kept", T.BinaryType(), False)]
-    return with_spans(keyed(df, key, text), text, repeated_spans(df, key, text, width, gram), fields, cut)
+    done = with_spans(keyed(rows, "_key", "_text"), "_text", repeated_spans(rows, "_key", "_text", width, gram), fields, cut)
+    return unpacked(done, df.drop(*[f.name for f in fields]), {f.name: F.col(f.name) for f in fields})

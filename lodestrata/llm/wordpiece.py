@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from lodestrata.llm.bpe import MEMORY, Vocabulary, distinct_pieces, file_content, vocabulary
+from lodestrata.llm.bpe import MEMORY, REMEMBERED, Vocabulary, distinct_pieces, file_content, vocabulary
 from lodestrata.llm.common import extend, text_arrays
 
 
@@ -90,7 +90,9 @@ class PieceCounter:
                 self.seen.clear()
             words = self.vocab.words(raw.decode()) if odd else [self.vocab.symbols_of(raw.decode().lower())]
             counts = [1 if isinstance(w, int) else self.match.count(w) for w in words]
-            found = self.seen[key] = (len(words), sum(abs(c) for c in counts), counts.count(-1))
+            found = (len(words), sum(abs(c) for c in counts), counts.count(-1))
+            if len(raw) <= REMEMBERED:
+                self.seen[key] = found
         return found
 
     def of_texts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -106,6 +108,14 @@ class PieceCounter:
 _counters: dict[int, PieceCounter] = {}
 
 
+def counter(content: bytes) -> PieceCounter:
+    """The tables for counting by a vocabulary file's content, built once in each worker."""
+    vocab = vocabulary(content)
+    if id(vocab) not in _counters:  # vocabularies stay loaded as long as the worker
+        _counters[id(vocab)] = PieceCounter(vocab)
+    return _counters[id(vocab)]
+
+
 def count_pieces(df: DataFrame, text: str, vocabulary_path: str) -> DataFrame:
     """Add ``n_words``, ``n_pieces`` and ``n_unknown`` (long): greedy longest-match pieces of every word.
 
@@ -117,13 +127,10 @@ def count_pieces(df: DataFrame, text: str, vocabulary_path: str) -> DataFrame:
     content = df.sparkSession.sparkContext.broadcast(file_content(vocabulary_path))
 
     def make():
-        vocab = vocabulary(content.value)
-        if id(vocab) not in _counters:  # vocabularies stay loaded as long as the worker
-            _counters[id(vocab)] = PieceCounter(vocab)
-        counter = _counters[id(vocab)]
+        counting = counter(content.value)
 
         def extra(part: pa.RecordBatch):
-            return [pa.array(c, pa.int64()) for c in counter.of_texts(*text_arrays(part.column(text))).T]
+            return [pa.array(c, pa.int64()) for c in counting.of_texts(*text_arrays(part.column(text))).T]
 
         return extra
 
