@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from lodestrata.llm.common import code_of, codes_along, gram_codes, mix, row_slices, running_code, sliding_min, spread, text_arrays, words_of
+from lodestrata.llm.common import code_of, codes_along, gram_codes, mix, row_slices, sliding_min, spread, text_arrays, tidy, words_of
+from lodestrata.session import cut_lineage
 
 #: Names of the columns that hold a row's number, its text's hash and its text.
 ID, DIGEST, TEXT = "__number", "__digest", "__text"
@@ -59,11 +60,10 @@ class Windows:
         count, none = len(row) - self.width + 1, np.zeros(0, np.int64)
         if count <= 0:
             return Runs(none, none, none, none, none, none, none)
-        running = running_code(data)
         if self.words:
-            grams = gram_codes(code_of(running, starts, ends), self.gram)
+            grams = gram_codes(code_of(data, starts, ends), self.gram)
         else:
-            grams = codes_along(running, self.gram)
+            grams = codes_along(data, self.gram)
         low = np.uint64(0xFFFFFFFF)
         at = sliding_min((grams & ~low) | np.arange(len(grams), dtype=np.uint64), self.width - self.gram + 1).astype(np.uint32)
         valid = row[:count] == row[self.width - 1 :]
@@ -79,10 +79,10 @@ class Windows:
         """Hash of every window of the texts, its text, and its first unit in the text."""
         if self.words:
             starts, ends, row = words_of(data, offsets)
-            code = gram_codes(code_of(running_code(data), starts, ends), self.width)
+            code = gram_codes(code_of(data, starts, ends), self.width)
         else:
             row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-            code = codes_along(running_code(data), self.width) if len(data) >= self.width else np.zeros(0, np.uint64)
+            code = codes_along(data, self.width)
         at = np.flatnonzero(row[: len(code)] == row[self.width - 1 :]) if len(code) else np.zeros(0, np.int64)
         return code[at], row[at], at - np.searchsorted(row, row[at])
 
@@ -107,11 +107,8 @@ def keyed(df: DataFrame, key: str, text: str) -> DataFrame:
     """The rows with their number and the hash of their text; where that hash is NULL the row is not compared.
 
     Both joins of a query take these rows by number with all their columns, so Spark shuffles the texts
-    once and reads that exchange twice. A row without number is dealt by its text. Names that begin with
-    two underscores are taken: a table with such a column is refused.
+    once and reads that exchange twice. A row without number is dealt by its text. The other columns go along as one.
     """
-    if any(c.startswith("__") for c in df.columns):
-        raise ValueError("columns must not begin with two underscores")
     number, digest = F.col(f"`{key}`").cast("long"), F.xxhash64(F.col(f"`{text}`"))
     known = number.isNotNull() & F.col(f"`{text}`").isNotNull()
     return df.withColumns({ID: F.coalesce(number, digest), DIGEST: F.when(known, digest)})
@@ -138,7 +135,7 @@ def repeated_anchors(df: DataFrame, key: str, text: str, windows: Windows, other
     count = F.sum("_times").over(same)
     again = (F.min(ID).over(same) != F.max(ID).over(same)) if other_documents else (count > 1)
     blocks = F.when(count > MANY, F.ceil(F.log2(count / MANY))).otherwise(0).cast("long")
-    live = docs.mapInArrow(anchors, schema).select(ID, F.col("_anchor").bitwiseOR(blocks).alias("_anchor"), again.alias("_again")).filter("_again")
+    live = docs.mapInArrow(tidy(anchors), schema).select(ID, F.col("_anchor").bitwiseOR(blocks).alias("_anchor"), again.alias("_again")).filter("_again")
     return live.groupBy(ID).agg(F.collect_set("_anchor").alias("__anchors"))
 
 
@@ -191,7 +188,7 @@ def stretches(docs: DataFrame, text: str, anchors: DataFrame, windows: Windows,
 
     # a left join, as in with_spans, so that both read the same exchange of texts
     joined = docs.join(anchors.hint("shuffle_hash"), ID, "left").select(*docs.columns, "__anchors")
-    return joined.mapInArrow(cut, T.StructType(fields))
+    return joined.mapInArrow(tidy(cut), T.StructType(fields))
 
 
 def in_row(anchor: np.ndarray, row: np.ndarray) -> np.ndarray:
@@ -255,60 +252,23 @@ class Stretches:
 def compare(
     parts: DataFrame, fields: list[T.StructField], check: Callable[[Stretches], list[np.ndarray]], windows: Windows, same_document: bool
 ) -> DataFrame:
-    """Run ``check`` on whole anchors, each task streaming over its anchors in order; those in blocks go by :func:`across`."""
+    """Spans of all anchors, each task streaming over its anchors in order.
 
-    def result(table: pa.Table) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in check(Stretches(table, same_document))], [f.name for f in fields])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        size = 0
-        for batch in batches:
-            for part in row_slices(of_blocks(batch, False), "_bytes", TOGETHER_BYTES):
-                held.append(part)
-                size += part.nbytes
-                if size < TOGETHER_BYTES:
-                    continue
-                whole = pa.Table.from_batches(held)
-                anchor = whole.column("_anchor").to_numpy()
-                done = int(np.searchsorted(anchor, anchor[-1]))  # the last anchor may go on
-                if done:
-                    yield result(whole.slice(0, done))
-                held = whole.slice(done).combine_chunks().to_batches()
-                size = sum(b.nbytes for b in held)
-        if held:
-            yield result(pa.Table.from_batches(held))
-
-    # both read the same exchange; each is right by itself, since an anchor has either blocks or none
-    dealt = parts.repartition("_anchor", "_block")
-    whole = dealt.sortWithinPartitions("_anchor").mapInArrow(run, T.StructType(fields))
-    return whole.unionAll(across(dealt, fields, windows, same_document))
-
-
-def of_blocks(batch: pa.RecordBatch, wanted: bool) -> pa.RecordBatch:
-    """The stretches of anchors with blocks, or the others."""
-    blocks = batch.column("_block").to_numpy() >= 0
-    if blocks.any() if not wanted else not blocks.all():
-        return batch.filter(pa.array(blocks == wanted))
-    return batch
-
-
-def across(dealt: DataFrame, fields: list[T.StructField], windows: Windows, same_document: bool) -> DataFrame:
-    """Spans of the anchors that are cut into blocks, by window hashes.
-
-    A window with an earlier equal one in its block is settled there. Any other goes on with its hash:
-    mostly one a block and hash, so that a window shared by many texts is as many rows as there are blocks.
+    ``check`` gives the spans of whole anchors. In a block of an anchor a window with an earlier equal one is settled. Any other goes
+    on with its hash to be compared with the anchor's other blocks: mostly one a block and hash, so that a
+    window shared by many texts is as many rows as there are blocks.
     """
-    key = [T.StructField(n, T.LongType()) for n in ("_anchor", "_code")]
-    settled = T.StructField("_settled", T.BooleanType())
+    extra = [T.StructField("_anchor", T.LongType()), T.StructField("_code", T.LongType())]
+    names = [f.name for f in (*extra, *fields)]
 
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            some = of_blocks(batch, True)
-            if some.num_rows:
-                yield some
+    def settled(spans: list[np.ndarray]) -> pa.RecordBatch:
+        none = pa.nulls(len(spans[0]), pa.int64())
+        return pa.RecordBatch.from_arrays([none, none, *[pa.array(c, pa.int64()) for c in spans]], names)
+
+    def whole(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        yield settled(check(Stretches(table, same_document)))
 
-    def result(table: pa.Table) -> pa.RecordBatch:
+    def block(table: pa.Table) -> Iterator[pa.RecordBatch]:
         found = Stretches(table, same_document, True)
         code, row, inside = windows.codes(found.data, found.offsets)
         # stretches lie in the order of document and place, so the first of equal windows is the earliest
@@ -318,39 +278,48 @@ def across(dealt: DataFrame, fields: list[T.StructField], windows: Windows, same
         n = np.flatnonzero(late)
         if len(n):
             head, tail = spans_of(row[n], inside[n], np.zeros(len(n), bool))
-            done = found.all_of(row[n][head], inside[n][head], inside[n][tail] - inside[n][head] + windows.width)
+            yield settled(found.all_of(row[n][head], inside[n][head], inside[n][tail] - inside[n][head] + windows.width))
         else:
-            done = found.spans
+            yield settled(found.spans)
         n = np.flatnonzero(~late)
         going, which = found.places(row[n], inside[n], np.full(len(n), windows.width))
-        anchor = np.full(len(done[0]) + len(which), table.column("_anchor")[0].as_py())
-        # what is settled is dealt by its place
-        dealt_by = mix(done[0].astype(np.uint64) ^ mix(done[2].astype(np.uint64)))
-        codes = np.concatenate((dealt_by, code[n][which])).view(np.int64)
-        columns = [anchor, codes, np.arange(len(anchor)) < len(done[0]), *[np.concatenate(c) for c in zip(done, going)]]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [f.name for f in (*key, settled, *fields)])
+        anchor = np.full(len(which), table.column("_anchor")[0].as_py())
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (anchor, code[n][which].view(np.int64), *going)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
+        size = 0
         for batch in batches:
-            names = [batch.column(c).to_numpy() for c in ("_anchor", "_block")]
-            edges = np.flatnonzero(np.any([np.diff(c) != 0 for c in names], axis=0)) + 1
+            # blocks of an anchor lie apart from each other and from whole anchors
+            marks = batch.column("_block").to_numpy()
+            edges = np.flatnonzero((np.diff(marks) != 0) | ((marks[1:] >= 0) & (np.diff(batch.column("_anchor").to_numpy()) != 0))) + 1
             for lo, hi in zip([0, *edges.tolist()], [*edges.tolist(), batch.num_rows]):
-                part = batch.slice(lo, hi - lo)
-                if held and any(held[0].column(c)[0] != part.column(c)[0] for c in ("_anchor", "_block")):
-                    yield result(pa.Table.from_batches(held))
-                    held = []
-                if part.num_rows:
+                for part in row_slices(batch.slice(lo, hi - lo), "_bytes", TOGETHER_BYTES):
+                    of, was = ([x.column(c)[0].as_py() for c in ("_block", "_anchor")] for x in (part, held[0] if held else part))
+                    if held and (of[0] != was[0] or (of[0] >= 0 and of[1] != was[1])):
+                        yield from (block if was[0] >= 0 else whole)(pa.Table.from_batches(held))
+                        held, size = [], 0
                     held.append(part)
+                    size += part.nbytes
+                    if of[0] >= 0 or size < TOGETHER_BYTES:
+                        continue
+                    table = pa.Table.from_batches(held)
+                    anchor = table.column("_anchor").to_numpy()
+                    done = int(np.searchsorted(anchor, anchor[-1]))  # the last anchor may go on
+                    if done:
+                        yield from whole(table.slice(0, done))
+                    held = table.slice(done).combine_chunks().to_batches()
+                    size = sum(b.nbytes for b in held)
         if held:
-            yield result(pa.Table.from_batches(held))
+            yield from (block if held[0].column("_block")[0].as_py() >= 0 else whole)(pa.Table.from_batches(held))
 
-    blocks = dealt.mapInArrow(pick, dealt.schema).sortWithinPartitions("_anchor", "_block")
-    rows = blocks.mapInArrow(run, T.StructType([*key, settled, *fields]))
-    same = Window.partitionBy("_settled", "_anchor", "_code")
+    ordered = parts.repartition("_anchor", "_block").sortWithinPartitions("_block", "_anchor")
+    made = cut_lineage(ordered.mapInArrow(tidy(run), T.StructType([*extra, *fields])))
+    same = Window.partitionBy("_anchor", "_code")
     place = F.struct(ID, "_start") if same_document else F.col(ID)
-    late = F.col("_settled") | (F.min(place).over(same) < place)
-    return rows.withColumn("_late", late).filter("_late").select(*[f.name for f in fields])
+    open_ = made.filter("_anchor IS NOT NULL").withColumn("_late", F.min(place).over(same) < place).filter("_late")
+    spans = [f.name for f in fields]
+    return made.filter("_anchor IS NULL").select(*spans).unionAll(open_.select(*spans))
 
 
 def spans_of(stretch: np.ndarray, at: np.ndarray, fresh: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -382,7 +351,7 @@ def with_spans(docs: DataFrame, text: str, spans: DataFrame, fields: list[T.Stru
                 made = cut(*text_arrays(part.column(text)), row[own], start[own], length[own], part.column(text))
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in others], *made], [*others, *[f.name for f in fields]])
 
-    return joined.mapInArrow(run, T.StructType([*[docs.schema[c] for c in others], *fields]))
+    return joined.mapInArrow(tidy(run), T.StructType([*[docs.schema[c] for c in others], *fields]))
 
 
 def covered(before: np.ndarray, total: int, row: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
