@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestrata.llm.common import SPACES
+from lodestrata.llm.common import SPACES, packed, unpacked
+from lodestrata.session import cut_lineage
 
 BLANKS = SPACES.decode()
+#: Copies of the lists of boilerplate lines, among which the pages of a host are dealt.
+SPREAD = 16
 
 
 def solid(line: Column) -> Column:
@@ -44,16 +47,20 @@ def drop_site_lines(df: DataFrame, host: str, text: str, ratio: float = 0.1, lea
 
     Rows with a NULL host belong to no site and stay whole; NULL texts stay NULL with zero lines
     (an empty text is one line) but count as pages; repeated rows are pages of their own; a
-    page of boilerplate only stays as a row with an empty text.
+    page of boilerplate only stays as a row with an empty text. Other columns may have any names; an empty
+    table gives an empty one. A text of any length is one row, split where it lies. ``df`` should be a scan or a stored table.
+
+    The lists are stored, so their size is known: small ones are broadcast and no page moves.
     """
-    kept = df.drop("n_lines", "n_dropped")
-    drop = site_lines(df, host, text, ratio, least)
-    lines = F.split(F.col(f"`{text}`"), "\n")
-    joined = kept.join(drop, F.col(f"`{host}`") == F.col("__host"), "left").withColumn("__lines", lines)
-    stays = F.filter("__lines", lambda x: ~solid(x) | ~F.array_contains(F.col("__drop"), digest(x)))
-    cut = joined.withColumn("__stay", F.when(F.col("__drop").isNotNull(), stays).otherwise(F.col("__lines")))
-    size = lambda c: F.coalesce(F.size(c), F.lit(0)).cast("long")
-    total = F.when(F.col("__lines").isNull(), F.lit(0).cast("long")).otherwise(size("__lines"))
-    gone = F.when(F.col("__lines").isNull(), F.lit(0).cast("long")).otherwise(size("__lines") - size("__stay"))
-    new_text = F.when(gone > 0, F.array_join("__stay", "\n")).otherwise(F.col(f"`{text}`"))
-    return cut.select(*[new_text.alias(c) if c == text else F.col(f"`{c}`") for c in kept.columns], total.alias("n_lines"), gone.alias("n_dropped"))
+    # pages go to where the lists are in turn, so the pages of one host are dealt to many tasks where lists are too large to be sent round
+    spread = F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1)))
+    drop = cut_lineage(site_lines(df, host, text, ratio, least).withColumn("_turn", spread))
+    pages = packed(df.drop("n_lines", "n_dropped"), _host=host, _text=text).withColumn("_own", F.pmod(F.monotonically_increasing_id(), F.lit(SPREAD)).cast("int"))
+    joined = pages.join(drop, (F.col("_host") == F.col("__host")) & (F.col("_own") == F.col("_turn")), "left").withColumn("_lines", F.split("_text", "\n"))
+    stays = F.filter("_lines", lambda x: ~solid(x) | ~F.array_contains(F.col("__drop"), digest(x)))
+    cut = joined.withColumn("_stay", F.when(F.col("__drop").isNotNull(), stays).otherwise(F.col("_lines")))
+    total = F.coalesce(F.size("_lines"), F.lit(0)).cast("long")
+    total = F.when(F.col("_lines").isNull(), F.lit(0).cast("long")).otherwise(total)
+    gone = F.when(F.col("_lines").isNull(), F.lit(0).cast("long")).otherwise((F.size("_lines") - F.size("_stay")).cast("long"))
+    new_text = F.when(gone > 0, F.array_join("_stay", "\n")).otherwise(F.col("_text"))
+    return unpacked(cut, df.drop("n_lines", "n_dropped"), {text: new_text, "n_lines": total, "n_dropped": gone})

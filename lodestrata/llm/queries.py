@@ -136,7 +136,7 @@ totals AS (SELECT source, count(*) AS pages FROM documents WHERE source IS NOT N
 each AS (SELECT source, unnest(list_distinct(lines)) AS line FROM pages WHERE source IS NOT NULL),
 high AS (
   SELECT source, line FROM (SELECT source, line, count(*) AS n FROM each, blank WHERE trim(line, b) <> '' GROUP BY source, line)
-  JOIN totals USING (source) WHERE n >= 10 AND n > 0.1 * pages
+  JOIN totals USING (source) WHERE n >= 2 AND n > 0.1 * pages
 ),
 drops AS (SELECT source, list(line) AS gone FROM high GROUP BY source),
 cut AS (
@@ -149,7 +149,7 @@ FROM cut""",
 )
 def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines on more than a tenth of their source's documents dropped, the source taken as the site."""
-    left = lines.drop_site_lines(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), "source", "text", least=10)  # as in the SQL
+    left = lines.drop_site_lines(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), "source", "text")
     return left.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
