@@ -10,9 +10,10 @@ from lodestrata.plans import bindings as b
 from lodestrata.plans.registry import at, plain, query, table
 
 
-@query("demographics_enrichment", "SELECT c_custkey, c_nationkey, n_name, n_regionkey FROM customer LEFT JOIN (SELECT n_nationkey AS c_nationkey, n_name, n_regionkey FROM nation WHERE n_nationkey < 20) USING (c_nationkey)")
+@query("demographics_enrichment", "SELECT c_custkey, c_nationkey, n_name, n_regionkey FROM customer LEFT JOIN (SELECT n_nationkey + 5 AS c_nationkey, n_name, n_regionkey FROM nation) USING (c_nationkey)")
 def demographics_enrichment(spark, sf):
-    nation = table(spark, sf, "nation").filter("n_nationkey < 20").select(F.col("n_nationkey").alias("c_nationkey"), "n_name", "n_regionkey")
+    # shifted keys leave the first customers' nations without a match
+    nation = table(spark, sf, "nation").select((F.col("n_nationkey") + 5).alias("c_nationkey"), "n_name", "n_regionkey")
     return enrich.enrich(table(spark, sf, "customer").select("c_custkey", "c_nationkey"), nation, ["c_nationkey"])
 
 
@@ -39,18 +40,18 @@ def catastrophe_adjusted_premium(spark, sf):
 
 
 @query("life_pricing", """
-WITH m AS (SELECT CAST(o_custkey % 60 + 20 AS INTEGER) AS age, CASE WHEN o_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender, count(*) / 1000000.0::DOUBLE AS mortality_rate, CAST(90 - min(o_custkey % 15) AS INTEGER) AS life_expectancy FROM orders WHERE o_custkey % 7 <> 0 GROUP BY ALL),
+WITH m AS (SELECT CAST(o_custkey % 60 + 25 AS INTEGER) AS age, CASE WHEN o_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender, count(*) / 1000000.0::DOUBLE AS mortality_rate, CAST(90 - min(o_custkey % 15) AS INTEGER) AS life_expectancy FROM orders GROUP BY ALL),
  a AS (SELECT c_custkey, CAST(c_custkey % 60 + 20 AS INTEGER) AS age, CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender, c_acctbal AS face_amount FROM customer)
 SELECT c_custkey, age, gender, face_amount * mortality_rate * 1.30::DOUBLE AS annual_premium, life_expectancy - age AS expected_payout_year, round(face_amount * pow(1.03::DOUBLE, -(life_expectancy - age)), 6) AS present_value_benefits FROM a LEFT JOIN m USING (age, gender)""")
 def life_pricing(spark, sf):
-    def person(key):
-        return (F.col(key) % 60 + 20).cast("int").alias("age"), F.when(F.col(key) % 2 == 0, "F").otherwise("M").alias("gender")
+    def person(key, youngest):
+        return (F.col(key) % 60 + youngest).cast("int").alias("age"), F.when(F.col(key) % 2 == 0, "F").otherwise("M").alias("gender")
 
-    o = table(spark, sf, "orders").filter("o_custkey % 7 <> 0")
-    mortality = o.select("o_custkey", *person("o_custkey")).groupBy("age", "gender").agg(
+    # the tables begin at 25, so that younger applicants have no rate
+    mortality = table(spark, sf, "orders").select("o_custkey", *person("o_custkey", 25)).groupBy("age", "gender").agg(
         (F.count("*") / 1000000.0).alias("mortality_rate"), (F.lit(90) - F.min(F.col("o_custkey") % 15)).cast("int").alias("life_expectancy")
     )
-    applications = table(spark, sf, "customer").select("c_custkey", *person("c_custkey"), F.col("c_acctbal").alias("face_amount"))
+    applications = table(spark, sf, "customer").select("c_custkey", *person("c_custkey", 20), F.col("c_acctbal").alias("face_amount"))
     return enrich.life_pricing(applications, mortality).select(
         "c_custkey", "age", "gender", "annual_premium", "expected_payout_year", F.round("present_value_benefits", 6).alias("present_value_benefits")
     )

@@ -253,12 +253,12 @@ def access_baseline(spark, sf):
 
 
 def _old_baseline(spark, sf):
-    """Baseline from the first half of the month, without every seventh user."""
-    early = b.accesses(spark, sf).filter((F.col("ts") < at("2024-01-15")) & (F.col("user_id") % 7 != 0))
-    return access.access_baseline(early, at("2024-01-15"))
+    """Baseline from the first half of the month, kept under shifted numbers: the first users have none."""
+    early = b.accesses(spark, sf).filter(F.col("ts") < at("2024-01-15"))
+    return access.access_baseline(early.withColumn("user_id", F.col("user_id") + 3), at("2024-01-15"))
 
 
-OLD_BASE_SQL = "ob AS (SELECT user_id, list_distinct(list(CAST(extract(hour FROM ts) AS INTEGER))) AS hours FROM access WHERE ts < TIMESTAMP '2024-01-15' AND user_id % 7 <> 0 AND CAST(ts AS DATE) >= DATE '2024-01-15' - 30 GROUP BY user_id)"
+OLD_BASE_SQL = "ob AS (SELECT user_id + 3 AS user_id, list_distinct(list(CAST(extract(hour FROM ts) AS INTEGER))) AS hours FROM access WHERE ts < TIMESTAMP '2024-01-15' AND CAST(ts AS DATE) >= DATE '2024-01-15' - 30 GROUP BY user_id)"
 UNUSUAL_SQL = f"""un AS (SELECT event_id, user_id, ts, CAST(extract(hour FROM ts) AS INTEGER) AS access_hour, operation, table_name FROM access LEFT JOIN ob USING (user_id)
    WHERE ts >= {NOW_SQL} - INTERVAL 24 HOURS AND (hours IS NULL OR NOT list_contains(hours, CAST(extract(hour FROM ts) AS INTEGER))))"""
 
@@ -375,13 +375,14 @@ def personal_access_list(spark, sf):
     return access.personal_access_list(b.accesses(spark, sf), at(NOW))
 
 
-@query("classified_accesses", with_sql(ACCESS, "cat AS (SELECT DISTINCT 'table_' || (p_size % 20) AS table_name, 'c' || (p_size % 3) AS column_name, 'pii' AS cls FROM part WHERE p_size % 20 < 9)", """
+@query("classified_accesses", with_sql(ACCESS, "cat AS (SELECT DISTINCT 'table_' || (p_size % 20 + 11) AS table_name, 'c' || (p_size % 3) AS column_name, 'pii' AS cls FROM part)", """
   rows_ AS (SELECT event_id, table_name, unnest(['c0', 'c1', 'c2', 'c9']) AS column_name FROM access)""") + """
 SELECT coalesce(cls, 'public') AS data_classification, column_name, count(*) AS n FROM rows_ LEFT JOIN cat USING (table_name, column_name) GROUP BY ALL""")
 def classified_accesses(spark, sf):
     size = F.col("p_size")
-    catalogue = table(spark, sf, "part").filter(size % 20 < 9).select(
-        F.concat(F.lit("table_"), size % 20).alias("table_name"), F.concat(F.lit("c"), size % 3).alias("column_name"), F.lit("pii").alias("data_classification")
+    # numbers go beyond those of the tables that are read, and the first tables are not in the catalogue
+    catalogue = table(spark, sf, "part").select(
+        F.concat(F.lit("table_"), size % 20 + 11).alias("table_name"), F.concat(F.lit("c"), size % 3).alias("column_name"), F.lit("pii").alias("data_classification")
     )
     rows = b.accesses(spark, sf).select("event_id", "table_name", F.array(*[F.lit(c) for c in ("c0", "c1", "c2", "c9")]).alias("columns"))
     return access.classify_accesses(rows, catalogue).groupBy("data_classification", "column_name").agg(F.count("*").alias("n"))
