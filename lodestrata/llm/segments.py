@@ -26,7 +26,6 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from lodestrata.llm.common import code_of, codes_along, gram_codes, mix, row_slices, sliding_min, spread, text_arrays, tidy, words_of
-from lodestrata.session import cut_lineage
 
 #: Names of the columns that hold a row's number, its text's hash and its text.
 ID, DIGEST, TEXT = "__number", "__digest", "__text"
@@ -313,13 +312,17 @@ def compare(
         if held:
             yield from (block if held[0].column("_block")[0].as_py() >= 0 else whole)(pa.Table.from_batches(held))
 
-    ordered = parts.repartition("_anchor", "_block").sortWithinPartitions("_block", "_anchor")
-    made = cut_lineage(ordered.mapInArrow(tidy(run), T.StructType([*extra, *fields])))
-    same = Window.partitionBy("_anchor", "_code")
+    dealt = parts.repartition("_anchor", "_block")
+    # both parts read one exchange: a condition that is not deterministic is not pushed below it
+    block_of = F.when(F.rand(0) >= 0, F.col("_block"))
+    made, cut = (
+        dealt.filter(c).sortWithinPartitions("_block", "_anchor").mapInArrow(tidy(run), T.StructType([*extra, *fields])) for c in (block_of < 0, block_of >= 0)
+    )
+    same = Window.partitionBy("_anchor", F.coalesce("_code", ID))
     place = F.struct(ID, "_start") if same_document else F.col(ID)
-    open_ = made.filter("_anchor IS NOT NULL").withColumn("_late", F.min(place).over(same) < place).filter("_late")
+    late = cut.withColumn("_late", F.col("_anchor").isNull() | (F.min(place).over(same) < place)).filter("_late")
     spans = [f.name for f in fields]
-    return made.filter("_anchor IS NULL").select(*spans).unionAll(open_.select(*spans))
+    return made.select(*spans).unionAll(late.select(*spans))
 
 
 def spans_of(stretch: np.ndarray, at: np.ndarray, fresh: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
