@@ -121,11 +121,12 @@ def run_ingestion(
 ) -> DataFrame:
     """Run every rule and return the execution log; a failing rule does not stop the rest.
 
-    An incremental load takes up where its target ends: the mark is the target's largest value, or the rule's where
-    nothing is loaded yet, so it is stored with the rows and neither can be without the other. Each
-    incremental load is a partition of its own, named by the execution; running an execution again replaces its rows
-    and starts from where the others end. One Spark job per rule writes; the row count and the new mark are
-    observed meanwhile. De-duplication keeps the row with the largest increment (then the largest hash)
+    An incremental load takes up where its target ends, or at the rule's value where nothing is loaded yet. It is a
+    partition of its own, named by the execution and by the mark after which it begins, so the ranges that
+    executions have read are stored with their rows and neither can be without the other. Running an execution again reads its
+    own range again, up to where the next one begins, and replaces its rows: whatever the order of
+    repeats and however the source has grown, no row is lost or loaded twice. One Spark job per rule
+    writes; the row count and the new mark are observed meanwhile. Of the target only the newest load's marks are read. De-duplication keeps the row with the largest increment (then the largest hash)
     and happens before the write and the count. Only rule rows (tens of them) are on the driver.
     """
     log = []
@@ -137,14 +138,14 @@ def run_ingestion(
             path = f"{target_folder}/{rule['target_table']}"
             mark_col, steps = rule.get("incremental_column"), rule.get("ingestion_mode") == "incremental"
             if mark_col and steps:
-                done = _mark_of_others(spark, path, mark_col, execution_id)
-                rule = {**rule, "incremental_value": done if done is not None else rule.get("incremental_value")}
+                lower, upper = range_to_read(spark, path, mark_col, execution_id, rule.get("incremental_value"))
+                rule = {**rule, "incremental_value": lower, "incremental_upto": upper}
             df = READERS[rule["source_type"]](spark, rule)
             df = apply_mapping(df, mappings.get(rule_id, ()))
             if rule.get("schema_enforcement") and rule.get("expected_columns"):
                 df = enforce_schema(df, rule["expected_columns"], rule["schema_enforcement"])
-            if mark_col and rule.get("incremental_value") is not None and rule["source_type"] != "jdbc":
-                df = df.filter(F.col(mark_col) > F.lit(rule["incremental_value"]).cast(df.schema[mark_col].dataType))
+            if mark_col and rule["source_type"] != "jdbc":
+                df = within(df, mark_col, rule.get("incremental_value"), rule.get("incremental_upto"))
             mark = F.max(mark_col if mark_col else F.lit(None)).cast("string")
             seen = Observation(f"ingest_{rule_id}")
             df = add_audit(df, rule_id, execution_id, at)
@@ -155,7 +156,8 @@ def run_ingestion(
             df = df.observe(seen, F.count(F.lit(1)).alias("n"), mark.alias("mark"))
             parts = [c.strip() for c in (rule.get("partition_columns") or "").split(",") if c.strip()]
             if steps:
-                write_load(df, path, "partitions", ["_execution_id", *parts])
+                df = df.withColumn(AFTER, F.lit(_after(rule.get("incremental_value"))))
+                write_load(df, path, "partitions", ["_execution_id", AFTER, *parts])
             else:
                 write_load(df, path, rule["ingestion_mode"], parts)
             got = seen.get
@@ -165,13 +167,51 @@ def run_ingestion(
     return spark.createDataFrame(log, LOG_SCHEMA)
 
 
-def _mark_of_others(spark: SparkSession, path: str, column: str, execution_id: str) -> str | None:
-    """:func:`stored_mark` without the rows of this execution, which a second run of it replaces."""
+#: Partition of a load that tells where its range begins; the words keep it a string when folders are read.
+AFTER = "_after"
+
+
+def _after(value: Any) -> str:
+    return "from the start" if value is None else f"after {value}"
+
+
+def within(df: DataFrame, column: str, lower: Any, upper: Any) -> DataFrame:
+    """Rows whose ``column`` is in (``lower``, ``upper``]; a missing bound is open, and without a lower one NULLs belong to the range."""
+    value, kind = F.col(column), df.schema[column].dataType
+    if lower is not None:
+        df = df.filter(value > F.lit(lower).cast(kind))
+    if upper is not None:
+        below = value <= F.lit(upper).cast(kind)
+        df = df.filter(below if lower is not None else below | value.isNull())
+    return df
+
+
+def range_to_read(spark: SparkSession, path: str, column: str, execution_id: str, start: Any) -> tuple[Any, Any]:
+    """The range of ``column`` that an execution reads, as (after, up to); None is open.
+
+    A new execution begins at the target's largest value (``start`` without a target) and has no end. One that has run before
+    gets its own range again: up to where the next one begins, or up to its own largest value if it
+    was the last. Loads follow each other, so the load that begins last holds the largest value, and no other
+    is looked into.
+    """
     try:
         target = spark.read.parquet(path)
     except AnalysisException:
-        return None
-    return target.filter(F.col("_execution_id").cast("string") != execution_id).agg(F.max(column).cast("string")).first()[0]
+        return start, None
+    kind = target.schema[column].dataType
+    begins = F.when(F.col(AFTER).startswith("after "), F.substring(AFTER, 7, 1 << 20).cast(kind))
+    loads = target.select(F.col("_execution_id").cast("string").alias("_run"), F.col(AFTER), begins.alias("_from")).distinct()
+    own = F.col("_run") == execution_id
+    newest = F.max(F.struct(F.col("_from").isNotNull().alias("a"), F.col("_from").alias("b"), F.col(AFTER).alias("c")))
+    known = loads.agg(F.max(F.when(own, F.col(AFTER))).alias("own"), newest.getField("c").alias("newest")).first()
+    largest = lambda after: target.filter(F.col(AFTER) == after).agg(F.max(column).cast("string")).first()[0]
+    if known["own"] is None:
+        done = largest(known["newest"]) if known["newest"] is not None else None
+        return (done if done is not None else start), None
+    lower = None if known["own"] == _after(None) else known["own"].removeprefix("after ")
+    later = F.col("_from").isNotNull() if lower is None else F.col("_from") > F.lit(lower).cast(kind)
+    upper = loads.filter(later).agg(F.min("_from").cast("string")).first()[0]
+    return lower, upper if upper is not None else largest(known["own"])
 
 
 def run_rule_tables(

@@ -300,6 +300,24 @@ def ingest_from_rule_tables(spark, sf):
     return with_one_row(union_all(logs), stored).withColumn("mark", mark.scalar())
 
 
+@query("ingest_ledger", """
+WITH o AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey <= 1000 THEN 'first' WHEN o_orderkey <= 3000 THEN 'second' ELSE 'third' END AS run FROM orders)
+SELECT run AS execution_id, count(*) AS n, sum(k)::BIGINT AS key_sum, min(k)::VARCHAR AS low, max(k)::VARCHAR AS high FROM o GROUP BY run""")
+def ingest_ledger(spark, sf):
+    """A source that grows between executions, each of which is repeated later: every execution keeps exactly its own range."""
+    source, target = _folder(spark, "ledger_source"), _folder(spark, "ledger_target")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    rule = {"rule_id": "R1", "source_type": "file", "file_format": "parquet", "source_table_or_path": source, "target_table": "orders", "ingestion_mode": "incremental", "incremental_column": "o_orderkey"}
+    grown = {"first": orders.filter("o_orderkey <= 1000"), "second": orders.filter("o_orderkey > 1000 AND o_orderkey <= 3000"), "third": orders.filter("o_orderkey > 3000")}
+    for name in ("first", "second", "first", "third", "second", "first"):
+        if name in grown:
+            grown.pop(name).write.mode("append").parquet(source)
+        ingest.run_ingestion(spark, [rule], {}, target, name, at(b.ORDERS_AS_OF))
+    key = F.col("o_orderkey")
+    stored = spark.read.parquet(f"{target}/orders").groupBy(F.col("_execution_id").alias("execution_id"))
+    return stored.agg(F.count("*").alias("n"), F.sum(key).alias("key_sum"), F.min(key).cast("string").alias("low"), F.max(key).cast("string").alias("high"))
+
+
 @query("retention_carried_out", """
 WITH o AS (SELECT CAST(o_orderdate AS DATE) < DATE '2001-08-02' - 1000 AS expired, o_orderkey FROM orders)
 SELECT 'archived' AS part, count(*) AS n, sum(o_orderkey)::BIGINT AS key_sum FROM o WHERE expired UNION ALL SELECT 'kept', count(*), sum(o_orderkey)::BIGINT FROM o WHERE NOT expired""")

@@ -65,9 +65,14 @@ def jdbc_options(rule: Rule) -> dict[str, str]:
         options["authentication"] = auth[rule["authentication_type"]]
     if rule.get("source_query"):
         options["dbtable"] = f"({rule['source_query']}) AS custom_src"
-    if rule.get("ingestion_mode") == "incremental" and rule.get("incremental_value"):
-        literal = str(rule["incremental_value"]).replace("'", "''")
-        options["dbtable"] = f"(SELECT * FROM {options['dbtable']} WHERE {rule['incremental_column']} > '{literal}') AS src"
+    if rule.get("ingestion_mode") == "incremental":
+        column, literal = rule.get("incremental_column"), lambda v: "'" + str(v).replace("'", "''") + "'"
+        lower, upper = rule.get("incremental_value"), rule.get("incremental_upto")
+        bounds = [f"{column} > {literal(lower)}"] if lower is not None else []
+        if upper is not None:
+            bounds.append(f"{column} <= {literal(upper)}" if bounds else f"({column} <= {literal(upper)} OR {column} IS NULL)")
+        if column and bounds:
+            options["dbtable"] = f"(SELECT * FROM {options['dbtable']} WHERE {' AND '.join(bounds)}) AS src"
     if rule.get("partition_column"):
         options.update(
             partitionColumn=rule["partition_column"],

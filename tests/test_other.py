@@ -44,6 +44,11 @@ def test_jdbc_options():
                                  "partition_column": "id", "lower_bound": 0, "upper_bound": 9, "num_partitions": 3,
                                  "authentication_type": "managed_identity"})
     assert more["dbtable"] == "(SELECT * FROM t WHERE c > 'o''x') AS src" and more["numPartitions"] == "3" and more["authentication"]
+    step = {**base, "ingestion_mode": "incremental", "incremental_column": "c"}
+    assert readers.jdbc_options({**step, "incremental_value": 0})["dbtable"] == "(SELECT * FROM t WHERE c > '0') AS src"
+    assert readers.jdbc_options({**step, "incremental_value": 3, "incremental_upto": 9})["dbtable"] == "(SELECT * FROM t WHERE c > '3' AND c <= '9') AS src"
+    assert readers.jdbc_options({**step, "incremental_upto": 9})["dbtable"] == "(SELECT * FROM t WHERE (c <= '9' OR c IS NULL)) AS src"
+    assert readers.jdbc_options(step)["dbtable"] == "t"
     assert readers.jdbc_options({**base, "source_query": "SELECT 1"})["dbtable"] == "(SELECT 1) AS custom_src"
 
 

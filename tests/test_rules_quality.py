@@ -143,6 +143,36 @@ def test_an_incremental_run_takes_up_where_the_target_ends(spark, tmp_path):
     assert sorted(r.id for r in spark.read.parquet(f"{target}/t").collect()) == list(range(15))
 
 
+@pytest.mark.parametrize("kind", ["bigint", "string", "timestamp_ntz"])
+def test_executions_repeat_their_own_range_in_any_order(spark, tmp_path, kind):
+    source, target = f"{tmp_path}/in", f"{tmp_path}/out"
+    rule = {"rule_id": "R", "source_type": "file", "file_format": "parquet", "source_table_or_path": source, "target_table": "t", "ingestion_mode": "incremental", "incremental_column": "mark"}
+
+    def grow(lo, hi, change=""):
+        mark = {"bigint": F.col("id"), "string": F.format_string("%05d", "id"), "timestamp_ntz": F.expr("timestampadd(SECOND, id, TIMESTAMP_NTZ'2024-01-01 00:00:00.25')")}[kind]
+        spark.range(lo, hi).select("id", mark.alias("mark"), F.lit(change).alias("note")).coalesce(1).write.mode("append").parquet(source)
+
+    def run(name):
+        log = ingest.run_ingestion(spark, [rule], {}, target, name, F.lit("2024-01-01").cast("timestamp_ntz")).first()
+        assert log.status == "succeeded"
+        return log.record_count
+
+    def stored():
+        return sorted(r.id for r in spark.read.parquet(f"{target}/t").collect())
+
+    spark.createDataFrame([(-1, None, "")], f"id bigint, mark {kind}, note string").write.parquet(source)
+    grow(0, 100)
+    assert run("first") == 101
+    grow(100, 200)
+    assert run("second") == 100
+    grow(200, 250)
+    assert run("first") == 101 and stored() == list(range(-1, 200))
+    assert run("second") == 100 and stored() == list(range(-1, 200))
+    assert run("third") == 50 and run("first") == 101 and run("third") == 50 and run("second") == 100
+    assert stored() == list(range(-1, 250))
+    assert run("fourth") == 0 and stored() == list(range(-1, 250))
+
+
 def test_repeats_keep_the_newest_row(spark, tmp_path):
     source, target = f"{tmp_path}/in", f"{tmp_path}/out"
     spark.createDataFrame([(1, 5, "old"), (1, 9, "new"), (2, 1, "only")], "k int, v int, t string").write.parquet(source)
