@@ -14,7 +14,7 @@ from lodestrata.plans.bindings import CLICKS, PAYMENTS, with_sql
 from lodestrata.plans.registry import at, plain, query, table
 from lodestrata.session import shared_folder
 from lodestrata.sources.readers import read_event_stream
-from lodestrata.streaming import enrich, parse, queries, windows
+from lodestrata.streaming import enrich, parse, queries, stateful, windows
 
 CLAIM_EVENT_SQL = """ce AS (SELECT l_orderkey * 8 + l_linenumber AS event_id, l_shipdate AS loss_date, l_shipdate + INTERVAL 1 DAY * (l_partkey % 60) AS report_date, l_extendedprice AS loss_amount_estimate,
   CASE WHEN l_linenumber % 2 = 0 THEN 'phone' ELSE 'web' END AS channel, CASE WHEN l_suppkey % 10 = 0 THEN 'catastrophe' ELSE 'normal' END AS priority, l_returnflag AS loss_type FROM lineitem)"""
@@ -248,6 +248,28 @@ def stream_inactivity_sessions(spark, sf):
     return _unzoned(_run(windows.inactivity_sessions(scored, SESSION_KEYS), "sessions"))
 
 
+@query("stream_session_sequences", with_sql(CLICKS, INACTIVE) + """
+SELECT session_id, user_id, min(event_timestamp) AS session_start, max(event_timestamp) AS session_end, 0 AS part_no, true AS is_last, count(*)::INTEGER AS event_count,
+  string_agg(event_type, '>' ORDER BY event_timestamp, event_id::VARCHAR) AS event_sequence, coalesce(string_agg(DISTINCT product_interest, ',' ORDER BY product_interest), '') AS products_viewed
+FROM n GROUP BY session_id, user_id, sno HAVING max(event_timestamp) + INTERVAL 30 MINUTES <= (SELECT max(event_timestamp) FROM clicks) - INTERVAL 60 SECONDS""")
+def stream_session_sequences(spark, sf):
+    """Sessions with their events in order, from a running stream with a state and timers of its own."""
+    clicks = b.clicks(spark, sf, _stream(spark, sf, parse.WATERMARKS["clicks"]))
+    out = _run(stateful.ordered_sessions(clicks, SESSION_KEYS, "event_timestamp", "event_id", "event_type", "product_interest"), "session_sequences")
+    return out.withColumns({"event_sequence": F.array_join("event_sequence", ">"), "products_viewed": F.array_join("products_viewed", ",")})
+
+
+@query("stream_alert_cooldown", """
+WITH RECURSIVE hits AS (SELECT DISTINCT user_id, ts AS fired_at FROM events WHERE event_type = 'error' AND ts <= (SELECT max(ts) FROM events WHERE event_type = 'error') - INTERVAL 5 MINUTES),
+ fired AS (SELECT user_id, min(fired_at) AS fired_at FROM hits GROUP BY user_id
+   UNION ALL SELECT h.user_id, min(h.fired_at) FROM fired f JOIN hits h ON h.user_id = f.user_id AND h.fired_at >= f.fired_at + INTERVAL 720 MINUTES GROUP BY h.user_id)
+SELECT * FROM fired""")
+def stream_alert_cooldown(spark, sf):
+    """Alerts of a running stream, each user's at least twelve hours apart."""
+    errors = _stream(spark, sf, "5 minutes").filter("event_type = 'error'")
+    return _run(stateful.alerts_with_cooldown(errors, ["user_id"], "ts", 720), "alert_cooldown")
+
+
 @query("stream_payment_anomalies", with_sql(PAYMENTS) + """
 SELECT transaction_id, amount > 50000 OR event_type IN ('chargeback', 'decline') OR amount < 0 AS is_anomaly, CASE WHEN amount > 50000 THEN 'high_value' WHEN event_type = 'chargeback' THEN 'chargeback' WHEN event_type = 'decline' THEN 'decline' WHEN amount < 0 THEN 'negative_amount' END AS anomaly_type FROM payments""")
 def stream_payment_anomalies(spark, sf):

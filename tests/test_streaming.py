@@ -1,5 +1,7 @@
 import datetime as dt
 import json
+import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +10,8 @@ from pyspark.sql import types as T
 from lodestrata import schemas
 from lodestrata.plans.registry import at
 from lodestrata.sources.readers import read_event_stream
-from lodestrata.streaming import enrich, parse, queries, windows
+from lodestrata.operators import windows as batch
+from lodestrata.streaming import enrich, parse, queries, stateful, windows
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -90,3 +93,60 @@ def test_progress_stop_and_upsert(spark, tmp_path):
     write(spark.range(0), 2)
     assert seen == [(1, 3)]
     assert spark.range(1).filter(F.expr(queries.STREAM_ALERTS["large_loss"].replace("loss_amount", "200000"))).count() == 1
+
+
+CLICK = "k string, id string, ts timestamp_ntz, kind string, product string"
+
+
+def landed_in_order(spark, folder, seed=5):
+    """Events of three keys that arrive up to nine minutes late, a file a round; all but those after the last watermark."""
+    r = random.Random(seed)
+    events = []
+    for key in "abc":
+        at = 0.0
+        for n in range(60):
+            at += r.choice([1, 2, 2, 11, 40])
+            events.append((key, f"{key}{n:03d}", T0 + dt.timedelta(minutes=at), f"kind{n % 5}", r.choice(["home", "auto", None])))
+    arrival = sorted(events, key=lambda e: e[2] + dt.timedelta(minutes=r.uniform(0, 9)))
+    for i in range(0, len(arrival), 20):
+        land(spark, folder, f"b{i:04d}", arrival[i : i + 20], CLICK)
+    land(spark, folder, "z", [("end", "end", T0 + dt.timedelta(days=30), "end", None)], CLICK)
+    return events
+
+
+def two_halves(spark, tmp_path, made, name):
+    """The same folder before and after more files have landed: the second run takes up the first one's state."""
+    source, later = f"{tmp_path}/{name}-in", f"{tmp_path}/{name}-later"
+    events = landed_in_order(spark, later)
+    parts = sorted(os.listdir(later))
+    schema = T.StructType.fromDDL(CLICK)
+    for half in (parts[: len(parts) // 2], parts[len(parts) // 2 :]):
+        for part in half:
+            spark.read.parquet(f"{later}/{part}").coalesce(1).write.parquet(f"{source}/{part}")
+        stream = read_event_stream(spark, source, schema, max_files_per_trigger=1, recursiveFileLookup="true")
+        queries.start(made(parse.with_watermark(stream, "ts", "10 minutes")), f"{tmp_path}/{name}", f"{tmp_path}/{name}-state", f"{name}{len(half)}").awaitTermination()
+    return events, spark.read.parquet(f"{tmp_path}/{name}")
+
+
+@pytest.mark.parametrize("size", [1000, 3])
+def test_ordered_sessions_of_a_stream_with_late_events_and_a_restart(spark, tmp_path, size):
+    made = lambda df: stateful.ordered_sessions(df, ["k"], "ts", "id", "kind", "product", 30, size)
+    events, out = two_halves(spark, tmp_path, made, "sessions")
+    expected = []
+    for key in "abc":
+        session: list = []
+        for e in [*sorted((x for x in events if x[0] == key), key=lambda x: (x[2], x[1])), None]:
+            if session and (e is None or e[2] - session[-1][2] >= dt.timedelta(minutes=30)):
+                for n in range(0, len(session), size):
+                    part = session[n : n + size]
+                    expected.append((key, session[0][2], part[-1][2], n // size, n + size >= len(session), len(part), [x[3] for x in part], sorted({x[4] for x in part if x[4]})))
+                session = []
+            session.append(e)
+    assert sorted(tuple(r) for r in out.filter("k <> 'end'").collect()) == sorted(expected)
+
+
+def test_alerts_of_a_stream_keep_their_cooldown_over_a_restart(spark, tmp_path):
+    events, out = two_halves(spark, tmp_path, lambda df: stateful.alerts_with_cooldown(df, ["k"], "ts", 45), "alerts")
+    df = spark.createDataFrame(events, CLICK)
+    want = batch.firings_with_cooldown(df, ["k"], "ts", 45)
+    assert sorted((r.k, r.fired_at) for r in out.filter("k <> 'end'").collect()) == sorted((r.k, r.ts) for r in want.collect())
