@@ -16,10 +16,11 @@ from lodestrata.operators.aggregates import (
     union_all,
     with_one_row,
 )
+from lodestrata.operators.cooldown import firings_with_cooldown
 from lodestrata.operators.profile import asset_criticality
 from lodestrata.operators.rules import within
 from lodestrata.operators.history import keep_latest
-from lodestrata.operators.windows import firings_with_cooldown, interval_join, latest_per_key, micros, rolling_mean
+from lodestrata.operators.windows import interval_join, latest_per_key, micros, rolling_mean
 
 # Words in an error message and the class they point to, in the order tried.
 ERROR_CLASSES = (

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from lodestrata import schemas
 from lodestrata.plans.registry import at
 from lodestrata.sources.readers import read_event_stream
-from lodestrata.operators import windows as batch
+from lodestrata.operators import cooldown
 from lodestrata.streaming import enrich, parse, queries, stateful, windows
 
 T0 = dt.datetime(2024, 1, 1)
@@ -148,5 +148,5 @@ def test_ordered_sessions_of_a_stream_with_late_events_and_a_restart(spark, tmp_
 def test_alerts_of_a_stream_keep_their_cooldown_over_a_restart(spark, tmp_path):
     events, out = two_halves(spark, tmp_path, lambda df: stateful.alerts_with_cooldown(df, ["k"], "ts", 45), "alerts")
     df = spark.createDataFrame(events, CLICK)
-    want = batch.firings_with_cooldown(df, ["k"], "ts", 45)
+    want = cooldown.firings_with_cooldown(df, ["k"], "ts", 45)
     assert sorted((r.k, r.fired_at) for r in out.filter("k <> 'end'").collect()) == sorted((r.k, r.ts) for r in want.collect())

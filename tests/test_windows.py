@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestrata.operators import aggregates as agg
+from lodestrata.operators import cooldown
 from lodestrata.operators import windows as w
 from lodestrata.streaming import windows as sw
 
@@ -35,13 +36,13 @@ def test_session_boundary_equals_session_window(spark, gap, want):
 
 def test_cooldown(spark):
     df = minutes(spark, [("a", m, 1) for m in (0, 3, 6, 20, 29, 45)])
-    fired = sorted(r.ts for r in w.firings_with_cooldown(df, ["k"], "ts", 10).collect())
+    fired = sorted(r.ts for r in cooldown.firings_with_cooldown(df, ["k"], "ts", 10).collect())
     assert fired == [T0 + dt.timedelta(minutes=m) for m in (0, 20, 45)]
 
 
 def test_a_lasting_failure_fires_after_each_cooldown(spark):
     every_minute = minutes(spark, [("a", m, 1) for m in range(180)])
-    assert w.firings_with_cooldown(every_minute, ["k"], "ts", 5).count() == 36
+    assert cooldown.firings_with_cooldown(every_minute, ["k"], "ts", 5).count() == 36
     random.seed(4)
     data = [(k, m) for k in (None, "x", "y") for m in sorted(random.sample(range(3000), 250))]
     expected = []
@@ -51,10 +52,45 @@ def test_a_lasting_failure_fires_after_each_cooldown(spark):
             if k == key and (last is None or m >= last + 37):
                 expected.append((str(key), T0 + dt.timedelta(minutes=m)))
                 last = m
-    got = w.firings_with_cooldown(minutes(spark, [(k, m, 1) for k, m in data]), ["k"], "ts", 37).collect()
+    got = cooldown.firings_with_cooldown(minutes(spark, [(k, m, 1) for k, m in data]), ["k"], "ts", 37).collect()
     assert sorted((str(r.k), r.ts) for r in got) == sorted(expected)
 
 
+@pytest.mark.parametrize("rows_together", [1, 7, 10000])
+def test_cooldown_over_many_pieces(spark, rows_together):
+    r = random.Random(rows_together)
+    data = [(k, r.randrange(400)) for k in ["x"] * 300 + ["y"] * 30 + [None] * 40] + [("same", 5)] * 50 + [("dense", m) for m in range(150)]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows_together))
+    try:
+        for gap in (1, 13, 1000):
+            expected = []
+            for key in {k for k, _ in data}:
+                last = None
+                for m in sorted({m for k, m in data if k == key}):
+                    if last is None or m >= last + gap:
+                        expected.append((str(key), T0 + dt.timedelta(minutes=m)))
+                        last = m
+            df = minutes(spark, [(k, m, 1) for k, m in data]).repartition(6)
+            got = cooldown.firings_with_cooldown(df.unionAll(df.limit(1).withColumn("ts", F.lit(None).cast("timestamp_ntz"))), ["k"], "ts", gap)
+            assert sorted((str(x.k), x.ts) for x in got.collect()) == sorted(expected)
+        assert cooldown.firings_with_cooldown(df.limit(0), ["k"], "ts", 5).count() == 0
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_exits_follow_the_chain():
+    r = random.Random(3)
+    for _ in range(300):
+        times = np.array(sorted(r.sample(range(200), r.randrange(1, 40))), np.int64)
+        gap = r.randrange(1, 60)
+        until, out = cooldown.exits(times, gap)
+        for e in range(int(times[0]), int(times[0]) + gap):
+            fired = cooldown.chain(times, gap, int(np.searchsorted(times, e)))
+            step = int(np.searchsorted(until, e))
+            assert (int(out[step]) if step < len(out) else None) == (int(fired[-1]) if len(fired) else None)
+
+
 def test_large_and_undefined_readings_leave_no_trace(spark):
     df = minutes(spark, [("a", 1, 1e17), ("a", 59, 3), ("a", 75, 1), ("b", 1, float("nan")), ("b", 59, 3), ("b", 75, 1), ("b", 30, float("inf"))])
     got = {(r.k, r.ts.hour * 60 + r.ts.minute): r.rolling_avg for r in w.rolling_mean(df, ["k"], "ts", "v", 60).collect()}
