@@ -20,7 +20,7 @@ from lodestrata.operators.cooldown import firings_with_cooldown
 from lodestrata.operators.profile import asset_criticality
 from lodestrata.operators.rules import within
 from lodestrata.operators.history import keep_latest
-from lodestrata.operators.windows import interval_join, latest_per_key, micros, rolling_mean
+from lodestrata.operators.windows import best_at, latest_per_key, micros, rolling_mean
 
 # Words in an error message and the class they point to, in the order tried.
 ERROR_CLASSES = (
@@ -209,12 +209,11 @@ def incidents_from_failures(runs: DataFrame, open_incidents: DataFrame, as_of: C
     )
 
 
-def route_alerts(alerts: DataFrame, shifts: DataFrame, key: str, ts: str) -> DataFrame:
+def route_alerts(alerts: DataFrame, shifts: DataFrame, ts: str) -> DataFrame:
     """The on-call member with the highest role at the time of each alert (NULL when nobody is)."""
     active = shifts.filter(F.col("is_on_call") & F.col("is_active"))
-    met = interval_join(alerts, active, ts, "shift_start", "shift_end")
-    ranked = top_per_group(met, [key], [rank_of(F.col("role"), ROLE_ORDER), F.col("team_member")], 1)
-    return alerts.join(ranked.select(key, "team_member", "role"), key, "left")
+    order = [rank_of(F.col("role"), ROLE_ORDER), F.col("team_member")]
+    return best_at(alerts, active, ts, "shift_start", "shift_end", order, ["team_member", "role"])
 
 
 def retry_decision(failures: DataFrame) -> DataFrame:

@@ -134,6 +134,74 @@ def interval_join(points: DataFrame, intervals: DataFrame, ts: str, start: str,
     return left.join(spread, cond).drop("_at", "_pl", "_pb", "_b", "_level", "_since", "_until", *[f"_i_{n}" for n in on])
 
 
+#: Turns among which the rows of one slice of time are dealt.
+TURNS = 8
+
+
+def best_segments(intervals: DataFrame, since: Column, until: Column, best: Column, top: int) -> DataFrame:
+    """Disjoint segments of 0..``top``: ``_x``, where one begins, and ``_best``, the least of the intervals there (NULL for none).
+
+    Intervals are ``[since, until)``. Each is cut into the blocks of a binary tree over time that make it up, a few for each
+    doubling of its length; blocks keep their least. The least at a point is the least of the blocks that hold it, so
+    intervals that overlap are never paired with each other. Equal intervals are one from the start.
+    """
+    levels = top.bit_length()
+    once = intervals.select(since.alias("_a"), until.alias("_b"), best.alias("_best")).filter("_a < _b").groupBy("_a", "_b").agg(F.min("_best").alias("_best"))
+
+    def half(c: Column, times: Column) -> Column:
+        return F.call_function("shiftright", c, times)
+
+    def blocks(k: Column) -> Column:
+        size = F.call_function("shiftleft", F.lit(1).cast("long"), k)
+        a, b = half(F.col("_a") + size - 1, k), half(F.col("_b"), k)
+        block = lambda odd, at: F.when((a < b) & (odd % 2 == 1), F.struct(k.alias("_k"), at.alias("_n")))
+        return F.array(block(a, a), block(b, b - 1))
+
+    cut = F.array_compact(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(levels)), blocks)))
+    nodes = once.select(F.inline(cut), "_best").groupBy("_k", "_n").agg(F.min("_best").alias("_best"))
+    bounds = once.select(F.explode(F.array("_a", "_b")).alias("_x")).distinct()
+    above = F.transform(F.sequence(F.lit(0), F.lit(levels)), lambda k: F.struct(k.alias("_k"), half(F.col("_x"), k).alias("_n")))
+    return bounds.select("_x", F.inline(above)).join(nodes, ["_k", "_n"], "left").groupBy("_x").agg(F.min("_best").alias("_best"))
+
+
+def best_at(points: DataFrame, intervals: DataFrame, ts: str, start: str, end: str, order: Sequence[Column], keep: Sequence[str]) -> DataFrame:
+    """``points`` with the columns ``keep`` of the first interval by ``order`` that holds their ``ts`` (NULL where none does).
+
+    Both ends belong to an interval, a NULL end is open. Intervals become disjoint segments with the best one
+    (:func:`best_segments`); points and the beginnings of segments meet in slices of time, where each point takes the last
+    segment that begins before it. A segment that lasts into later slices is carried on to each of them. A point
+    is moved once, whatever the lengths of intervals; points of one instant are dealt to several turns.
+    """
+    low, high = intervals.agg(F.least(F.min(micros(F.col(start))), F.min(micros(F.col(end)))), F.greatest(F.max(micros(F.col(start))), F.max(micros(F.col(end))))).first()
+    low, high = (0, 0) if low is None else (low, high)
+    # 0 lies before every interval that begins somewhere, the last number behind every one that ends
+    top = high - low + 3
+    best = F.struct(*[c.alias(f"_o{k}") for k, c in enumerate(order)], *[F.col(c) for c in keep])
+    since = F.coalesce(micros(F.col(start)) - F.lit(low) + 1, F.lit(0).cast("long"))
+    until = F.coalesce(micros(F.col(end)) - F.lit(low) + 2, F.lit(top).cast("long"))
+    segments = best_segments(intervals, since, until, best, top)
+
+    slices = 4 * int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slice_of = lambda c: F.floor(F.coalesce(c, F.lit(0)) / (-(-(top + 1) // slices)))
+    marks = segments.select(slice_of(F.col("_x")).alias("_slice"), F.lit(1).alias("_kind"), "_x", F.struct(F.col("_best").alias("best")).alias("_mark"))
+    # what each slice begins with: one row a slice, so these can be ordered as a whole
+    ends = marks.groupBy("_slice").agg(F.max_by("_mark", "_x").alias("_mark"))
+    grid = points.sparkSession.range(slices + 1).select(F.col("id").alias("_slice")).join(ends, "_slice", "left")
+    before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    begins = grid.select("_slice", F.lit(0).alias("_kind"), F.lit(-1).cast("long").alias("_x"), F.last("_mark", ignorenulls=True).over(before).alias("_mark"))
+    marks = marks.unionAll(begins).withColumn("_turn", F.explode(F.sequence(F.lit(0), F.lit(TURNS - 1))))
+    x = F.least(F.greatest(micros(F.col(ts)) - F.lit(low) + 1, F.lit(0)), F.lit(top - 1)).cast("long")
+    row = F.struct(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(points.columns)])
+    timed = points.select(F.when(F.col(ts).isNotNull(), x).alias("_x"), row.alias("_row"))
+    dealt = timed.select(slice_of(F.col("_x")).alias("_slice"), F.lit(2).alias("_kind"), "_x", "_row", F.pmod(F.xxhash64("_row"), F.lit(TURNS)).cast("int").alias("_turn"))
+    both = dealt.unionByName(marks, allowMissingColumns=True)
+    by_time = Window.partitionBy("_slice", "_turn").orderBy(F.col("_x").asc_nulls_first(), "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    met = both.withColumn("_found", F.last("_mark", ignorenulls=True).over(by_time)).filter("_kind = 2")
+    known = F.when(F.col("_x").isNotNull(), F.col("_found.best"))
+    old = [F.col(f"_row.c{k}").alias(c) for k, c in enumerate(points.columns)]
+    return met.withColumn("_known", known).select(*old, *[F.col(f"_known.{c}").alias(c) for c in keep])
+
+
 def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
     """Position 1..n of each row within its key, for keys of any size.
 

@@ -120,7 +120,7 @@ def _shifts(spark, sf):
 SELECT execution_id, start_time, team_member, role FROM runs LEFT JOIN (SELECT * FROM m WHERE rn = 1) USING (execution_id) WHERE status = 'failed'""")
 def alert_routing(spark, sf):
     alerts = b.runs(spark, sf).filter("status = 'failed'").select("execution_id", "start_time")
-    return monitoring.route_alerts(alerts, _shifts(spark, sf), "execution_id", "start_time")
+    return monitoring.route_alerts(alerts, _shifts(spark, sf), "start_time")
 
 
 @query("severity_of_assets", with_sql(ASSETS) + """

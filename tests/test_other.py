@@ -88,7 +88,7 @@ def test_routing_without_anyone_on_shift(spark):
         [("lead", "team_lead", T0, T0 + dt.timedelta(hours=1), True, True), ("prime", "on_call_primary", T0, T0 + dt.timedelta(hours=1), True, True)],
         "team_member string, role string, shift_start timestamp_ntz, shift_end timestamp_ntz, is_on_call boolean, is_active boolean",
     )
-    got = {r.id: r.team_member for r in monitoring.route_alerts(alerts, shifts, "id", "ts").collect()}
+    got = {r.id: r.team_member for r in monitoring.route_alerts(alerts, shifts, "ts").collect()}
     assert got == {1: "prime", 2: None}
 
 

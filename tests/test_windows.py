@@ -117,6 +117,27 @@ def test_open_and_far_intervals_give_all_their_rows(spark):
     assert sorted((r.k, r.name) for r in met.collect()) == sorted(expected)
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_best_interval_at_each_point(spark, seed):
+    r = random.Random(seed)
+    at = lambda m: None if m is None else T0 + dt.timedelta(minutes=m)
+    rows = []
+    for k in range(60):
+        s, e = r.choice([None, r.randrange(2000)]), r.choice([None, r.randrange(2000), r.randrange(2000)])
+        rows.append((f"n{k}", r.randrange(5), at(s), at(e)))
+    rows += [rows[0], ("point", 0, at(540), at(540)), ("far", 9, at(100), dt.datetime(9999, 12, 31)), ("backwards", -1, at(900), at(800))]
+    intervals = spark.createDataFrame(rows, "name string, rank int, s timestamp_ntz, e timestamp_ntz")
+    moments = [r.randrange(-50, 2100) for _ in range(300)] + [540] * 40
+    points = minutes(spark, [(f"{i} {m}", m, 1) for i, m in enumerate(moments)]).unionAll(minutes(spark, [("never", 0, 1)]).withColumn("ts", F.lit(None).cast("timestamp_ntz")))
+    for some in (rows, [x for x in rows if x[2] and x[3]], []):
+        inside = lambda x, m: (x[2] is None or x[2] <= at(m)) and (x[3] is None or at(m) <= x[3])
+        want = {f"{i} {m}": min(((x[1], x[0]) for x in some if inside(x, m)), default=(None, None))[1] for i, m in enumerate(moments)}
+        given = intervals if some is rows else spark.createDataFrame(some, intervals.schema)
+        got = w.best_at(points, given, "ts", "s", "e", [F.col("rank"), F.col("name")], ["name"])
+        assert got.columns == ["k", "ts", "v", "name"]
+        assert {x.k: x.name for x in got.collect()} == {**want, "never": None}
+
+
 def test_positions_within_a_hot_key(spark):
     df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 2).alias("k"), (F.col("id") * 7 % 3001).alias("o"))
     got = w.number_rows(df, ["k"], ["o"], "n").collect()
