@@ -153,15 +153,36 @@ def test_ordered_lists_are_whole(spark):
     assert [x for _, i in parts for x in i] == [str(n) for n in range(2500)]
 
 
-@pytest.mark.parametrize("accuracy", [50, 10000])
-def test_exact_percentile(spark, accuracy):
+def test_exact_percentile(spark):
     random.seed(5)
-    data = [("hot", random.choice([1.0, 2.5, random.random() * 100])) for _ in range(3000)] + [("small", 4.0), ("small", 8.0)]
-    df = spark.createDataFrame(data, "k string, v double")
-    for p in (0.5, 0.95):
-        got = {r.k: r.q for r in agg.exact_percentile(df, ["k"], "v", p, "q", accuracy).collect()}
-        for k in ("hot", "small"):
-            assert got[k] == pytest.approx(np.percentile([v for kk, v in data if kk == k], p * 100))
+    close = [1.0 + k * 2.0**-52 for k in range(40)]  # differ in the last bits only
+    data = [("hot", random.choice([1.0, 2.5, random.random() * 100, -random.random()])) for _ in range(3000)] + [("small", 4.0), ("small", 8.0), ("one", -3.0)]
+    data += [("close", x) for x in close] + [("wide", x) for x in (-1e308, -5e-324, 0.0, -0.0, 5e-324, 1e-310, 3.0, 1e308)] + [(None, x) for x in (1.0, 2.0, 4.0)]
+    df = spark.createDataFrame(data, "k string, v double").unionAll(spark.createDataFrame([("hot", None), ("none", None)], "k string, v double"))
+    for p in (0.0, 0.5, 0.95, 1.0):
+        got = {r.k: r.q for r in agg.exact_percentile(df, ["k"], "v", p, "q").collect()}
+        assert got.keys() == {"hot", "small", "one", "close", "wide", None}
+        for k in got:
+            own = sorted(v for kk, v in data if kk == k)
+            at = (len(own) - 1) * p
+            low, high = own[int(np.floor(at))], own[int(np.ceil(at))]
+            assert got[k] == (low if at == int(at) or low == high else low + (high - low) * (at - int(at)))
+    assert agg.exact_percentile(df.filter("k = 'hot'"), [], "v", 1.0, "q").first().q == max(v for k, v in data if k == "hot")
+
+
+def test_order_bits_keep_the_order(spark):
+    random.seed(9)
+    import struct
+
+    values = [struct.unpack("<d", random.randbytes(8))[0] for _ in range(500)] + [0.0, -0.0, float("inf"), float("-inf"), float("nan"), 2.0**-1022, 2.0**-1074, 1.0, 2.0, np.nextafter(1.0, 0), np.nextafter(2.0, 3)]
+    values += [2.0**k for k in range(-1074, 1024, 13)] + [-(2.0**k) for k in range(-1074, 1024, 17)]
+    rows = spark.createDataFrame([(float(v),) for v in values], "v double").select("v", agg.order_bits(F.col("v")).alias("b")).collect()
+    rows = sorted(rows, key=lambda r: r.b)
+    plain = [r.v for r in rows if not np.isnan(r.v)]
+    assert plain == sorted(plain) and all(np.isnan(r.v) for r in rows[len(plain) :])
+    for r in rows:
+        if r.v > 0 and not np.isnan(r.v):
+            assert r.b == struct.unpack("<q", struct.pack("<d", r.v))[0]
 
 
 def test_mean_of_nothing_is_null(spark):
