@@ -28,8 +28,8 @@ from pyspark.sql import types as T
 
 from lodestrata.llm.common import LOWER, SPACES, code_of, equal_bytes, extend, list_array, spread, text_arrays, words_of
 
-#: Entries kept of each worker's memory of pieces and of pairs (some 50 MB); a full one starts anew.
-MEMORY = 80_000
+#: Entries kept of each worker's memory of pieces and of pairs; a full one starts anew.
+MEMORY = 250_000
 #: Longest piece that is remembered, in bytes.
 REMEMBERED = 64
 
