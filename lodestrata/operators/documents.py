@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -212,6 +214,58 @@ def search(index: DataFrame, phrase: str, n: int = 10, doc_types: Sequence[str]
     return top(scored, [F.col("relevance_score").desc(), F.col("document_id")], n)
 
 
+def postings(index: DataFrame) -> DataFrame:
+    """The inverted index of :func:`document_index`: ``token``, ``document_id`` and ``places``, one row a token and document.
+
+    Tokens are what single blanks separate (two blanks in a row hold an empty one), places count them, so neighbours
+    are one apart and a phrase is found by its places alone.
+    """
+    each = index.select("document_id", F.posexplode(F.split("searchable_text", " ")).alias("_at", "token"))
+    return each.groupBy("token", "document_id").agg(F.sort_array(F.collect_list("_at")).alias("places"))
+
+
+def write_postings(index: DataFrame, path: str, parts: int | None = None) -> None:
+    """Stores the inverted index dealt by token hash and sorted by token, so that a search for a token skips most row groups."""
+    rows = postings(index)
+    rows = rows.repartition(parts, "token") if parts else rows.repartition("token")
+    rows.sortWithinPartitions("token", "document_id").write.mode("overwrite").parquet(path)
+
+
+def search_postings(
+    posted: DataFrame, documents: DataFrame, phrase: str, n: int = 10, doc_types: Sequence[str] | None = None, type_column: str = "doc_type"
+) -> DataFrame:
+    """:func:`search` answered from the inverted index; ``documents`` has ``document_id`` and the columns to show, no text.
+
+    The words between the first and the last are whole tokens, the first ends one and the last begins one; a single word
+    may lie anywhere inside a token. Places of the words that follow each other are intersected. Scores are
+    counted from the tokens that hold a word, so no text is read.
+    """
+    words = phrase.lower().split(" ")
+    token, last = F.col("token"), len(words) - 1
+
+    def fits(k: int, word: str) -> Column:
+        if not last:
+            return token.contains(word)
+        return token.endswith(word) if k == 0 else token.startswith(word) if k == last else token == word
+
+    starts = [posted.filter(fits(k, w)).select("document_id", F.explode("places").alias("_at")).select("document_id", (F.col("_at") - k).alias("_at"), F.lit(k).alias("_word")) for k, w in enumerate(words)]
+    met = reduce(DataFrame.unionAll, starts).groupBy("document_id", "_at").agg(F.count("*").alias("_n")).filter(F.col("_n") == len(words))
+    hits = met.select("document_id").distinct().join(documents, "document_id")
+    if doc_types:
+        hits = hits.filter(F.col(type_column).isin(*doc_types))
+    wanted = phrase.lower().split()
+    held = F.lit(0.0)
+    for word in wanted:
+        held = held + (F.length(token) - F.length(F.replace(token, F.lit(word), F.lit("")))) / F.lit(len(word)) * F.size("places")
+    some = F.lit(False)
+    for word in wanted:
+        some = some | token.contains(word)
+    scores = posted.filter(some).select("document_id", held.alias("_held")).join(hits.select("document_id"), "document_id", "left_semi")
+    scores = scores.groupBy("document_id").agg(F.sum("_held").cast("double").alias("relevance_score"))
+    scored = hits.join(scores, "document_id", "left").withColumn("relevance_score", F.coalesce("relevance_score", F.lit(0.0)))
+    return top(scored, [F.col("relevance_score").desc(), F.col("document_id")], n)
+
+
 def text_findings(df: DataFrame, text: str, patterns: Mapping[str, str] = TEXT_PATTERNS) -> DataFrame:
     """Kinds of personal data found anywhere in the whole text."""
     kinds = F.array_compact(F.array(*[F.when(F.col(text).rlike(p), kind) for kind, p in patterns.items()]))
@@ -250,3 +304,66 @@ def nearest_vectors(vectors: DataFrame, query: DataFrame, embedding: str, key: s
         "similarity", cosine(F.col(embedding), F.col("_q"))
     )
     return top(scored.drop("_q", embedding), [F.col("similarity").desc(), F.col(key)], n)
+
+
+#: Vectors among which pivots are chosen, pivots, and slack for rounding of angles.
+PIVOT_SAMPLE, PIVOTS, ANGLE_SLACK = 256, 8, 1e-6
+
+
+def angle(a: Column, b: Column) -> Column:
+    """Angle between two vectors in radians; NULL where one has no length."""
+    return F.acos(F.least(F.greatest(cosine(a, b), F.lit(-1.0)), F.lit(1.0)))
+
+
+def choose_pivots(vectors: DataFrame, embedding: str, key: str, count: int = PIVOTS) -> list[list[float]]:
+    """Vectors far from each other, out of a fixed sample of ``PIVOT_SAMPLE``; any choice gives right results."""
+    length = F.aggregate(embedding, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
+    rows = vectors.filter((length > 0) & (length < F.lit(float("inf")))).orderBy(F.xxhash64(key), key).limit(PIVOT_SAMPLE).select(F.col(embedding).cast("array<double>")).collect()
+    units = [[x / math.sqrt(sum(y * y for y in v)) for x in v] for (v,) in rows]
+    chosen: list[list[float]] = units[:1]
+    while units and len(chosen) < min(count, len(units)):
+        near = [max(sum(x * y for x, y in zip(u, p)) if len(u) == len(p) else 1.0 for p in chosen) for u in units]
+        chosen.append(units[near.index(min(near))])
+    return chosen
+
+
+def pivot_index(vectors: DataFrame, embedding: str, pivots: Sequence[Sequence[float]]) -> DataFrame:
+    """``vectors`` with the angle to each pivot as a column ``_p0``, ``_p1``, ..."""
+    point = lambda p: F.array(*[F.lit(float(x)) for x in p])
+    return vectors.withColumns({f"_p{k}": angle(F.col(embedding), point(p)) for k, p in enumerate(pivots)})
+
+
+def write_pivot_index(vectors: DataFrame, embedding: str, pivots: Sequence[Sequence[float]], path: str) -> None:
+    """Stores the index sorted by the first angles, so that ranges of angles skip row groups."""
+    indexed = pivot_index(vectors, embedding, pivots)
+    order = [f"_p{k}" for k in range(min(2, len(pivots)))]
+    indexed = indexed.repartitionByRange(*order).sortWithinPartitions(*order) if order else indexed
+    indexed.write.mode("overwrite").parquet(path)
+
+
+def nearest_by_pivots(indexed: DataFrame, pivots: Sequence[Sequence[float]], query: Sequence[float], embedding: str, key: str, n: int = 10) -> tuple[DataFrame, DataFrame]:
+    """The top ``n`` by cosine to ``query``, exactly, and the rows of the index that had to be looked into.
+
+    Angles obey the triangle rule: a vector within an angle t of the query differs from it by at most t in its angle to any
+    pivot. The vectors that look nearest by their angles to the pivots give a first t from their own angles; then
+    ranges of angles, pushed to the scan, leave out all vectors that can't be nearer.
+    """
+    wanted = F.array(*[F.lit(float(x)) for x in query])
+    norm = math.sqrt(sum(x * x for x in query))
+    to_pivots = [math.acos(min(1.0, max(-1.0, sum(x * y for x, y in zip(query, p)) / (norm * math.sqrt(sum(y * y for y in p)))))) if norm else 0.0 for p in pivots]
+    differs = [F.abs(F.col(f"_p{k}") - F.lit(a)) for k, a in enumerate(to_pivots)]
+    similarity = cosine(F.col(embedding), wanted)
+    reach = None
+    if differs and norm:
+        guess = F.greatest(*differs) if len(differs) > 1 else differs[0]
+        first = indexed.select(key, guess.alias("_guess")).filter("_guess IS NOT NULL").orderBy("_guess", key).limit(4 * n)
+        best = indexed.join(F.broadcast(first.select(key)), key, "left_semi").select(F.acos(F.least(F.greatest(similarity, F.lit(-1.0)), F.lit(1.0))).alias("t"))
+        angles = [r.t for r in best.filter("t IS NOT NULL").orderBy("t").limit(n).collect()]
+        reach = angles[-1] + ANGLE_SLACK if len(angles) == n else None
+    read = indexed
+    if reach is not None:
+        for k, a in enumerate(to_pivots):
+            read = read.filter((F.col(f"_p{k}") >= F.lit(a - reach)) & (F.col(f"_p{k}") <= F.lit(a + reach)))
+    plain = [c for c in indexed.columns if c not in {f"_p{k}" for k in range(len(pivots))} and c != embedding]
+    found = top(read.select(*plain, similarity.alias("similarity")), [F.col("similarity").desc(), F.col(key)], n)
+    return found, read

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from lodestrata.operators import calls, documents
 from lodestrata.operators.security import TEXT_PATTERNS
 from lodestrata.plans.registry import query, table
+from lodestrata.session import shared_folder
 
 
 @query("register_new_documents", """
@@ -90,6 +93,17 @@ def document_index(spark, sf):
 SELECT document_id, doc_id, lang, (length(searchable_text) - length(replace(searchable_text, 'the', '')))::DOUBLE / 3 + (length(searchable_text) - length(replace(searchable_text, 'is', '')))::DOUBLE / 2 AS relevance_score
 FROM ix WHERE contains(searchable_text, 'the is') AND lang IN ('en', 'de') ORDER BY relevance_score DESC, document_id LIMIT 10""")
 def document_search(spark, sf):
+    """Answered from a stored inverted index; texts are read once to build it."""
+    folder = f"{shared_folder(spark)}/postings-{uuid.uuid4().hex}"
+    documents.write_postings(_index(spark, sf), folder)
+    shown = table(spark, sf, "documents").select(F.sha2(F.col("doc_id").cast("string"), 256).alias("document_id"), "doc_id", "lang")
+    return documents.search_postings(spark.read.parquet(folder), shown, "The is", 10, ["en", "de"], "lang")
+
+
+@query("document_search_by_scan", "WITH " + INDEX_SQL + """
+SELECT document_id, doc_id, lang, (length(searchable_text) - length(replace(searchable_text, 'the', '')))::DOUBLE / 3 + (length(searchable_text) - length(replace(searchable_text, 'is', '')))::DOUBLE / 2 AS relevance_score
+FROM ix WHERE contains(searchable_text, 'the is') AND lang IN ('en', 'de') ORDER BY relevance_score DESC, document_id LIMIT 10""")
+def document_search_by_scan(spark, sf):
     return documents.search(_index(spark, sf), "The is", 10, ["en", "de"], "lang")
 
 
@@ -130,6 +144,19 @@ def nearest_vectors(spark, sf):
     return documents.nearest_vectors(vectors, wanted, "embedding", "vec_id", 10).withColumn("similarity", F.round("similarity", 6))
 
 
+@query("nearest_vectors_by_pivots", """
+SELECT vec_id, label, round(list_cosine_similarity(embedding::DOUBLE[], (SELECT embedding::DOUBLE[] FROM embeddings WHERE vec_id = 0)), 6) AS similarity FROM embeddings ORDER BY similarity DESC, vec_id LIMIT 10""")
+def nearest_vectors_by_pivots(spark, sf):
+    """The same from a stored index of angles to pivots, which leaves out what can't be near."""
+    vectors = table(spark, sf, "embeddings")
+    pivots = documents.choose_pivots(vectors, "embedding", "vec_id")
+    folder = f"{shared_folder(spark)}/pivots-{uuid.uuid4().hex}"
+    documents.write_pivot_index(vectors, "embedding", pivots, folder)
+    query_vector = vectors.filter("vec_id = 0").select(F.col("embedding").cast("array<double>")).first()[0]
+    found, _ = documents.nearest_by_pivots(spark.read.parquet(folder), pivots, query_vector, "embedding", "vec_id", 10)
+    return found.withColumn("similarity", F.round("similarity", 6))
+
+
 @query("call_transcripts", """
 SELECT conv_id, CAST(floor(turn / 4) AS INTEGER) AS part_no, count(*) AS segment_count, string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS transcript FROM (SELECT DISTINCT conv_id, turn, role, text FROM conversations) GROUP BY ALL""")
 def call_transcripts(spark, sf):

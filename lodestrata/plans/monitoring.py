@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from lodestrata.operators import kpi, monitoring, profile
+from lodestrata.operators import kpi, mergeable, monitoring, profile
 from lodestrata.operators.rules import within
 from lodestrata.plans import bindings as b
 from lodestrata.plans.bindings import ACCESS, ASSETS, CLAIM, POLICY, RUNS, with_sql
 from lodestrata.plans.registry import at, plain, query, table
+from lodestrata.session import shared_folder
+from lodestrata.sources.writers import write_load
 
 NOW = b.EVENTS_AS_OF
 NOW_SQL = f"TIMESTAMP '{NOW}'"
@@ -33,6 +37,19 @@ def error_classes(spark, sf):
     return failed.groupBy(monitoring.error_class(F.col("error_message")).alias("error_category")).agg(F.count("*").alias("n"))
 
 
+@query("stored_execution_baseline", with_sql(RUNS) + f"""
+SELECT asset_id, round(avg(duration_seconds), 6) AS avg_duration_seconds, round(stddev_samp(duration_seconds), 6) AS std_duration_seconds, round(avg(records_written), 6) AS avg_records_written, round(stddev_samp(records_written), 6) AS std_records_written
+FROM runs WHERE status = 'succeeded' AND CAST(start_time AS DATE) >= CAST({NOW_SQL} AS DATE) - 30 GROUP BY asset_id""")
+def stored_execution_baseline(spark, sf):
+    """Baselines of thirty days, put together from one small row an asset and day."""
+    values, folder = ["duration_seconds", "records_written"], f"{shared_folder(spark)}/run-days-{uuid.uuid4().hex}"
+    days = mergeable.day_moments(b.runs(spark, sf).filter("status = 'succeeded'"), ["asset_id"], "start_time", values)
+    write_load(days, folder, "partitions", ["day"])
+    stored = spark.read.parquet(folder).filter(F.col("day") >= F.date_sub(at(NOW).cast("date"), 30))
+    out = mergeable.combine_days(stored, ["asset_id"], values)
+    return out.select("asset_id", *[F.round(c, 6).alias(c) for c in out.columns if c != "asset_id"])
+
+
 @query("execution_anomalies", with_sql(RUNS, f"""base AS (
   SELECT asset_id, avg(duration_seconds) AS ad, stddev_samp(duration_seconds) AS sd, avg(records_written) AS ar, stddev_samp(records_written) AS sr FROM runs
   WHERE status = 'succeeded' AND start_time >= {NOW_SQL} - INTERVAL 30 DAYS AND NOT start_time >= {NOW_SQL} - INTERVAL 48 HOURS GROUP BY asset_id)""", f"""a AS (

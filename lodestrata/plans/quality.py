@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from lodestrata.operators import profile, quality
+from lodestrata.operators import mergeable, profile, quality
 from lodestrata.operators.quality import UNIQUENESS
 from lodestrata.plans import bindings as b
 from lodestrata.plans.registry import at, plain, query, table
+from lodestrata.session import shared_folder
 
 TYPED = [
     {"column": "o_orderkey", "rule": "not_null", "threshold": 0.0},
@@ -191,6 +194,40 @@ def column_profiles_approximate(spark, sf):
     return _profiles(spark, sf, True)
 
 
+PROFILE_COLUMNS = {"o_orderstatus": False, "o_orderpriority": False, "o_custkey": True, "o_totalprice": True}
+
+
+def _stored_sql(c, numeric):
+    number = f"CAST({c} AS DOUBLE)" if numeric else "CAST(NULL AS DOUBLE)"
+    most = f"(SELECT CAST({c} AS VARCHAR) || '=' || n FROM (SELECT {c}, count(*) AS n FROM orders GROUP BY {c}) ORDER BY n DESC, {c} LIMIT 1)"
+    return f"""SELECT '{c}' AS column_name, count(*) AS total_rows, count(*) - count({c}) AS null_count, min({number}) AS min_value, max({number}) AS max_value, round(avg({number}), 4) AS avg_value,
+  round(stddev_samp({number}), 4) AS std_dev, true AS distinct_close, true AS median_close, {'NULL' if numeric else most} AS most_frequent FROM orders"""
+
+
+@query("stored_profiles", " UNION ALL ".join(_stored_sql(c, n) for c, n in PROFILE_COLUMNS.items()))
+def stored_profiles(spark, sf):
+    """Profiles of two loads stored apart and merged: exact where they can be, estimates within their bounds of the exact values."""
+    orders, folder = table(spark, sf, "orders"), f"{shared_folder(spark)}/profiles-{uuid.uuid4().hex}"
+    for load, part in (("1995", orders.filter("o_orderdate < DATE'1996-01-01'")), ("later", orders.filter("o_orderdate >= DATE'1996-01-01' OR o_orderdate IS NULL"))):
+        mergeable.profile_load(part, list(PROFILE_COLUMNS), load).write.mode("append").parquet(folder)
+    merged = mergeable.merge_profiles(spark.read.parquet(folder), 100)
+    measures = {}
+    for k, (c, numeric) in enumerate(PROFILE_COLUMNS.items()):
+        median = F.percentile(c, F.lit(0.5)) if numeric else F.lit(None).cast("double")
+        around = [F.percentile(c, F.lit(p)) for p in (0.48, 0.52)] if numeric else [median, median]
+        measures[c] = F.struct(F.countDistinct(c).alias("d"), around[0].alias("lo"), around[1].alias("hi")).alias(f"m{k}")
+    exact = orders.agg(*measures.values())
+    facts = exact.select(F.inline(F.array(*[F.struct(F.lit(c).alias("_c"), F.col(f"m{k}").alias("_m")) for k, c in enumerate(PROFILE_COLUMNS)])))
+    both = merged.join(facts, F.col("column_name") == F.col("_c"))
+    median = F.col("quartiles")[1]
+    best = F.array_sort(F.transform("top_values", lambda x: F.struct((-x["count"]).alias("n"), x["item"].alias("v"))))[0]
+    return both.select(
+        "column_name", "total_rows", "null_count", "min_value", "max_value", F.round("avg_value", 4).alias("avg_value"), F.round("std_dev", 4).alias("std_dev"),
+        (F.abs(F.col("distinct_count") - F.col("_m.d")) <= mergeable.DISTINCT_BOUND * F.col("_m.d")).alias("distinct_close"),
+        F.coalesce(median.between(F.col("_m.lo"), F.col("_m.hi")), F.lit(True)).alias("median_close"), F.when(F.col("quartiles").isNull(), F.concat(best["v"], F.lit("="), (-best["n"]).cast("string"))).alias("most_frequent"),
+    )
+
+
 @query("column_top_values", """
 WITH v AS (SELECT 'o_orderstatus' AS column_name, o_orderstatus AS value, count(*) AS n FROM orders GROUP BY ALL
   UNION ALL SELECT 'o_orderpriority', o_orderpriority, count(*) FROM orders GROUP BY ALL

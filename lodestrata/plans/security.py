@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from lodestrata.functions import masks
-from lodestrata.operators import access, security
+from lodestrata.operators import access, mergeable, security
 from lodestrata.operators.aggregates import union_all, with_one_row
 from lodestrata.plans import bindings as b
 from lodestrata.plans.bindings import ACCESS, with_sql
 from lodestrata.plans.core import silver_customer
 from lodestrata.plans.registry import at, query, table
+from lodestrata.session import shared_folder
+from lodestrata.sources.writers import write_load
 
 NOW = b.EVENTS_AS_OF
 NOW_SQL = f"TIMESTAMP '{NOW}'"
@@ -252,6 +256,16 @@ def access_baseline(spark, sf):
     return base.withColumns({c: F.array_join(F.col(c).cast("array<string>"), ",") for c in ("typical_hours", "typical_resources", "typical_operations")})
 
 
+@query("stored_access_baseline", with_sql(ACCESS, BASE_SQL) + """
+SELECT user_id, array_to_string(hours, ',') AS typical_hours, array_to_string(tables, ',') AS typical_resources, array_to_string(ops, ',') AS typical_operations, avg_daily_queries, avg_daily_data_gb FROM base""")
+def stored_access_baseline(spark, sf):
+    """The same from small rows that were stored for each day."""
+    folder = f"{shared_folder(spark)}/access-days-{uuid.uuid4().hex}"
+    write_load(mergeable.access_days(b.accesses(spark, sf)), folder, "partitions", ["day"])
+    base = mergeable.access_baseline(spark.read.parquet(folder), at(NOW))
+    return base.withColumns({c: F.array_join(F.col(c).cast("array<string>"), ",") for c in ("typical_hours", "typical_resources", "typical_operations")})
+
+
 def _old_baseline(spark, sf):
     """Baseline from the first half of the month, kept under shifted numbers: the first users have none."""
     early = b.accesses(spark, sf).filter(F.col("ts") < at("2024-01-15"))
