@@ -140,17 +140,14 @@ class Vocabulary:
         return out
 
     def encode_piece(self, raw: bytes, odd: bool) -> bytes:
-        """Ids (32 bits each) of a piece from :func:`pieces_of`."""
-        key = raw if odd else raw.lower()
-        ids = self.seen.get(key)
-        if ids is None:
-            if len(self.seen) >= MEMORY:
-                self.seen.clear()
-            ids = self._stretch(raw.decode()) if odd else self.encode_word(self.symbols_of(raw.decode().lower()))
-            ids = array("i", ids).tobytes()
-            if len(key) <= REMEMBERED:
-                self.seen[key] = ids
-        return ids
+        """Ids (32 bits each) of a piece from :func:`distinct_pieces`."""
+        if len(self.seen) >= MEMORY:
+            self.seen.clear()
+        ids = self._stretch(raw.decode()) if odd else self.encode_word(self.symbols_of(raw.decode() if raw.isascii() else raw.decode().lower()))
+        out = array("i", ids).tobytes()
+        if len(raw) <= REMEMBERED:
+            self.seen[raw] = out  # odd pieces hold what no other does, so the letters alone are a key
+        return out
 
     @staticmethod
     def symbols_of(word: str) -> str:
@@ -185,7 +182,8 @@ class Vocabulary:
         pieces, which, row = distinct_pieces(data, offsets)
         if not pieces:
             return np.zeros(0, np.int32), np.zeros(len(offsets) - 1, np.int64)
-        found = [self.encode_piece(raw, odd) for raw, odd in pieces]
+        known = self.seen.get
+        found = [known(raw) or self.encode_piece(raw, odd) for raw, odd in pieces]
         sizes = np.fromiter(map(len, found), np.int64, len(found)) >> 2
         flat = np.frombuffer(b"".join(found), np.int32)
         counts = sizes[which]
@@ -265,7 +263,7 @@ def pieces_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def distinct_pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[list[tuple[bytes, bool]], np.ndarray, np.ndarray]:
-    """The different pieces of a block with their oddness; for each piece in order its number and its text.
+    """The different pieces of a block, A-Z as a-z but in odd ones, with their oddness; for each piece in order its number and its text.
 
     Pieces meet by a hash; those of one hash are then compared byte by byte.
     """
@@ -278,13 +276,12 @@ def distinct_pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[list[tuple[b
     code = code_of(lower, starts, ends)
     code = np.where(odd, code, ~code)
     _, first, which = np.unique(code, return_index=True, return_inverse=True)
-    raw = data.tobytes()
+    raw = lower.tobytes()
     near = first[which]
     same = (ends - starts == (ends - starts)[near]) & (odd == odd[near]) & equal_bytes(lower, starts, starts[near], ends - starts)
     if not same.all():
-        low = lower.tobytes()
         known: dict[tuple[bytes, bool], int] = {}
-        which = np.array([known.setdefault((low[a:b], o), len(known)) for a, b, o in zip(starts.tolist(), ends.tolist(), odd.tolist())])
+        which = np.array([known.setdefault((raw[a:b], o), len(known)) for a, b, o in zip(starts.tolist(), ends.tolist(), odd.tolist())])
         _, first = np.unique(which, return_index=True)
     spans = zip(starts[first].tolist(), ends[first].tolist(), odd[first].tolist())
     return [(raw[a:b], o) for a, b, o in spans], which, row

@@ -83,7 +83,7 @@ class PieceCounter:
 
     def of_piece(self, raw: bytes, odd: bool) -> tuple[int, int, int]:
         """Words, pieces and unknown words of a piece of text; an unknown word is one piece, a special token too."""
-        key = (raw if odd else raw.lower(), odd)
+        key = (raw, odd)
         found = self.seen.get(key)
         if found is None:
             if len(self.seen) >= MEMORY:
