@@ -220,14 +220,16 @@ ROW = "_row"
 
 
 def packed(df: DataFrame, **named: str) -> DataFrame:
-    """All columns of ``df`` as one struct and the named ones beside it, so that no name of the user's meets a helper's."""
-    whole = F.struct(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(df.columns)])
+    """The named columns beside one struct of all others, so that no name of the user's meets a helper's."""
+    rest = [F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(df.columns) if c not in named.values()]
+    whole = F.struct(*rest) if rest else F.lit(None).cast("boolean")
     return df.select(whole.alias(ROW), *[F.col(f"`{c}`").alias(name) for name, c in named.items()])
 
 
-def unpacked(rows: DataFrame, df: DataFrame, made: dict[str, Column]) -> DataFrame:
-    """The columns of ``df`` again, with ``made`` in the place of columns of these names or behind the others."""
-    old = [made[c].alias(c) if c in made else F.col(f"{ROW}.c{k}").alias(c) for k, c in enumerate(df.columns)]
+def unpacked(rows: DataFrame, df: DataFrame, made: dict[str, Column], **named: str) -> DataFrame:
+    """The columns of ``df``, as :func:`packed` took it, again, with ``made`` in the place of columns of these names or behind the others."""
+    beside = {c: F.col(name) for name, c in named.items()}
+    old = [made[c].alias(c) if c in made else beside.get(c, F.col(f"{ROW}.c{k}")).alias(c) for k, c in enumerate(df.columns)]
     return rows.select(*old, *[v.alias(c) for c, v in made.items() if c not in df.columns])
 
 

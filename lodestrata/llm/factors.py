@@ -82,7 +82,8 @@ def without_repeats(df: DataFrame, key: str, text: str, width: int = 50, gram: i
         counts = np.bincount(owner, minlength=rows)
         return [pa.array(texts, pa.string()), pa.array(counts, pa.int64()), pa.array(removed, pa.int64())]
 
-    rows = packed(df, _key=key, _text=text)
+    kept = df.drop("n_words", "n_removed")
+    rows = packed(kept, _key=key, _text=text)
     fields = [rows.schema["_text"], T.StructField("n_words", T.LongType(), False), T.StructField("n_removed", T.LongType(), False)]
     done = with_spans(keyed(rows, "_key", "_text"), "_text", factors(rows, "_key", "_text", width, gram), fields, cut)
-    return unpacked(done, df.drop("n_words", "n_removed"), {text: F.col("_text"), "n_words": F.col("n_words"), "n_removed": F.col("n_removed")})
+    return unpacked(done, kept, {"n_words": F.col("n_words"), "n_removed": F.col("n_removed")}, _key=key, _text=text)

@@ -55,7 +55,8 @@ def drop_site_lines(df: DataFrame, host: str, text: str, ratio: float = 0.1, lea
     # pages go to where the lists are in turn, so the pages of one host are dealt to many tasks where lists are too large to be sent round
     spread = F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1)))
     drop = cut_lineage(site_lines(df, host, text, ratio, least).withColumn("_turn", spread))
-    pages = packed(df.drop("n_lines", "n_dropped"), _host=host, _text=text).withColumn("_own", F.pmod(F.monotonically_increasing_id(), F.lit(SPREAD)).cast("int"))
+    kept = df.drop("n_lines", "n_dropped")
+    pages = packed(kept, _host=host, _text=text).withColumn("_own", F.pmod(F.monotonically_increasing_id(), F.lit(SPREAD)).cast("int"))
     joined = pages.join(drop, (F.col("_host") == F.col("__host")) & (F.col("_own") == F.col("_turn")), "left").withColumn("_lines", F.split("_text", "\n"))
     stays = F.filter("_lines", lambda x: ~solid(x) | ~F.array_contains(F.col("__drop"), digest(x)))
     cut = joined.withColumn("_stay", F.when(F.col("__drop").isNotNull(), stays).otherwise(F.col("_lines")))
@@ -63,4 +64,4 @@ def drop_site_lines(df: DataFrame, host: str, text: str, ratio: float = 0.1, lea
     total = F.when(F.col("_lines").isNull(), F.lit(0).cast("long")).otherwise(total)
     gone = F.when(F.col("_lines").isNull(), F.lit(0).cast("long")).otherwise((F.size("_lines") - F.size("_stay")).cast("long"))
     new_text = F.when(gone > 0, F.array_join("_stay", "\n")).otherwise(F.col("_text"))
-    return unpacked(cut, df.drop("n_lines", "n_dropped"), {text: new_text, "n_lines": total, "n_dropped": gone})
+    return unpacked(cut, kept, {text: new_text, "n_lines": total, "n_dropped": gone}, _host=host, _text=text)

@@ -436,4 +436,4 @@ def one_of_each(df: DataFrame, key: str, text: str, n: int = 5) -> DataFrame:
     """
     later = similar_documents(df, key, text, n).filter("_doc <> _component").select(F.col("_doc").alias("_later")).distinct()
     rows = packed(df, _key=key).join(later.hint("shuffle_hash"), F.col("_key") == F.col("_later"), "left_anti")
-    return unpacked(rows, df, {})
+    return unpacked(rows, df, {}, _key=key)

@@ -112,4 +112,4 @@ def judge(
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     scored = counted.withColumns({"base_failed": failed, "likeness": F.when(F.size("__grams") > 0, total / F.size("__grams")).otherwise(F.lit(0.0))})
     scored = scored.withColumn("kept", ~F.col("base_failed") & (F.col("likeness") >= least))
-    return unpacked(scored, plain, {c: F.col(c) for c in added})
+    return unpacked(scored, plain, {c: F.col(c) for c in added}, _text=text)

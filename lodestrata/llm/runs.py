@@ -163,7 +163,8 @@ def without_repeats(df: DataFrame, key: str, text: str, width: int = 100, gram:
         kept = pa.Array.from_buffers(pa.binary(), rows, [None, pa.py_buffer(ends), pa.py_buffer(data[~gone])])
         return [*[pa.array(c, pa.int64()) for c in (sizes, removed, spans)], kept]
 
-    rows = packed(df, _key=key, _text=text)
     fields = [*[T.StructField(n, T.LongType(), False) for n in ("n_bytes", "n_removed", "n_spans")], T.StructField("kept", T.BinaryType(), False)]
+    given = df.drop(*[f.name for f in fields])
+    rows = packed(given, _key=key, _text=text)
     done = with_spans(keyed(rows, "_key", "_text"), "_text", repeated_spans(rows, "_key", "_text", width, gram), fields, cut)
-    return unpacked(done, df.drop(*[f.name for f in fields]), {f.name: F.col(f.name) for f in fields})
+    return unpacked(done, given, {f.name: F.col(f.name) for f in fields}, _key=key, _text=text)

@@ -314,7 +314,7 @@ def compare(
 
     dealt = parts.repartition("_anchor", "_block")
     # both parts read one exchange: a condition that is not deterministic is not pushed below it
-    block_of = F.when(F.rand(0) >= 0, F.col("_block"))
+    block_of = F.when(F.monotonically_increasing_id() >= 0, F.col("_block"))
     made, cut = (
         dealt.filter(c).sortWithinPartitions("_block", "_anchor").mapInArrow(tidy(run), T.StructType([*extra, *fields])) for c in (block_of < 0, block_of >= 0)
     )
