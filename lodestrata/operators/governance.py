@@ -7,6 +7,7 @@ table_comment``; ``links`` are glossary links with ``full_path`` and ``verified`
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -96,35 +97,50 @@ def compliance_scorecard(columns: DataFrame, links: DataFrame, violations: DataF
     return joined.withColumn("compliance_score", F.round(score, 2))
 
 
+#: Letters of the grams by which names are looked up.
+GRAM = 3
+
+
+def _pieces(name: str, size: int) -> Column:
+    """The different substrings of ``size`` letters of a name, as rows."""
+    n = F.length(name)
+    every = F.transform(F.sequence(F.lit(1), n - (size - 1)), lambda i: F.substr(F.col(name), i, F.lit(size)))
+    return F.explode(F.when(n >= size, F.array_distinct(every)))
+
+
+def contained_names(inner: DataFrame, outer: DataFrame) -> DataFrame:
+    """Pairs (``inner``, ``outer``) of distinct names in which the first, not empty, is a part of the second.
+
+    A name can only lie where each of its trigrams does, so it is looked up under that one which the fewest outer names have,
+    and not at all if one of its trigrams occurs nowhere. An outer name has a row for each of its
+    trigrams, not for each substring. Names of one and two letters have an index of their own.
+    """
+    grams = outer.select("outer", _pieces("outer", GRAM).alias("_gram"))
+    often = grams.groupBy("_gram").agg(F.count("*").alias("_n"))
+    own = inner.filter(F.length("inner") >= GRAM).select("inner", _pieces("inner", GRAM).alias("_gram")).join(often, "_gram", "left")
+    rarest = own.groupBy("inner").agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), F.col("_gram").alias("g"))).alias("_r")).filter("_r.n > 0")
+    long = rarest.select("inner", F.col("_r.g").alias("_gram")).join(grams, "_gram").filter(F.col("outer").contains(F.col("inner"))).select("inner", "outer")
+    parts = [outer.select(_pieces("outer", size).alias("inner"), "outer") for size in range(1, GRAM)]
+    return reduce(DataFrame.unionAll, parts).join(inner, "inner").select("inner", "outer").unionAll(long)
+
+
 def auto_links(terms: DataFrame, columns: DataFrame, least: int = 1) -> DataFrame:
     """Links suggested by names: equal (1.0, approved) or one contained in the other (0.7).
 
     A contained name must have at least ``least`` letters (equal names always count): names of one or two letters are
-    part of nearly every other, so at scale three or more are wanted. Containment is an equi-join on
-    substrings: each name is cut into its substrings (names are short) and meets the other side's
-    whole names, so no term is paired with every column. Rows are reduced to distinct names before the join.
+    part of nearly every other, so at scale three or more are wanted. Contained names are found by
+    :func:`contained_names`, so no term is paired with every column. Rows are reduced to distinct names before.
     """
     t = terms.filter(F.col("status") == "published").select("term_id", F.lower("term_name").alias("t"))
     named = _described(columns).withColumn("c", F.lower("column_name"))
-    c = named.select("c").distinct()
-
-    def pieces(name: str) -> Column:
-        n = F.length(name)
-        every = F.flatten(
-            F.transform(
-                F.sequence(F.lit(1), F.greatest(n - (least - 1), F.lit(1))),
-                lambda i: F.transform(
-                    F.sequence(F.least(F.lit(least), n - i + 1), n - i + 1), lambda k: F.substr(F.col(name), i, k)
-                ),
-            )
-        )
-        return F.explode(F.array_distinct(every))
-
-    term_names = t.select("t").distinct()
-    in_column = c.select("c", pieces("c").alias("t")).join(term_names, "t")
-    in_term = term_names.select("t", pieces("t").alias("c")).join(c, "c")
-    pairs = in_column.select("t", "c").unionByName(in_term.select("t", "c")).distinct()
-    pairs = pairs.filter((F.least(F.length("t"), F.length("c")) >= least) | (F.col("t") == F.col("c")))
+    c, term_names = named.select("c").distinct(), t.select("t").distinct()
+    long_enough = lambda name: F.length(name) >= least
+    of_terms = contained_names(term_names.select(F.col("t").alias("inner")).filter(long_enough("inner")), c.select(F.col("c").alias("outer")))
+    of_columns = contained_names(c.select(F.col("c").alias("inner")).filter(long_enough("inner")), term_names.select(F.col("t").alias("outer")))
+    apart = F.col("inner") != F.col("outer")
+    pairs = term_names.join(c, F.col("t") == F.col("c")).select("t", "c")
+    pairs = pairs.unionAll(of_terms.filter(apart).select(F.col("inner").alias("t"), F.col("outer").alias("c")))
+    pairs = pairs.unionAll(of_columns.filter(apart).select(F.col("outer").alias("t"), F.col("inner").alias("c")))
     exact = F.col("t") == F.col("c")
     return (
         pairs.join(t, "t")

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lodestrata.operators import access, documents, history, mergeable
+from lodestrata.operators import access, documents, governance, history, mergeable
 from lodestrata.plans.registry import at
 from lodestrata.sources.writers import write_load
 
@@ -109,3 +109,11 @@ def test_only_buckets_that_differ_are_joined(spark):
     assert history.change_feed_by_buckets(old, old, ["id"]).count() == 0
     with pytest.raises(ValueError):
         history.change_feed_by_buckets(old, new, ["id"], buckets=0)
+
+
+def test_contained_names_by_their_rarest_gram(spark):
+    r = random.Random(7)
+    names = lambda n: ["".join(r.choices("abc", k=r.randrange(0, 9))) for _ in range(n)] + ["", "é", "aé", "premium_amount", "amount"]
+    inner, outer = sorted(set(names(150))), sorted(set(names(150)))
+    got = governance.contained_names(spark.createDataFrame([(x,) for x in inner], "inner string"), spark.createDataFrame([(x,) for x in outer], "outer string"))
+    assert sorted(map(tuple, got.collect())) == sorted((a, b) for a in inner for b in outer if a and a in b)
