@@ -12,6 +12,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestrata.functions.hashing import hash_share
+
 
 def split_rows(df: DataFrame, train: float = 0.8, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """Random split into training and test rows."""
@@ -19,6 +21,12 @@ def split_rows(df: DataFrame, train: float = 0.8, seed: int = 42) -> tuple[DataF
     return parts[0], parts[1]
 
 
+def split_by_key(df: DataFrame, keys: Sequence[str], train: float = 0.8) -> tuple[DataFrame, DataFrame]:
+    """A split by a hash of the key: a row is on the same side at every run, whatever the order and partitions of the rows."""
+    share = hash_share(keys)
+    return df.filter(share < train), df.filter(share >= train)
+
+
 def train_fraud_model(df: DataFrame, features: Sequence[str], label: str, trees: int = 100, depth: int = 10, seed: int = 42) -> PipelineModel:
     assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
     forest = RandomForestClassifier(

@@ -236,6 +236,53 @@ def change_feed_replay(spark, sf):
     return history.apply_change_feed(old, history.change_feed(old, new, ["id"]), ["id"]).drop("_record_hash")
 
 
+@query("rule_type_history", SCD2_SQL)
+def rule_type_history(spark, sf):
+    """The same merge as a rule of type ``scd2`` among others; a second rule of an unknown function is skipped."""
+    first = history.open_version(_hashed(old_state(spark, sf)), at("2001-01-01"))
+    wanted = [
+        {"rule_name": "hash", "rule_type": "python_func", "rule_parameters": '{"function": "hashed"}'},
+        {"rule_name": "unknown", "rule_type": "python_func", "rule_parameters": '{"function": "nowhere"}', "error_handling": "skip"},
+        {"rule_name": "versions", "rule_type": "scd2", "rule_parameters": '{"target": "silver", "keys": ["id"], "as_of": "TIMESTAMP_NTZ\'2001-02-01 00:00:00\'"}', "error_handling": "fail_batch"},
+    ]
+    done = rules.apply_rules(new_state(spark, sf), wanted, rules.RuleContext({"silver": first}, {"hashed": _hashed}))
+    assert list(done.skipped) == ["unknown"]
+    return _shown(done.df)
+
+
+@query("rule_type_aggregate", """
+SELECT o_orderstatus, o_orderdate >= TIMESTAMP '1995-01-01' AS is_late, count(*) AS orders, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total, max(o_custkey) AS last_customer FROM orders GROUP BY ALL""")
+def rule_type_aggregate(spark, sf):
+    wanted = [
+        {"rule_name": "period", "rule_type": "python_func", "rule_parameters": '{"function": "period"}', "error_handling": "fail_batch"},
+        {"rule_name": "totals", "rule_type": "aggregate", "error_handling": "fail_batch",
+         "rule_parameters": '{"group_by": ["o_orderstatus", "is_late"], "measures": {"orders": "count(*)", "total": "cast(sum(cast(o_totalprice as decimal(18,2))) as double)", "last_customer": "max(o_custkey)"}}'},
+    ]
+    period = lambda df: df.withColumn("is_late", F.col("o_orderdate") >= at("1995-01-01"))
+    return rules.apply_rules(table(spark, sf, "orders"), wanted, rules.RuleContext({}, {"period": period})).df
+
+
+EXPECTED_COLUMNS = {"region": ["r_regionkey", "r_name"], "nation": ["n_nationkey", "n_name", "n_capital"], "supplier": ["s_suppkey", "s_phone_number"]}
+
+
+def _column_set_sql(name, expected):
+    listed = "[" + ", ".join(f"'{c}'" for c in expected) + "]"
+    rest = lambda a, b: f"array_to_string(list_sort(list_filter({a}, lambda x: NOT list_contains({b}, x))), ',')"
+    return f"""SELECT '{name}' AS table_name, {rest(listed, 'have')} AS missing, {rest('have', listed)} AS unexpected, n AS table_rows
+  FROM (SELECT list(column_name) AS have FROM (DESCRIBE {name})), (SELECT count(*) AS n FROM {name})"""
+
+
+@query("column_set_validation", " UNION ALL ".join(_column_set_sql(n, c) for n, c in EXPECTED_COLUMNS.items()))
+def column_set_validation(spark, sf):
+    """Columns that tables lack or have too much against what is expected of them."""
+    parts = []
+    for name, expected in EXPECTED_COLUMNS.items():
+        df = table(spark, sf, name)
+        missing, extra = ingest.schema_difference(df, expected)
+        parts.append(df.agg(F.lit(name).alias("table_name"), F.lit(",".join(missing)).alias("missing"), F.lit(",".join(extra)).alias("unexpected"), F.count("*").alias("table_rows")))
+    return agg.union_all(parts)
+
+
 @query("conditional_update", """
 SELECT o_orderkey, CASE WHEN o_totalprice > 300000 THEN 'REVIEW' ELSE o_orderstatus END AS o_orderstatus FROM orders""")
 def conditional_update(spark, sf):

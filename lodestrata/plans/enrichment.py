@@ -166,6 +166,28 @@ def fraud_model_scores(spark, sf):
     return scoring.score_rows(model, rows, ["claim_id", "is_fraud"])
 
 
+FRAUD_SQL = """WITH c AS (SELECT l_orderkey * 8 + l_linenumber AS claim_id, (l_extendedprice > 50000 AND l_partkey % 60 > 20 AND l_suppkey % 10 > 3)::INT AS is_fraud,
+  CASE WHEN ('0x' || substr(md5((l_orderkey * 8 + l_linenumber)::VARCHAR), 1, 8))::BIGINT / 4294967296.0::DOUBLE < 0.8 THEN 'train' ELSE 'test' END AS part FROM lineitem)
+"""
+
+
+@query("split_by_key", FRAUD_SQL + "SELECT part, count(*) AS n, sum(is_fraud)::BIGINT AS frauds, sum(claim_id)::BIGINT AS key_sum FROM c GROUP BY part")
+def split_by_key(spark, sf):
+    parts = scoring.split_by_key(fraud_rows(spark, sf), ["claim_id"])
+    sums = [F.count("*").alias("n"), F.sum("is_fraud").alias("frauds"), F.sum("claim_id").alias("key_sum")]
+    return agg.union_all([p.agg(F.lit(name).alias("part"), *sums) for name, p in zip(("train", "test"), parts)])
+
+
+@query("fraud_model_quality", FRAUD_SQL + "SELECT count(*) AS scored, sum(is_fraud)::BIGINT AS frauds, true AS in_range, true AS good_area FROM c WHERE part = 'test'")
+def fraud_model_quality(spark, sf):
+    """Every claim that was held out is scored, between 0 and 1, and the area under the curve is over 0.95."""
+    train, test = scoring.split_by_key(fraud_rows(spark, sf), ["claim_id"])
+    model = scoring.train_fraud_model(train, FRAUD_FEATURES, "is_fraud", trees=20, depth=6)
+    scored = scoring.score_rows(model, test, ["claim_id", "is_fraud"])
+    area = scoring.area_under_roc(model.transform(test), "is_fraud")
+    return scored.agg(F.count("*").alias("scored"), F.sum("is_fraud").alias("frauds"), F.bool_and(F.col("fraud_probability").between(0, 1)).alias("in_range")).withColumn("good_area", F.lit(area > 0.95))
+
+
 @query("train_test_split")
 def train_test_split(spark, sf):
     train, test = scoring.split_rows(fraud_rows(spark, sf).select("claim_id"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lodestrata.operators import governance as g
+from lodestrata.operators.aggregates import union_all
 from lodestrata.plans import bindings as b
 from lodestrata.plans.bindings import with_sql
 from lodestrata.plans.registry import at, query, table
@@ -94,6 +95,23 @@ def compliance_scorecard(spark, sf):
     return out.withColumns({"violations_critical": F.col("violations_critical").cast("int"), "violations_low": F.col("violations_low").cast("int")})
 
 
+@query("term_rows", """
+WITH t AS (SELECT 'TERM_' || md5(lower(n_name)) AS term_id, n_name AS term_name, n_nationkey FROM nation)
+SELECT term_id, term_name, CASE WHEN n_nationkey = 0 THEN 'published' ELSE 'draft' END AS status, CASE WHEN n_nationkey = 0 THEN 2 ELSE 1 END AS version, 'LINK_' || md5(term_id || '|gold.dim.' || term_name) AS linkage_id,
+  'gold.dim.' || term_name AS full_path, n_nationkey % 2 = 0 AS verified, 'POLICY_' || md5('covers ' || term_name) AS policy_id, true AS enabled FROM t""")
+def term_rows(spark, sf):
+    """A term, a link and a policy for each nation; the first term is approved."""
+    rows = table(spark, sf, "nation").select("n_nationkey", "n_name").orderBy("n_nationkey").collect()
+    terms_ = g.create_terms(spark, [{"term_name": r.n_name, "definition": "a nation", "tags": ["nation"]} for r in rows], at("2024-01-01"))
+    ids = {r.term_name: r.term_id for r in terms_.collect()}
+    terms_ = g.approve_term(terms_, ids[rows[0].n_name], at("2024-01-02"))
+    links = [g.link_term(terms_, ids[r.n_name], "gold", "dim", r.n_name, "manual" if r.n_nationkey % 2 == 0 else "auto_suggested") for r in rows]
+    policies = [g.create_policy(spark, f"covers {r.n_name}", "coverage", "each nation is covered").withColumn("term_name", F.lit(r.n_name)) for r in rows]
+    linked = union_all(links).select("linkage_id", "term_id", "full_path", "verified")
+    owned = union_all(policies).select("policy_id", "enabled", "term_name")
+    return terms_.join(linked, "term_id").join(owned, "term_name").select("term_id", "term_name", "status", "version", "linkage_id", "full_path", "verified", "policy_id", "enabled")
+
+
 @query("glossary_auto_links", ALL + """
 SELECT term_id, database_name || '.' || table_name || '.' || column_name AS full_path, CASE WHEN lower(column_name) = lower(term_name) THEN 1.0 ELSE 0.7 END::DOUBLE AS confidence_score,
   CASE WHEN lower(column_name) = lower(term_name) THEN 'auto_approved' ELSE 'auto_suggested' END AS linkage_type, lower(column_name) = lower(term_name) AS verified

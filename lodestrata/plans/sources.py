@@ -318,6 +318,21 @@ def ingest_ledger(spark, sf):
     return stored.agg(F.count("*").alias("n"), F.sum(key).alias("key_sum"), F.min(key).cast("string").alias("low"), F.max(key).cast("string").alias("high"))
 
 
+CRAWLED = ("region", "nation", "supplier", "events")
+
+
+@query("catalogue_crawl", " UNION ALL ".join(f"SELECT 'crawled_{n}' AS table_name, column_name, (SELECT count(*) FROM {n}) AS table_rows FROM (DESCRIBE {n})" for n in CRAWLED))
+def catalogue_crawl(spark, sf):
+    """Tables and columns found in the catalogue, with their row counts."""
+    counts = []
+    for name in CRAWLED:
+        data = table(spark, sf, name)
+        data.createOrReplaceTempView(f"crawled_{name}")
+        counts.append(data.agg(F.lit(f"crawled_{name}").alias("table_name"), F.count("*").alias("table_rows")))
+    found = readers.catalog_columns(spark, "default").filter(F.col("table_name").isin(*[f"crawled_{n}" for n in CRAWLED]))
+    return found.select("table_name", "column_name").join(union_all(counts), "table_name")
+
+
 @query("retention_carried_out", """
 WITH o AS (SELECT CAST(o_orderdate AS DATE) < DATE '2001-08-02' - 1000 AS expired, o_orderkey FROM orders)
 SELECT 'archived' AS part, count(*) AS n, sum(o_orderkey)::BIGINT AS key_sum FROM o WHERE expired UNION ALL SELECT 'kept', count(*), sum(o_orderkey)::BIGINT FROM o WHERE NOT expired""")

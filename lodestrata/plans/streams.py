@@ -240,6 +240,19 @@ def stream_payment_minutes(spark, sf):
     return _unzoned(_run(_minutes(b.payments(spark, sf, _stream(spark, sf, "5 minutes"))), "payment_minutes"))
 
 
+@query("stream_late_data", MINUTE_SQL + "SELECT * FROM pm WHERE window_end <= (SELECT max(event_timestamp) FROM payments) - INTERVAL 5 MINUTES")
+def stream_late_data(spark, sf):
+    """All events, and after them the older half once more: what comes behind the watermark changes no window."""
+    events, folder = table(spark, sf, "events"), f"{shared_folder(spark)}/late-{uuid.uuid4().hex}"
+    middle = events.agg(F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), 0.5)).scalar()
+    parts = (events, events.filter(F.unix_micros(F.col("ts").cast("timestamp")) < middle))
+    for number, part in enumerate(parts):
+        part.write.parquet(f"{folder}/in/{number}")
+        stream = parse.with_watermark(read_event_stream(spark, f"{folder}/in", events.schema, recursiveFileLookup="true"), "ts", "5 minutes")
+        queries.start(_minutes(b.payments(spark, sf, stream)), f"{folder}/out", f"{folder}/state", f"late_{uuid.uuid4().hex[:8]}").awaitTermination()
+    return _unzoned(spark.read.parquet(f"{folder}/out"))
+
+
 @query("stream_inactivity_sessions", with_sql(CLICKS, INACTIVE) + f"""
 SELECT * FROM (SELECT min(event_timestamp) AS window_start, max(event_timestamp) + INTERVAL 30 MINUTES AS window_end, session_id, user_id, count(*) AS event_count, CAST(sum({WEIGHT}) AS BIGINT) AS total_engagement,
   count(*) FILTER (WHERE event_type IN ('form_submit', 'quote_request')) AS conversions FROM n GROUP BY session_id, user_id, sno) WHERE window_end <= (SELECT max(event_timestamp) FROM clicks) - INTERVAL 60 SECONDS""")
