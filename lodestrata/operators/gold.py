@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestrata.functions.hashing import surrogate_key
-from lodestrata.operators.history import check_constraints
+from lodestrata.operators.history import check_constraints, split_by_constraints
 from lodestrata.sources.writers import write_load
 
 # The columns of each gold model, in order.
@@ -107,6 +107,30 @@ def version_fact(
     )
 
 
+#: How the models are stored: the columns that part them, and what every row must fulfil.
+STORED_MODELS: dict[str, Mapping[str, Any]] = {
+    "fact_policy_transaction": {"partition_by": ("transaction_type",)},
+    "fact_journal_entry": {"partition_by": ("fiscal_year", "fiscal_period")},
+    "fact_premium_invoice": {"constraints": {"chk_invoice_amount": "invoice_amount >= 0"}},
+}
+
+
+def store_model(model: DataFrame, name: str, folder: str) -> DataFrame:
+    """Writes a gold model in its partitions and returns what its constraints say (``constraint_name``, ``expression``, ``violations``).
+
+    Rows that break a constraint go to ``<name>_rejected`` beside the table, which holds only rows that fulfil all. Read
+    with a filter on the parting columns, only those partitions are opened.
+    """
+    how = STORED_MODELS.get(name, {})
+    constraints = how.get("constraints") or {}
+    good, bad = split_by_constraints(model, constraints) if constraints else (model, None)
+    write_load(good, f"{folder}/{name}", "full", how.get("partition_by", ()))
+    if bad is None:
+        return check_constraints(model, {"any_row": "true"}).filter("false")
+    write_load(bad, f"{folder}/{name}_rejected", "full")
+    return check_constraints(model.sparkSession.read.parquet(f"{folder}/{name}_rejected"), constraints)
+
+
 def grain_aggregate(fact: DataFrame, grain: Sequence[str], premium: str, coverage: str) -> DataFrame:
     """Totals, count, mean and extremes at a caller-chosen grain (map-side partial sums)."""
     total = F.sum(premium)

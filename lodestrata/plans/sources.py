@@ -6,13 +6,15 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from lodestrata.operators import gold, history, ingest
+from lodestrata.operators import gold, history, ingest, medallion, quality
 from lodestrata.plans import bindings as b
+from lodestrata.plans import core
+from lodestrata.plans.bindings import with_sql
 from lodestrata.plans.core import old_state, new_state
 from lodestrata.plans.registry import at, query, table
 from lodestrata.operators.aggregates import union_all, with_one_row
 from lodestrata.schemas import control_rows
-from lodestrata.session import shared_folder
+from lodestrata.session import cut_lineage, shared_folder
 from lodestrata.sources import readers, writers
 
 SUPPLIERS = "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier"
@@ -360,8 +362,6 @@ def gold_definitions_run(spark, sf):
 SELECT count(*) AS bronze_rows, count(*) AS silver_rows, count(*) AS current_rows, count(*) AS fact_rows, 1.0::DOUBLE AS quality_score FROM customer""")
 def medallion_run(spark, sf):
     """Ingest, type 2 history, validation, dimension and fact in one chain, reported as one row."""
-    from lodestrata.operators import quality
-
     bronze_folder, silver_folder = _folder(spark, "bronze"), _folder(spark, "silver")
     writers.write_load(ingest.add_audit(old_state(spark, sf), "ING001", "run-1", at("2001-01-01")), bronze_folder, "full")
     bronze = spark.read.parquet(bronze_folder)
@@ -379,3 +379,50 @@ def medallion_run(spark, sf):
     return bronze.agg(F.count("*").alias("bronze_rows")).withColumns(
         {"silver_rows": rows(silver), "current_rows": rows(dimension), "fact_rows": rows(fact), "quality_score": score.scalar()}
     )
+
+
+@query("gold_transactions_by_partition", """
+SELECT l_returnflag AS transaction_type, count(*) AS n, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS written FROM lineitem WHERE l_returnflag <> 'N' GROUP BY ALL""")
+def gold_transactions_by_partition(spark, sf):
+    """The stored fact read back by two of its partitions."""
+    folder = _folder(spark, "gold")
+    gold.store_model(core.gold_fact_policy_transaction(spark, sf), "fact_policy_transaction", folder)
+    stored = spark.read.parquet(f"{folder}/fact_policy_transaction").filter("transaction_type <> 'N'")
+    return stored.groupBy("transaction_type").agg(F.count("*").alias("n"), F.sum(F.col("written_premium").cast("decimal(18,2)")).cast("double").alias("written"))
+
+
+@query("gold_journal_by_period", "SELECT fiscal_year::INTEGER AS fiscal_year, fiscal_period::INTEGER AS fiscal_period, count(*) AS n FROM (SELECT " + ", ".join(f"{e} AS {n}" for n, e in core.JOURNAL_COLUMNS) + " FROM lineitem) GROUP BY ALL")
+def gold_journal_by_period(spark, sf):
+    folder = _folder(spark, "gold")
+    gold.store_model(core.gold_fact_journal_entry(spark, sf), "fact_journal_entry", folder)
+    stored = spark.read.parquet(f"{folder}/fact_journal_entry")
+    return stored.groupBy(F.col("fiscal_year").cast("int").alias("fiscal_year"), F.col("fiscal_period").cast("int").alias("fiscal_period")).agg(F.count("*").alias("n"))
+
+
+@query("gold_invoice_checks", """
+SELECT 'chk_invoice_amount' AS constraint_name, count(*) FILTER (WHERE o_totalprice < 50000) AS violations, count(*) FILTER (WHERE o_totalprice >= 50000) AS stored_rows FROM orders""")
+def gold_invoice_checks(spark, sf):
+    """Invoices lowered by 50,000: those below zero break the constraint and stay out of the table."""
+    folder = _folder(spark, "gold")
+    invoices = core.gold_fact_premium_invoice(spark, sf).withColumn("invoice_amount", F.col("invoice_amount") - 50000)
+    report = gold.store_model(invoices, "fact_premium_invoice", folder)
+    stored = spark.read.parquet(f"{folder}/fact_premium_invoice").agg(F.count("*").alias("stored_rows"))
+    return with_one_row(report.select("constraint_name", "violations"), stored)
+
+
+@query("medallion_chain", with_sql(core.OLD_SQL, core.NEW_SQL, """v AS (
+  SELECT count(*) FILTER (WHERE old.id IS NULL) AS added, count(*) FILTER (WHERE old.segment <> new.segment) AS changed, count(*) AS landed FROM new LEFT JOIN old ON old.id = new.id)""", """o AS (
+  SELECT count(*) AS n, count(*) FILTER (WHERE id % 4 = 0) AS repeated FROM old)""") + """
+SELECT 'first' AS execution_id, n + repeated AS landed_rows, n + repeated AS bronze_rows, repeated AS repeated_rows, n AS silver_rows, n AS current_rows, n AS fact_rows, 0::BIGINT AS failed_checks FROM o
+UNION ALL SELECT 'second', landed, n + repeated + landed, 0, n + added + changed, n + added, n + added + changed, 2 FROM o, v
+UNION ALL SELECT 'second again', landed, n + repeated + 2 * landed, 0, n + added + changed, n + added, n + added + changed, 2 FROM o, v""")
+def medallion_chain(spark, sf):
+    """Three batches through all layers: with repeated rows, with changed and new ones, and the same once more; two checks fail on versions and moved segments."""
+    checks = [
+        quality.typed_check({"column": "id", "rule": "not_null"}), quality.typed_check({"column": "id", "rule": "unique"}),
+        {"rule_name": "known segment", "column_name": "segment", "rule_type": "custom", "rule_category": "high", "check_expression": "segment <> 'MOVED'", "threshold_value": 0.0},
+    ]
+    subject = medallion.Medallion(_folder(spark, "medallion"), ["id"], ["name", "segment"], "segment", checks)
+    old, new = old_state(spark, sf), new_state(spark, sf)
+    batches = (("first", old.unionAll(old.filter("id % 4 = 0")), "2001-01-01"), ("second", new, "2001-02-01"), ("second again", new, "2001-03-01"))
+    return union_all([cut_lineage(medallion.run_batch(spark, subject, batch, name, at(day))) for name, batch, day in batches])
