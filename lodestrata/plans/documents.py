@@ -89,10 +89,10 @@ def document_index(spark, sf):
     return _index(spark, sf).select("document_id", F.md5("searchable_text").alias("text_hash"), F.length("searchable_text").alias("text_length"))
 
 
-@query("document_search", "WITH " + INDEX_SQL + """
+@query("document_search_by_index", "WITH " + INDEX_SQL + """
 SELECT document_id, doc_id, lang, (length(searchable_text) - length(replace(searchable_text, 'the', '')))::DOUBLE / 3 + (length(searchable_text) - length(replace(searchable_text, 'is', '')))::DOUBLE / 2 AS relevance_score
 FROM ix WHERE contains(searchable_text, 'the is') AND lang IN ('en', 'de') ORDER BY relevance_score DESC, document_id LIMIT 10""")
-def document_search(spark, sf):
+def document_search_by_index(spark, sf):
     """Answered from a stored inverted index; texts are read once to build it."""
     folder = f"{shared_folder(spark)}/postings-{uuid.uuid4().hex}"
     documents.write_postings(_index(spark, sf), folder)
@@ -100,10 +100,10 @@ def document_search(spark, sf):
     return documents.search_postings(spark.read.parquet(folder), shown, "The is", 10, ["en", "de"], "lang")
 
 
-@query("document_search_by_scan", "WITH " + INDEX_SQL + """
+@query("document_search", "WITH " + INDEX_SQL + """
 SELECT document_id, doc_id, lang, (length(searchable_text) - length(replace(searchable_text, 'the', '')))::DOUBLE / 3 + (length(searchable_text) - length(replace(searchable_text, 'is', '')))::DOUBLE / 2 AS relevance_score
 FROM ix WHERE contains(searchable_text, 'the is') AND lang IN ('en', 'de') ORDER BY relevance_score DESC, document_id LIMIT 10""")
-def document_search_by_scan(spark, sf):
+def document_search(spark, sf):
     return documents.search(_index(spark, sf), "The is", 10, ["en", "de"], "lang")
 
 
