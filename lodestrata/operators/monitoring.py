@@ -12,7 +12,6 @@ from lodestrata.operators.aggregates import (
     rank_of,
     share_or_full,
     share_pct,
-    top_per_group,
     union_all,
     with_one_row,
 )
