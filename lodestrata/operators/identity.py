@@ -97,22 +97,6 @@ def profiles(records: DataFrame) -> DataFrame:
     return able.groupBy(*FIELDS).agg(F.min("record_key").alias("node"))
 
 
-def _groups(nodes: DataFrame, fields: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """(smallest node per distinct fields, star links from the other nodes to it).
-
-    The star is built from the nodes themselves, joined to one row per group.
-    """
-    filled = nodes.dropna(subset=list(fields))
-    heads = filled.groupBy(*fields).agg(F.min("node").alias("head"))
-    stars = (
-        filled.select("node", *fields)
-        .join(heads, list(fields))
-        .filter("node <> head")
-        .select(F.col("node").alias("src"), F.col("head").alias("dst"))
-    )
-    return heads, stars
-
-
 def _tokens(heads: DataFrame, block: Sequence[str], text: str, min_ratio: int) -> DataFrame:
     """Heads with ``_prefix``: their rarest tokens, of which two similar ones share at least one.
 
@@ -147,6 +131,41 @@ def _similar(heads: DataFrame, block: Sequence[str], text: str, min_ratio: int,
     return tokens.alias("a").join(tokens.alias("b"), cond).select(F.col("a.head").alias("src"), F.col("b.head").alias("dst"))
 
 
+def _ratio_of(field: str) -> Column:
+    return ratio(F.col(f"a.{field}"), F.col(f"b.{field}"))
+
+
+#: Ways in which two profiles of one number match: fields that must be equal, the text that must be
+#: similar and by how much, another text and the test on both, and whether equal texts alone are a match.
+WAYS = (
+    (("dob_clean",), "name_clean", 60, None, None, True),
+    (("dob_clean",), "address_clean", 70, None, None, True),
+    (("dob_clean", "email_clean"), "address_clean", 50, None, None, True),
+    ((), "name_clean", 80, "address_clean", lambda: _ratio_of("other") >= 70, True),
+    (
+        ("email_clean",), "name_clean", 60, "address_clean",
+        lambda: ((_ratio_of("text") >= 80) & (_ratio_of("other") >= 50)) | (_ratio_of("other") >= 70), False,
+    ),
+)
+#: Heads of a block that are compared pair by pair; larger blocks go by tokens.
+DIRECT = 16
+
+
+def _places(nodes: DataFrame) -> DataFrame:
+    """A row for each profile and way it can match by: ``way``, ``block``, ``text``, ``other`` (empty where unused)."""
+    found = []
+    for k, (equal, text, _, other, _, _) in enumerate(WAYS):
+        needed = [*equal, text, *([other] if other else [])]
+        able = F.lit(True)
+        for c in needed:
+            able = able & F.col(c).isNotNull()
+        # digits, then a date, then an e-mail: no two different blocks read the same
+        block = F.concat_ws("|", F.lit(k), "ssn_clean", *[F.col(c).cast("string") for c in equal])
+        place = F.struct(F.lit(k).alias("way"), block.alias("block"), F.col(text).alias("text"), (F.col(other) if other else F.lit("")).alias("other"))
+        found.append(F.when(able, place))
+    return nodes.select("node", F.explode(F.array_compact(F.array(*found))).alias("p")).select("node", "p.*")
+
+
 def match_links(nodes: DataFrame) -> DataFrame:
     """Links (src > dst) between profiles whose components are those of all matching pairs.
 
@@ -154,32 +173,32 @@ def match_links(nodes: DataFrame) -> DataFrame:
     name of 60, an address of 70, or the same e-mail and an address of 50. Without it: a
     name of 80 and an address of 70, or the same e-mail with one of them at its upper and
     the other at its lower limit.
-    """
-    ssn, dob, name, address, email = FIELDS
 
-    def alike(field: str) -> Column:
-        return ratio(F.col(f"a.{field}"), F.col(f"b.{field}"))
-
-    by_name, star_name = _groups(nodes, [ssn, dob, name])
-    by_address, star_address = _groups(nodes, [ssn, dob, address])
-    by_email, star_email = _groups(nodes, [ssn, dob, email, address])
-    apart, star_apart = _groups(nodes, [ssn, name, address])
-    mailed, _ = _groups(nodes, [ssn, email, name, address])
-    either = ((alike(name) >= 80) & (alike(address) >= 50)) | (alike(address) >= 70)
-    parts = [
-        star_name,
-        star_address,
-        star_email,
-        star_apart,
-        _similar(by_name, [ssn, dob], name, 60),
-        _similar(by_address, [ssn, dob], address, 70),
-        _similar(by_email, [ssn, dob, email], address, 50),
-        _similar(apart, [ssn], name, 80, alike(address) >= 70),
-        _similar(mailed, [ssn, email], name, 60, either),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    All ways go through the same few steps, and the heads are stored before they are compared:
+    a plan of each way by itself has so many stages that planning alone fills the driver.
+    """
+    group = ["way", "block", "text", "other"]
+    places = _places(nodes)
+    heads = cut_lineage(places.groupBy(*group).agg(F.min("node").alias("head"), F.count("*").alias("nodes")))
+    starred = heads.filter((F.col("nodes") > 1) & F.col("way").isin([k for k, w in enumerate(WAYS) if w[5]]))
+    stars = (
+        places.join(starred.drop("nodes"), group).filter("node <> head").select(F.col("node").alias("src"), F.col("head").alias("dst"))
+    )
+    sizes = heads.groupBy("block").agg(F.count("*").alias("size")).filter("size > 1")
+    sized = heads.drop("nodes").join(sizes, "block")
+    few = sized.filter(F.col("size") <= DIRECT)
+    alike = F.lit(False)
+    for k, (_, _, least, _, test, _) in enumerate(WAYS):
+        enough = (F.col("a.way") == k) & lengths_fit(F.col("a.text"), F.col("b.text"), least) & (_ratio_of("text") >= least)
+        alike = alike | (enough if test is None else enough & test())
+    cond = (F.col("a.block") == F.col("b.block")) & (F.col("a.head") > F.col("b.head")) & alike
+    out = stars.unionByName(
+        few.alias("a").join(few.alias("b"), cond).select(F.col("a.head").alias("src"), F.col("b.head").alias("dst"))
+    )
+    many = cut_lineage(sized.filter(F.col("size") > DIRECT).drop("size"))
+    for k in sorted(r["way"] for r in many.select("way").distinct().collect()):
+        _, _, least, _, test, _ = WAYS[k]
+        out = out.unionByName(cut_lineage(_similar(many.filter(F.col("way") == k), ["block"], "text", least, test and test())))
     return out.distinct()
 
 

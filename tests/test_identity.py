@@ -120,3 +120,29 @@ def test_shared_number_against_all_pairs(spark):
     want = {k: k for k in range(90)} | components([tuple(p) for p in pairs])
     got = {r.record_key: r.golden_record_id for r in identity.resolve(df).collect()}
     assert got == want
+
+
+def test_links_are_planned_in_few_steps(spark):
+    """Each exchange of a plan costs the driver memory: all ways to match must share their steps."""
+    df = spark.createDataFrame([person(i, "CRM", f"ANN {i}", "123-45-6789", "1980-01-01") for i in range(40)], SCHEMA)
+    links = identity.match_links(identity.profiles(identity.standardise(df)))
+    plan = links._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") + plan.count("BroadcastExchange ") <= 20
+
+
+def test_blocks_of_any_size_against_all_pairs(spark):
+    """Blocks around the size up to which heads are compared pair by pair, with the same links in both."""
+    random.seed(5)
+    rows = []
+    for group, size in enumerate((2, identity.DIRECT, identity.DIRECT + 1, 3 * identity.DIRECT)):
+        for i in range(size):
+            name = "".join(random.choice("AB") for _ in range(6)) + f" {i % 7}{group}"
+            rows.append(person(len(rows), "CRM", name, f"{group:03d}-11-2222", random.choice(["1980-01-01", "1981-02-02", None]),
+                               random.choice(["1 MAIN ST", "1 MAIN AVE", "77 OCEAN BLVD"]) + f" {i % 5}", random.choice(["A@B.C", None])))
+    clean = identity.standardise(spark.createDataFrame(rows, SCHEMA)).cache()
+    pairs = (
+        clean.alias("a").join(clean.alias("b"), F.expr("a.record_key < b.record_key AND a.ssn_clean = b.ssn_clean"))
+        .filter(identity.pair_score() >= identity.MATCH).select("a.record_key", "b.record_key").collect()
+    )
+    want = {k: k for k in range(len(rows))} | components([tuple(p) for p in pairs])
+    assert {r.record_key: r.golden_record_id for r in identity.resolve(clean).collect()} == want
