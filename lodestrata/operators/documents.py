@@ -215,20 +215,38 @@ def search(index: DataFrame, phrase: str, n: int = 10, doc_types: Sequence[str]
 
 
 def postings(index: DataFrame) -> DataFrame:
-    """The inverted index of :func:`document_index`: ``token``, ``document_id`` and ``places``, one row a token and document.
+    """The inverted index of :func:`document_index`: ``token``, ``document_no`` and ``places``, one row a token and document.
 
     Tokens are what single blanks separate (two blanks in a row hold an empty one), places count them, so neighbours
-    are one apart and a phrase is found by its places alone.
+    are one apart and a phrase is found by its places alone. They are sorted and grouped inside the row of their
+    document, so nothing is shuffled. A document's id is written once: in a row without token, beside its number.
     """
-    each = index.select("document_id", F.posexplode(F.split("searchable_text", " ")).alias("_at", "token"))
-    return each.groupBy("token", "document_id").agg(F.sort_array(F.collect_list("_at")).alias("places"))
+    words = F.transform(F.split("searchable_text", " "), lambda w, i: F.struct(w.alias("token"), i.alias("at")))
+    by_token = index.select("document_id", F.monotonically_increasing_id().alias("document_no"), F.sort_array(words).alias("_all"))
+
+    def begins(i: Column) -> Column:
+        return (i == 0) | (F.get("_all", i)["token"] != F.get("_all", i - 1)["token"])
+
+    cut = by_token.withColumn("_starts", F.filter(F.sequence(F.lit(0), F.size("_all") - 1), begins))
+
+    def posting(s: Column, k: Column) -> Column:
+        end = F.coalesce(F.get("_starts", k + 1), F.size("_all"))
+        places = F.transform(F.slice("_all", s + 1, end - s), lambda x: x["at"])
+        return F.struct(F.get("_all", s)["token"].alias("token"), places.alias("places"), F.lit(None).cast("string").alias("document_id"))
+
+    name = F.struct(F.lit(None).cast("string").alias("token"), F.lit(None).cast("array<int>").alias("places"), F.col("document_id"))
+    return cut.select("document_no", F.inline(F.concat(F.array(name), F.transform("_starts", posting))))
 
 
 def write_postings(index: DataFrame, path: str, parts: int | None = None) -> None:
-    """Stores the inverted index dealt by token hash and sorted by token, so that a search for a token skips most row groups."""
+    """Stores the inverted index in segments sorted by token, so that a search for a token skips most pages.
+
+    A segment holds the documents that one task has read; with ``parts`` the index is dealt by token hash to as many instead.
+    """
     rows = postings(index)
-    rows = rows.repartition(parts, "token") if parts else rows.repartition("token")
-    rows.sortWithinPartitions("token", "document_id").write.mode("overwrite").parquet(path)
+    if parts:
+        rows = rows.repartition(parts, F.coalesce("token", "document_id"))
+    rows.sortWithinPartitions("token", "document_no").write.mode("overwrite").parquet(path)
 
 
 def search_postings(
@@ -248,9 +266,11 @@ def search_postings(
             return token.contains(word)
         return token.endswith(word) if k == 0 else token.startswith(word) if k == last else token == word
 
-    starts = [posted.filter(fits(k, w)).select("document_id", F.explode("places").alias("_at")).select("document_id", (F.col("_at") - k).alias("_at"), F.lit(k).alias("_word")) for k, w in enumerate(words)]
-    met = reduce(DataFrame.unionAll, starts).groupBy("document_id", "_at").agg(F.count("*").alias("_n")).filter(F.col("_n") == len(words))
-    hits = met.select("document_id").distinct().join(documents, "document_id")
+    starts = [posted.filter(fits(k, w)).select("document_no", F.explode("places").alias("_at")).select("document_no", (F.col("_at") - k).alias("_at"), F.lit(k).alias("_word")) for k, w in enumerate(words)]
+    met = reduce(DataFrame.unionAll, starts).groupBy("document_no", "_at").agg(F.count("*").alias("_n")).filter(F.col("_n") == len(words))
+    names = posted.filter(token.isNull()).select("document_no", "document_id")
+    found = names.join(met.select("document_no").distinct(), "document_no")
+    hits = found.select("document_id").distinct().join(documents, "document_id")
     if doc_types:
         hits = hits.filter(F.col(type_column).isin(*doc_types))
     wanted = phrase.lower().split()
@@ -260,7 +280,7 @@ def search_postings(
     some = F.lit(False)
     for word in wanted:
         some = some | token.contains(word)
-    scores = posted.filter(some).select("document_id", held.alias("_held")).join(hits.select("document_id"), "document_id", "left_semi")
+    scores = posted.filter(some).select("document_no", held.alias("_held")).join(found, "document_no")
     scores = scores.groupBy("document_id").agg(F.sum("_held").cast("double").alias("relevance_score"))
     scored = hits.join(scores, "document_id", "left").withColumn("relevance_score", F.coalesce("relevance_score", F.lit(0.0)))
     return top(scored, [F.col("relevance_score").desc(), F.col("document_id")], n)

@@ -78,6 +78,21 @@ def test_the_index_finds_what_a_scan_finds(spark, tmp_path, phrase):
     assert "searchable_text" not in plan or "posexplode" not in plan
 
 
+def test_the_index_is_written_without_a_shuffle(spark, tmp_path):
+    """A row a word through an exchange took more than twenty times the input of disk; each document's id is stored once."""
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "p int, t string").repartition(3)
+    index = documents.document_index(df, "p", "t").cache()
+    plan = documents.postings(index)._jdf.queryExecution().executedPlan().toString().split("InMemoryRelation")[0]
+    assert "Exchange" not in plan
+    documents.write_postings(index, str(tmp_path / "ix"))
+    stored = spark.read.parquet(str(tmp_path / "ix"))
+    assert stored.filter("document_id IS NOT NULL").count() == len(TEXTS) == stored.select("document_no").distinct().count()
+    words = sum(len(r[0].split(" ")) for r in index.select("searchable_text").collect())
+    assert stored.select(F.explode("places")).count() == words
+    got = documents.search_postings(stored, index.drop("searchable_text"), "the is", 5).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, documents.search(index, "the is", 5).collect()))
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_pivots_leave_vectors_out_and_lose_none(spark, tmp_path, seed):
     r = np.random.default_rng(seed)
