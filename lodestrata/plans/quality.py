@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from lodestrata.operators import aggregates as agg
 from lodestrata.operators import mergeable, profile, quality
 from lodestrata.operators.quality import UNIQUENESS
 from lodestrata.plans import bindings as b
@@ -211,14 +212,14 @@ def stored_profiles(spark, sf):
     for load, part in (("1995", orders.filter("o_orderdate < DATE'1996-01-01'")), ("later", orders.filter("o_orderdate >= DATE'1996-01-01' OR o_orderdate IS NULL"))):
         mergeable.profile_load(part, list(PROFILE_COLUMNS), load).write.mode("append").parquet(folder)
     merged = mergeable.merge_profiles(spark.read.parquet(folder), 100)
-    measures = {}
-    for k, (c, numeric) in enumerate(PROFILE_COLUMNS.items()):
-        median = F.percentile(c, F.lit(0.5)) if numeric else F.lit(None).cast("double")
-        around = [F.percentile(c, F.lit(p)) for p in (0.48, 0.52)] if numeric else [median, median]
-        measures[c] = F.struct(F.countDistinct(c).alias("d"), around[0].alias("lo"), around[1].alias("hi")).alias(f"m{k}")
-    exact = orders.agg(*measures.values())
-    facts = exact.select(F.inline(F.array(*[F.struct(F.lit(c).alias("_c"), F.col(f"m{k}").alias("_m")) for k, c in enumerate(PROFILE_COLUMNS)])))
-    both = merged.join(facts, F.col("column_name") == F.col("_c"))
+    # distinct values are grouped and ranks selected digit by digit, so no task holds the values of a column
+    counts = [orders.select(F.col(c).alias("v")).filter("v IS NOT NULL").distinct().agg(F.lit(c).alias("column_name"), F.count("*").alias("d")) for c in PROFILE_COLUMNS]
+    numbers = orders.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c, numeric in PROFILE_COLUMNS.items() if numeric])))
+    facts = agg.union_all(counts)
+    for p, name in ((0.48, "lo"), (0.52, "hi")):
+        facts = facts.join(agg.exact_percentile(numbers, ["column_name"], "v", p, name), "column_name", "left")
+    facts = facts.select("column_name", F.struct("d", "lo", "hi").alias("_m"))
+    both = merged.join(facts, "column_name")
     median = F.col("quartiles")[1]
     best = F.array_sort(F.transform("top_values", lambda x: F.struct((-x["count"]).alias("n"), x["item"].alias("v"))))[0]
     return both.select(

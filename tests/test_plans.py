@@ -52,3 +52,9 @@ def test_retention_reaches_the_scan(spark, sf):
     assert "IsNull(o_orderdate)" in plan(kept) and "GreaterThanOrEqual(o_orderdate" in plan(kept)
     gone = history.conditional_delete(table(spark, sf, "orders"), F.col("o_orderkey") > 100)
     assert "LessThanOrEqual(o_orderkey,100)" in plan(gone)
+
+
+def test_stored_profiles_hold_no_column_in_one_task(spark, sf):
+    """A percentile in a global aggregate sends every distinct value to one task."""
+    plan = entry.queries()["stored_profiles"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "percentile(" not in plan
