@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -27,12 +28,23 @@ def split_by_key(df: DataFrame, keys: Sequence[str], train: float = 0.8) -> tupl
     return df.filter(share < train), df.filter(share >= train)
 
 
+#: Rows that one task of a training holds: the trees keep some hundred bytes a row in memory, re-read at every level.
+TASK_ROWS = 250_000
+
+
+def dealt(df: DataFrame, rows: int = TASK_ROWS) -> DataFrame:
+    """``df`` in so many partitions that each has about ``rows`` rows, however large the files' splits are."""
+    parts = math.ceil(df.count() / rows)
+    return df.repartition(parts) if parts > 1 else df
+
+
 def train_fraud_model(df: DataFrame, features: Sequence[str], label: str, trees: int = 100, depth: int = 10, seed: int = 42) -> PipelineModel:
+    """A forest over all rows; only the columns it needs are dealt out and kept."""
     assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
     forest = RandomForestClassifier(
         labelCol=label, featuresCol="features", numTrees=trees, maxDepth=depth, seed=seed, subsamplingRate=1.0
     )
-    return Pipeline(stages=[assembler, forest]).fit(df)
+    return Pipeline(stages=[assembler, forest]).fit(dealt(df.select(*features, label)))
 
 
 def area_under_roc(scored: DataFrame, label: str) -> float:

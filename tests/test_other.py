@@ -142,3 +142,9 @@ def test_full_load_replaces_and_partition_load_keeps(spark, tmp_path):
         writers.write_load(two, path, "full", ["p"])
         writers.write_load(one, path, mode, ["p"])
         assert sorted(r.v for r in spark.read.parquet(path).collect()) == want
+
+
+def test_training_rows_are_dealt_in_bounded_parts(spark):
+    """A task's share must not grow with the input: one split of a file can hold any number of rows."""
+    parts = scoring.dealt(spark.range(0, 10_000, 1, 1), 1000).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in parts) == 10_000 and max(r["count"] for r in parts) <= 1100
