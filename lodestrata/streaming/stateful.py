@@ -49,16 +49,18 @@ class _Waiting(StatefulProcessor):
 
     def wake(self, ms: int) -> None:
         """Sets the timer of this key, unless an earlier one is set."""
-        known = self.timer.get() if self.timer.exists() else None
+        known = self.timer.get()
         if known is None or ms < known[0]:
             if known is not None:
                 self.handle.deleteTimer(known[0])
             self.handle.registerTimer(ms)
             self.timer.update((ms,))
 
-    def passed(self, watermark: int) -> list[tuple]:
-        """Takes the events that no later one can come before, in order; sets the timer for the next."""
-        self.timer.clear()
+    def passed(self, watermark: int) -> tuple[list[tuple], int | None]:
+        """Takes the events that no later one can come before, in order; the second part is when the next is due.
+
+        The timer that woke the key up is gone by then: the caller ends with :meth:`rest_until`.
+        """
         all_events = sorted((tuple(e) for e in self.events.get()), key=lambda e: (e[0], e[1] or ""))
         done = [e for e in all_events if e[0] <= watermark]
         rest = all_events[len(done) :]
@@ -66,9 +68,16 @@ class _Waiting(StatefulProcessor):
             self.events.clear()
             if rest:
                 self.events.put(rest)
-        if rest:
-            self.wake(_ms(rest[0][0]))
-        return done
+        return done, _ms(rest[0][0]) if rest else None
+
+    def rest_until(self, *due: int | None) -> None:
+        """Sets the earliest of the timers given, the only one of this key; each call to the state costs a round trip."""
+        first = min((ms for ms in due if ms is not None), default=None)
+        if first is None:
+            self.timer.clear()
+        else:
+            self.handle.registerTimer(first)
+            self.timer.update((first,))
 
     def close(self) -> None:
         pass
@@ -86,9 +95,11 @@ class _Sessions(_Waiting):
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
         watermark = timerValues.getCurrentWatermarkInMs() * 1000
-        open_ = tuple(self.session.get()) if self.session.exists() else None
+        stored = self.session.get()
+        open_ = tuple(stored) if stored is not None else None
         held = [tuple(e) for e in self.held.get()] if open_ else []
-        for event in self.passed(watermark):
+        done, due = self.passed(watermark)
+        for event in done:
             if open_ and event[0] - open_[1] >= self.gap:
                 yield self.part(key, open_, held, True)
                 open_, held = None, []
@@ -100,13 +111,15 @@ class _Sessions(_Waiting):
         if open_ and open_[1] + self.gap <= watermark:
             yield self.part(key, open_, held, True)
             open_ = None
-        self.held.clear()
         if open_:
             self.session.update(open_)
             self.held.put(held)
-            self.wake(_ms(open_[1] + self.gap))
+            self.rest_until(due, _ms(open_[1] + self.gap))
         else:
-            self.session.clear()
+            if stored is not None:
+                self.held.clear()
+                self.session.clear()
+            self.rest_until(due)
 
     def part(self, key: Any, open_: tuple, held: list[tuple], last: bool) -> Row:
         start, end, number = open_
@@ -124,19 +137,24 @@ class _Cooldown(_Waiting):
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
         watermark = timerValues.getCurrentWatermarkInMs() * 1000
-        last = self.last.get()[0] if self.last.exists() else None
-        before = last
-        for event in self.passed(watermark):
+        stored = self.last.get()
+        last = before = stored[0] if stored is not None else None
+        done, due = self.passed(watermark)
+        for event in done:
             if last is None or (event[0] >= last + self.cooldown and event[0] != last):
                 last = event[0]
                 yield self.row(*key, _time(last))
         if last is not None and last + self.cooldown <= watermark:
             # nothing that is still to come can be held back any more
-            self.last.clear()
+            if before is not None:
+                self.last.clear()
+            self.rest_until(due)
         elif last is not None:
             if last != before:
                 self.last.update((last,))
-            self.wake(_ms(last + self.cooldown))
+            self.rest_until(due, _ms(last + self.cooldown))
+        else:
+            self.rest_until(due)
 
 
 def _ms(us: int) -> int:

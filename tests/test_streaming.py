@@ -150,3 +150,51 @@ def test_alerts_of_a_stream_keep_their_cooldown_over_a_restart(spark, tmp_path):
     df = spark.createDataFrame(events, CLICK)
     want = cooldown.firings_with_cooldown(df, ["k"], "ts", 45)
     assert sorted((r.k, r.fired_at) for r in out.filter("k <> 'end'").collect()) == sorted((r.k, r.ts) for r in want.collect())
+
+
+def test_a_session_of_one_event_costs_few_state_calls():
+    """Each call to the state is a round trip between Python and the JVM, and most sessions are short."""
+    from lodestrata.streaming import stateful
+
+    calls = []
+
+    class State:
+        def __init__(self, several):
+            self.several, self.value = several, [] if several else None
+
+        def __getattr__(self, name):
+            def call(*given):
+                calls.append(name)
+                if name == "exists":
+                    return self.value not in (None, [])
+                if name == "get":
+                    return iter(self.value) if self.several else self.value
+                self.value = ([] if self.several else None) if name == "clear" else (self.value or []) + given[0] if name == "appendList" else given[0]
+
+            return call
+
+    class Handle:
+        def getListState(self, *_):
+            return State(True)
+
+        def getValueState(self, *_):
+            return State(False)
+
+        def registerTimer(self, ms):
+            calls.append(ms)
+
+        def deleteTimer(self, ms):
+            calls.append("deleteTimer")
+
+    class Times:
+        def __init__(self, ms):
+            self.ms = ms
+
+        def getCurrentWatermarkInMs(self):
+            return self.ms
+
+    sessions = stateful._Sessions(["k", "start", "end", "part", "last", "n", "kinds", "products"], 1000, 10)
+    sessions.init(Handle())
+    assert not list(sessions.handleInputRows(("a",), iter([{"_us": 5000, "_id": "1", "_kind": "click", "_extra": None}]), Times(0)))
+    assert [tuple(r)[3:] for r in sessions.handleExpiredTimer(("a",), Times(100), None)] == [(0, True, 1, ["click"], [])]
+    assert calls.count(5) == 1 and len(calls) <= 8
