@@ -1,17 +1,20 @@
-"""Toxicity by a small convolutional network over hashed word embeddings, trained in numpy."""
+"""Toxicity by a small convolutional network over hashed word embeddings, trained on all labelled texts in rounds over the tasks."""
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestrata.llm.common import LOWER, code_of, extend, mix, row_slices, text_arrays, words_of
+from lodestrata.llm.common import LOWER, code_of, extend, mix, row_slices, spread, text_arrays, tidy, words_of
+from lodestrata.session import cut_lineage, release
 
 #: Words are runs of ASCII letters and of bytes beyond ASCII.
 NOT_LETTER = np.ones(256, bool)
@@ -21,6 +24,15 @@ WIDTHS = (1, 2, 3)
 PREFIXES = (4, 6)
 #: Bytes of texts that are turned into arrays at a time (a word takes some hundred bytes there).
 SCORED_BYTES = 1 << 18
+#: Hash buckets; three 16-bit numbers of each word are stored while a model learns.
+BUCKETS = 1 << 16
+WORD_BYTES = 2 * (1 + len(PREFIXES))
+#: Bytes of stored words that a task learns from at a time.
+LEARNT_BYTES = 1 << 21
+#: Texts of a task that learns, at least (if there are as many).
+PART = 8192
+#: Changes of parameters are added up as multiples of one in so many.
+UNIT = 1 << 24
 
 
 @dataclass
@@ -41,8 +53,11 @@ class Model:
 
     def scores(self, table: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Score between 0 and 1 of each of consecutive texts, over all their words."""
-        buckets, row = features(data, offsets, len(self.embedding))
-        rows, count = len(offsets) - 1, len(self.bias) // len(WIDTHS)
+        return self.of_words(table, *features(data, offsets, len(self.embedding)), len(offsets) - 1)
+
+    def of_words(self, table: np.ndarray, buckets: list[np.ndarray], row: np.ndarray, rows: int) -> np.ndarray:
+        """Score of each of ``rows`` texts from the buckets of their words and the text number of each."""
+        count = len(self.bias) // len(WIDTHS)
         pooled = np.zeros((rows, len(self.bias)), np.float32)
         if len(row):
             each = table[buckets[0]]
@@ -74,86 +89,131 @@ def features(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[list[np.
     return out, row
 
 
+class Learner:
+    """A model while it learns: its parameters beside the sums of squared gradients that set their steps (Adagrad)."""
+
+    def __init__(self, buckets: int = BUCKETS, dimensions: int = 8, filters: int = 8, seed: int = 7):
+        rng = np.random.default_rng(seed)
+        embedding = rng.normal(0, 0.1, (buckets, dimensions)).astype(np.float32)
+        bank = {w: rng.normal(0, 0.5, (w, dimensions, filters)).astype(np.float32) for w in WIDTHS}
+        total = filters * len(WIDTHS)
+        weights = rng.normal(0, 0.3, total).astype(np.float32)
+        self.model = Model(embedding, bank, np.zeros(total, np.float32), weights, 0.0, {}, 0.5)
+        self.squares = np.full(buckets, 1e-6)
+        self.dense_squares = np.full(len(self.dense()), 1e-6)
+
+    def dense(self) -> np.ndarray:
+        """All parameters but the embeddings."""
+        m = self.model
+        return np.concatenate([m.bias, m.weights, [m.intercept], *(m.filters[w].ravel() for w in WIDTHS)])
+
+    def move(self, change: np.ndarray) -> None:
+        """Add to all parameters but the embeddings."""
+        m, at = self.model, 0
+
+        def part(size: int) -> np.ndarray:
+            nonlocal at
+            at += size
+            return change[at - size : at]
+
+        m.bias = (m.bias + part(len(m.bias))).astype(np.float32)
+        m.weights = (m.weights + part(len(m.weights))).astype(np.float32)
+        m.intercept += float(part(1)[0])
+        for w in WIDTHS:
+            m.filters[w] = (m.filters[w] + part(m.filters[w].size).reshape(m.filters[w].shape)).astype(np.float32)
+
+    def learn(self, hashed: np.ndarray, sizes: np.ndarray, toxic: np.ndarray, passes: int, rng) -> Iterator[np.ndarray]:
+        """Go through the texts in steps of 64, ``passes`` times in random order; the buckets that each step moved."""
+        begin, usable = np.cumsum(sizes) - sizes, np.flatnonzero(sizes)
+        for _ in range(passes):
+            rng.shuffle(usable)
+            for lo in range(0, len(usable), 64):
+                chosen = usable[lo : lo + 64]
+                yield self.step(hashed[spread(begin[chosen], sizes[chosen])], sizes[chosen], toxic[chosen])
+
+    def step(self, hashed: np.ndarray, sizes: np.ndarray, toxic: np.ndarray, rate: float = 0.1) -> np.ndarray:
+        """One step on some texts, each with a word at least; the buckets whose embeddings moved."""
+        m, n = self.model, len(hashed)
+        filters = len(m.bias) // len(WIDTHS)
+        x = sum(m.embedding[hashed[:, k]] for k in range(hashed.shape[1]))
+        end = np.cumsum(sizes)
+        begin, row = end - sizes, np.repeat(np.arange(len(sizes)), sizes)
+        pooled, best = [], []
+        for w in WIDTHS:
+            conv = x @ m.filters[w][0]
+            for s in range(1, w):
+                conv[:-s] += (x[s:] @ m.filters[w][s]) * (row[s:] == row[:-s])[:, None]
+            top = np.maximum.reduceat(conv, begin, axis=0)
+            at, column = np.nonzero(conv == top[row])
+            first = np.full((len(sizes), filters), n, np.int64)
+            np.minimum.at(first, (row[at], column), at)
+            pooled.append(top)
+            best.append(first)
+        pooled = np.concatenate(pooled, axis=1)
+        hidden = np.maximum(pooled + m.bias, 0)
+        score = 1 / (1 + np.exp(-(hidden @ m.weights + m.intercept)))
+        error = ((score - toxic) / len(sizes)).astype(np.float32)
+        back = error[:, None] * m.weights * (hidden > 0)
+        of_filters, places, changes = [], [], []
+        for j, w in enumerate(WIDTHS):
+            g, gradient = back[:, j * filters : (j + 1) * filters], np.zeros_like(m.filters[w])
+            for s in range(w):
+                at = best[j] + s
+                inside = at < end[:, None]
+                each = np.where(inside, g, 0)
+                gradient[s] = np.einsum("tfd,tf->df", x[np.minimum(at, n - 1)], each)
+                t, f = np.nonzero(each)
+                places.append(at[t, f])
+                changes.append(m.filters[w][s].T[f] * each[t, f][:, None])
+            of_filters.append(gradient.ravel())
+        gradient = np.concatenate([back.sum(axis=0), hidden.T @ error, [error.sum()], *of_filters]).astype(np.float64)
+        self.dense_squares += gradient * gradient
+        self.move(-rate * gradient / np.sqrt(self.dense_squares))
+        touched = hashed[np.concatenate(places)]
+        rows, which = np.unique(touched.ravel(), return_inverse=True)
+        each = np.repeat(np.concatenate(changes), touched.shape[1], axis=0)
+        moved = np.stack([np.bincount(which.ravel(), each[:, k], len(rows)) for k in range(each.shape[1])], axis=1)
+        self.squares[rows] += (moved * moved).mean(axis=1)
+        m.embedding[rows] -= (rate * moved / np.sqrt(self.squares[rows])[:, None]).astype(np.float32)
+        return rows
+
+    def constant(self, share: float) -> Model:
+        """A model that gives ``share`` to every text."""
+        self.model.weights[:] = 0
+        self.model.intercept = logit(share)
+        return self.model
+
+
+def logit(share: float) -> float:
+    share = min(max(share, 1e-4), 1 - 1e-4)
+    return float(np.log(share / (1 - share)))
+
+
 def train(
-    texts: list[str], toxic: np.ndarray, languages: list[str | None], share: float, buckets: int = 1 << 16,
+    texts: list[str], toxic: np.ndarray, languages: list[str | None], share: float, buckets: int = BUCKETS,
     dimensions: int = 8, filters: int = 8, examples: int = 20_000, seed: int = 7,
 ) -> Model:
-    """Fit the network on balanced texts; ``share`` is the true share of toxic texts.
+    """Fit the network on a list of texts in this process; ``share`` is the true share of toxic texts.
 
     About ``examples`` texts are shown in all, each as often as any other.
     Every fifth text is left out of the fit and serves to set the thresholds. With one class only (or no
-    texts) the model gives every text the share.
+    texts) the model gives every text the share. For tables see :func:`fit`.
     """
-    rng = np.random.default_rng(seed)
-    embedding = rng.normal(0, 0.1, (buckets, dimensions)).astype(np.float32)
-    bank = {w: rng.normal(0, 0.5, (w, dimensions, filters)).astype(np.float32) for w in WIDTHS}
-    total = filters * len(WIDTHS)
-    model = Model(embedding, bank, np.zeros(total, np.float32), rng.normal(0, 0.3, total).astype(np.float32), 0.0, {}, 0.5)
-    share = min(max(share, 1e-4), 1 - 1e-4)
+    learner = Learner(buckets, dimensions, filters, seed)
     if not len(texts) or toxic.min() == toxic.max():
-        model.weights[:] = 0
-        model.intercept = float(np.log(share / (1 - share)))
-        return model
+        return learner.constant(share)
     fitted = np.arange(len(texts)) % 5 != 4
     hashed, sizes = [], []
-    for part in blocks_of(texts):
+    for part in blocks_of([t for t, f in zip(texts, fitted) if f]):
         found, row = features(*text_arrays(part), buckets)
-        hashed.append(np.stack(found, axis=1).astype(np.int32))
+        hashed.append(np.stack(found, axis=1))
         sizes.append(np.bincount(row, minlength=len(part)))
-    all_buckets, end = np.concatenate(hashed), np.cumsum(np.concatenate(sizes))
-    begin = end - np.concatenate(sizes)
-    usable = np.flatnonzero(fitted & (end > begin))
-    squares = {"embedding": np.full(buckets, 1e-6), "bias": 1e-6, "weights": 1e-6, "intercept": 1e-6, **dict.fromkeys(WIDTHS, 1e-6)}
-
-    def step(name, gradient, rate=0.1):
-        squares[name] = squares[name] + gradient * gradient
-        return rate * gradient / np.sqrt(squares[name])
-
-    for _ in range(max(5, examples // max(1, len(usable)))):
-        for lo in range(0, len(usable), 64):
-            if lo == 0:
-                rng.shuffle(usable)
-            chosen = usable[lo : lo + 64]
-            grad_filters = {w: np.zeros_like(bank[w]) for w in WIDTHS}
-            pooled, best, inputs = np.zeros((len(chosen), total), np.float32), np.zeros((len(chosen), total), np.int64), []
-            for k, d in enumerate(chosen):
-                x = embedding[all_buckets[begin[d] : end[d]]].sum(axis=1)
-                x = np.concatenate((x, np.zeros((max(WIDTHS) - 1, dimensions), np.float32)))
-                inputs.append(x)
-                n = end[d] - begin[d]
-                for j, w in enumerate(WIDTHS):
-                    conv = sum(x[s : s + n] @ bank[w][s] for s in range(w))
-                    at = conv.argmax(axis=0)
-                    best[k, j * filters : (j + 1) * filters] = at
-                    pooled[k, j * filters : (j + 1) * filters] = conv[at, np.arange(filters)]
-            hidden = np.maximum(pooled + model.bias, 0)
-            score = 1 / (1 + np.exp(-(hidden @ model.weights + model.intercept)))
-            error = ((score - toxic[chosen]) / len(chosen)).astype(np.float32)
-            grad_hidden = error[:, None] * model.weights * (hidden > 0)
-            touched, changes = [], []
-            for k, d in enumerate(chosen):
-                x, back = inputs[k], np.zeros_like(inputs[k])
-                for j, w in enumerate(WIDTHS):
-                    at, g = best[k, j * filters : (j + 1) * filters], grad_hidden[k, j * filters : (j + 1) * filters]
-                    for s in range(w):
-                        grad_filters[w][s] += x[at + s].T * g
-                        np.add.at(back, at + s, (bank[w][s] * g).T)
-                n = end[d] - begin[d]
-                moved = np.flatnonzero(back[:n].any(axis=1))
-                touched.append(all_buckets[begin[d] + moved].ravel())
-                changes.append(np.repeat(back[moved], all_buckets.shape[1], axis=0))
-            model.weights -= step("weights", hidden.T @ error)
-            model.intercept -= float(step("intercept", float(error.sum())))
-            model.bias -= step("bias", grad_hidden.sum(axis=0))
-            for w in WIDTHS:
-                bank[w] -= step(w, grad_filters[w])
-            rows, which = np.unique(np.concatenate(touched), return_inverse=True)
-            gradient = np.zeros((len(rows), dimensions), np.float32)
-            np.add.at(gradient, which, np.concatenate(changes))
-            squares["embedding"][rows] += (gradient * gradient).mean(axis=1)
-            embedding[rows] -= (0.1 * gradient / np.sqrt(squares["embedding"][rows])[:, None]).astype(np.float32)
-    # from the balanced sample back to the true share
-    model.intercept += float(np.log(share / (1 - share)) - np.log(toxic.mean() / (1 - toxic.mean())))
+    passes = max(5, examples // int(fitted.sum()))
+    for _ in learner.learn(np.concatenate(hashed), np.concatenate(sizes), toxic[fitted], passes, np.random.default_rng(seed)):
+        pass
+    model = learner.model
+    # from the list's share of toxic texts to the true one
+    model.intercept += logit(share) - logit(toxic.mean())
     calibrate(model, texts, toxic, languages, ~fitted)
     return model
 
@@ -195,24 +255,160 @@ def calibrate(model: Model, texts: list[str], toxic: np.ndarray, languages, held
 
 def fit(
     docs: DataFrame, labels: DataFrame, key: str, text: str, language: str, label: str, usable: Column,
-    per_class: int = 2000, longest: int = 20_000,
+    rounds: int = 5, examples: int = 20_000,
 ) -> Model:
-    """Train on a bounded sample: at most ``per_class`` labelled texts of each class for which ``usable`` holds.
-
-    ``usable`` is a condition on the key. The sample is the same at each run: labels in the order of a
-    hash of the key; a key labelled more than once counts as its largest label; texts longer than
-    ``longest`` characters take no part in the training (all texts are scored whole). The sample's keys
-    are at most twice ``per_class``, so they may be broadcast.
+    """Train on every labelled text for which ``usable`` holds, whole and however many there are.
+
+    ``usable`` is a condition on the key; a key labelled more than once counts as its largest label. The words of
+    the labelled texts are hashed once and stored. In each of ``rounds`` the tasks go through their parts of them from
+    the same model, and the changes are averaged over the tasks, each weighed by its steps (see :func:`one_round`).
+    A task has some ``PART`` texts at least, as less would teach it too little by itself, and goes through them more often if
+    there are so few that it would not be shown ``examples`` in all. A fifth of the texts, by
+    a hash of the key, is left out of the rounds; all of these set the thresholds (see :func:`set_thresholds`).
+    Only counts, thresholds and the model itself (at most its 65,536 buckets) pass through the driver.
     """
     known = labels.filter(usable & F.col(f"`{key}`").isNotNull()).groupBy(F.col(f"`{key}`").alias("_key")).agg(F.max(label).alias("_toxic"))
-    order = [F.xxhash64("_key"), F.col("_key")]
-    picked = [known.filter(F.col("_toxic") == c).orderBy(*order).limit(per_class) for c in (0, 1)]
-    sizes = {r["_toxic"]: r["n"] for r in known.filter("_toxic IN (0, 1)").groupBy("_toxic").agg(F.count("*").alias("n")).collect()}
-    sample = docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text"), F.col(f"`{language}`").alias("_lang"))
-    sample = sample.filter(F.length("_text") <= longest).join(F.broadcast(picked[0].unionAll(picked[1])), "_key")
-    rows = sample.dropDuplicates(["_key"]).orderBy(*order).collect()
-    share = sizes.get(1, 0) / max(1, sum(sizes.values()))
-    return train([r["_text"] for r in rows], np.array([r["_toxic"] for r in rows], np.float64), [r["_lang"] for r in rows], share)
+    given = docs.filter(usable).select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text"), F.col(f"`{language}`").alias("_lang"))
+    # texts are dealt once, by the key, for the join and so that parts are alike
+    given = given.filter("_key IS NOT NULL").repartition("_key")
+    joined = given.join(known.filter("_toxic IN (0, 1)"), "_key").select(
+        F.xxhash64("_key").alias("_order"), F.col("_toxic").cast("int").alias("_toxic"), F.col("_lang").cast("string").alias("_lang"), "_text"
+    )
+    # in an order that does not depend on how they came
+    words = hashed_words(joined).sortWithinPartitions("_order", "_toxic", "_lang", "_words")
+    stored = cut_lineage(words)
+    held = F.pmod("_order", F.lit(5)) == 4
+    counts = {(r["h"], r["_toxic"]): r["n"] for r in stored.groupBy(held.alias("h"), "_toxic").agg(F.count("*").alias("n")).collect()}
+    seen = [counts.get((False, c), 0) for c in (0, 1)]
+    share = sum(n for (_, c), n in counts.items() if c == 1) / max(1, sum(counts.values()))
+    learner = Learner()
+    if min(seen):
+        parts = max(1, sum(seen) // PART)
+        fitted = stored.filter(~held).select("_toxic", "_words").coalesce(parts)
+        passes = max(1, -(-examples * parts // (rounds * sum(seen))))
+        for k in range(rounds):
+            one_round(fitted, learner, passes, k)
+        set_thresholds(learner.model, stored.filter(held))
+    release(stored)
+    return learner.model if min(seen) else learner.constant(share)
+
+
+def hashed_words(df: DataFrame) -> DataFrame:
+    """``_words`` in the place of ``_text``: three 16-bit buckets of each word."""
+    names = [c for c in df.columns if c != "_text"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in row_slices(batch, "_text", SCORED_BYTES):
+                found, row = features(*text_arrays(part.column("_text")), BUCKETS)
+                ends = np.zeros(part.num_rows + 1, np.int64)
+                np.cumsum(np.bincount(row, minlength=part.num_rows) * WORD_BYTES, out=ends[1:])
+                data = np.stack(found, axis=1).astype("<u2").tobytes()
+                words = [data[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array(words, pa.binary())], [*names, "_words"])
+
+    kept = df.select(*names, "_text")
+    return kept.mapInArrow(tidy(run), T.StructType([*df.select(*names).schema.fields, T.StructField("_words", T.BinaryType(), False)]))
+
+
+def stored_words(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of all words of some stored texts, and how many words each has."""
+    data, offsets = text_arrays(part.column("_words"))
+    return np.frombuffer(data.tobytes(), "<u2").reshape(-1, WORD_BYTES // 2).astype(np.int64), np.diff(offsets) // WORD_BYTES
+
+
+def one_round(fitted: DataFrame, learner: Learner, passes: int, number: int) -> None:
+    """Let every task learn from its part, and take the mean of the changes into ``learner``.
+
+    A task holds the model and some megabytes of words. What it changed is one row for each bucket that it moved (and for each
+    other parameter), weighed by the steps that moved it: a word that few tasks know keeps what these learnt. Changes are added up
+    as whole numbers, so the sums do not depend on the order of the tasks.
+    """
+    spark, start = fitted.sparkSession, learner
+    sent = spark.sparkContext.broadcast(start)
+    size, width = start.model.embedding.shape
+    fields = [T.StructField("at", T.IntegerType(), False), T.StructField("n", T.LongType(), False)]
+    fields += [T.StructField(f"v{k}", T.LongType(), False) for k in range(width + 1)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin = sent.value
+        mine, rng = copy.deepcopy(begin), np.random.default_rng([number, TaskContext.get().partitionId()])
+        steps, moved = 0, np.zeros(size, np.int64)
+        for batch in batches:
+            for part in row_slices(batch, "_words", LEARNT_BYTES):
+                toxic = part.column("_toxic").to_numpy(zero_copy_only=False)
+                for rows in mine.learn(*stored_words(part), toxic, passes, rng):
+                    moved[rows] += 1
+                    steps += 1
+        if not steps:
+            return
+        rows, dense = np.flatnonzero(moved), len(begin.dense())
+        changes = np.zeros((len(rows) + dense, width + 1))
+        changes[: len(rows), :width] = mine.model.embedding[rows].astype(np.float64) - begin.model.embedding[rows]
+        changes[: len(rows), width] = mine.squares[rows] - begin.squares[rows]
+        changes[len(rows) :, 0] = mine.dense() - begin.dense()
+        changes[len(rows) :, width] = mine.dense_squares - begin.dense_squares
+        n = np.concatenate((moved[rows], np.full(dense, steps)))
+        whole = np.rint(changes * n[:, None] * UNIT).astype(np.int64)
+        at = np.concatenate((rows, size + np.arange(dense))).astype(np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n), *(pa.array(v) for v in whole.T)], [f.name for f in fields])
+
+    made = fitted.mapInArrow(tidy(run), T.StructType(fields))
+    total = made.groupBy("at").agg(*[F.sum(f.name).alias(f.name) for f in fields[1:]]).toArrow()
+    sent.destroy()
+    columns = [total.column(k).to_numpy() for k in range(total.num_columns)]
+    at, mean = columns[0], np.stack(columns[2:], axis=1) / (columns[1] * UNIT)[:, None]
+    rows, other = at < size, at >= size
+    start.model.embedding[at[rows]] += mean[rows, :width].astype(np.float32)
+    start.squares[at[rows]] += mean[rows, width]
+    change = np.zeros(len(start.dense_squares))
+    change[at[other] - size] = mean[other, 0]
+    start.move(change)
+    start.dense_squares[at[other] - size] += mean[other, width]
+
+
+def set_thresholds(model: Model, held: DataFrame, least: int = 10) -> None:
+    """For each language the threshold with the fewest errors on all of ``held``, from counts by language and score.
+
+    As :func:`calibrate`, but for scores that are counted in steps of 1/64 of their logit, between -16 and 16. A
+    task goes through the counts of a language, at most 2,048.
+    """
+    sent = held.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = sent.value
+        table = model.tables()
+        for batch in batches:
+            for part in row_slices(batch, "_words", LEARNT_BYTES):
+                words, sizes = stored_words(part)
+                score = model.of_words(table, list(words.T), np.repeat(np.arange(len(sizes)), sizes), len(sizes))
+                with np.errstate(divide="ignore"):
+                    step = np.floor((np.clip(np.log(score / (1 - score)), -16, 16 - 1e-9) + 16) * 64).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([part.column("_lang"), part.column("_toxic"), pa.array(step)], ["lang", "toxic", "step"])
+
+    found = held.select("_lang", "_toxic", "_words").mapInArrow(tidy(run), "lang string, toxic int, step int")
+    each = found.groupBy("lang", "step").agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean"))
+    each = each.filter("lang <> ''").unionAll(each.groupBy(F.lit(None).cast("string"), "step").agg(F.sum("toxic"), F.sum("clean")))
+    # the border behind the last score counts too
+    ends = each.groupBy("lang").agg(F.lit(1 << 11).alias("step"), F.lit(0).alias("toxic"), F.lit(0).alias("clean"), F.sum("toxic").alias("a"), F.sum("clean").alias("b"))
+    enough = ends.filter((F.col("a") >= least) & (F.col("b") >= least))
+    borders = each.join(enough.select(F.col("lang").alias("l")), F.col("lang").eqNullSafe(F.col("l"))).drop("l").unionAll(enough.drop("a", "b"))
+    up = Window.partitionBy("lang").orderBy("step")
+    before, onward = up.rowsBetween(Window.unboundedPreceding, -1), up.rowsBetween(0, Window.unboundedFollowing)
+    edge = lambda step: 1 / (1 + F.exp(16 - step / 64))
+    borders = borders.select(
+        "lang", "step",
+        (F.coalesce(F.sum("toxic").over(before), F.lit(0)) + F.sum("clean").over(onward)).alias("wrong"),
+        F.coalesce(edge(F.lag("step").over(up) + 1), F.lit(0.0)).alias("low"),
+        F.when(F.col("step") == 1 << 11, 1.0).otherwise(edge(F.col("step"))).alias("high"),
+    )
+    order = Window.partitionBy("lang").orderBy("wrong", F.col("low") - F.col("high"), "step")
+    best = borders.withColumn("k", F.row_number().over(order)).filter("k = 1").select("lang", ((F.col("low") + F.col("high")) / 2).alias("at"))
+    for r in best.orderBy("lang").collect():
+        if r["lang"] is None:
+            model.threshold = r["at"]
+        else:
+            model.thresholds[r["lang"]] = r["at"]
 
 
 def score(df: DataFrame, text: str, language: str, model: Model) -> DataFrame:

@@ -82,6 +82,57 @@ def test_held_out_labels_are_never_learnt(spark):
     assert np.array_equal(models[0].embedding, models[1].embedding) and np.array_equal(models[0].weights, models[1].weights)
 
 
+def test_every_labelled_text_is_learnt(spark):
+    """Texts of any length and number: the long ones alone show some words."""
+    texts, toxic = made_up(400)
+    clean = "abc def " * 2600
+    texts += [clean + ("foul grim" if k % 2 else "fair calm") for k in range(120)]
+    toxic = np.append(toxic, np.arange(120) % 2)
+    docs = spark.createDataFrame([(k, t, "en") for k, t in enumerate(texts)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(k, int(y)) for k, y in enumerate(toxic)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels, "doc_id", "text", "lang", "toxic", F.lit(True))
+    said = model.scores(model.tables(), *text_arrays(pa.array(["vile nasty", clean + "foul grim", clean + "fair calm"]))) >= 0.5
+    assert said.tolist() == [True, True, False]
+
+
+def test_a_round_over_many_tasks_is_the_mean_of_their_changes(spark):
+    texts, toxic = made_up(200)
+    df = spark.createDataFrame([(k, int(y), t) for k, (t, y) in enumerate(zip(texts, toxic))], "k int, _toxic int, _text string")
+    stored = toxicity.hashed_words(df.repartitionByRange(3, "k")).select("_toxic", "_words", F.spark_partition_id().alias("p"))
+    stored = spark.createDataFrame(stored.collect(), stored.schema).repartitionByRange(3, "p").sortWithinPartitions("_words", "_toxic").drop("p")
+    learner, before, alone = toxicity.Learner(), toxicity.Learner(), []
+    for part in stored.rdd.glom().collect():
+        mine, steps, moved = toxicity.Learner(), 0, np.zeros(toxicity.BUCKETS)
+        words = [np.frombuffer(bytes(r["_words"]), "<u2").reshape(-1, 3).astype(np.int64) for r in part]
+        given = np.concatenate(words), np.array([len(w) for w in words]), np.array([r["_toxic"] for r in part])
+        for rows in mine.learn(*given, 2, np.random.default_rng([0, len(alone)])):
+            steps, moved[rows] = steps + 1, moved[rows] + 1
+        alone.append((mine, steps, moved))
+    toxicity.one_round(stored, learner, 2, 0)
+    steps = sum(s for _, s, _ in alone)
+    dense = sum((m.dense() - before.dense()) * s for m, s, _ in alone) / steps
+    assert steps and np.allclose(learner.dense(), before.dense() + dense, atol=1e-5)
+    moved = np.maximum(sum(n for _, _, n in alone), 1)[:, None]
+    change = sum((m.model.embedding - before.model.embedding) * n[:, None] for m, _, n in alone) / moved
+    assert np.allclose(learner.model.embedding, before.model.embedding + change, atol=1e-5)
+
+
+def test_thresholds_from_counts_make_the_fewest_errors(spark):
+    texts, toxic = made_up(300)
+    model = toxicity.train(texts, toxic, ["en"] * 300, 0.3, examples=600)
+    languages = ["en" if k % 2 else None if k % 4 else "xx" if k < 20 else "fr" for k in range(300)]
+    noisy = [int(y) if k % 7 else 1 - int(y) for k, y in enumerate(toxic)]
+    df = spark.createDataFrame(list(zip(languages, noisy, texts)), "_lang string, _toxic int, _text string")
+    score, y, names = model.scores(model.tables(), *text_arrays(pa.array(texts))), np.array(noisy), np.array([x or "" for x in languages])
+    model.thresholds, model.threshold = {}, 0.5
+    toxicity.set_thresholds(model, toxicity.hashed_words(df))
+    assert set(model.thresholds) == {"en", "fr"}
+    for name, limit in [*model.thresholds.items(), (None, model.threshold)]:
+        s, t = (score, y) if name is None else (score[names == name], y[names == name])
+        wrong = lambda at: int(((s >= at) != (t == 1)).sum())
+        assert 0 < limit < 1 and wrong(limit) <= min(wrong(at) for at in [*s, 0.0, 1.1]) + 1
+
+
 @pytest.mark.parametrize("rows", ["awkward", "none"])
 def test_stages_take_awkward_and_empty_tables(spark, sf, rows):
     """NULLs in every column, empty and repeated rows and clashing names go through every stage."""
