@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from lodestrata.operators import security
 from lodestrata.operators.aggregates import SEVERITIES, mean, rank_of, top, union_all, with_one_row
 from lodestrata.operators.history import conditional_update, keep_max_per_group
+from lodestrata.session import cut_lineage
 
 
 def full_path(*parts: str) -> Column:
@@ -100,6 +101,12 @@ def compliance_scorecard(columns: DataFrame, links: DataFrame, violations: DataF
 #: Letters of the grams by which names are looked up.
 GRAM = 3
 
+#: Places in which the grams of outer names are counted; grams that share a place share its count.
+PLACES = 1 << 16
+
+#: Letters of a name, from its start, among which its rarest gram is sought.
+REACH = 1 << 20
+
 
 def _pieces(name: str, size: int) -> Column:
     """The different substrings of ``size`` letters of a name, as rows."""
@@ -108,18 +115,43 @@ def _pieces(name: str, size: int) -> Column:
     return F.explode(F.when(n >= size, F.array_distinct(every)))
 
 
+def _place(gram: Column) -> Column:
+    return F.pmod(F.hash(gram), F.lit(PLACES))
+
+
+def _gram_counts(outer: DataFrame) -> DataFrame:
+    """How often trigrams of each place occur in the outer names: one row with an array of ``PLACES`` counts, whatever the input."""
+    at = F.explode(F.sequence(F.lit(1), F.length("outer") - (GRAM - 1))).alias("_at")
+    grams = outer.filter(F.length("outer") >= GRAM).select("outer", at).select(_place(F.substr("outer", "_at", F.lit(GRAM))).alias("_place"), F.lit(1).alias("_n"))
+    none = outer.sparkSession.range(PLACES).select(F.col("id").cast("int").alias("_place"), F.lit(0).alias("_n"))
+    counts = grams.unionAll(none).groupBy("_place").agg(F.sum("_n").alias("_n"))
+    return counts.agg(F.sort_array(F.collect_list(F.struct("_place", "_n"))).alias("_t")).select(F.col("_t._n").alias("_counts"))
+
+
+def rarest_grams(inner: DataFrame, outer: DataFrame) -> DataFrame:
+    """Each inner name of three letters or more with one of its trigrams, ``_gram``, in the place that the fewest outer names reach.
+
+    Names with a trigram that no outer name can have are left out. The trigram is picked inside the name's row, so nothing is
+    sorted or kept for the names of a task; count and position are one number for that.
+    """
+    n = F.length("inner")
+    at = F.sequence(F.lit(1), F.least(n - (GRAM - 1), F.lit(REACH)))
+    rank = F.array_min(F.transform(at, lambda i: F.get("_counts", _place(F.substr("inner", i, F.lit(GRAM)))) * REACH + i - 1))
+    ranked = with_one_row(inner.filter(n >= GRAM), _gram_counts(outer)).select("inner", rank.alias("_rank"))
+    # exploded, as a filter of the bare column would be pushed down and rank each name twice
+    kept = ranked.select("inner", F.explode(F.array("_rank")).alias("_rank")).filter(F.col("_rank") >= REACH)
+    return kept.select("inner", F.substr("inner", (F.col("_rank") % REACH + 1).cast("int"), F.lit(GRAM)).alias("_gram"))
+
+
 def contained_names(inner: DataFrame, outer: DataFrame) -> DataFrame:
     """Pairs (``inner``, ``outer``) of distinct names in which the first, not empty, is a part of the second.
 
-    A name can only lie where each of its trigrams does, so it is looked up under that one which the fewest outer names have,
+    A name can only lie where each of its trigrams does, so it is looked up under a rare one of them (:func:`rarest_grams`),
     and not at all if one of its trigrams occurs nowhere. An outer name has a row for each of its
     trigrams, not for each substring. Names of one and two letters have an index of their own.
     """
     grams = outer.select("outer", _pieces("outer", GRAM).alias("_gram"))
-    often = grams.groupBy("_gram").agg(F.count("*").alias("_n"))
-    own = inner.filter(F.length("inner") >= GRAM).select("inner", _pieces("inner", GRAM).alias("_gram")).join(often, "_gram", "left")
-    rarest = own.groupBy("inner").agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), F.col("_gram").alias("g"))).alias("_r")).filter("_r.n > 0")
-    long = rarest.select("inner", F.col("_r.g").alias("_gram")).join(grams, "_gram").filter(F.col("outer").contains(F.col("inner"))).select("inner", "outer")
+    long = rarest_grams(inner, outer).join(grams, "_gram").filter(F.col("outer").contains(F.col("inner"))).select("inner", "outer")
     parts = [outer.select(_pieces("outer", size).alias("inner"), "outer") for size in range(1, GRAM)]
     return reduce(DataFrame.unionAll, parts).join(inner, "inner").select("inner", "outer").unionAll(long)
 
@@ -129,11 +161,12 @@ def auto_links(terms: DataFrame, columns: DataFrame, least: int = 1) -> DataFram
 
     A contained name must have at least ``least`` letters (equal names always count): names of one or two letters are
     part of nearly every other, so at scale three or more are wanted. Contained names are found by
-    :func:`contained_names`, so no term is paired with every column. Rows are reduced to distinct names before.
+    :func:`contained_names`, so no term is paired with every column. Rows are reduced to distinct names before, which
+    are stored: read by each branch, they are expanded in tasks of a file's share and not where they were made distinct.
     """
     t = terms.filter(F.col("status") == "published").select("term_id", F.lower("term_name").alias("t"))
     named = _described(columns).withColumn("c", F.lower("column_name"))
-    c, term_names = named.select("c").distinct(), t.select("t").distinct()
+    c, term_names = cut_lineage(named.select("c").distinct()), cut_lineage(t.select("t").distinct())
     long_enough = lambda name: F.length(name) >= least
     of_terms = contained_names(term_names.select(F.col("t").alias("inner")).filter(long_enough("inner")), c.select(F.col("c").alias("outer")))
     of_columns = contained_names(c.select(F.col("c").alias("inner")).filter(long_enough("inner")), term_names.select(F.col("t").alias("outer")))
@@ -144,7 +177,8 @@ def auto_links(terms: DataFrame, columns: DataFrame, least: int = 1) -> DataFram
     exact = F.col("t") == F.col("c")
     return (
         pairs.join(t, "t")
-        .join(named, "c")
+        # a file of few megabytes may hold millions of columns, too many to be broadcast
+        .join(named.hint("merge"), "c")
         .select(
             "term_id",
             "database_name",

@@ -132,3 +132,22 @@ def test_contained_names_by_their_rarest_gram(spark):
     inner, outer = sorted(set(names(150))), sorted(set(names(150)))
     got = governance.contained_names(spark.createDataFrame([(x,) for x in inner], "inner string"), spark.createDataFrame([(x,) for x in outer], "outer string"))
     assert sorted(map(tuple, got.collect())) == sorted((a, b) for a in inner for b in outer if a and a in b)
+
+
+@pytest.mark.parametrize("places, reach", [(governance.PLACES, governance.REACH), (5, 2), (1, 1)])
+def test_rarest_grams_lose_no_name(spark, monkeypatch, places, reach):
+    """Also where grams share a place, or where only the first letters of a name are tried."""
+    monkeypatch.setattr(governance, "PLACES", places)
+    monkeypatch.setattr(governance, "REACH", reach)
+    r = random.Random(11)
+    names = lambda n: ["".join(r.choices("abé", k=r.randrange(0, 8))) for _ in range(n)] + ["zzz", "aab", "premium_amount"]
+    inner, outer = sorted({*names(120), "amount", "amounts"}), sorted(set(names(120)))
+    i, o = spark.createDataFrame([(x,) for x in inner], "inner string"), spark.createDataFrame([(x,) for x in outer], "outer string")
+    found = [tuple(x) for x in governance.rarest_grams(i, o).collect()]
+    assert len({name for name, _ in found}) == len(found)
+    assert all(len(gram) == 3 and gram in name for name, gram in found)
+    assert {a for a in inner if len(a) >= 3 and any(a in b for b in outer)} <= {name for name, _ in found}
+    if places > 5:
+        assert "amounts" not in {name for name, _ in found}
+    got = governance.contained_names(i, o)
+    assert sorted(map(tuple, got.collect())) == sorted((a, b) for a in inner for b in outer if a and a in b)

@@ -58,3 +58,12 @@ def test_stored_profiles_hold_no_column_in_one_task(spark, sf):
     """A percentile in a global aggregate sends every distinct value to one task."""
     plan = entry.queries()["stored_profiles"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
     assert "percentile(" not in plan
+
+
+def test_glossary_links_sort_no_grams_and_broadcast_no_inventory(spark, sf):
+    """Sorted by name, the grams of all names of a task filled its memory; the table of counts must not be a column either."""
+    execution = entry.queries()["glossary_auto_links"](spark, sf)._jdf.queryExecution()
+    physical, optimized = execution.executedPlan().toString(), execution.optimizedPlan().toString()
+    assert "SortAggregate" not in physical and "min(struct(" not in physical
+    assert "leftHint=(strategy=merge)" in optimized or "rightHint=(strategy=merge)" in optimized
+    assert not [line for line in optimized.split("\n") if "Project [inner" in line and "_counts" in line]
