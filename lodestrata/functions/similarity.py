@@ -1,4 +1,4 @@
-"""String similarity and the tokens of a lossless similarity join."""
+"""String similarity and the marks of a lossless similarity join."""
 
 from __future__ import annotations
 
@@ -13,27 +13,53 @@ def ratio(a: Column, b: Column) -> Column:
     return F.when((F.length(a) > 0) & (F.length(b) > 0), value).otherwise(F.lit(0.0))
 
 
-def bigrams(text: Column) -> Column:
-    """Hashes of the distinct pairs of neighbouring characters of the padded text."""
-    n = F.length(text)
-    padded = F.concat(F.lit("^"), text, F.lit("$"))
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), n + 1), lambda i: F.xxhash64(F.substr(padded, i, F.lit(2)))))
+def _edits(size: Column, min_ratio: int) -> Column:
+    """Most edits of a pair with ``ratio >= min_ratio`` whose longer text has ``size`` characters."""
+    return F.floor(size * F.lit(100 - min_ratio) / 100.0 + 1e-9).cast("int")
 
 
-def prefix_size(text: Column, distinct: Column, min_ratio: int) -> Column:
-    """How many tokens in one global order suffice: two texts with ``ratio >= min_ratio`` share one of them.
+def _part(size: Column, min_ratio: int, i: Column) -> tuple[Column, Column]:
+    """Start and width of part ``i`` (from 0) of a text of ``size`` characters, cut into one part more than it may have edits."""
+    parts = _edits(size, min_ratio) + 1
+    width = F.floor(size / parts).cast("int")
+    narrow = parts - size % parts  # that many parts come first, the others are wider by one
+    return i * width + F.greatest(F.lit(0), i - narrow), width + (i >= narrow).cast("int")
 
-    A padded text of length n has n + 1 bigrams and one edit touches at most two of them, so
-    two texts within k edits share ``m + 1 - 2k`` bigrams, m being the longer length; with
-    k at most ``(1 - min_ratio/100) * m`` that is never less than the same formula for the
-    shorter text. Repeats are dropped, which can cost a text no more shared bigrams than it
-    had repeats. Both texts must then share one among their first ``distinct - shared + 1``.
+
+def part_marks(text: Column, min_ratio: int) -> Column:
+    """Hashes of the parts of a text, which a similar one that is no longer finds among its ``sought_marks``.
+
+    With one part more than edits, some part i is untouched, has at most i edits before it and at most ``edits - i``
+    after it; so it lies in the other text, moved by no more than either.
     """
-    n = F.length(text)
-    edits_share = 2 * (100 - min_ratio) / 100.0
-    bag_shared = F.ceil(n + 1 - n * F.lit(edits_share) - F.lit(1e-9))
-    shared = F.greatest(bag_shared - (n + 1 - distinct), F.lit(1))
-    return (distinct - shared + 1).cast("int")
+    size = F.length(text)
+
+    def mark(i: Column) -> Column:
+        start, width = _part(size, min_ratio, i)
+        return F.xxhash64(size, i, F.substr(text, start + 1, width))
+
+    return F.transform(F.sequence(F.lit(0), _edits(size, min_ratio)), mark)
+
+
+def sought_marks(text: Column, min_ratio: int) -> Column:
+    """Distinct hashes of all pieces of a text that may be a part of a similar text of its length or longer."""
+    size = F.length(text)
+    longest = F.floor(size * 100 / min_ratio + 1e-9).cast("int")
+
+    def of_size(other: Column) -> Column:
+        edits = _edits(other, min_ratio)
+
+        def of_part(i: Column) -> Column:
+            start, width = _part(other, min_ratio, i)
+            ended = start + size - other
+            first = F.greatest(F.lit(0), start - i, ended - edits + i)
+            last = F.least(size - width, start + i, ended + edits - i)
+            places = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+            return F.transform(places, lambda place: F.xxhash64(other, i, F.substr(text, place + 1, width)))
+
+        return F.flatten(F.transform(F.sequence(F.lit(0), edits), of_part))
+
+    return F.array_distinct(F.flatten(F.transform(F.sequence(size, longest), of_size)))
 
 
 def lengths_fit(a: Column, b: Column, min_ratio: int) -> Column:

@@ -3,14 +3,15 @@
 A pair scores 40 for the same social security number, 20 for the same birth date, 20 or 10
 for a similar name, 15 or 7 for a similar address and 5 for the same e-mail; 70 is a match.
 Without the same number a pair reaches 60 at most, so only records sharing a number can
-match. The pairs of a number are not enumerated (beyond groups of a small fixed size):
+match. The pairs of a number are not all enumerated:
 
 * records equal in every compared field collapse to one profile;
 * fields whose equality alone decides a match link each profile to the smallest one of its
   group (a star, linear in the group);
-* only distinct field combinations are compared: directly in small groups, and in larger
-  ones only those that share a token of a lossless prefix filter
-  (``functions.similarity.join_tokens``).
+* only distinct field combinations are compared. In a large group whose texts must be very
+  similar, only those meet of which one holds a part of the other where it may lie
+  (``functions.similarity.part_marks``); otherwise all pairs, dealt to tasks in cells of a
+  fixed size.
 
 The links have the same connected components as the full list of matching pairs.
 """
@@ -23,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.functions.cleansing import digits_key, match_text, standard_address, standard_zip
-from lodestrata.functions.similarity import bigrams, lengths_fit, prefix_size, ratio
+from lodestrata.functions.similarity import lengths_fit, part_marks, ratio, sought_marks
 from lodestrata.operators.history import keep_latest
 from lodestrata.session import cut_lineage, release
 
@@ -85,7 +86,10 @@ def block_types(a: str = "a", b: str = "b") -> Column:
 
 
 def profiles(records: DataFrame) -> DataFrame:
-    """Distinct field combinations that can reach a match, named by their smallest record key."""
+    """Distinct field combinations that can reach a match, named by their smallest record key.
+
+    They are stored before those that can't are left out: a filter below the grouping would compute every field again.
+    """
     own = (
         F.lit(40)
         + F.when(F.col("dob_clean").isNotNull(), 20).otherwise(0)
@@ -93,42 +97,54 @@ def profiles(records: DataFrame) -> DataFrame:
         + F.when(F.col("address_clean").isNotNull(), 15).otherwise(0)
         + F.when(F.col("email_clean").isNotNull(), 5).otherwise(0)
     )
-    able = records.filter(F.col("ssn_clean").isNotNull() & (own >= MATCH))
-    return able.groupBy(*FIELDS).agg(F.min("record_key").alias("node"))
+    combined = cut_lineage(records.groupBy(*FIELDS).agg(F.min("record_key").alias("node")))
+    return combined.filter(F.col("ssn_clean").isNotNull() & (own >= MATCH))
 
 
-def _tokens(heads: DataFrame, block: Sequence[str], text: str, min_ratio: int) -> DataFrame:
-    """Heads with ``_prefix``: their rarest tokens, of which two similar ones share at least one.
+def _marked(heads: DataFrame, text: str, min_ratio: int) -> tuple[DataFrame, DataFrame]:
+    """Heads once for each part of their text, and once for each piece that may be a part of a similar text."""
+    filled = heads.filter(F.length(text) > 0)
+    parts = filled.withColumn("mark", F.explode(part_marks(F.col(text), min_ratio)))
+    return parts, filled.withColumn("mark", F.explode(sought_marks(F.col(text), min_ratio)))
 
-    A block with one head has nothing to link and is dropped.
-    """
-    sizes = heads.groupBy(*block).agg(F.count("*").alias("_n")).filter("_n > 1").drop("_n")
-    marked = heads.join(sizes, list(block)).filter(F.length(text) > 0)
-    each = marked.select("head", F.explode(bigrams(F.col(text))).alias("_token"))
-    often = each.groupBy("_token").agg(F.count("*").alias("_times"))
-    order = F.sort_array(F.collect_list(F.struct("_times", "_token")))
-    tokens = each.join(often, "_token").groupBy("head").agg(F.transform(order, lambda x: x["_token"]).alias("_all"))
-    prefix = F.slice("_all", F.lit(1), prefix_size(F.col(text), F.size("_all"), min_ratio))
-    return marked.join(tokens, "head").withColumn("_prefix", prefix).drop("_all")
 
+def _meetings(heads: DataFrame, block: Sequence[str], text: str, min_ratio: int) -> DataFrame:
+    """Marks of each block at which two heads may meet, with the numbers of parts and of pieces."""
+    keys = [*block, "mark"]
+    parts, pieces = _marked(heads, text, min_ratio)
+    both = parts.select(*keys, F.lit(1).alias("part")).unionByName(pieces.select(*keys, F.lit(0).alias("part")))
+    counts = both.groupBy(*keys).agg(F.sum("part").alias("parts"), F.sum(1 - F.col("part")).alias("pieces"))
+    # a part is also a piece of its own text
+    return counts.filter("parts > 0 AND pieces > 1")
 
-def _similar(heads: DataFrame, block: Sequence[str], text: str, min_ratio: int, test: Column | None = None) -> DataFrame:
+
+def _similar(
+    heads: DataFrame, block: Sequence[str], text: str, min_ratio: int, test: Column | None = None, met: DataFrame | None = None
+) -> DataFrame:
     """Links between heads of one block whose ``text`` is similar enough and that pass ``test``.
 
-    Heads meet on a shared rare token; a pair goes on only at its first one and if the lengths fit,
-    so it is compared once.
+    Heads meet where a part of one is a piece of the other; the parts of a frequent mark are dealt out,
+    so that no task holds more than ``CELL`` of them at once. ``met`` are the ``_meetings`` of these heads, if known.
     """
-    tokens = _tokens(heads, block, text, min_ratio).withColumn("token", F.explode("_prefix"))
-    cond = F.col("a.head") > F.col("b.head")
-    for c in (*block, "token"):
+    keys = [*block, "mark"]
+    met = _meetings(heads, block, text, min_ratio) if met is None else met
+    copies = met.select(*keys, F.ceil(F.col("parts") / CELL).alias("copies"))
+    parts, pieces = _marked(heads, text, min_ratio)
+    parts = parts.join(copies, keys).withColumn("copy", F.pmod(F.xxhash64("head"), "copies"))
+    pieces = pieces.join(copies, keys).withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+    cond = F.col("a.head") != F.col("b.head")
+    for c in (*keys, "copy"):
         cond = cond & (F.col(f"a.{c}") == F.col(f"b.{c}"))
     a, b = F.col(f"a.{text}"), F.col(f"b.{text}")
-    cond = cond & lengths_fit(a, b, min_ratio)
-    cond = cond & (F.element_at(F.array_intersect("a._prefix", "b._prefix"), 1) == F.col("a.token"))
-    cond = cond & (ratio(a, b) >= min_ratio)
+    cond = cond & lengths_fit(a, b, min_ratio) & (ratio(a, b) >= min_ratio)
     if test is not None:
         cond = cond & test
-    return tokens.alias("a").join(tokens.alias("b"), cond).select(F.col("a.head").alias("src"), F.col("b.head").alias("dst"))
+    return _link(_dealt(parts, [*keys, "copy"]).alias("a").join(pieces.alias("b"), cond)).distinct()
+
+
+def _dealt(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows dealt by ``keys`` to a fixed number of tasks: few rows may mean much to compare."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
 def _ratio_of(field: str) -> Column:
@@ -147,8 +163,27 @@ WAYS = (
         lambda: ((_ratio_of("text") >= 80) & (_ratio_of("other") >= 50)) | (_ratio_of("other") >= 70), False,
     ),
 )
-#: Heads of a block that are compared pair by pair; larger blocks go by tokens.
-DIRECT = 16
+#: Heads of a block that are compared pair by pair; larger blocks go by marks where the text must be similar by
+#: ``NARROW`` or more and has at most ``LONG`` characters: weaker limits make parts of two letters, which tell nothing apart.
+DIRECT, NARROW, LONG = 256, 80, 48
+#: Heads that are compared with as many others in one task at once.
+CELL = 512
+
+
+def _link(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.greatest("a.head", "b.head").alias("src"), F.least("a.head", "b.head").alias("dst"))
+
+
+def _in_cells(sized: DataFrame, alike: Column) -> DataFrame:
+    """Links between all heads of a block that are ``alike``; a block of many goes in pairs of groups, each compared once."""
+    group = F.pmod(F.xxhash64("head"), F.ceil(F.col("size") / CELL))
+    grouped = sized.withColumn("group", group)
+    a = grouped.withColumn("low", F.col("group")).withColumn("high", F.explode(F.sequence("group", F.ceil(F.col("size") / CELL) - 1)))
+    b = grouped.withColumn("high", F.col("group")).withColumn("low", F.explode(F.sequence(F.lit(0).cast("long"), F.col("group"))))
+    cond = (F.col("a.low") < F.col("a.high")) | (F.col("a.head") > F.col("b.head"))
+    for c in ("block", "low", "high"):
+        cond = (F.col(f"a.{c}") == F.col(f"b.{c}")) & cond
+    return _link(_dealt(a, ["block", "low", "high"]).alias("a").join(b.alias("b"), cond & alike))
 
 
 def _places(nodes: DataFrame) -> DataFrame:
@@ -185,21 +220,30 @@ def match_links(nodes: DataFrame) -> DataFrame:
         places.join(starred.drop("nodes"), group).filter("node <> head").select(F.col("node").alias("src"), F.col("head").alias("dst"))
     )
     sizes = heads.groupBy("block").agg(F.count("*").alias("size")).filter("size > 1")
-    sized = heads.drop("nodes").join(sizes, "block")
-    few = sized.filter(F.col("size") <= DIRECT)
+    sized = cut_lineage(heads.drop("nodes").join(sizes, "block"))
     alike = F.lit(False)
     for k, (_, _, least, _, test, _) in enumerate(WAYS):
         enough = (F.col("a.way") == k) & lengths_fit(F.col("a.text"), F.col("b.text"), least) & (_ratio_of("text") >= least)
         alike = alike | (enough if test is None else enough & test())
-    cond = (F.col("a.block") == F.col("b.block")) & (F.col("a.head") > F.col("b.head")) & alike
-    out = stars.unionByName(
-        few.alias("a").join(few.alias("b"), cond).select(F.col("a.head").alias("src"), F.col("b.head").alias("dst"))
-    )
-    many = cut_lineage(sized.filter(F.col("size") > DIRECT).drop("size"))
+    narrow = [k for k, w in enumerate(WAYS) if w[2] >= NARROW]
+    by_marks = (F.col("size") > DIRECT) & F.col("way").isin(narrow)
+    whole, out = sized.filter(~by_marks), stars
+    many = cut_lineage(_dealt(sized.filter(by_marks), ["head"]))
     for k in sorted(r["way"] for r in many.select("way").distinct().collect()):
         _, _, least, _, test, _ = WAYS[k]
-        out = out.unionByName(cut_lineage(_similar(many.filter(F.col("way") == k), ["block"], "text", least, test and test())))
-    return out.distinct()
+        of_way = many.filter(F.col("way") == k)
+        near = of_way.filter(F.length("text") <= LONG)
+        met = cut_lineage(_meetings(near, ["block"], "text", least))
+        # where texts are so alike that they would meet more often than in pairs, marks don't help
+        times = met.groupBy("block").agg(F.sum(F.col("parts") * F.col("pieces")).alias("times"))
+        pairs = F.col("size") * F.col("size") / 2
+        crowded = cut_lineage(times.join(of_way.select("block", "size").distinct(), "block").filter(F.col("times") > pairs).select("block"))
+        found = _similar(near.join(crowded, "block", "left_anti"), ["block"], "text", least, test and test(), met)
+        out = out.unionByName(cut_lineage(found))
+        # pairs of which one is longer
+        far = of_way.filter(F.length("text") * 100 >= (LONG + 1) * least).withColumn("block", F.concat("block", F.lit("|far")))
+        whole = whole.unionByName(near.join(crowded, "block", "left_semi")).unionByName(far)
+    return out.unionByName(_in_cells(whole, alike)).distinct()
 
 
 def scored_links(nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -243,7 +287,7 @@ def connected_components(links: DataFrame) -> DataFrame:
 def resolve(records: DataFrame) -> DataFrame:
     """Records with ``golden_record_id``, the smallest record key of their cluster."""
     clean = standardise(records)
-    nodes = cut_lineage(profiles(clean))
+    nodes = profiles(clean)
     labels = connected_components(match_links(nodes))
     named = nodes.join(labels, "node", "left").select(*FIELDS, F.coalesce("component", "node").alias("golden_record_id"))
     cond = F.lit(True)

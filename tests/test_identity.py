@@ -146,3 +146,46 @@ def test_blocks_of_any_size_against_all_pairs(spark):
     )
     want = {k: k for k in range(len(rows))} | components([tuple(p) for p in pairs])
     assert {r.record_key: r.golden_record_id for r in identity.resolve(clean).collect()} == want
+
+
+def test_random_names_of_one_number_hardly_meet(spark):
+    """The work in a large block must grow with its heads, not with its pairs, and lose no similar pair."""
+    random.seed(17)
+    names = ["".join(random.choice("ABCDEFGHIJKLMNOP") for _ in range(random.randint(13, 16))) for _ in range(2000)]
+    names += [n[:k] + "Z" + n[k + 2 :] for k, n in enumerate(names[:12])] + [n + " JR" for n in names[12:20]]
+    heads = spark.createDataFrame([(k, "x", t) for k, t in enumerate(names)], "head long, block string, t string").repartition(4).cache()
+    met = identity._meetings(heads, ["block"], "t", 80)
+    own = sum(len(n) * 20 // 100 + 1 for n in names)
+    assert met.selectExpr("sum(parts * pieces)").first()[0] < 2 * own
+    want = heads.alias("a").join(heads.alias("b"), (F.col("a.head") > F.col("b.head")) & (ratio(F.col("a.t"), F.col("b.t")) >= 80))
+    want = sorted((r[0], r[1]) for r in want.select("a.head", "b.head").collect())
+    assert len(want) >= 20 and sorted((r.src, r.dst) for r in identity._similar(heads, ["block"], "t", 80).collect()) == want
+
+
+def test_crowded_and_long_names_against_all_pairs(spark, monkeypatch):
+    """Blocks that go by marks, blocks too crowded for marks and texts too long for them, in cells of three."""
+    for name, value in (("DIRECT", 6), ("CELL", 3), ("LONG", 20)):
+        monkeypatch.setattr(identity, name, value)
+    random.seed(23)
+
+    def letters(n):
+        return "".join(random.choice("ABCDEFGH") for _ in range(n))
+
+    apart = [letters(12) for _ in range(14)]
+    apart += [n[:5] + "X" + n[6:] for n in apart[:5]] + [letters(25) for _ in range(4)]
+    apart += [apart[19] + "Y", apart[20][1:], apart[21][:20], apart[22][:21]]
+    alike = [f"ACME INSURANCE {letters(3)}" for _ in range(20)] + ["ACME INSURANCE GROUP OF XY", "ACME INSURANCE GROUP OF ZZ"]
+    rows = [
+        person(k, "CRM", n, s, f"19{k % 90 + 10}-01-01", random.choice(["1 MAIN ST", "1 MAIN AVE", "77 OCEAN BOULEVARD EAST"]))
+        for k, (s, n) in enumerate([("111-11-1111", n) for n in apart] + [("222-22-2222", n) for n in alike])
+    ]
+    clean = identity.standardise(spark.createDataFrame(rows, SCHEMA)).cache()
+    crowded = identity._meetings(clean.select(F.col("record_key").alias("head"), "ssn_clean", "name_clean"), ["ssn_clean"], "name_clean", 80)
+    times = {r[0]: r[1] for r in crowded.groupBy("ssn_clean").agg(F.expr("sum(parts * pieces)")).collect()}
+    assert times["111111111"] < len(apart) ** 2 / 2 and times["222222222"] > len(alike) ** 2 / 2
+    pairs = (
+        clean.alias("a").join(clean.alias("b"), F.expr("a.record_key > b.record_key AND a.ssn_clean = b.ssn_clean"))
+        .filter(identity.pair_score() >= identity.MATCH).select("a.record_key", "b.record_key").collect()
+    )
+    links = identity.match_links(identity.profiles(clean)).collect()
+    assert pairs and {(r.src, r.dst) for r in links} == {tuple(p) for p in pairs} and len(links) == len(pairs)
