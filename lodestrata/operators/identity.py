@@ -180,7 +180,8 @@ def _in_cells(sized: DataFrame, alike: Column) -> DataFrame:
     grouped = sized.withColumn("group", group)
     a = grouped.withColumn("low", F.col("group")).withColumn("high", F.explode(F.sequence("group", F.ceil(F.col("size") / CELL) - 1)))
     b = grouped.withColumn("high", F.col("group")).withColumn("low", F.explode(F.sequence(F.lit(0).cast("long"), F.col("group"))))
-    cond = (F.col("a.low") < F.col("a.high")) | (F.col("a.head") > F.col("b.head"))
+    apart = (F.col("a.low") < F.col("a.high")) & (F.col("a.head") != F.col("b.head"))
+    cond = apart | (F.col("a.head") > F.col("b.head"))
     for c in ("block", "low", "high"):
         cond = (F.col(f"a.{c}") == F.col(f"b.{c}")) & cond
     return _link(_dealt(a, ["block", "low", "high"]).alias("a").join(b.alias("b"), cond & alike))

@@ -189,3 +189,11 @@ def test_crowded_and_long_names_against_all_pairs(spark, monkeypatch):
     )
     links = identity.match_links(identity.profiles(clean)).collect()
     assert pairs and {(r.src, r.dst) for r in links} == {tuple(p) for p in pairs} and len(links) == len(pairs)
+
+
+def test_profile_without_key_links_with_none(spark, monkeypatch):
+    monkeypatch.setattr(identity, "CELL", 1)
+    rows = [person(k, "CRM", f"ANN STONE{k}", "123-45-6789", "1980-01-01") for k in (1, 2, 3, None, None)]
+    rows += [person(None, "CRM", f"ANN BROOK{k}", "123-45-6789", "1980-01-01") for k in range(4)]
+    links = identity.match_links(identity.profiles(identity.standardise(spark.createDataFrame(rows, SCHEMA)))).collect()
+    assert {(r.src, r.dst) for r in links} == {(2, 1), (3, 1), (3, 2)}
